@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 HEADERS_TYPE = "map<string,string>"
 
+# Space and the control characters below it.
+BLANKS = "".join(chr(code) for code in range(1, 33))
+
 
 def as_col(value: str | Column) -> Column:
     """Spark SQL text or a ``Column``, as a ``Column``."""
@@ -20,9 +23,14 @@ def fixed_or_expr(fixed: str | None, expression: str | Column | None, what: str)
     return F.lit(fixed) if expression is None else as_col(expression)
 
 
+def strip(value: Column) -> Column:
+    """The text without leading and trailing blanks of any kind."""
+    return F.btrim(value, F.lit(BLANKS))
+
+
 def text_or_null(value: Column) -> Column:
     """Null where the text is null, empty or only white space."""
-    return F.when(F.trim(value) != "", value)
+    return F.when(strip(value) != "", value)
 
 
 def headers_of(pairs: dict[str, str | Column]) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,8 +13,6 @@ def json_find(payload: Column, field: str) -> Column:
     Null values keep their place as nulls; unreadable JSON gives a null array.
     Runs as an Arrow batch function, so only the payload column is shipped.
     """
-    import pandas as pd
-
     @F.pandas_udf("array<string>")
     def search(texts: pd.Series) -> pd.Series:
         import json

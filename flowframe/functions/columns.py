@@ -28,6 +28,13 @@ def strip(value: Column) -> Column:
     return F.btrim(value, F.lit(BLANKS))
 
 
+def text_of(data: Column, charset: str = "UTF-8") -> Column:
+    """Bytes as text; in UTF-8 bytes that fit no character become U+FFFD."""
+    if charset.upper() == "UTF-8":
+        return F.make_valid_utf8(data.cast("string"))
+    return F.decode(data, charset)
+
+
 def text_or_null(value: Column) -> Column:
     """Null where the text is null, empty or only white space."""
     return F.when(strip(value) != "", value)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.functions.columns import as_col, strip
+from flowframe.functions.columns import as_col, strip, text_of
 
 
 def split_expression(
@@ -66,7 +66,7 @@ def split_file_content(
     """
     content = F.col("payload")
     if dict(df.dtypes)["payload"] == "binary":
-        content = F.decode(content, charset or "UTF-8")
+        content = text_of(content, charset or "UTF-8")
     lines = F.when(content == "", F.array().cast("array<string>")).otherwise(lines_of(content))
     if markers:
         rows = df.withColumn("__lines", lines)

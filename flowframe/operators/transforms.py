@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.functions.columns import HEADERS_TYPE, as_col, content_type_of, headers_of, is_text_like
+from flowframe.functions.columns import HEADERS_TYPE, as_col, content_type_of, headers_of, is_text_like, text_of
 from flowframe.functions.patterns import names_of, simple_pattern
 
 
@@ -60,7 +60,7 @@ def bytes_to_text(
 
     ``markers`` are the content-type parts that count as text.
     """
-    text = F.decode(F.col("payload"), charset)
+    text = text_of(F.col("payload"), charset)
     return df.withColumn("payload_text", F.when(is_text_like(markers=markers), text))
 
 
@@ -71,6 +71,6 @@ def json_to_map(df: DataFrame) -> DataFrame:
     """
     text = F.col("payload")
     if dict(df.dtypes)["payload"] == "binary":
-        text = F.decode(text, "UTF-8")
+        text = text_of(text)
     readable = content_type_of().contains("json") & F.try_parse_json(text).isNotNull()
     return df.withColumn("payload_map", F.when(readable, F.from_json(text, HEADERS_TYPE)))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowframe.functions.columns import as_col, text_or_null
+from flowframe.functions.columns import as_col, text_of, text_or_null
 from flowframe.functions.patterns import ant_to_regex, full_match
 from flowframe.operators.split import marker_json
 from flowframe.plans.ordered import number_groups
@@ -45,7 +45,7 @@ def file_lines_scan(
     value = F.col("value")
     if charset.upper() not in ("UTF-8", "US-ASCII"):
         # The reader cuts lines by bytes and leaves their encoding alone.
-        value = F.decode(value.cast("binary"), charset)
+        value = text_of(value.cast("binary"), charset)
         if charset.upper().startswith(("UTF-16", "UTF-32")):
             reader = reader.option("encoding", charset).option("lineSep", "\n")
             value = F.regexp_replace(value, r"\r\z", "")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowframe.functions.columns import as_col
+from flowframe.functions.columns import as_col, text_of
 from flowframe.operators.split import split_expression
 
 # The line shapes of RFC 3164 and RFC 5424.
@@ -77,7 +77,7 @@ def frame_split(
         return _split_lengths(df, LENGTH_BYTES[encoding], payload, max_record)
     text = F.col(payload)
     if dict(df.dtypes)[payload] == "binary":
-        text = F.decode(text, "UTF-8")
+        text = text_of(text)
     if encoding == "RAW":
         parts = F.array(text)
     elif encoding == "STXETX":

@@ -546,7 +546,7 @@ def recursive_path(spark, sf_dir):
            event_type || '-' || user_id AS glued, user_id + 624 AS plus, json_extract_string(props, '$.k') AS k,
            len(list_filter([event_type, 'view'], lambda x: x = 'view'))::INT AS views,
            regexp_matches(event_type, '^(cl|si)') AS starts, strftime(ts, '%m/%d/%y %H:%M:%S') AS clock,
-           epoch(ts)::BIGINT AS seconds
+           epoch_us(ts) // 1000000 AS seconds
     FROM events
     """,
 )

@@ -8,6 +8,8 @@ out as several rows with ``part`` 0, 1, ..., so no list grows with the data.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,93 @@ from flowframe.plans.ordered import number_groups
 LIST_ROWS = 100_000
 
 
+@dataclass(frozen=True)
+class Release:
+    """When a group is complete.
+
+    ``size`` is the number of messages expected, told by each message; ``count``
+    a fixed number; ``closes`` is true for a message that ends its group; ``gap``
+    is the idle time after which the open group is released as it is.
+    """
+
+    size: str | Column | None = None
+    count: int | None = None
+    closes: str | Column | None = None
+    gap: str | None = None
+    time: str | None = None
+
+    def __post_init__(self):
+        if self.size is None and self.count is None and self.closes is None and self.gap is None:
+            raise ValueError("give a release rule: size, count, closes or gap")
+        if self.size is not None and self.count is not None:
+            raise ValueError("size and count exclude each other")
+        if self.gap is not None and self.time is None:
+            raise ValueError("a gap needs the time column it is measured on")
+
+    @property
+    def bounded(self) -> bool:
+        """Whether a group has a known largest number of messages."""
+        return self.size is not None or self.count is not None
+
+    def expected(self) -> Column:
+        return F.lit(self.count) if self.size is None else F.col("__size")
+
+
+def correlated(df: DataFrame, correlate: dict[str, str | Column], rule: Release) -> DataFrame:
+    """The messages with their correlation key and expected size as columns."""
+    rows = df
+    for name, expression in correlate.items():
+        rows = rows.withColumn(name, as_col(expression))
+    return rows if rule.size is None else rows.withColumn("__size", as_col(rule.size))
+
+
+def number(rows: DataFrame, keys: list[str], order_by: list[str], rule: Release, hot_rows: int | None) -> DataFrame:
+    return number_groups(
+        rows, keys, order_by, count="__size" if rule.size is not None else rule.count, closes=rule.closes,
+        gap=rule.gap, time=rule.time, hot_rows=hot_rows,
+    )
+
+
+def emit(
+    numbered: DataFrame,
+    keys: list[str],
+    rule: Release,
+    *,
+    payload: str | Column = "payload",
+    where: str | Column | None = None,
+    output: dict[str, Column] | None = None,
+    partial: bool = False,
+    list_rows: int = LIST_ROWS,
+) -> DataFrame:
+    """One row per group, or per part of a long list; open groups only with ``partial``."""
+    # With a count or size the list has that many rows at most; otherwise cut it.
+    cut = not rule.bounded and output is None
+    if cut:
+        numbered = numbered.withColumn("part", F.floor((F.col("group_pos") - 1) / list_rows).cast("bigint"))
+    if output is None:
+        item = F.struct(F.col("position"), as_col(payload).alias("value"))
+        chosen = item if where is None else F.when(as_col(where), item)
+        listed = F.sort_array(F.collect_list(chosen))
+        output = {"payloads": F.transform(listed, lambda one: one["value"])}
+    facts = [F.count(F.lit(1)).alias("n")]
+    if rule.size is not None:
+        facts.append(F.max("__size").alias("__size"))
+    by_row = rule.closes is not None and rule.bounded
+    if by_row:
+        facts.append(F.max(F.coalesce(as_col(rule.closes), F.lit(False))).alias("__by_row"))
+    if rule.closes is not None and not rule.bounded and not partial:
+        numbered = numbered.filter("closed")
+    groups = numbered.groupBy(*keys, "group_start", *(["part"] if cut else [])).agg(
+        *facts, *[column.alias(name) for name, column in output.items()]
+    )
+    if rule.bounded and not partial:
+        full = F.col("n") == rule.expected()
+        groups = groups.filter(full | F.col("__by_row") if by_row else full)
+    if not cut:
+        groups = groups.withColumn("part", F.lit(0).cast("bigint"))
+    return groups.select(*keys, "group_start", "part", "n", *output)
+
+
 def aggregate(
     df: DataFrame,
     correlate: dict[str, str | Column],
@@ -36,54 +125,20 @@ def aggregate(
 ) -> DataFrame:
     """One row per released group.
 
-    ``correlate`` names the key expressions. A group is released by ``size``
-    (messages expected, per message), by ``count``, by a message for which
-    ``closes`` is true, or by a ``gap`` in ``time``. Unreleased groups come out
-    only with ``partial`` or with a ``gap``, as a timeout releases what is there.
-    The output is the list ``payloads`` (of the messages for which ``where`` is
-    true), or the aggregate columns in ``output``.
+    ``correlate`` names the key expressions; the release rule is that of
+    ``Release``. Unreleased groups come out only with ``partial`` or with a
+    ``gap``, as a timeout releases what is there. The output is the list
+    ``payloads`` (of the messages for which ``where`` is true), or the aggregate
+    columns in ``output``.
     """
-    if size is None and count is None and closes is None and gap is None:
-        raise ValueError("give a release rule: size, count, closes or gap")
-    if size is not None and count is not None:
-        raise ValueError("size and count exclude each other")
+    rule = Release(size=size, count=count, closes=closes, gap=gap, time=time)
     keys = list(correlate)
-    rows = df
-    for name, expression in correlate.items():
-        rows = rows.withColumn(name, as_col(expression))
-    expected = count
-    if size is not None:
-        rows, expected = rows.withColumn("__size", as_col(size)), "__size"
-    numbered = number_groups(
-        rows, keys, order_by, count=expected, closes=closes, gap=gap, time=time, hot_rows=hot_rows
+    numbered = number(correlated(df, correlate, rule), keys, order_by, rule, hot_rows)
+    return emit(
+        numbered, keys, rule, payload=payload, where=where, output=output,
+        partial=partial or gap is not None, list_rows=list_rows,
     )
 
-    # With a count or size the list has that many rows at most; otherwise cut it.
-    parts = [] if expected is not None or output is not None else ["part"]
-    if parts:
-        numbered = numbered.withColumn("part", F.floor((F.col("group_pos") - 1) / list_rows).cast("bigint"))
-    if output is None:
-        item = F.struct(F.col("position"), as_col(payload).alias("value"))
-        chosen = item if where is None else F.when(as_col(where), item)
-        listed = F.sort_array(F.collect_list(chosen))
-        made = [F.transform(listed, lambda one: one["value"]).alias("payloads")]
-    else:
-        made = [column.alias(name) for name, column in output.items()]
-    facts = [F.count(F.lit(1)).alias("n")]
-    if size is not None:
-        facts.append(F.max("__size").alias("__size"))
-    if closes is not None and expected is not None:
-        facts.append(F.max(F.coalesce(as_col(closes), F.lit(False))).alias("__by_row"))
-    if closes is not None and expected is None and not (partial or gap):
-        numbered = numbered.filter("closed")
-    groups = numbered.groupBy(*keys, "group_start", *parts).agg(*facts, *made)
-    if expected is not None and not (partial or gap):
-        full = F.col("n") == (F.lit(count) if size is None else F.col("__size"))
-        groups = groups.filter(full | F.col("__by_row") if closes is not None else full)
-    if not parts:
-        groups = groups.withColumn("part", F.lit(0).cast("bigint"))
-    return groups.select(*keys, "group_start", "part", "n", *[c for c in (output or {"payloads": None})])
-
 
 def aggregate_sequence(
     df: DataFrame,

@@ -17,3 +17,9 @@ def parse_column_map(setting: str) -> dict[str, str]:
             raise ValueError(f"'{item}' is neither 'column' nor 'column:expression'")
         mapping[sides[0]] = sides[-1]
     return mapping
+
+
+def parse_kv_list(setting: str) -> dict[str, str]:
+    """``a=v1,v2,b=o1`` as a mapping; a comma ends a pair only before another ``key=``."""
+    pairs = (pair.partition("=") for pair in re.split(r",(?=[^,]*=)", setting) if "=" in pair)
+    return {key.strip(): value.strip() for key, _, value in pairs}

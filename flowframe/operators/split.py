@@ -17,21 +17,20 @@ def split_expression(
     the 1-based ``sequence_number`` and the ``sequence_size``, so the parts can
     be put together again.
     """
-    rows = df.withColumn("__parts", as_col(parts))
-    extra = []
-    if correlate is not None:
-        rows = rows.withColumn("__correlation", as_col(correlate))
-        extra = [
-            F.col("__correlation").alias("correlation_id"),
-            (F.col("__pos") + 1).alias("sequence_number"),
-            F.size("__parts").alias("sequence_size"),
-        ]
     kept = [name for name in df.columns if name != "payload"]
-    exploded = rows.select(
-        *kept, "__parts", *(["__correlation"] if extra else []),
-        F.posexplode("__parts").alias("__pos", "payload"),
+    if correlate is None:
+        return df.select(*kept, F.explode(as_col(parts)).alias("payload"))
+    rows = df.select(*kept, as_col(correlate).alias("correlation_id"), as_col(parts).alias("__parts"))
+    # The size is taken before the array is spread, so that rows do not carry the
+    # array along; the outer form keeps Spark from testing the array beforehand,
+    # which would cut the text twice.
+    sized = rows.withColumn("sequence_size", F.size("__parts"))
+    spread = sized.select(
+        *kept, "correlation_id", "sequence_size", F.posexplode_outer("__parts").alias("__pos", "payload")
+    ).filter(F.col("__pos").isNotNull())
+    return spread.select(
+        *kept, "payload", "correlation_id", (F.col("__pos") + 1).alias("sequence_number"), "sequence_size"
     )
-    return exploded.select(*kept, "payload", *extra)
 
 
 def split_delimiters(df: DataFrame, delimiters: str, *, correlate: str | Column | None = None) -> DataFrame:
@@ -49,7 +48,13 @@ def split_items(df: DataFrame, *, correlate: str | Column | None = None) -> Data
 
 def lines_of(text: Column) -> Column:
     """The lines of a text; a final line break opens no further line."""
-    return F.split(F.regexp_replace(text, r"(\r\n|\r|\n)\z", ""), r"\r\n|\r|\n")
+    whole = F.length(text)
+    ended = (
+        F.when(text.endswith("\r\n"), F.substring(text, F.lit(1), whole - 2))
+        .when(text.endswith("\n") | text.endswith("\r"), F.substring(text, F.lit(1), whole - 1))
+        .otherwise(text)
+    )
+    return F.split(ended, r"\r\n|\r|\n")
 
 
 def split_file_content(

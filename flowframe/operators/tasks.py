@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowframe.functions.columns import HEADERS_TYPE, as_col, headers_of, strip, text_or_null
+from flowframe.functions.settings import parse_kv_list
 
 
 def kv_list_parse(text: str | Column) -> Column:
@@ -15,21 +16,23 @@ def kv_list_parse(text: str | Column) -> Column:
     ``=`` splits; both sides are trimmed; the last of equal keys wins.
     """
     pairs = F.filter(F.split(as_col(text), ",(?=[^,]*=)"), lambda pair: pair.contains("="))
-    entries = F.transform(
-        pairs,
-        lambda pair: F.struct(
-            strip(F.regexp_extract(pair, r"(?s)^([^=]*)=", 1)).alias("key"),
-            strip(F.regexp_extract(pair, r"(?s)^[^=]*=(.*)$", 1)).alias("value"),
-        ),
-    )
-    # Keep an entry only if no later one has its key.
-    names = F.transform(entries, lambda entry: entry["key"])
-    last = F.filter(
-        entries,
-        lambda entry, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), entry["key"]),
-    )
+
+    def entry(pair):
+        key = F.substring_index(pair, "=", 1)
+        return F.struct(
+            strip(key).alias("key"), strip(F.substring(pair, F.length(key) + 2, F.length(pair))).alias("value")
+        )
+
+    def last_of_each(entries):
+        later = lambda i: F.slice(entries, i + 2, F.size(entries))
+        return F.filter(
+            entries, lambda one, i: ~F.exists(later(i), lambda other: other["key"] == one["key"])
+        )
+
+    # Taking the entries through a one-element array computes them once per row.
+    found = F.transform(F.array(F.transform(pairs, entry)), last_of_each)[0]
     empty = F.create_map().cast(HEADERS_TYPE)
-    return F.when(F.coalesce(strip(as_col(text)), F.lit("")) == "", empty).otherwise(F.map_from_entries(last))
+    return F.when(F.coalesce(strip(as_col(text)), F.lit("")) == "", empty).otherwise(F.map_from_entries(found))
 
 
 def task_request_build(
@@ -39,13 +42,13 @@ def task_request_build(
     name_expr: str | Column | None = None,
     args: list[str] | None = None,
     arg_exprs: dict[str, str | Column] | None = None,
-    deployment: str | Column | None = None,
+    deployment: str | None = None,
 ) -> DataFrame:
     """Replace the payload by a JSON request ``{args, deploymentProps, name}``.
 
     Fixed arguments come first, then one ``key=value`` per expression in the
     order given. The name is fixed or computed and must not be blank.
-    ``deployment`` is an expression for a ``key=value`` list.
+    ``deployment`` is a ``key=value`` list, the same for all requests.
     """
     if name is not None and name_expr is not None:
         raise ValueError("give a fixed task name or a name expression, not both")
@@ -60,7 +63,7 @@ def task_request_build(
     all_args = [F.lit(value) for value in args or []] + computed
     request = F.struct(
         (F.array(*all_args) if all_args else F.array().cast("array<string>")).alias("args"),
-        (headers_of({}) if deployment is None else kv_list_parse(deployment)).alias("deploymentProps"),
+        headers_of({k: F.lit(v) for k, v in parse_kv_list(deployment or "").items()}).alias("deploymentProps"),
         required.alias("name"),
     )
     kept = F.map_filter("headers", lambda key, _: key != "contentType")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowframe.functions.columns import as_col
-from flowframe.functions.patterns import full_match, simple_pattern
+from flowframe.functions.patterns import full_match, quote, simple_pattern
 from flowframe.plans.ordered import number_groups
 
 
@@ -231,12 +231,13 @@ def stream_filter(
     if follow:
         choices.append(as_col(author).isin(*follow))
     if track:
-        words = F.split(F.lower(as_col(text)), r"[^\p{L}\p{N}_]+")
+        low = F.lower(as_col(text))
         for phrase in track:
-            wanted = phrase.lower().split()
-            fits = F.array_contains(words, wanted[0])
-            for word in wanted[1:]:
-                fits = fits & F.array_contains(words, word)
+            fits = F.lit(True)
+            for word in phrase.lower().split():
+                # The plain search is quick and leaves few texts to the expression.
+                whole = rf"(?<![\p{{L}}\p{{N}}_]){quote(word)}(?![\p{{L}}\p{{N}}_])"
+                fits = fits & low.contains(word) & low.rlike(whole)
             choices.append(fits)
     if boxes:
         lat, lon = (as_col(axis) for axis in position)

@@ -84,9 +84,11 @@ def frame_split(
         parts = F.regexp_extract_all(text, F.lit("(?s)\u0002([^\u0003]*)\u0003"), F.lit(1))
     else:
         end = DELIMITERS[encoding]
-        parts = F.split(text, f"\\Q{end}\\E" if end != "\u0000" else "\\x00")
         # What follows the last delimiter is a record only if it is not empty.
-        parts = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+        ended = F.when(
+            text.endswith(end), F.substring(text, F.lit(1), F.length(text) - len(end))
+        ).otherwise(text)
+        parts = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(ended, end))
     rows = split_expression(df.withColumn("payload", parts), "payload", correlate=correlate)
     too_long = F.octet_length("payload") > max_record
     return rows.withColumn("record_error", F.when(too_long, F.lit("record too long")))

@@ -394,7 +394,7 @@ def http_call(spark, sf_dir):
 def task_request(spark, sf_dir):
     made = task_request_build(
         event_messages(spark, sf_dir), name_expr="concat(event_type, '_task')", args=["--fixed"],
-        arg_exprs={"kind": "upper(event_type)", "user": "headers['user-id']"}, deployment="'count=3,tags=a,b'",
+        arg_exprs={"kind": "upper(event_type)", "user": "headers['user-id']"}, deployment="count=3,tags=a,b",
     )
     return made.select("event_id", "payload", F.col("headers")["contentType"].alias("content_type"))
 

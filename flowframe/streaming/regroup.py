@@ -131,12 +131,15 @@ def keyed_aggregate(
         raise ValueError("give a release rule: count, closes or idle_seconds")
     if idle_seconds is not None and time is None:
         raise ValueError("an idle time needs the time column it is measured on")
+    at = F.unix_micros(F.col(time).cast("timestamp")) if time is not None else F.lit(0).cast("bigint")
+    # Spark allows one watermarked column, so the time is ordered by as a number.
+    order = [at if name == time else F.col(name) for name in order_by]
     rows = df.select(
         as_col(key).cast("string").alias("key"),
-        *[F.col(name).alias(f"order{i}") for i, name in enumerate(order_by)],
+        *[column.alias(f"order{i}") for i, column in enumerate(order)],
         F.coalesce(as_col(closes), F.lit(False)).alias("closes") if closes is not None else F.lit(False).alias("closes"),
         *([F.col(time).alias("event_time")] if idle_seconds is not None else []),
-        (F.unix_micros(F.col(time).cast("timestamp")) if time is not None else F.lit(0).cast("bigint")).alias("at"),
+        at.alias("at"),
         as_col(payload).cast("string").alias("payload"),
     )
     processor = _processor(count, None if idle_seconds is None else int(idle_seconds * 1_000_000))

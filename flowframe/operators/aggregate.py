@@ -51,18 +51,40 @@ class Release:
         return F.lit(self.count) if self.size is None else F.col("__size")
 
 
-def correlated(df: DataFrame, correlate: dict[str, str | Column], rule: Release) -> DataFrame:
-    """The messages with their correlation key and expected size as columns."""
-    rows = df
-    for name, expression in correlate.items():
-        rows = rows.withColumn(name, as_col(expression))
-    return rows if rule.size is None else rows.withColumn("__size", as_col(rule.size))
+def prepare(
+    df: DataFrame,
+    correlate: dict[str, str | Column],
+    order_by: list[str],
+    rule: Release,
+    *,
+    payload: str | Column = "payload",
+    where: str | Column | None = None,
+    output: dict[str, Column] | None = None,
+) -> DataFrame:
+    """The messages with the columns the rule and the output need, and no others.
+
+    With ``output`` all columns stay, as its aggregates may use any of them.
+    """
+    made = {name: as_col(expression) for name, expression in correlate.items()}
+    if rule.size is not None:
+        made["__size"] = as_col(rule.size)
+    if rule.closes is not None:
+        made["__ends"] = F.coalesce(as_col(rule.closes), F.lit(False))
+    if output is not None:
+        return df.withColumns(made)
+    made["__payload"] = as_col(payload)
+    if where is not None:
+        made["__chosen"] = F.coalesce(as_col(where), F.lit(False))
+    plain = [*order_by, *([rule.time] if rule.time is not None else [])]
+    kept = [name for name in dict.fromkeys(plain) if name not in made]
+    return df.select(*kept, *[column.alias(name) for name, column in made.items()])
 
 
 def number(rows: DataFrame, keys: list[str], order_by: list[str], rule: Release, hot_rows: int | None) -> DataFrame:
+    """Prepared rows with their positions and groups."""
     return number_groups(
-        rows, keys, order_by, count="__size" if rule.size is not None else rule.count, closes=rule.closes,
-        gap=rule.gap, time=rule.time, hot_rows=hot_rows,
+        rows, keys, order_by, count="__size" if rule.size is not None else rule.count,
+        closes="__ends" if rule.closes is not None else None, gap=rule.gap, time=rule.time, hot_rows=hot_rows,
     )
 
 
@@ -71,8 +93,6 @@ def emit(
     keys: list[str],
     rule: Release,
     *,
-    payload: str | Column = "payload",
-    where: str | Column | None = None,
     output: dict[str, Column] | None = None,
     partial: bool = False,
     list_rows: int = LIST_ROWS,
@@ -83,16 +103,16 @@ def emit(
     if cut:
         numbered = numbered.withColumn("part", F.floor((F.col("group_pos") - 1) / list_rows).cast("bigint"))
     if output is None:
-        item = F.struct(F.col("position"), as_col(payload).alias("value"))
-        chosen = item if where is None else F.when(as_col(where), item)
+        item = F.struct("position", "__payload")
+        chosen = F.when(F.col("__chosen"), item) if "__chosen" in numbered.columns else item
         listed = F.sort_array(F.collect_list(chosen))
-        output = {"payloads": F.transform(listed, lambda one: one["value"])}
+        output = {"payloads": F.transform(listed, lambda one: one["__payload"])}
     facts = [F.count(F.lit(1)).alias("n")]
     if rule.size is not None:
         facts.append(F.max("__size").alias("__size"))
     by_row = rule.closes is not None and rule.bounded
     if by_row:
-        facts.append(F.max(F.coalesce(as_col(rule.closes), F.lit(False))).alias("__by_row"))
+        facts.append(F.max("__ends").alias("__by_row"))
     if rule.closes is not None and not rule.bounded and not partial:
         numbered = numbered.filter("closed")
     groups = numbered.groupBy(*keys, "group_start", *(["part"] if cut else [])).agg(
@@ -133,11 +153,9 @@ def aggregate(
     """
     rule = Release(size=size, count=count, closes=closes, gap=gap, time=time)
     keys = list(correlate)
-    numbered = number(correlated(df, correlate, rule), keys, order_by, rule, hot_rows)
-    return emit(
-        numbered, keys, rule, payload=payload, where=where, output=output,
-        partial=partial or gap is not None, list_rows=list_rows,
-    )
+    rows = prepare(df, correlate, order_by, rule, payload=payload, where=where, output=output)
+    numbered = number(rows, keys, order_by, rule, hot_rows)
+    return emit(numbered, keys, rule, output=output, partial=partial or gap is not None, list_rows=list_rows)
 
 
 def aggregate_sequence(

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def archive_expand(df: DataFrame, *, path: str = "path", payload: str = "payload") -> DataFrame:
+def archive_expand(
+    df: DataFrame, *, path: str = "path", payload: str = "payload", batch_bytes: int = 16_000_000
+) -> DataFrame:
     """One row per file in each zip payload: archive path, entry name, bytes.
 
-    Entries are read one at a time, so a task holds one archive and one entry.
+    Entries leave in batches of about ``batch_bytes``, so a task holds one batch
+    of archives and one of entries.
     """
 
     def entries(batches):
@@ -17,18 +20,19 @@ def archive_expand(df: DataFrame, *, path: str = "path", payload: str = "payload
 
         import pandas as pd
 
+        names = ["path", "entry_no", "entry", "payload"]
         for batch in batches:
+            held, size = [], 0
             for name, data in zip(batch[path], batch[payload]):
                 with zipfile.ZipFile(io.BytesIO(data)) as archive:
                     for number, entry in enumerate(e for e in archive.infolist() if not e.is_dir()):
-                        yield pd.DataFrame(
-                            {
-                                "path": [name],
-                                "entry_no": [number + 1],
-                                "entry": [entry.filename],
-                                "payload": [archive.read(entry)],
-                            }
-                        )
+                        held.append((name, number + 1, entry.filename, archive.read(entry)))
+                        size += entry.file_size + 100
+                        if size > batch_bytes:
+                            yield pd.DataFrame(held, columns=names)
+                            held, size = [], 0
+            if held:
+                yield pd.DataFrame(held, columns=names)
 
     return df.select(path, payload).mapInPandas(
         entries, "path string, entry_no int, entry string, payload binary"

@@ -20,6 +20,7 @@ from flowframe.functions.columns import as_col
 from flowframe.plans.scratch import cut_lineage
 
 HOT_ROWS = 5_000_000
+MAX_CHUNKS = 20_000
 HOT_ROWS_SETTING = "flowframe.hotKeyRows"
 
 
@@ -94,7 +95,8 @@ def _hot_keys(df: DataFrame, keys: list[str], limit: int):
         + [T.StructField("__hot", T.IntegerType())]
     )
     rows = [tuple(row[key] for key in keys) + (i,) for i, row in enumerate(counts)]
-    parts = sum(ceil(row["__n"] / limit) for row in counts) + 1
+    # Above the largest number of chunks they get longer; their windows spill to disk.
+    parts = min(sum(ceil(row["__n"] / limit) for row in counts) + 1, MAX_CHUNKS)
     return df.sparkSession.createDataFrame(rows, schema), parts
 
 

@@ -123,10 +123,25 @@ def file_write(
     )
 
 
-def write_partitioned(df: DataFrame, path: str, by: list[str], *, content: str = "content",
-                      mode: str = "append") -> None:
-    """Write lines under one folder per destination; no shuffle, so none is a bottleneck."""
-    df.select(*by, F.col(content).cast("string").alias("value")).write.partitionBy(*by).mode(mode).text(path)
+def write_partitioned(
+    df: DataFrame, path: str, by: list[str], *, content: str = "content", mode: str = "append",
+    files_each: int | None = None, share_by: str | Column | None = None,
+) -> None:
+    """Write lines under one folder per destination.
+
+    Without ``files_each`` nothing is shuffled and each task writes a file per
+    destination it meets. With it the rows of a destination are first brought
+    into that many shares, for few files; a large destination needs several.
+    ``share_by`` (the content unless given) should differ between its rows.
+    """
+    rows = df.select(
+        *by, F.col(content).cast("string").alias("value"),
+        *([] if share_by is None else [as_col(share_by).alias("__share_by")]),
+    )
+    if files_each is not None:
+        share = F.pmod(F.xxhash64("value" if share_by is None else "__share_by"), F.lit(files_each))
+        rows = rows.withColumn("__share", share).repartition(*by, "__share")
+    rows.select(*by, "value").write.partitionBy(*by).mode(mode).text(path)
 
 
 def object_write(
@@ -157,6 +172,41 @@ def object_write(
     )
 
 
+def write_objects(df: DataFrame, root: str, path: list[str], *, content: str = "content") -> DataFrame:
+    """Write each row's content to its own object; gives the path and the bytes written.
+
+    The object lies under ``root`` at the ``path`` columns joined by slashes, as
+    bytes are, or as UTF-8 text. A task that is run again writes the same
+    objects. An action on the result runs it.
+    """
+    place = F.concat_ws("/", F.lit(root.rstrip("/")), *path)
+
+    def put(batches):
+        import pandas as pd
+        from pyarrow import fs
+
+        store, made = None, set()
+        for batch in batches:
+            sizes = []
+            for uri, data in zip(batch["path"], batch["data"]):
+                if store is None:
+                    store = fs.LocalFileSystem() if uri.startswith(("/", "file:")) else fs.FileSystem.from_uri(uri)[0]
+                target = uri.removeprefix("file://").removeprefix("file:") if uri.startswith("file:") else (
+                    uri if uri.startswith("/") else uri.split("://", 1)[1]
+                )
+                folder = target.rsplit("/", 1)[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with store.open_output_stream(target) as out:
+                    out.write(bytes(data))
+                sizes.append(len(data))
+            yield pd.DataFrame({"path": batch["path"], "size": sizes})
+
+    data = F.col(content).cast("binary").alias("data")
+    return df.select(place.alias("path"), data).mapInPandas(put, "path string, size bigint")
+
+
 def collection_write(
     df: DataFrame,
     *,
@@ -273,3 +323,17 @@ def log_write(
         as_col(expression).cast("string").alias("text"),
     )
 
+
+def write_log(lines: DataFrame) -> None:
+    """Log the rows of ``log_write`` where they are, in the tasks."""
+
+    def log(rows):
+        import logging
+
+        numbers = {"FATAL": 50, "TRACE": 5}
+        for row in rows:
+            level = numbers.get(row["level"]) or logging.getLevelName(row["level"])
+            logging.getLogger(row["logger"]).log(level, row["text"])
+
+    lines.select("level", "logger", "text").foreachPartition(log)
+

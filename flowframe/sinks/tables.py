@@ -14,7 +14,8 @@ from flowframe.plans.ordered import number_groups
 DEFAULT_COLUMNS = "payload"
 DEFAULT_TYPE = "VARCHAR(2000)"
 
-# Fixed value: the text form of a UUID.
+# How an ISO date begins, and the text form of a UUID.
+ISO_DATE = r"^\d{4}-\d{2}"
 UUID = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 
 
@@ -135,8 +136,8 @@ def json_ingest_rows(
 
     ``row_type`` declares the columns in order; a key that is missing is null.
     ``names`` maps a column to the JSON key it is bound to. Text columns in
-    ``dates`` become dates if they are ISO dates; those in ``uuids`` must have
-    the form of a UUID, else they are null.
+    ``dates`` become dates if they are ISO dates (a time after it is left off);
+    those in ``uuids`` must have the form of a UUID; else the value is null.
     """
     fields = _declared(df.sparkSession, row_type)
     bound = names or {}
@@ -150,7 +151,7 @@ def json_ingest_rows(
     for name, _ in fields:
         value = F.col("__row")[bound.get(name, name)]
         if name in (dates or []):
-            value = F.expr(f"try_to_date(__row.`{bound.get(name, name)}`, 'yyyy-MM-dd')")
+            value = F.when(value.rlike(ISO_DATE), value.try_cast("date"))
         elif name in (uuids or []):
             value = F.when(value.rlike(UUID), F.lower(value))
         columns.append(value.alias(name))

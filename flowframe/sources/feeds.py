@@ -44,9 +44,10 @@ def record_stream_source(
     if batch_rows is None:
         return rows
     home = ["topic", "partition"]
+    rows = rows.select(*home, "offset", "value")
     placed = number_groups(rows, home, ["offset"], count=batch_rows, hot_rows=hot_rows)
     batch = F.floor((F.col("position") - 1) / batch_rows).cast("bigint")
-    item = F.struct("offset", "key", "value")
+    item = F.struct("offset", "value")
     return (
         placed.groupBy(*home, batch.alias("batch"))
         .agg(F.count(F.lit(1)).alias("n"), F.min("offset").alias("first_offset"),

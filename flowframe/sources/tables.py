@@ -101,15 +101,21 @@ def document_query(
 
     Without conditions all documents are found. Paths are dotted names.
     """
-    parsed = df.withColumn("__doc", F.try_parse_json(document))
-    test: Column = F.lit(True)
-    for path, value in (equals or {}).items():
-        kind = {bool: "boolean", int: "bigint", float: "double", str: "string"}[type(value)]
-        test = test & (F.try_variant_get("__doc", f"$.{path}", kind) == F.lit(value))
-    for path, wanted in (exists or {}).items():
-        there = F.try_variant_get("__doc", f"$.{path}", "variant").isNotNull()
-        test = test & (there if wanted else ~there)
-    return parsed.filter(test).drop("__doc")
+    kinds = {bool: "boolean", int: "bigint", float: "double", str: "string"}
+
+    def fits(doc: Column) -> Column:
+        test = F.lit(True)
+        for path, value in (equals or {}).items():
+            test = test & (F.try_variant_get(doc, f"$.{path}", kinds[type(value)]) == F.lit(value))
+        for path, wanted in (exists or {}).items():
+            there = F.try_variant_get(doc, f"$.{path}", "variant").isNotNull()
+            test = test & (there if wanted else ~there)
+        return test
+
+    if not equals and not exists:
+        return df
+    # Inside the one-element array the document is parsed once for all conditions.
+    return df.filter(F.exists(F.array(F.try_parse_json(F.col(document))), fits))
 
 
 def document_rows(df: DataFrame, columns: list[str] | None = None, *, group_by: list[str] | None = None,

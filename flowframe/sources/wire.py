@@ -9,8 +9,12 @@ from flowframe.functions.columns import as_col, text_of
 from flowframe.operators.split import split_expression
 
 # The line shapes of RFC 3164 and RFC 5424.
-RFC3164 = r"^<(\d{1,3})>([A-Za-z]{3} +\d{1,2} \d{2}:\d{2}:\d{2}) (\S+) ((\w+)(?:\[(\d+)\])?:? ?(.*))$"
-RFC5424 = r"^<(\d{1,3})>(\d{1,2}) (\S+) (\S+) (\S+) (\S+) (\S+) (-|(?:\[(?:[^\]\\]|\\.)*\])+)(?: (.*))?$"
+RFC3164 = r"(?s)^<(\d{1,3})>([A-Za-z]{3} +\d{1,2} \d{2}:\d{2}:\d{2}) ([^\s\x01]+) (\w+)(?:\[\d+\])?:? ?(.*)$"
+RFC5424 = (
+    r"(?s)^<(\d{1,3})>(\d{1,2}) ([!-~]+) ([!-~]+) ([!-~]+) ([!-~]+) ([!-~]+) "
+    r"((?:-|(?:\[(?:[^\]\\]|\\.)*\])+)(?: .*)?)$"
+)
+SD_ELEMENTS = r"^((?:\[(?:[^\]\\]|\\.)*\])+)"
 
 # The default limit for one record, and the framing characters.
 MAX_RECORD = 2048
@@ -26,25 +30,32 @@ def syslog_parse(df: DataFrame, line: str | Column = "payload", *, rfc: str = "3
     structured data as an array of its bracketed elements.
     """
     text = as_col(line)
-    pattern = RFC3164 if rfc == "3164" else RFC5424
-    fits = text.rlike(pattern)
+    pattern, groups = (RFC3164, 5) if rfc == "3164" else (RFC5424, 8)
+    # All fields in one pass: written out one after the other, then cut again. The
+    # last one takes what is left, so it may hold the separator itself.
+    together = "\u0001".join(f"${group}" for group in range(1, groups + 1))
+    fields = F.when(text.rlike(pattern), F.split(F.regexp_replace(text, pattern, together), "\u0001", groups))
+    rows = df.withColumn("__fields", fields)
 
     def field(group: int) -> Column:
-        return F.when(fits, F.regexp_extract(text, pattern, group))
+        return F.col("__fields")[group - 1]
 
     def present(group: int) -> Column:
         return F.when(field(group) != "-", field(group))
 
     priority = field(1).cast("int")
     facility, severity = F.floor(priority / 8).cast("int"), priority % 8
-    unfit = F.coalesce(~fits, F.lit(True)).alias("parse_error")
+    unfit = F.col("__fields").isNull().alias("parse_error")
     if rfc == "3164":
-        return df.select(
-            "*", facility.alias("FACILITY"), severity.alias("SEVERITY"), field(2).alias("TIMESTAMP"),
-            field(3).alias("HOST"), field(5).alias("TAG"), field(7).alias("MESSAGE"), unfit,
+        return rows.select(
+            *df.columns, facility.alias("FACILITY"), severity.alias("SEVERITY"), field(2).alias("TIMESTAMP"),
+            field(3).alias("HOST"), field(4).alias("TAG"), field(5).alias("MESSAGE"), unfit,
         )
-    return df.select(
-        "*",
+    tail = field(8)
+    data = F.when(tail.startswith("["), F.regexp_extract(tail, SD_ELEMENTS, 1)).otherwise(F.substring(tail, 1, 1))
+    elements = F.regexp_extract_all(data, F.lit(r"(\[(?:[^\]\\]|\\.)*\])"), F.lit(1))
+    return rows.select(
+        *df.columns,
         facility.alias("syslog_FACILITY"),
         severity.alias("syslog_SEVERITY"),
         field(2).cast("int").alias("syslog_VERSION"),
@@ -53,8 +64,8 @@ def syslog_parse(df: DataFrame, line: str | Column = "payload", *, rfc: str = "3
         present(5).alias("syslog_APP_NAME"),
         present(6).alias("syslog_PROCID"),
         present(7).alias("syslog_MSGID"),
-        F.when(fits, F.regexp_extract_all(field(8), F.lit(r"(\[(?:[^\]\\]|\\.)*\])"), F.lit(1))).alias("syslog_SD"),
-        field(9).alias("syslog_MESSAGE"),
+        elements.alias("syslog_SD"),
+        F.substring(tail, F.length(data) + 2, F.length(tail)).alias("syslog_MESSAGE"),
         unfit,
     )
 

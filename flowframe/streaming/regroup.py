@@ -9,12 +9,14 @@ task per key.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowframe.functions.columns import as_col
-from flowframe.operators.aggregate import LIST_ROWS, Release, correlated, emit, number
+from flowframe.operators.aggregate import LIST_ROWS, Release, emit, number, prepare
 from flowframe.plans.scratch import cut_lineage
 from flowframe.streaming.flows import Snapshots
 
@@ -49,7 +51,8 @@ class BatchedAggregator:
     ):
         self.open, self.output_path = Snapshots(state_path), output_path
         self.correlate, self.order_by, self.rule = correlate, order_by, rule
-        self.shape = {"payload": payload, "where": where, "output": output, "list_rows": list_rows}
+        self.needs = {"payload": payload, "where": where, "output": output}
+        self.shape = {"output": output, "list_rows": list_rows}
         self.delay, self.hot_rows = delay, hot_rows
 
     @property
@@ -62,7 +65,8 @@ class BatchedAggregator:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = correlated(batch, self.correlate, self.rule).withColumn("__batch", F.lit(batch_id).cast("bigint"))
+        fresh = prepare(batch, self.correlate, self.order_by, self.rule, **self.needs)
+        fresh = fresh.withColumn("__batch", F.lit(batch_id).cast("bigint"))
         left = self.open_rows(spark, batch_id - 1)
         rows = fresh if left is None else left.unionByName(fresh)
         numbered = cut_lineage(number(rows, self.keys, ["__batch", *self.order_by], self.rule, self.hot_rows))
@@ -83,7 +87,7 @@ class BatchedAggregator:
         if rule.size is not None:
             last.append(F.max_by("__size", "position").alias("__size"))
         if rule.closes is not None:
-            last.append(F.max_by(F.coalesce(as_col(rule.closes), F.lit(False)), F.col("position")).alias("__ended"))
+            last.append(F.max_by("__ends", "position").alias("__ended"))
         if rule.gap is not None:
             last.append(F.max(rule.time).alias("__last"))
         tail = numbered.groupBy(*[F.col(key).alias(f"__{key}") for key in self.keys]).agg(*last)
@@ -120,15 +124,21 @@ def keyed_aggregate(
     closes: str | Column | None = None,
     idle_seconds: float | None = None,
     time: str | None = None,
+    until: Callable[[list[str]], bool] | None = None,
+    list_rows: int = LIST_ROWS,
 ) -> DataFrame:
     """Groups of a streaming frame as (key, n, reason, payloads), held in the state store.
 
-    Rows of a key are taken in ``order_by`` within a micro-batch. With
+    Rows of a key are taken in ``order_by`` within a micro-batch. ``until`` is a
+    rule over the whole open group: a function of its payloads, asked after each
+    message, that says whether to release it. With
     ``idle_seconds`` the frame needs a watermark on ``time``: an event-time timer
-    releases a group that got no further message, as reason ``timeout``.
+    releases a group that got no further message, as reason ``timeout``. A group
+    longer than ``list_rows`` comes out piece by piece, the first ones as reason
+    ``part``, so neither state nor memory grows with it.
     """
-    if count is None and closes is None and idle_seconds is None:
-        raise ValueError("give a release rule: count, closes or idle_seconds")
+    if count is None and closes is None and idle_seconds is None and until is None:
+        raise ValueError("give a release rule: count, closes, until or idle_seconds")
     if idle_seconds is not None and time is None:
         raise ValueError("an idle time needs the time column it is measured on")
     at = F.unix_micros(F.col(time).cast("timestamp")) if time is not None else F.lit(0).cast("bigint")
@@ -142,7 +152,7 @@ def keyed_aggregate(
         at.alias("at"),
         as_col(payload).cast("string").alias("payload"),
     )
-    processor = _processor(count, None if idle_seconds is None else int(idle_seconds * 1_000_000))
+    processor = _processor(count, None if idle_seconds is None else int(idle_seconds * 1_000_000), until, list_rows)
     out = T.StructType(
         [
             T.StructField("key", T.StringType()),
@@ -159,7 +169,7 @@ def keyed_aggregate(
     )
 
 
-def _processor(count: int | None, idle: int | None):
+def _processor(count: int | None, idle: int | None, until, list_rows: int):
     import pandas as pd
     from pyspark.sql.streaming import StatefulProcessor
 
@@ -181,10 +191,16 @@ def _processor(count: int | None, idle: int | None):
                 if idle is not None and held and last is not None and at - last > idle:
                     done.append(("timeout", held))
                     held = []
+                if count is None and until is None and len(held) >= list_rows:
+                    done.append(("part", held))
+                    held = []
                 held.append(payload)
                 last = at
-                if closing or (count is not None and len(held) >= count):
-                    done.append(("closed" if closing else "count", held))
+                if closing or (until is not None and until(held)):
+                    done.append(("closed", held))
+                    held = []
+                elif count is not None and len(held) >= count:
+                    done.append(("count", held))
                     held = []
             self.open.clear()
             if held:

@@ -226,6 +226,20 @@ def test_file_write(spark, tmp_path):
         routes.file_write(df, directory="a")
 
 
+def test_files_each_keeps_destinations_in_few_files(spark, tmp_path):
+    df = spark.range(200).selectExpr("'d' AS dir", "CAST(id AS STRING) AS content", "id").repartition(8)
+    routes.write_partitioned(df, str(tmp_path / "o"), ["dir"], files_each=2, share_by="id")
+    assert len(list((tmp_path / "o").glob("dir=d/*.txt"))) <= 2
+    assert spark.read.text(str(tmp_path / "o")).count() == 200
+
+
+def test_write_objects(spark, tmp_path):
+    df = spark.createDataFrame([("b", "x/1", b"\x00\xff"), ("b", "2", b"two")], "bucket string, key string, content binary")
+    out = routes.write_objects(df, str(tmp_path), ["bucket", "key"])
+    assert sorted(r["size"] for r in out.collect()) == [2, 3]
+    assert (tmp_path / "b/x/1").read_bytes() == b"\x00\xff" and (tmp_path / "b/2").read_bytes() == b"two"
+
+
 def test_object_and_collection_write(spark):
     df = spark.createDataFrame([("body", "k")], "payload string, key string")
     out = routes.object_write(df, bucket="b", key_expr="key", acl="private")
@@ -259,5 +273,6 @@ def test_routes(spark):
 def test_log_write(spark):
     df = spark.createDataFrame([("p",)], "payload string")
     assert rows_of(routes.log_write(df)) == [("INFO", "log", "p")]
+    routes.write_log(routes.log_write(df, level="fatal"))
     with pytest.raises(ValueError):
         routes.log_write(df, level="loud")

@@ -177,6 +177,12 @@ def test_cdc(spark):
     assert feeds.without_tombstones(keyed).count() == 1
 
 
+def test_header_names(spark):
+    df = spark.sql("SELECT map('a1', '1', 'b', '2') AS headers")
+    assert feeds.header_names(df, ["a*"]).first()["headers"] == {"a1": "1"}
+    assert feeds.header_names(df).first()["headers"] == {"a1": "1", "b": "2"}
+
+
 def cursor_states(cursor, pages):
     out = []
     for page in pages:

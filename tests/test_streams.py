@@ -79,6 +79,22 @@ def test_state_store_aggregator(spark, tmp_path):
     assert {r["reason"] for r in out} == {"count", "closed"}
 
 
+def test_state_store_rule_over_the_group_and_parts(spark, tmp_path):
+    data = [("a", i, START, False, 1) for i in range(10)]
+
+    def consume(stream, place):
+        groups = keyed_aggregate(stream, "k", ["i"], payload="i", until=lambda held: sum(map(int, held)) >= 6)
+        flows.run_available(groups, place + "-1", path=str(tmp_path / "sums"))
+        parts = keyed_aggregate(stream, "k", ["i"], payload="i", closes="i = 7", list_rows=3)
+        flows.run_available(parts, place + "-2", path=str(tmp_path / "parts"))
+
+    deliver(spark, tmp_path, consume, data, cuts=2)
+    sums = [r["payloads"] for r in spark.read.parquet(str(tmp_path / "sums")).collect()]
+    assert sorted(sums) == [["0", "1", "2", "3"], ["4", "5"], ["6"], ["7"], ["8"], ["9"]]
+    parts = [(r["reason"], r["payloads"]) for r in spark.read.parquet(str(tmp_path / "parts")).collect()]
+    assert sorted(parts) == [("closed", ["6", "7"]), ("part", ["0", "1", "2"]), ("part", ["3", "4", "5"])]
+
+
 def test_state_store_idle_timeout(spark, tmp_path):
     data = [row for row in rows() if row[0] is not None]
 

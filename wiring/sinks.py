@@ -8,6 +8,7 @@ from flowframe.envelope import to_messages
 from flowframe.operators import metrics
 from flowframe.plans.scratch import scratch_path
 from flowframe.sinks import routes, tables
+from flowframe.sources import files
 from wiring.base import event_messages, flat_map, joined, query, table
 
 AMOUNT = "CAST(value AS DECIMAL(18, 2))"
@@ -313,6 +314,23 @@ def objects(spark, sf_dir):
     )
 
 
+@query(
+    "object_write_read_back",
+    """SELECT lang, doc_id::VARCHAR || '.txt' AS name, strlen(text)::BIGINT AS size, text AS payload FROM documents""",
+)
+def object_round_trip(spark, sf_dir):
+    root = scratch_path(spark, "objects")
+    messages = to_messages(table(spark, sf_dir, "documents"), "text", keep=["doc_id", "lang"])
+    rows = routes.object_write(messages, bucket_expr="lang", key_expr="concat(doc_id, '.txt')")
+    routes.write_objects(rows, root, ["bucket", "key"]).write.parquet(scratch_path(spark, "written"))
+    found = files.file_contents_scan(spark, root)
+    parts = F.split("path", "/")
+    return found.select(
+        F.element_at(parts, -2).alias("lang"), F.element_at(parts, -1).alias("name"), "size",
+        F.col("payload").cast("string").alias("payload"),
+    )
+
+
 @query(
     "collection_write",
     """

@@ -8,6 +8,7 @@ out as several rows with ``part`` 0, 1, ..., so no list grows with the data.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -80,11 +81,19 @@ def prepare(
     return df.select(*kept, *[column.alias(name) for name, column in made.items()])
 
 
-def number(rows: DataFrame, keys: list[str], order_by: list[str], rule: Release, hot_rows: int | None) -> DataFrame:
+def number(
+    rows: DataFrame,
+    keys: list[str],
+    order_by: list[str],
+    rule: Release,
+    hot_rows: int | None,
+    then: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Prepared rows with their positions and groups."""
     return number_groups(
         rows, keys, order_by, count="__size" if rule.size is not None else rule.count,
-        closes="__ends" if rule.closes is not None else None, gap=rule.gap, time=rule.time, hot_rows=hot_rows,
+        closes="__ends" if rule.closes is not None else None, gap=rule.gap, time=rule.time,
+        hot_rows=hot_rows, then=then,
     )
 
 
@@ -154,8 +163,11 @@ def aggregate(
     rule = Release(size=size, count=count, closes=closes, gap=gap, time=time)
     keys = list(correlate)
     rows = prepare(df, correlate, order_by, rule, payload=payload, where=where, output=output)
-    numbered = number(rows, keys, order_by, rule, hot_rows)
-    return emit(numbered, keys, rule, output=output, partial=partial or gap is not None, list_rows=list_rows)
+
+    def released(numbered: DataFrame) -> DataFrame:
+        return emit(numbered, keys, rule, output=output, partial=partial or gap is not None, list_rows=list_rows)
+
+    return number(rows, keys, order_by, rule, hot_rows, then=released)
 
 
 def aggregate_sequence(

@@ -10,6 +10,7 @@ is carried over from one small row per chunk. Both ways give the same numbers.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,6 +39,7 @@ def number_groups(
     gap: str | None = None,
     time: str | None = None,
     hot_rows: int | None = None,
+    then: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add ``position``, ``group_start``, ``group_pos`` (and ``closed``) per key.
 
@@ -46,6 +48,10 @@ def number_groups(
     ``group_start`` is the position of a group's first row and names the group;
     ``closed`` tells whether a closing row ends the group. ``order_by`` must be
     a total order within a key, and ``keys`` may be empty.
+
+    ``then`` is applied to the rows of small and of very large keys apart, before
+    they are put together: a grouping by the keys in it finds the rows of small
+    keys already in place and shuffles only the others.
     """
     if gap is not None and time is None:
         raise ValueError("a gap needs the time column it is measured on")
@@ -55,30 +61,29 @@ def number_groups(
         rows = rows.withColumn("__closes", F.coalesce(as_col(closes), F.lit(False)))
     hot = _hot_keys(df, keys, limit)
     if hot is None:
-        numbered = _number_small(rows, keys, order_by, closes, gap, time)
+        ways = [_number_small(rows, keys, order_by, closes, gap, time)]
     else:
         hot_keys, parts = hot
         if keys:
             match = _same_key(rows, hot_keys, keys)
             hot_side = rows.join(F.broadcast(hot_keys), match).drop(*[f"__{key}" for key in keys])
             small = rows.join(F.broadcast(hot_keys), match, "left_anti")
+            ways = [_number_small(small, keys, order_by, closes, gap, time)]
         else:
-            hot_side, small = rows.withColumn("__hot", F.lit(0)), None
-        numbered = _number_large(hot_side, order_by, closes, gap, time, parts)
-        if small is not None:
-            numbered = _number_small(small, keys, order_by, closes, gap, time).unionByName(numbered)
+            hot_side, ways = rows.withColumn("__hot", F.lit(0)), []
+        ways.append(_number_large(hot_side, order_by, closes, gap, time, parts))
     since = F.col("position") - F.col("__segment")
-    if count is None:
-        pos = since
-    else:
-        size = F.lit(count) if isinstance(count, int) else as_col(count)
-        pos = since % size
-    numbered = (
-        numbered.withColumn("group_pos", (pos + 1).cast("bigint"))
-        .withColumn("group_start", F.col("position") - F.col("group_pos") + 1)
-        .drop("__segment", "__closes")
-    )
-    return numbered
+    if count is not None:
+        since = since % (F.lit(count) if isinstance(count, int) else as_col(count))
+    done = []
+    for numbered in ways:
+        placed = (
+            numbered.withColumn("group_pos", (since + 1).cast("bigint"))
+            .withColumn("group_start", F.col("position") - F.col("group_pos") + 1)
+            .drop("__segment", "__closes")
+        )
+        done.append(placed if then is None else then(placed))
+    return done[0] if len(done) == 1 else done[0].unionByName(done[1])
 
 
 def _hot_keys(df: DataFrame, keys: list[str], limit: int):
@@ -184,3 +189,25 @@ def _number_large(df, order_by, closes, gap, time, parts) -> DataFrame:
     if closes is not None:
         rows = rows.withColumn("closed", F.coalesce(F.col("__segment") <= F.col("__closing"), F.lit(False)))
     return rows.drop(*chunk, "__offset", "__start", "__last_start", "__closing", "__last_closes", "__last_time")
+
+
+def lists_of(
+    df: DataFrame,
+    keys: list[str],
+    order_by: list[str],
+    item: Column,
+    rows: int,
+    *,
+    facts: list[Column] | None = None,
+    hot_rows: int | None = None,
+) -> DataFrame:
+    """Per key the items in order, in lists of at most ``rows``: ``part`` 0, 1, ... and ``items``."""
+    part = F.floor((F.col("position") - 1) / rows).cast("bigint")
+
+    def listed(placed: DataFrame) -> DataFrame:
+        gathered = F.sort_array(F.collect_list(F.struct("position", item.alias("item"))))
+        return placed.groupBy(*keys, part.alias("part")).agg(
+            F.count(F.lit(1)).alias("n"), *(facts or []), F.transform(gathered, lambda one: one["item"]).alias("items")
+        )
+
+    return number_groups(df, keys, order_by, hot_rows=hot_rows, then=listed)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowframe.functions.columns import as_col
 from flowframe.functions.patterns import full_match, quote, simple_pattern
-from flowframe.plans.ordered import number_groups
+from flowframe.plans.ordered import lists_of, number_groups
 
 
 def kafka_stream(
@@ -44,17 +44,11 @@ def record_stream_source(
     if batch_rows is None:
         return rows
     home = ["topic", "partition"]
-    rows = rows.select(*home, "offset", "value")
-    placed = number_groups(rows, home, ["offset"], count=batch_rows, hot_rows=hot_rows)
-    batch = F.floor((F.col("position") - 1) / batch_rows).cast("bigint")
-    item = F.struct("offset", "value")
-    return (
-        placed.groupBy(*home, batch.alias("batch"))
-        .agg(F.count(F.lit(1)).alias("n"), F.min("offset").alias("first_offset"),
-             F.sort_array(F.collect_list(item)).alias("items"))
-        .select(*home, "batch", "n", "first_offset",
-                F.transform("items", lambda one: one["value"]).alias("payload"))
+    lists = lists_of(
+        rows.select(*home, "offset", "value"), home, ["offset"], F.col("value"), batch_rows,
+        facts=[F.min("offset").alias("first_offset")], hot_rows=hot_rows,
     )
+    return lists.withColumnsRenamed({"part": "batch", "items": "payload"})
 
 
 def record_filter(df: DataFrame, discard: str | Column) -> DataFrame:

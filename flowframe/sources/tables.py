@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowframe.plans.ordered import number_groups
+from flowframe.plans.ordered import lists_of
 
 LIST_ROWS = 100_000
 
@@ -54,14 +54,8 @@ def rows_or_list(
     """
     if split:
         return df
-    placed = number_groups(df, [], order_by, count=list_rows, hot_rows=hot_rows)
-    part = F.floor((F.col("position") - 1) / list_rows).cast("bigint")
-    item = F.struct("position", F.struct(*df.columns).alias("row"))
-    return (
-        placed.groupBy(part.alias("part"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(item)).alias("items"))
-        .select("part", "n", F.transform("items", lambda one: one["row"]).alias("payload"))
-    )
+    lists = lists_of(df, [], order_by, F.struct(*df.columns), list_rows, hot_rows=hot_rows)
+    return lists.withColumnRenamed("items", "payload")
 
 
 def unseen_rows(df: DataFrame, seen: DataFrame, key: list[str]) -> DataFrame:
@@ -129,11 +123,5 @@ def document_rows(df: DataFrame, columns: list[str] | None = None, *, group_by:
     json_type = F.create_map(F.lit("contentType"), F.lit("application/json")).alias("headers")
     if group_by is None:
         return df.select(F.to_json(body).alias("payload"), json_type)
-    placed = number_groups(df, group_by, order_by or [], count=list_rows, hot_rows=hot_rows)
-    part = F.floor((F.col("position") - 1) / list_rows).cast("bigint")
-    item = F.struct("position", body.alias("row"))
-    return (
-        placed.groupBy(*group_by, part.alias("part"))
-        .agg(F.sort_array(F.collect_list(item)).alias("items"))
-        .select(*group_by, "part", F.to_json(F.transform("items", lambda one: one["row"])).alias("payload"), json_type)
-    )
+    lists = lists_of(df, group_by, order_by or [], body, list_rows, hot_rows=hot_rows)
+    return lists.select(*group_by, "part", F.to_json("items").alias("payload"), json_type)

@@ -18,22 +18,27 @@ def archive_expand(
         import io
         import zipfile
 
-        import pandas as pd
+        import pyarrow as pa
+
+        kinds = [pa.string(), pa.int32(), pa.string(), pa.binary()]
+
+        def as_batch(rows):
+            columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds)]
+            return pa.RecordBatch.from_arrays(columns, names=["path", "entry_no", "entry", "payload"])
 
-        names = ["path", "entry_no", "entry", "payload"]
         for batch in batches:
             held, size = [], 0
-            for name, data in zip(batch[path], batch[payload]):
+            for name, data in zip(batch.column(path).to_pylist(), batch.column(payload).to_pylist()):
                 with zipfile.ZipFile(io.BytesIO(data)) as archive:
                     for number, entry in enumerate(e for e in archive.infolist() if not e.is_dir()):
                         held.append((name, number + 1, entry.filename, archive.read(entry)))
                         size += entry.file_size + 100
                         if size > batch_bytes:
-                            yield pd.DataFrame(held, columns=names)
+                            yield as_batch(held)
                             held, size = [], 0
             if held:
-                yield pd.DataFrame(held, columns=names)
+                yield as_batch(held)
 
-    return df.select(path, payload).mapInPandas(
+    return df.select(path, payload).mapInArrow(
         entries, "path string, entry_no int, entry string, payload binary"
     )

@@ -58,20 +58,25 @@ def http_enrich(
     )
 
     def exchange(batches):
+        import pyarrow as pa
+
         send = transport()
+        names = ("request_method", "request_url", "request_headers", "request_body")
+        added = {
+            "reply_status": pa.int32(), "reply_headers": pa.map_(pa.string(), pa.string()), "reply_body": pa.string()
+        }
         for batch in batches:
-            answers = [
-                send(verb, to, dict(named or {}), text, timeout)
-                for verb, to, named, text in zip(
-                    batch["request_method"], batch["request_url"], batch["request_headers"], batch["request_body"]
-                )
+            requests = zip(*[batch.column(name).to_pylist() for name in names])
+            answers = [send(verb, to, dict(named or {}), text, timeout) for verb, to, named, text in requests]
+            replies = [
+                [answer.get("status") for answer in answers],
+                [list((answer.get("headers") or {}).items()) for answer in answers],
+                [answer.get("body") for answer in answers],
             ]
-            batch["reply_status"] = [answer.get("status") for answer in answers]
-            batch["reply_headers"] = [answer.get("headers") or {} for answer in answers]
-            batch["reply_body"] = [answer.get("body") for answer in answers]
-            yield batch
+            columns = [pa.array(values, kind) for values, kind in zip(replies, added.values())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, *added])
 
-    sent = asked.mapInPandas(exchange, answered).withColumn("payload", as_col(reply))
+    sent = asked.mapInArrow(exchange, answered).withColumn("payload", as_col(reply))
     return sent.select(*df.columns)
 
 

@@ -47,14 +47,14 @@ def split_items(df: DataFrame, *, correlate: str | Column | None = None) -> Data
 
 
 def lines_of(text: Column) -> Column:
-    """The lines of a text; a final line break opens no further line."""
-    whole = F.length(text)
-    ended = (
-        F.when(text.endswith("\r\n"), F.substring(text, F.lit(1), whole - 2))
-        .when(text.endswith("\n") | text.endswith("\r"), F.substring(text, F.lit(1), whole - 1))
-        .otherwise(text)
-    )
-    return F.split(ended, r"\r\n|\r|\n")
+    """The lines of a text; a final line break opens no further line.
+
+    Plain replacing and cutting at one character take a fraction of the time of
+    an expression for the three kinds of line break.
+    """
+    even = F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    ended = F.when(even.endswith("\n"), F.substring(even, F.lit(1), F.length(even) - 1)).otherwise(even)
+    return F.split(ended, "\n")
 
 
 def split_file_content(

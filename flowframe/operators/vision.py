@@ -91,18 +91,20 @@ def image_inference(
     out = T.StructType(df.schema.fields + [T.StructField("__json", T.StringType())])
 
     def predict(batches):
+        import pyarrow as pa
+
         run = load_predictor()
         for batch in batches:
-            results = [run(bytes(image)) for image in batch["payload"]]
-            batch["__json"] = [text for text, _ in results]
+            columns = dict(zip(batch.schema.names, batch.columns))
+            images = columns["payload"].to_pylist()
+            results = [run(image) for image in images]
             if augment:
-                batch["payload"] = [
-                    drawn if drawn is not None else image
-                    for image, (_, drawn) in zip(batch["payload"], results)
-                ]
-            yield batch
+                drawn = [image if png is None else png for image, (_, png) in zip(images, results)]
+                columns["payload"] = pa.array(drawn, pa.binary())
+            columns["__json"] = pa.array([text for text, _ in results], pa.string())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    seen = df.mapInPandas(predict, out)
+    seen = df.mapInArrow(predict, out)
     others = F.map_filter("headers", lambda name, _: name != header)
     added = F.create_map(F.lit(header), F.col("__json"))
     return seen.withColumn("headers", F.map_concat(others, added)).drop("__json")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +14,7 @@ from flowframe.operators.aggregate import aggregate
 from flowframe.plans.ordered import number_groups
 
 # The default mapping, and the type of columns made by default.
-DEFAULT_COLUMNS = "payload"
+DEFAULT_COLUMNS = "payload: string(payload)"
 DEFAULT_TYPE = "VARCHAR(2000)"
 
 # How an ISO date begins, and the text form of a UUID.
@@ -19,12 +22,13 @@ ISO_DATE = r"^\d{4}-\d{2}"
 UUID = "^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 
 
-def _resolves(df: DataFrame, column: Column) -> bool:
-    from pyspark.errors import AnalysisException
-
+def _resolves(df: DataFrame, expression: str | Column) -> bool:
+    """Whether Spark can make sense of the expression on this frame."""
+    names = {name.lower() for name in df.columns}
+    if isinstance(expression, str) and re.fullmatch(r"[A-Za-z_]\w*", expression) and expression.lower() not in names:
+        return False
     try:
-        df.select(column).schema
-        return True
+        return bool(df.select(as_col(expression)).columns)
     except AnalysisException:
         return False
 
@@ -52,7 +56,7 @@ def column_map_insert(
         candidates = [expression] if isinstance(expression, Column) else [
             expression, *([] if expression.startswith("payload") else [f"payload.{expression}"])
         ]
-        fit = next((as_col(c) for c in candidates if _resolves(rows, as_col(c))), None)
+        fit = next((as_col(c) for c in candidates if _resolves(rows, c)), None)
         chosen.append((F.lit(None).cast("string") if fit is None else fit).alias(name))
     return rows.select(*chosen)
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowframe.functions.columns import as_col, text_of
 from flowframe.operators.split import split_expression
@@ -107,8 +108,6 @@ def frame_split(
 
 def _split_lengths(df: DataFrame, width: int, payload: str, max_record: int) -> DataFrame:
     """Length-prefixed records; reads each input once, batch by batch."""
-    from pyspark.sql import types as T
-
     kept = [name for name in df.columns if name != payload]
     out = T.StructType(
         [df.schema[name] for name in kept]
@@ -131,14 +130,20 @@ def _split_lengths(df: DataFrame, width: int, payload: str, max_record: int) ->
             at, number = at + width + size, number + 1
 
     def cut(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         for batch in batches:
-            rows = [
-                (*values, number, record, error)
-                for *values, data in batch[[*kept, payload]].itertuples(index=False, name=None)
-                for number, record, error in frames(bytes(data))
+            found = [
+                (i, *frame) for i, data in enumerate(batch.column(payload).to_pylist()) for frame in frames(data or b"")
             ]
-            yield pd.DataFrame(rows, columns=out.names)
-
-    return df.select(*kept, payload).mapInPandas(cut, out)
+            at, numbers, records, errors = ([one[k] for one in found] for k in range(4))
+            rows = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(name).take(rows) for name in kept],
+                    pa.array(numbers, pa.int32()), pa.array(records, pa.binary()), pa.array(errors, pa.string()),
+                ],
+                names=out.names,
+            )
+
+    return df.select(*kept, payload).mapInArrow(cut, out)

@@ -113,21 +113,25 @@ def latest_per_key(key: list[str], order_by: list[str]):
     return merge
 
 
-def accept_each(ledgers: Snapshots, path: str, *, key: list[str], modified: str):
-    """A batch function for file listings: writes what is new or changed, keeps the ledger."""
-    from flowframe.sources.files import merge_ledger
+def accept_each(path: str, *, key: list[str], modified: str):
+    """A batch function for file listings: writes the files that are new or changed.
+
+    What earlier batches wrote is the ledger, so each batch writes only what it
+    accepts, and running one again overwrites just its own folder.
+    """
+    place = path.rstrip("/")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        listing = batch.select(*key, modified)
-        ledger = ledgers.read(spark, batch_id - 1)
-        accepted = listing.dropDuplicates([*key, modified]) if ledger is None else accept_once(
-            listing, ledger, key=key, modified=modified
-        )
-        target = f"{path.rstrip('/')}/batch={batch_id}"
-        accepted.write.mode("overwrite").parquet(target)
-        stored = spark.read.parquet(target)
-        known = stored.limit(0) if ledger is None else ledger
-        ledgers.write(merge_ledger(known, stored, key=key, modified=modified), batch_id)
+        listing = batch.select(*key, modified).dropDuplicates([*key, modified])
+        try:
+            earlier = batch.sparkSession.read.parquet(place).filter(F.col("batch") < batch_id)
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+        else:
+            # Of each file only the time it was last accepted with counts.
+            stored = earlier.groupBy(*key).agg(F.max_by(modified, F.struct("batch", modified)).alias(modified))
+            listing = accept_once(listing, stored, key=key, modified=modified)
+        listing.write.mode("overwrite").parquet(f"{place}/batch={batch_id}")
 
     return each

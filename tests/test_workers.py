@@ -31,6 +31,12 @@ def test_http_enrich(spark):
     assert out["payload"].startswith("201y")
     assert json.loads(out["payload"][4:]) == {"m": "POST", "u": "http://h/p", "h": [["k", "v"]], "b": "1", "t": 2}
     assert out["headers"] == {"a": "1"}
+    # Columns that only pass through stay exact, nulls and large numbers alike.
+    large = spark.sql(
+        "SELECT * FROM VALUES (9007199254740993L, TIMESTAMP_NTZ'2024-01-01 00:00:00.000001'), (NULL, NULL) AS t(n, ts)"
+    ).withColumn("payload", F.lit("p"))
+    kept = http_enrich(large, echo, "'u'").select("n", "ts")
+    assert kept.collect() == large.select("n", "ts").collect()
     assert http_requests(df, "'u'").first()["request_method"] == "GET"
 
 

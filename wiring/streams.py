@@ -15,6 +15,10 @@ from wiring.functions import TRIGGERED
 
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def deliver(spark, sf_dir, consume):
     """Write the events week by week into one folder and let ``consume`` run after each.
 
@@ -98,10 +102,8 @@ def stream_predicate(spark, sf_dir):
     """,
 )
 def stream_count(spark, sf_dir):
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKS_DB)
     out = scratch_path(spark, "counted")
 
     def consume(stream, checkpoint):
@@ -109,6 +111,7 @@ def stream_count(spark, sf_dir):
         flows.run_available(groups, checkpoint, path=out)
 
     deliver(spark, sf_dir, consume)
+    spark.conf.set(STATE_STORE, before)
     return spark.read.schema("key STRING, n BIGINT, reason STRING, payloads ARRAY<STRING>").parquet(out).withColumn(
         "payloads", joined("payloads")
     )
@@ -143,7 +146,7 @@ def stream_latest(spark, sf_dir):
 )
 def stream_accept(spark, sf_dir):
     out = scratch_path(spark, "accepted")
-    each = flows.accept_each(flows.Snapshots(scratch_path(spark, "ledger")), out, key=["user_id"], modified="value")
+    each = flows.accept_each(out, key=["user_id"], modified="value")
 
     def consume(stream, checkpoint):
         flows.run_available(stream.select("user_id", "value"), checkpoint, each=each)

@@ -18,19 +18,18 @@ def split_expression(
     be put together again.
     """
     kept = [name for name in df.columns if name != "payload"]
-    if correlate is None:
-        return df.select(*kept, F.explode(as_col(parts)).alias("payload"))
-    rows = df.select(*kept, as_col(correlate).alias("correlation_id"), as_col(parts).alias("__parts"))
-    # The size is taken before the array is spread, so that rows do not carry the
-    # array along; the outer form keeps Spark from testing the array beforehand,
-    # which would cut the text twice.
-    sized = rows.withColumn("sequence_size", F.size("__parts"))
-    spread = sized.select(
-        *kept, "correlation_id", "sequence_size", F.posexplode_outer("__parts").alias("__pos", "payload")
-    ).filter(F.col("__pos").isNotNull())
-    return spread.select(
-        *kept, "payload", "correlation_id", (F.col("__pos") + 1).alias("sequence_number"), "sequence_size"
-    )
+    rows = df.select(*kept, as_col(parts).alias("__parts"))
+    place = []
+    if correlate is not None:
+        # The size is taken before the array is spread, so that rows do not carry it along.
+        rows = df.select(*kept, as_col(correlate).alias("correlation_id"), as_col(parts).alias("__parts"))
+        rows = rows.withColumn("sequence_size", F.size("__parts"))
+        place = ["correlation_id", (F.col("__pos") + 1).alias("sequence_number"), "sequence_size"]
+    # The outer form keeps Spark from testing the array beforehand, which would
+    # make it twice; rows of empty arrays go afterwards.
+    named = [*kept, *(["correlation_id", "sequence_size"] if place else [])]
+    spread = rows.select(*named, F.posexplode_outer("__parts").alias("__pos", "payload"))
+    return spread.filter(F.col("__pos").isNotNull()).select(*kept, "payload", *place)
 
 
 def split_delimiters(df: DataFrame, delimiters: str, *, correlate: str | Column | None = None) -> DataFrame:
@@ -69,19 +68,19 @@ def split_file_content(
 
     Markers are JSON text with the path, and for END the number of lines.
     """
-    content = F.col("payload")
+    rows = df
     if dict(df.dtypes)["payload"] == "binary":
-        content = text_of(content, charset or "UTF-8")
+        rows = rows.withColumn("payload", text_of(F.col("payload"), charset or "UTF-8"))
+    content = F.col("payload")
     lines = F.when(content == "", F.array().cast("array<string>")).otherwise(lines_of(content))
-    if markers:
-        rows = df.withColumn("__lines", lines)
-        lines = F.concat(
-            F.array(marker_json(path, "START", F.lit(0))),
-            F.col("__lines"),
-            F.array(marker_json(path, "END", F.size("__lines"))),
-        )
-        return split_expression(rows, lines, correlate=correlate).drop("__lines")
-    return split_expression(df, lines, correlate=correlate)
+    if not markers:
+        return split_expression(rows, lines, correlate=correlate)
+    lines_and_marks = F.concat(
+        F.array(marker_json(path, "START", F.lit(0))),
+        F.col("__lines"),
+        F.array(marker_json(path, "END", F.size("__lines"))),
+    )
+    return split_expression(rows.withColumn("__lines", lines), lines_and_marks, correlate=correlate).drop("__lines")
 
 
 def marker_json(path: str | Column, mark: str, line_count: Column) -> Column:

@@ -24,10 +24,12 @@ def kv_list_parse(text: str | Column) -> Column:
         )
 
     def last_of_each(entries):
-        later = lambda i: F.slice(entries, i + 2, F.size(entries))
-        return F.filter(
-            entries, lambda one, i: ~F.exists(later(i), lambda other: other["key"] == one["key"])
-        )
+        def is_last(one, i):
+            return ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda other: other["key"] == one["key"])
+
+        names = F.transform(entries, lambda one: one["key"])
+        all_differ = F.size(F.array_distinct(names)) == F.size(entries)
+        return F.when(all_differ, entries).otherwise(F.filter(entries, is_last))
 
     # Taking the entries through a one-element array computes them once per row.
     found = F.transform(F.array(F.transform(pairs, entry)), last_of_each)[0]

@@ -19,7 +19,8 @@ SD_ELEMENTS = r"^((?:\[(?:[^\]\\]|\\.)*\])+)"
 
 # The default limit for one record, and the framing characters.
 MAX_RECORD = 2048
-DELIMITERS = {"CRLF": "\r\n", "LF": "\n", "NULL": "\u0000"}
+DELIMITERS = {"CRLF": "\r\n", "LF": "\n", "NULL": "\u0000", "STXETX": "\u0003"}
+START_OF_TEXT = "\u0002"
 LENGTH_BYTES = {"L1": 1, "L2": 2, "L4": 4}
 
 
@@ -82,28 +83,38 @@ def frame_split(
     """Cut captured data into records, one row each, with ``record_error``.
 
     Delimiters: CRLF, LF, NULL, STXETX. Length prefixes: L1, L2, L4, on binary
-    data. RAW takes the whole input. A record above ``max_record`` bytes stays,
-    marked as an error; so does data after the last complete record.
+    data. RAW takes the whole input. Faulty records stay, marked: those above
+    ``max_record`` bytes, what follows the last complete record, and text that
+    does not begin with STX where it must.
     """
     if encoding in LENGTH_BYTES:
         return _split_lengths(df, LENGTH_BYTES[encoding], payload, max_record)
-    text = F.col(payload)
-    if dict(df.dtypes)[payload] == "binary":
-        text = text_of(text)
+    rows = df if payload == "payload" else df.withColumnRenamed(payload, "payload")
+    if dict(rows.dtypes)["payload"] == "binary":
+        rows = rows.withColumn("payload", text_of(F.col("payload")))
+    text = F.col("payload")
+    too_long = F.when(F.octet_length("payload") > max_record, F.lit("record too long"))
     if encoding == "RAW":
-        parts = F.array(text)
-    elif encoding == "STXETX":
-        parts = F.regexp_extract_all(text, F.lit("(?s)\u0002([^\u0003]*)\u0003"), F.lit(1))
+        return split_expression(rows, F.array(text), correlate=correlate).withColumn("record_error", too_long)
+    end = DELIMITERS[encoding]
+    rows = rows.withColumn("__open", (text != "") & ~text.endswith(end))
+    parts = split_expression(rows, F.split(text, end), correlate=F.lit(None) if correlate is None else correlate)
+    # The last part is what follows the last delimiter: usually nothing.
+    last = F.col("sequence_number") == F.col("sequence_size")
+    parts = parts.withColumn("__cut", last).filter(~F.col("__cut") | F.col("__open"))
+    error = F.when(F.col("__cut"), F.lit("incomplete record"))
+    if encoding == "STXETX":
+        begun = text.startswith(START_OF_TEXT)
+        error = error.when(~begun, F.lit("no start of record"))
+        parts = parts.withColumn("record_error", error)
+        parts = parts.withColumn("payload", F.when(begun, F.substring(text, F.lit(2), F.length(text))).otherwise(text))
     else:
-        end = DELIMITERS[encoding]
-        # What follows the last delimiter is a record only if it is not empty.
-        ended = F.when(
-            text.endswith(end), F.substring(text, F.lit(1), F.length(text) - len(end))
-        ).otherwise(text)
-        parts = F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(ended, end))
-    rows = split_expression(df.withColumn("payload", parts), "payload", correlate=correlate)
-    too_long = F.octet_length("payload") > max_record
-    return rows.withColumn("record_error", F.when(too_long, F.lit("record too long")))
+        parts = parts.withColumn("record_error", error)
+    parts = parts.withColumn("record_error", F.coalesce("record_error", too_long))
+    if correlate is None:
+        return parts.drop("correlation_id", "sequence_number", "sequence_size", "__open", "__cut")
+    size = F.col("sequence_size") - F.when(F.col("__open"), 0).otherwise(1)
+    return parts.withColumn("sequence_size", size).drop("__open", "__cut")
 
 
 def _split_lengths(df: DataFrame, width: int, payload: str, max_record: int) -> DataFrame:

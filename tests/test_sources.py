@@ -283,6 +283,16 @@ def test_frame_errors(spark):
     raw = spark.createDataFrame([(b"foofoo",)], "payload binary")
     assert [r["payload"] for r in wire.frame_split(raw, "RAW").collect()] == ["foofoo"]
     assert [r["record_error"] for r in wire.frame_split(raw, "RAW", max_record=3).collect()] == ["record too long"]
+    cut = spark.createDataFrame([(b"\x02a\x03b\x03\x02\x03\x02c",)], "data binary")
+    rows = wire.frame_split(cut, "STXETX", payload="data", correlate="7").collect()
+    assert [(r["payload"], r["record_error"], r["sequence_number"], r["sequence_size"]) for r in rows] == [
+        ("a", None, 1, 4), ("b", "no start of record", 2, 4), ("", None, 3, 4), ("c", "incomplete record", 4, 4),
+    ]
+    lines = spark.createDataFrame([("one\n\ntwo",), ("",), ("x\n",)], "payload string")
+    rows = wire.frame_split(lines, "LF", correlate="7").collect()
+    assert [(r["payload"], r["record_error"], r["sequence_number"], r["sequence_size"]) for r in rows] == [
+        ("one", None, 1, 3), ("", None, 2, 3), ("two", "incomplete record", 3, 3), ("x", None, 1, 1),
+    ]
     short = spark.createDataFrame([(b"\x00\x03foo\x00\x09fo",)], "payload binary")
     assert [r["record_error"] for r in wire.frame_split(short, "L2").collect()] == [None, "incomplete record"]
 

@@ -20,13 +20,21 @@ def metric_name(name: str | Column) -> Column:
     return F.coalesce(text_or_null(as_col(name).cast("string")), F.lit(EMPTY_NAME))
 
 
-def _tag_values(df: DataFrame, expression: str | Column) -> Column:
-    """A tag expression's values as an array: ``NA`` for null, blanks in lists dropped."""
-    value = as_col(expression)
-    if df.select(value.alias("v")).dtypes[0][1].startswith("array"):
-        texts = F.filter(value.cast("array<string>"), lambda one: F.coalesce(strip(one) != "", F.lit(False)))
-        return F.when(F.size(texts) > 0, texts).otherwise(F.array(F.lit(MISSING_TAG)))
-    return F.array(F.coalesce(value.cast("string"), F.lit(MISSING_TAG)))
+def _is_list(df: DataFrame, expression: str | Column) -> bool:
+    return df.select(as_col(expression).alias("v")).dtypes[0][1].startswith("array")
+
+
+def _tag_value(expression: str | Column) -> Column:
+    """A single tag value: ``NA`` for null; a blank one stays."""
+    return F.coalesce(as_col(expression).cast("string"), F.lit(MISSING_TAG))
+
+
+def _tag_values(expression: str | Column) -> Column:
+    """A list of tag values without nulls and blanks; ``NA`` if none is left."""
+    texts = F.filter(
+        as_col(expression).cast("array<string>"), lambda one: F.coalesce(strip(one) != "", F.lit(False))
+    )
+    return F.when(F.size(texts) > 0, texts).otherwise(F.array(F.lit(MISSING_TAG)))
 
 
 def metric_tags(
@@ -46,18 +54,21 @@ def metric_tags(
         key: value for key, value in (fixed or {}).items()
         if key.strip() and value and value.strip() and key not in tags
     }
-    if not tags:
-        pairs = [F.lit(text) for item in steady.items() for text in item]
-        return df.withColumn("tags", (F.create_map(*pairs) if pairs else F.create_map()).cast("map<string,string>"))
-    rows = df
-    for i, expression in enumerate(tags.values()):
-        rows = rows.withColumn(f"__tag{i}", _tag_values(df, expression))
-    names = [f"__tag{i}" for i in range(len(tags))]
-    rows = rows.withColumn("__update", F.explode(F.arrays_zip(*names)))
     pairs = [F.lit(text) for item in steady.items() for text in item]
-    for key, name in zip(tags, names):
+    lists = {key: _is_list(df, expression) for key, expression in tags.items()}
+    if not any(lists.values()):
+        # Single values make one update per message.
+        for key, expression in tags.items():
+            pairs += [F.lit(key), _tag_value(expression)]
+        return df.withColumn("tags", (F.create_map(*pairs) if pairs else F.create_map()).cast("map<string,string>"))
+    columns = {
+        f"__tag{i}": _tag_values(expression) if lists[key] else F.array(_tag_value(expression))
+        for i, (key, expression) in enumerate(tags.items())
+    }
+    rows = df.withColumns(columns).withColumn("__update", F.explode(F.arrays_zip(*columns)))
+    for key, name in zip(tags, columns):
         pairs += [F.lit(key), F.coalesce(F.col("__update")[name], F.lit(""))]
-    return rows.withColumn("tags", F.create_map(*pairs)).drop("__update", *names)
+    return rows.withColumn("tags", F.create_map(*pairs)).drop("__update", *columns)
 
 
 def _updates(df, name, amount, fixed, tags, keep):

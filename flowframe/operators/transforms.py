@@ -37,9 +37,16 @@ def header_enrich(df: DataFrame, headers: dict[str, str | Column], *, overwrite:
     return df.withColumn("headers", F.map_concat(old, added))
 
 
-def header_remove(df: DataFrame, names: str | list[str]) -> DataFrame:
-    """Remove named headers; a ``*`` in any name turns all of them into patterns."""
+def header_remove(df: DataFrame, names: str | list[str] = "", *, delete_all: bool = False) -> DataFrame:
+    """Remove named headers; a ``*`` in any name turns all of them into patterns.
+
+    ``delete_all`` goes before the names.
+    """
+    if delete_all:
+        return header_delete_all(df)
     wanted = names_of(names)
+    if not wanted:
+        return df
     if any("*" in name for name in wanted):
         pattern = "|".join(simple_pattern(name) for name in wanted)
         kept = F.map_filter("headers", lambda name, _: ~name.rlike(pattern))

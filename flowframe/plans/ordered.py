@@ -22,7 +22,7 @@ from flowframe.plans.scratch import cut_lineage
 
 HOT_ROWS = 5_000_000
 MAX_CHUNKS = 20_000
-HOT_ROWS_SETTING = "flowframe.hotKeyRows"
+HOT_ROWS_SETTING = "spark.flowframe.hotKeyRows"
 
 
 def hot_row_limit(df: DataFrame, hot_rows: int | None) -> int:
@@ -47,7 +47,8 @@ def number_groups(
     or before a row whose ``time`` lies more than ``gap`` after the row before.
     ``group_start`` is the position of a group's first row and names the group;
     ``closed`` tells whether a closing row ends the group. ``order_by`` must be
-    a total order within a key, and ``keys`` may be empty.
+    a total order within a key, and ``keys`` may be empty. The frame is read for
+    counting and again for numbering: write one that is costly to make first.
 
     ``then`` is applied to the rows of small and of very large keys apart, before
     they are put together: a grouping by the keys in it finds the rows of small

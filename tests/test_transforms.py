@@ -1,6 +1,8 @@
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
-import pytest
 
 from flowframe.envelope import to_messages
 from flowframe.operators import transforms as tr
@@ -60,6 +62,9 @@ def test_header_remove(spark, headers, left):
 def test_header_names_without_star_are_literal(spark):
     out = tr.header_remove(messages(spark, ("x", {"a.c": "1", "abc": "2"})), "a.c other").first()["headers"]
     assert out == {"abc": "2"}
+    df = messages(spark, ("x", {"a": "1", "b": "2"}))
+    assert tr.header_remove(df, "a", delete_all=True).first()["headers"] == {}
+    assert tr.header_remove(df).first()["headers"] == {"a": "1", "b": "2"}
 
 
 def test_header_delete_all_leaves_id_and_time(spark):
@@ -165,6 +170,28 @@ def test_kv_list(spark, text, expected):
     assert parse_kv_list(text) == expected
 
 
+def parsed(text):
+    """The list read from left to right."""
+    pairs = []
+    for i, segment in enumerate(text.split(",")):
+        if i and "=" not in segment:
+            pairs[-1] += "," + segment
+        else:
+            pairs.append(segment)
+    return {p.split("=", 1)[0].strip(): p.split("=", 1)[1].strip() for p in pairs if "=" in p}
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(texts=st.lists(st.text(alphabet="ab=, ", max_size=14), min_size=20, max_size=60))
+def test_kv_list_reads_any_text(spark, texts):
+    from flowframe.functions.settings import parse_kv_list
+
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {row["i"]: row["m"] for row in df.select("i", kv_list_parse("t").alias("m")).collect()}
+    assert got == {i: parsed(text) for i, text in enumerate(texts)}
+    assert [parse_kv_list(text) for text in texts] == [parsed(text) for text in texts]
+
+
 def request(df, **options):
     import json
 

@@ -1,4 +1,4 @@
-"""Streams over files that Spark writes from the test tables, week by week."""
+"""Streams over files that Spark writes from the test tables, part by part."""
 
 from __future__ import annotations
 
@@ -20,18 +20,20 @@ ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 
 
 def deliver(spark, sf_dir, consume):
-    """Write the events week by week into one folder and let ``consume`` run after each.
+    """Write the events half a month at a time into one folder and let ``consume`` run after each.
 
     ``consume`` takes the folder's stream and a checkpoint; being started anew
     each time, it also shows that a stream goes on where it stopped.
     """
     path, checkpoint = scratch_path(spark, "event-stream"), scratch_path(spark, "checkpoint")
+    staged = scratch_path(spark, "event-parts")
     events = table(spark, sf_dir, "events")
     schema = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in events.schema)
-    week = F.date_trunc("WEEK", "ts").cast("date")
-    weeks = sorted(row["week"] for row in events.select(week.alias("week")).distinct().collect())
-    for one in weeks:
-        events.filter(week == F.lit(one)).write.mode("append").parquet(path)
+    half = F.concat(F.date_format("ts", "yyyy-MM"), F.when(F.dayofmonth("ts") <= 15, "-a").otherwise("-b"))
+    events.withColumn("half", half).write.partitionBy("half").parquet(staged)
+    halves = spark.read.parquet(staged).select("half").distinct().collect()
+    for one in sorted(row["half"] for row in halves):
+        spark.read.parquet(f"{staged}/half={one}").write.mode("append").parquet(path)
         consume(flows.file_stream(spark, path, "parquet", schema=schema), checkpoint)
 
 

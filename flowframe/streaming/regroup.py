@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 from flowframe.functions.columns import as_col
 from flowframe.operators.aggregate import LIST_ROWS, Release, emit, number, prepare
-from flowframe.plans.scratch import cut_lineage
 from flowframe.streaming.flows import Snapshots
 
 
@@ -30,6 +29,10 @@ class BatchedAggregator:
     driver or executor neither drops nor doubles a group. Messages are taken in
     the order they came: by batch, then by ``order_by``.
 
+    Keys so large that they are cut into chunks leave a checkpoint per batch: for
+    a long stream let Spark remove old ones
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``).
+
     A ``gap`` closes a group once the highest time seen is more than ``delay``
     past its end.
     """
@@ -49,7 +52,9 @@ class BatchedAggregator:
         list_rows: int = LIST_ROWS,
         hot_rows: int | None = None,
     ):
-        self.open, self.output_path = Snapshots(state_path), output_path
+        place = state_path.rstrip("/")
+        self.open, self.numbered = Snapshots(f"{place}/open"), Snapshots(f"{place}/numbered")
+        self.output_path = output_path
         self.correlate, self.order_by, self.rule = correlate, order_by, rule
         self.needs = {"payload": payload, "where": where, "output": output}
         self.shape = {"output": output, "list_rows": list_rows}
@@ -69,7 +74,9 @@ class BatchedAggregator:
         fresh = fresh.withColumn("__batch", F.lit(batch_id).cast("bigint"))
         left = self.open_rows(spark, batch_id - 1)
         rows = fresh if left is None else left.unionByName(fresh)
-        numbered = cut_lineage(number(rows, self.keys, ["__batch", *self.order_by], self.rule, self.hot_rows))
+        # Numbered once, used three times; the slot is written over two batches later.
+        self.numbered.write(number(rows, self.keys, ["__batch", *self.order_by], self.rule, self.hot_rows), batch_id)
+        numbered = self.numbered.read(spark, batch_id)
         tail = self._open_tail(numbered)
         same = F.lit(True)
         for key in self.keys:
@@ -135,7 +142,9 @@ def keyed_aggregate(
     ``idle_seconds`` the frame needs a watermark on ``time``: an event-time timer
     releases a group that got no further message, as reason ``timeout``. A group
     longer than ``list_rows`` comes out piece by piece, the first ones as reason
-    ``part``, so neither state nor memory grows with it.
+    ``part``, so neither state nor memory grows with it. Rows that arrive behind
+    the watermark are dropped by Spark: choose its delay by the latest ones to
+    come, or use ``BatchedAggregator``, which takes every row.
     """
     if count is None and closes is None and idle_seconds is None and until is None:
         raise ValueError("give a release rule: count, closes, until or idle_seconds")

@@ -23,7 +23,7 @@ from flowframe.llm.base import pieces, without
 
 MOST = 1024
 #: Rows that a block or a bin holds as long as ``MOST`` allows.
-ROWS = 20_000
+ROWS = 1_000
 
 
 def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:

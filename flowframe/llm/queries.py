@@ -8,7 +8,12 @@ from pyspark.sql import functions as F
 import public_tokenizers
 from flowframe.llm.base import Query, table
 from flowframe.llm.bpe import bpe_decode, bpe_encode
+from flowframe.llm.chat import rotate
 from flowframe.llm.exact_dedup import exact_dedup
+from flowframe.llm.html_text import html_text
+from flowframe.llm.jaccard_join import jaccard_groups
+from flowframe.llm.language import identify, learn, learnable
+from flowframe.llm.packing import pack
 from flowframe.llm.sharding import shard
 from flowframe.llm.topk import top_k
 from flowframe.llm.url_filter import rule_table, url_filter
@@ -123,3 +128,76 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
     )
+
+
+@query(
+    "op2_partition_jaccard",
+    r"""
+    WITH RECURSIVE d AS (
+      SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), s AS (
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [list_aggregate(w, 'string_agg', ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' ')) END) AS g FROM d
+    ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    common AS (
+      SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL
+    ), links AS (
+      SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)
+    ), reach AS (
+      SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+    )
+    SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
+    """,
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query(
+    "op1_perspective_rotation",
+    r"""
+    WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, turn // 256 AS part FROM conversations),
+    p AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system' AND role <> ''),
+    m AS (
+      SELECT t.conv_id, perspective, part, turn, role, text, role = perspective AS own,
+        '<|im_start|>' || CASE WHEN role = perspective THEN 'assistant' WHEN role = 'system' THEN 'system'
+          WHEN coalesce(role, '') = '' THEN 'user' ELSE 'user name=' || regexp_replace(role, '[\s<>|]+', '_', 'g') END || chr(10) AS head,
+        text || '<|im_end|>' || chr(10) AS body
+      FROM t JOIN p USING (conv_id)
+    ), o AS (
+      SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, perspective, part ORDER BY turn, role, text
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS begins FROM m
+    )
+    SELECT conv_id, perspective, part, CAST(count(*) AS INT) AS n_turns, string_agg(head || body, '' ORDER BY turn, role, text) AS text,
+      coalesce(string_agg(CASE WHEN own THEN CAST(begins AS BIGINT) || '-' || CAST(begins + length(body) AS BIGINT) END, ',' ORDER BY turn, role, text), '') AS mask
+    FROM o GROUP BY conv_id, perspective, part
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rotated = rotate(table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda s: F.concat_ws("-", s["start"], s["end"]))
+    return rotated.withColumn("mask", F.array_join(spans, ","))
+
+
+@query("op4_layout_text")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text")
+
+
+#: Sequence lengths that packing may use, in characters with an end mark for each piece.
+SEQUENCES = (2048, 4096, 8192, 16384, 32768)
+
+
+@query("op8_variable_best_fit")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), F.length("text"), capacities=SEQUENCES)
+
+
+@query("op9_zstd_language")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = learn(docs.filter(learnable()))
+    return identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", (~learnable()).alias("held_out"), "lang_pred", "score", "rejected"
+    )

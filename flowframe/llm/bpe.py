@@ -21,9 +21,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bounds on what a worker remembers; when full, it forgets everything and goes on.
-STATES = 120_000
-WORDS = 300_000
+#: Bounds on what a worker remembers; when full, it forgets and goes on.
+STATES = 250_000
+WORDS = 150_000
 
 NONE = -1
 #: Ids of a vocabulary have fewer bits than this.
@@ -236,7 +236,9 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
         self.find = regex.compile(pattern).findall
+        # Words seen of late, in two halves: when the newer is full, the older is forgotten.
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         # What a token reads as when no character is open before or after it.
         self.plain: dict[int, str] = {}
         for token, rank in ranks.items():
@@ -246,24 +248,35 @@ class Codec:
                 self.plain[rank] = read
 
     def _word(self, word: str) -> bytes:
-        if len(self.words) >= WORDS:
-            self.words.clear()
-        self.words[word] = out = array("I", self.transducer.encode(word.encode())).tobytes()
+        out = self.older.get(word)
+        if out is None:
+            out = array("I", self.transducer.encode(word.encode())).tobytes()
+        self.words[word] = out
         return out
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
+        if len(self.words) >= WORDS:
+            self.words, self.older = {}, self.words
         known = self.words.get
         return b"".join([known(word) or self._word(word) for word in self.find(text)])
 
     def decode(self, ids: bytes) -> Iterator[str]:
         """The text of such ids, piece by piece."""
-        stream, plain, raw = Utf8Stream(), self.plain, self.transducer.text
-        for token in memoryview(ids).cast("I"):
-            if not stream.state and token in plain:
-                yield plain[token]
-            else:
-                yield stream.feed(raw[token])
+        stream, raw = Utf8Stream(), self.transducer.text
+        tokens = memoryview(ids).cast("I").tolist()
+        read = list(map(self.plain.get, tokens))
+        read.append(None)
+        at = 0
+        while at < len(tokens):
+            odd = read.index(None, at)
+            yield from read[at:odd]
+            at = odd
+            while at < len(tokens):
+                yield stream.feed(raw[tokens[at]])
+                at += 1
+                if not stream.state:
+                    break
         yield stream.close()
 
 

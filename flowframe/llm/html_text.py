@@ -108,6 +108,10 @@ def build(source: str) -> Node:
                 close({"p"}, P_FENCES)
             if tag in ENDS:
                 close(*ENDS[tag])
+            if tag in {"td", "th"} and stack[-1].tag in {"table", "thead", "tbody", "tfoot"} and len(stack) < DEPTH:
+                stack[-1].children.append(row := Node("tr", {}))
+                stack.append(row)
+                opened["tr"] += 1
             found = _ATTRIBUTE.findall(match[3]) if match[3].strip() else []
             node = Node(tag, {k.lower(): html.unescape(a or b or c) for k, a, b, c in reversed(found)})
             stack[-1].children.append(node)
@@ -197,8 +201,17 @@ def _table(node: Node) -> list[str]:
         for k in range(max(map(len, row))):
             line = " | ".join((cell[k] if k < len(cell) else "").ljust(width) for cell, width in zip(row, widths))
             out.append(line.rstrip())
-    loose = [c for c in node.children if not (isinstance(c, Node) and c.tag in {"caption", "tr", "thead", "tbody", "tfoot"})]
-    return lines_of(_group(loose)) + out
+    return lines_of(_group([*_loose(node)])) + out
+
+
+def _loose(node: Node) -> Iterator[Node | str]:
+    """What stands in a table outside its cells; a browser shows it before the table."""
+    for child in node.children:
+        if isinstance(child, Node) and child.tag in {"tr", "thead", "tbody", "tfoot"}:
+            if not hidden(child):
+                yield from _loose(child)
+        elif isinstance(child, str) or child.tag not in {"td", "th", "caption"}:
+            yield child
 
 
 def _group(children: list) -> Node:

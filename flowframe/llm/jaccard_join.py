@@ -339,7 +339,8 @@ def _forest(percent: int):
 
 def family_links(hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links that connect what is linked among classes that share frequent keys."""
-    pivots = hot.groupBy("key").agg(F.min("class").alias("v"))
+    # Written, so that Spark may split the rows of a key that very many classes hold.
+    pivots = written(hot.groupBy("key").agg(F.min("class").alias("v")), "pivots")
     edges = hot.select("key", F.col("class").alias("u")).join(pivots, "key")
     named = components(edges.select(F.col("u").bitwiseAND(F.lit(~3)).alias("u"), F.col("v").bitwiseAND(F.lit(~3)).alias("v")))
     roots = named.select(F.col("root").alias("node"), "root").distinct()

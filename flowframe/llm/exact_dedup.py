@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowframe.llm.base import fold, pieces, without, written
@@ -112,19 +112,19 @@ def _suspects(owners: int):
             for row, prints in _lists(batch):
                 base = ((row["owner"] << 32) // owners) << 32
                 hits = prints[_flags(row["bitmap"], row["n"])] + np.uint64(base)
-                yield pa.RecordBatch.from_arrays([pa.array(hits.view(np.int64))], names=["_print"])
+                yield pa.RecordBatch.from_arrays([pa.array(hits.view(np.int64))], names=["__llm_print"])
 
     return decode
 
 
 def suspect_prints(prints: DataFrame, total: int) -> DataFrame:
-    """The fingerprints (column ``_print``) that occur more than once, each once."""
+    """The fingerprints (column ``__llm_print``) that occur more than once, each once."""
     owners = pieces(total, OWNED)
-    named = prints.select(F.spark_partition_id().cast("long").alias("sender"), "_print")
+    named = prints.select(F.spark_partition_id().cast("long").alias("sender"), "__llm_print")
     sent = written(named.mapInArrow(_send(owners), LIST), "golomb-lists")
     answers = sent.groupBy("owner").applyInArrow(_merge, "sender long, owner long, bitmap binary")
     back = sent.join(answers, ["sender", "owner"])
-    return written(back.mapInArrow(_suspects(owners), "_print long").distinct(), "suspect-prints")
+    return written(back.mapInArrow(_suspects(owners), "__llm_print long").distinct(), "suspect-prints")
 
 
 def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -136,37 +136,33 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     give way to it.
     """
     docs = without(docs, *RESULTS)
-    plain = docs.withColumn("_norm", fold(F.col(f"`{text}`"))).withColumn("_print", F.xxhash64("_norm"))
-    prints = suspect_prints(plain.select("_print"), docs.count())
-    key = F.col(f"`{doc_id}`")
+    norm, key = fold(F.col(f"`{text}`")), F.col(f"`{doc_id}`")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.withColumn("__llm_print", F.xxhash64(norm))
+    prints = suspect_prints(marked.select("__llm_print"), docs.count())
+    single = marked.join(prints, "__llm_print", "left_anti").select(*columns, *_alone(key, F.sha2(norm, 256)))
+    # Written once: what follows reads the suspects three times and the other rows never again.
+    suspects = written(marked.join(prints, "__llm_print", "left_semi"), "suspects")
     groups = (
-        plain.join(prints, "_print", "left_semi")
-        .groupBy("_print", "_norm")
-        .agg(F.max(key).alias("keep_id"), F.count("*").alias("group_size"))
-        .filter("group_size > 1")
-        .select("_print", F.sha2("_norm", 256).alias("text_sha256"), "keep_id", "group_size")
+        suspects.groupBy("__llm_print", norm.alias("__llm_norm"))
+        .agg(F.max(key).alias("__llm_keep"), F.count("*").alias("__llm_size"))
+        .filter("__llm_size > 1")
+        .select(F.col("__llm_print").alias("__llm_group"), F.sha2("__llm_norm", 256).alias("__llm_text"), "__llm_keep", "__llm_size")
     )
     groups = written(groups, "copies")
-    rows = plain.withColumn("text_sha256", F.sha2("_norm", 256)).drop("_norm")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    on = ["_print", "text_sha256"]
-    joined = rows.join(groups, on, "left")
-    single = F.col("group_size").isNull()
-    others = joined.filter(single | ~key.eqNullSafe(F.col("keep_id"))).select(
-        *columns,
-        F.when(single, key).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
-        single.alias("kept"),
-        "text_sha256",
-    )
-    one = Window.partitionBy(*on).orderBy(F.lit(1))
-    tops = rows.join(groups.withColumnsRenamed({c: f"_{c}" for c in ("text_sha256", "keep_id", "group_size")}).withColumnRenamed("_print", "_print2"),
-        (F.col("_print") == F.col("_print2")) & (F.col("text_sha256") == F.col("_text_sha256")) & key.eqNullSafe(F.col("_keep_id")))
-    tops = tops.select(
-        *columns,
-        F.col("_keep_id").alias("keep_id"),
-        F.col("_group_size").alias("group_size"),
-        (F.row_number().over(one) == 1).alias("kept"),
-        "text_sha256",
-    )
-    return others.unionByName(tops)
+    rows = suspects.withColumn("__llm_sha", F.sha2(norm, 256))
+    same = (F.col("__llm_print") == F.col("__llm_group")) & (F.col("__llm_sha") == F.col("__llm_text"))
+    top = key.eqNullSafe(F.col("__llm_keep"))
+    grouped = [F.col("__llm_keep").alias("keep_id"), F.col("__llm_size").alias("group_size")]
+    joined = rows.join(groups, same, "left")
+    lone = joined.filter("__llm_size is null").select(*columns, *_alone(key, F.col("__llm_sha")))
+    others = joined.filter(F.col("__llm_size").isNotNull() & ~top)
+    others = others.select(*columns, *grouped, F.lit(False).alias("kept"), F.col("__llm_sha").alias("text_sha256"))
+    # Only rows that repeat the largest id meet here.
+    one = F.row_number().over(Window.partitionBy("__llm_print", "__llm_sha").orderBy(F.lit(1))) == 1
+    tops = rows.join(groups, same & top).select(*columns, *grouped, one.alias("kept"), F.col("__llm_sha").alias("text_sha256"))
+    return single.unionByName(lone).unionByName(others).unionByName(tops)
+
+
+def _alone(key: Column, sha: Column) -> list[Column]:
+    return [key.alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), sha.alias("text_sha256")]

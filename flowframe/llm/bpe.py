@@ -307,7 +307,7 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out
     """
     shared = _share(docs, path)
     columns = [c for c in docs.columns if c.lower() != out.lower()]
-    source = docs.select(*(F.col(f"`{c}`") for c in columns), F.col(f"`{text}`").cast("binary").alias("_raw"))
+    source = docs.select(*(F.col(f"`{c}`") for c in columns), F.col(f"`{text}`").cast("binary").alias("__llm_raw"))
     schema = docs.select(*(F.col(f"`{c}`") for c in columns), F.lit(b"").alias(out)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

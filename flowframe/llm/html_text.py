@@ -307,7 +307,7 @@ def html_text(pages: DataFrame, source: str = "html", out: str = "text") -> Data
     """
     kept = without(pages, source, out)
     columns = kept.columns
-    work = pages.select(*(F.col(f"`{c}`") for c in columns), F.col(f"`{source}`").cast("binary").alias("_source"))
+    work = pages.select(*(F.col(f"`{c}`") for c in columns), F.col(f"`{source}`").cast("binary").alias("__llm_source"))
     schema = kept.withColumn(out, F.lit("")).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

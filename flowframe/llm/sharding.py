@@ -95,20 +95,20 @@ def shard(df: DataFrame, key: list[str], shards: int = 40, seed: int = 7) -> Dat
     sent = [sum(counts.get(b * fold + i, 0) for i in range(fold)) for b in range(blocks)]
     per_shard = max(1, min(MOST // shards, pieces(total, ROWS * shards)))
     bins = [
-        {"_bin": s * per_shard + i, "_first": sum(parts[:i]), "shard": s, "size": size}
+        {"__llm_bin": s * per_shard + i, "__llm_first": sum(parts[:i]), "shard": s, "size": size}
         for s, n in enumerate(even(total, shards))
         for parts in [even(n, per_shard)]
         for i, size in enumerate(parts)
     ]
     matrix = draw_matrix(np.random.default_rng(seed), sent, [b["size"] for b in bins])
-    dealt = [{"_block": b, "_ends": np.cumsum(row).tolist()} for b, row in enumerate(matrix)]
-    place = Window.partitionBy("_block").orderBy(*salted("first"))
-    seat = Window.partitionBy("_bin").orderBy(*salted("second"))
-    placed = df.withColumn("_block", F.floor(cell / fold).cast("int")).withColumn("_place", F.row_number().over(place))
-    sent_to = placed.join(_rows(df, dealt, "_block int, _ends array<bigint>"), "_block").withColumn("_bin", _first_over("_ends", F.col("_place")))
-    seated = sent_to.withColumn("_seat", F.row_number().over(seat))
-    out = seated.join(_rows(df, bins, "_bin int, _first bigint, shard int"), "_bin")
-    slot = (F.col("_first") + F.col("_seat") - 1).alias("slot")
+    dealt = [{"__llm_block": b, "__llm_ends": np.cumsum(row).tolist()} for b, row in enumerate(matrix)]
+    place = Window.partitionBy("__llm_block").orderBy(*salted("first"))
+    seat = Window.partitionBy("__llm_bin").orderBy(*salted("second"))
+    placed = df.withColumn("__llm_block", F.floor(cell / fold).cast("int")).withColumn("__llm_place", F.row_number().over(place))
+    sent_to = placed.join(_rows(df, dealt, "__llm_block int, __llm_ends array<bigint>"), "__llm_block").withColumn("__llm_bin", _first_over("__llm_ends", F.col("__llm_place")))
+    seated = sent_to.withColumn("__llm_seat", F.row_number().over(seat))
+    out = seated.join(_rows(df, bins, "__llm_bin int, __llm_first bigint, shard int"), "__llm_bin")
+    slot = (F.col("__llm_first") + F.col("__llm_seat") - 1).alias("slot")
     return out.select(*(F.col(f"`{c}`") for c in df.columns), "shard", slot)
 
 

@@ -50,21 +50,21 @@ def compile_rules(rules: DataFrame) -> DataFrame:
     ahead = F.when(path == "", F.lit("(?=/|$)")).otherwise("")
     pieces = F.split(path, "[./]")
     return rules.filter("host <> ''").select(
-        F.concat(host, path).alias("_rule"),
-        F.col("verdict").alias("_verdict"),
-        F.length(F.concat(host, path)).alias("_length"),
-        F.concat(F.lit("^(?:[^/]*[.])?"), _literal(host), _literal(path), ahead).alias("_pattern"),
-        F.concat(_tokens(host), F.filter(F.slice(pieces, 1, F.size(pieces) - 1), lambda t: t != "")).alias("_tokens"),
+        F.concat(host, path).alias("__llm_rule"),
+        F.col("verdict").alias("__llm_verdict"),
+        F.length(F.concat(host, path)).alias("__llm_length"),
+        F.concat(F.lit("^(?:[^/]*[.])?"), _literal(host), _literal(path), ahead).alias("__llm_pattern"),
+        F.concat(_tokens(host), F.filter(F.slice(pieces, 1, F.size(pieces) - 1), lambda t: t != "")).alias("__llm_tokens"),
     )
 
 
 def index_rules(rules: DataFrame, tokens: DataFrame) -> DataFrame:
-    """File each compiled rule under its rarest token; ``tokens`` has a row ``_token`` per url and token."""
-    spread = rules.withColumn("_token", F.explode("_tokens"))
-    counts = tokens.join(spread.select("_token").distinct(), "_token").groupBy("_token").agg(F.count("*").alias("_urls"))
-    rarest = F.min_by("_token", F.struct(F.coalesce("_urls", F.lit(0)), -F.length("_token"), F.col("_token")))
-    keys = ["_rule", "_verdict", "_length", "_pattern"]
-    return spread.join(counts, "_token", "left").groupBy(keys).agg(rarest.alias("_token"))
+    """File each compiled rule under its rarest token; ``tokens`` has a row ``__llm_token`` per url and token."""
+    spread = rules.withColumn("__llm_token", F.explode("__llm_tokens"))
+    counts = tokens.join(spread.select("__llm_token").distinct(), "__llm_token").groupBy("__llm_token").agg(F.count("*").alias("__llm_urls"))
+    rarest = F.min_by("__llm_token", F.struct(F.coalesce("__llm_urls", F.lit(0)), -F.length("__llm_token"), F.col("__llm_token")))
+    keys = ["__llm_rule", "__llm_verdict", "__llm_length", "__llm_pattern"]
+    return spread.join(counts, "__llm_token", "left").groupBy(keys).agg(rarest.alias("__llm_token"))
 
 
 def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
@@ -76,25 +76,25 @@ def url_filter(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     named like a result give way to it. Each distinct url is judged once.
     """
     host, path = url_parts(F.col(f"`{url}`"))
-    urls = pages.select(F.col(f"`{url}`").alias("_url")).filter("_url is not null").distinct()
-    urls = urls.select("_url", F.concat(*url_parts(F.col("_url"))).alias("_subject"))
-    tokens = urls.select("_url", "_subject", F.explode(_tokens(F.col("_subject"))).alias("_token"))
-    index = index_rules(compile_rules(rules), tokens.select("_token"))
+    urls = pages.select(F.col(f"`{url}`").alias("__llm_url")).filter("__llm_url is not null").distinct()
+    urls = urls.select("__llm_url", F.concat(*url_parts(F.col("__llm_url"))).alias("__llm_subject"))
+    tokens = urls.select("__llm_url", "__llm_subject", F.explode(_tokens(F.col("__llm_subject"))).alias("__llm_token"))
+    index = index_rules(compile_rules(rules), tokens.select("__llm_token"))
     best = F.max_by(
-        F.struct("_rule", "_verdict"),
-        F.struct("_length", F.col("_verdict") == "block", "_rule"),
+        F.struct("__llm_rule", "__llm_verdict"),
+        F.struct("__llm_length", F.col("__llm_verdict") == "block", "__llm_rule"),
     )
     judged = (
-        tokens.join(index, "_token")
-        .filter(F.expr("_subject rlike _pattern"))
-        .groupBy("_url")
-        .agg(best.alias("_best"))
+        tokens.join(index, "__llm_token")
+        .filter(F.expr("__llm_subject rlike __llm_pattern"))
+        .groupBy("__llm_url")
+        .agg(best.alias("__llm_best"))
     )
-    rows = without(pages, *(c for c in RESULTS if c != url)).withColumn("_url", F.col(f"`{url}`"))
-    return rows.join(judged, "_url", "left").select(
-        *(F.col(f"`{c}`") for c in rows.columns if c != "_url"),
+    rows = without(pages, *(c for c in RESULTS if c != url)).withColumn("__llm_url", F.col(f"`{url}`"))
+    return rows.join(judged, "__llm_url", "left").select(
+        *(F.col(f"`{c}`") for c in rows.columns if c != "__llm_url"),
         host.alias("host"),
         path.alias("path"),
-        F.col("_best._rule").alias("rule"),
-        F.coalesce("_best._verdict", F.lit(default)).alias("verdict"),
+        F.col("__llm_best.__llm_rule").alias("rule"),
+        F.coalesce("__llm_best.__llm_verdict", F.lit(default)).alias("verdict"),
     )

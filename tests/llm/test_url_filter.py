@@ -45,8 +45,8 @@ def test_odd_rules(spark):
 
 
 def test_rarest_token_is_the_key(spark):
-    tokens = spark.createDataFrame([("com",)] * 9 + [("fr",)] * 2 + [("org",)] * 3, "_token string")
-    index = {r._rule: r._token for r in index_rules(compile_rules(rule_table(spark, RULES)), tokens).collect()}
+    tokens = spark.createDataFrame([("com",)] * 9 + [("fr",)] * 2 + [("org",)] * 3, "__llm_token string")
+    index = {r["__llm_rule"]: r["__llm_token"] for r in index_rules(compile_rules(rule_table(spark, RULES)), tokens).collect()}
     assert index["com/fr/"] == "fr" and index["org/"] == "org" and index["com/de/"] == "de"
     assert index["example.org/en/1"] in {"example", "en"}
 

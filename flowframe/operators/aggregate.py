@@ -1,9 +1,9 @@
 """Regroup messages: correlation, release rules and output.
 
 Each rule works on an explicit per-key order. After a release the key starts a
-fresh group. Very large keys are numbered chunk by chunk (see
-``flowframe.plans.ordered``) and a released list longer than ``list_rows`` comes
-out as several rows with ``part`` 0, 1, ..., so no list grows with the data.
+fresh group. Keys may be of any size (see ``flowframe.plans.ordered``). Groups that
+a count or size bounds come as one row each; others as one row per message, or as
+pages of the length the caller asks for. The shape never depends on the data.
 """
 
 from __future__ import annotations
@@ -17,22 +17,22 @@ from pyspark.sql import functions as F
 from flowframe.functions.columns import as_col
 from flowframe.plans.ordered import number_groups
 
-LIST_ROWS = 100_000
-
 
 @dataclass(frozen=True)
 class Release:
     """When a group is complete.
 
-    ``size`` is the number of messages expected, told by each message; ``count``
-    a fixed number; ``closes`` is true for a message that ends its group; ``gap``
-    is the idle time after which the open group is released as it is.
+    ``size`` is the number of messages expected, told by each message: a message
+    that tells another number than the one before begins a group of its own;
+    ``count`` a fixed number; ``closes`` is true for a message that ends its group;
+    ``gap`` is the idle time after which the open group is released as it is, as
+    text or, as a column, told by each message for the time after it.
     """
 
     size: str | Column | None = None
     count: int | None = None
     closes: str | Column | None = None
-    gap: str | None = None
+    gap: str | Column | None = None
     time: str | None = None
 
     def __post_init__(self):
@@ -61,6 +61,7 @@ def prepare(
     payload: str | Column = "payload",
     where: str | Column | None = None,
     output: dict[str, Column] | None = None,
+    sort_by: list[str] | None = None,
 ) -> DataFrame:
     """The messages with the columns the rule and the output need, and no others.
 
@@ -71,12 +72,14 @@ def prepare(
         made["__size"] = as_col(rule.size)
     if rule.closes is not None:
         made["__ends"] = F.coalesce(as_col(rule.closes), F.lit(False))
+    if isinstance(rule.gap, Column):
+        made["__gap"] = rule.gap
     if output is not None:
         return df.withColumns(made)
     made["__payload"] = as_col(payload)
     if where is not None:
         made["__chosen"] = F.coalesce(as_col(where), F.lit(False))
-    plain = [*order_by, *([rule.time] if rule.time is not None else [])]
+    plain = [*order_by, *(sort_by or []), *([rule.time] if rule.time is not None else [])]
     kept = [name for name in dict.fromkeys(plain) if name not in made]
     return df.select(*kept, *[column.alias(name) for name, column in made.items()])
 
@@ -86,14 +89,15 @@ def number(
     keys: list[str],
     order_by: list[str],
     rule: Release,
-    hot_rows: int | None,
+    chunks: int | None = None,
     then: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Prepared rows with their positions and groups."""
+    told = rule.size is not None
     return number_groups(
-        rows, keys, order_by, count="__size" if rule.size is not None else rule.count,
-        closes="__ends" if rule.closes is not None else None, gap=rule.gap, time=rule.time,
-        hot_rows=hot_rows, then=then,
+        rows, keys, order_by, count="__size" if told else rule.count, runs="__size" if told else None,
+        closes="__ends" if rule.closes is not None else None,
+        gap=F.col("__gap") if isinstance(rule.gap, Column) else rule.gap, time=rule.time, chunks=chunks, then=then,
     )
 
 
@@ -104,35 +108,39 @@ def emit(
     *,
     output: dict[str, Column] | None = None,
     partial: bool = False,
-    list_rows: int = LIST_ROWS,
+    list_rows: int | None = None,
+    sort_by: list[str] | None = None,
 ) -> DataFrame:
-    """One row per group, or per part of a long list; open groups only with ``partial``."""
-    # With a count or size the list has that many rows at most; otherwise cut it.
-    cut = not rule.bounded and output is None
-    if cut:
-        numbered = numbered.withColumn("part", F.floor((F.col("group_pos") - 1) / list_rows).cast("bigint"))
-    if output is None:
-        item = F.struct("position", "__payload")
-        chosen = F.when(F.col("__chosen"), item) if "__chosen" in numbered.columns else item
-        listed = F.sort_array(F.collect_list(chosen))
-        output = {"payloads": F.transform(listed, lambda one: one["__payload"])}
-    facts = [F.count(F.lit(1)).alias("n")]
-    if rule.size is not None:
-        facts.append(F.max("__size").alias("__size"))
-    by_row = rule.closes is not None and rule.bounded
-    if by_row:
-        facts.append(F.max("__ends").alias("__by_row"))
+    """One row per group, per message or per page; open groups only with ``partial``."""
+    names = [*keys, "group_start"]
     if rule.closes is not None and not rule.bounded and not partial:
         numbered = numbered.filter("closed")
-    groups = numbered.groupBy(*keys, "group_start", *(["part"] if cut else [])).agg(
-        *facts, *[column.alias(name) for name, column in output.items()]
-    )
-    if rule.bounded and not partial:
-        full = F.col("n") == rule.expected()
-        groups = groups.filter(full | F.col("__by_row") if by_row else full)
-    if not cut:
-        groups = groups.withColumn("part", F.lit(0).cast("bigint"))
-    return groups.select(*keys, "group_start", "part", "n", *output)
+    chosen = F.col("__chosen") if "__chosen" in numbered.columns else F.lit(True)
+    listed = F.sort_array(F.collect_list(F.when(chosen, F.struct(*(sort_by or []), "position", "__payload"))))
+    payloads = F.transform(listed, lambda one: one["__payload"]).alias("payloads")
+    if rule.bounded or output is not None:
+        facts = [F.count(F.lit(1)).alias("n")]
+        if rule.size is not None:
+            facts.append(F.max("__size").alias("__size"))
+        by_row = rule.closes is not None and rule.bounded
+        if by_row:
+            facts.append(F.max("__ends").alias("__by_row"))
+        made = [payloads] if output is None else [column.alias(name) for name, column in output.items()]
+        groups = numbered.groupBy(*names).agg(*facts, *made)
+        if rule.bounded and not partial:
+            full = F.col("n") == rule.expected()
+            groups = groups.filter(full | F.col("__by_row") if by_row else full)
+        return groups.select(*names, "n", *(output or ["payloads"]))
+    totals = numbered.groupBy(*(F.col(name).alias(f"__{name}") for name in names)).agg(F.count(F.lit(1)).alias("n"))
+    same = F.lit(True)
+    for name in names:
+        same = same & F.col(name).eqNullSafe(F.col(f"__{name}"))
+    if list_rows is None:
+        rows = numbered.filter(chosen).join(totals, same)
+        return rows.select(*names, "position", "n", F.col("__payload").alias("payload"))
+    part = F.floor((F.col("group_pos") - 1) / list_rows).cast("bigint").alias("part")
+    pages = numbered.groupBy(*names, part).agg(payloads)
+    return pages.join(totals, same).select(*names, "part", "n", "payloads")
 
 
 def aggregate(
@@ -144,43 +152,63 @@ def aggregate(
     size: str | Column | None = None,
     count: int | None = None,
     closes: str | Column | None = None,
-    gap: str | None = None,
+    gap: str | Column | None = None,
     time: str | None = None,
     where: str | Column | None = None,
     output: dict[str, Column] | None = None,
     partial: bool = False,
-    list_rows: int = LIST_ROWS,
-    hot_rows: int | None = None,
+    list_rows: int | None = None,
+    sort_by: list[str] | None = None,
+    chunks: int | None = None,
 ) -> DataFrame:
-    """One row per released group.
+    """The released groups.
 
     ``correlate`` names the key expressions; the release rule is that of
     ``Release``. Unreleased groups come out only with ``partial`` or with a
-    ``gap``, as a timeout releases what is there. The output is the list
-    ``payloads`` (of the messages for which ``where`` is true), or the aggregate
-    columns in ``output``.
+    ``gap``, as a timeout releases what is there. With a ``count`` or ``size`` a
+    group is one row: key, ``group_start``, ``n`` and the list ``payloads`` (of the
+    messages for which ``where`` is true, in ``sort_by`` or else arrival order).
+    ``output`` gives aggregate columns instead. Any other group may be of any
+    length, so it comes as one row per message with ``position``, the whole
+    group's ``n`` and ``payload``; or, with ``list_rows``, as pages of so many
+    messages: ``part`` 0, 1, ..., the whole group's ``n``, and ``payloads``.
     """
     rule = Release(size=size, count=count, closes=closes, gap=gap, time=time)
     keys = list(correlate)
-    rows = prepare(df, correlate, order_by, rule, payload=payload, where=where, output=output)
+    rows = prepare(df, correlate, order_by, rule, payload=payload, where=where, output=output, sort_by=sort_by)
 
     def released(numbered: DataFrame) -> DataFrame:
-        return emit(numbered, keys, rule, output=output, partial=partial or gap is not None, list_rows=list_rows)
+        return emit(
+            numbered, keys, rule, output=output, partial=partial or gap is not None, list_rows=list_rows, sort_by=sort_by
+        )
 
-    return number(rows, keys, order_by, rule, hot_rows, then=released)
+    return number(rows, keys, order_by, rule, chunks, then=released)
 
 
 def aggregate_sequence(
     df: DataFrame,
+    order_by: list[str] | None,
     *,
     correlate: str | Column = "correlation_id",
+    sequence: str = "sequence_number",
     size: str | Column = "sequence_size",
-    order_by: list[str] | None = None,
     payload: str | Column = "payload",
-    hot_rows: int | None = None,
+    chunks: int | None = None,
 ) -> DataFrame:
-    """The default aggregator: release when as many messages came as announced."""
-    return aggregate(
-        df, {"correlation_id": correlate}, order_by or ["sequence_number"],
-        payload=payload, size=size, hot_rows=hot_rows,
+    """The default aggregator: release when as many messages came as announced.
+
+    ``order_by`` is the order of arrival. After a release an id starts a new group,
+    which may announce another size. A group's payloads are in the order of their
+    sequence numbers. With ``None`` for the order every id is taken to be used
+    once: its messages are one group, gathered in a single shuffle.
+    """
+    if order_by is not None:
+        return aggregate(
+            df, {"correlation_id": correlate}, order_by, payload=payload, size=size, sort_by=[sequence], chunks=chunks
+        )
+    item = F.struct(F.col(sequence).alias("at"), as_col(payload).alias("payload"))
+    groups = df.groupBy(as_col(correlate).alias("correlation_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(as_col(size)).alias("__size"), F.sort_array(F.collect_list(item)).alias("__items")
     )
+    payloads = F.transform("__items", lambda one: one["payload"]).alias("payloads")
+    return groups.filter("n = __size").select("correlation_id", F.lit(1).cast("bigint").alias("group_start"), "n", payloads)

@@ -26,11 +26,12 @@ def transform_payload(df: DataFrame, expression: str | Column = "payload") -> Da
 
 
 def header_enrich(df: DataFrame, headers: dict[str, str | Column], *, overwrite: bool = False) -> DataFrame:
-    """Add headers; one that exists already stays unless ``overwrite``."""
-    added = headers_of(headers)
+    """Add headers; one that exists already stays unless ``overwrite``. A null value adds nothing."""
+    added = F.map_filter(headers_of(headers), lambda _, value: value.isNotNull())
     old = F.coalesce(F.col("headers"), F.create_map().cast(HEADERS_TYPE))
     if overwrite:
-        old = F.map_filter(old, lambda name, _: ~name.isin(*headers))
+        fresh = F.map_keys(added)
+        old = F.map_filter(old, lambda name, _: ~F.array_contains(fresh, name))
     else:
         present = F.map_keys(old)
         added = F.map_filter(added, lambda name, _: ~F.array_contains(present, name))
@@ -79,5 +80,5 @@ def json_to_map(df: DataFrame) -> DataFrame:
     text = F.col("payload")
     if dict(df.dtypes)["payload"] == "binary":
         text = text_of(text)
-    readable = content_type_of().contains("json") & F.try_parse_json(text).isNotNull()
-    return df.withColumn("payload_map", F.when(readable, F.from_json(text, HEADERS_TYPE)))
+    # In its permissive mode the parser gives null for what is no JSON object.
+    return df.withColumn("payload_map", F.when(content_type_of().contains("json"), F.from_json(text, HEADERS_TYPE)))

@@ -1,32 +1,45 @@
 """Number rows, and the groups they fall into, in a per-key order.
 
-Most keys are small: one window per key, one shuffle, one sort. A key with more
-rows than ``hot_rows`` would put all of them into one task, so such keys take
-another way: their rows are range-partitioned by (key, order), which cuts a key
-into consecutive chunks of about ``hot_rows`` rows; the windows run per chunk;
-and what has to cross a chunk border (row offset, last time, last group start)
-is carried over from one small row per chunk. Both ways give the same numbers.
+A key, or a frame without keys, may hold any share of the rows, so the rows are
+cut into chunks by ranges of (key, order). The borders between the chunks are
+rows picked by a hash, so they come out the same whenever Spark computes them,
+and everything stays one lazy plan. Within a chunk the rows of a key are
+numbered by a window. What crosses a border (the number of rows before, the last
+time, the last group start) is carried over from one small row per chunk; only a
+border row's own key can lie in two chunks, so there are at most twice as many
+such rows as borders.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from flowframe.functions.columns import as_col
-from flowframe.plans.scratch import cut_lineage
 
-HOT_ROWS = 5_000_000
-MAX_CHUNKS = 20_000
-HOT_ROWS_SETTING = "spark.flowframe.hotKeyRows"
+#: One row in so many may become a border.
+BORDER_SAMPLE = 64
 
 
-def hot_row_limit(df: DataFrame, hot_rows: int | None) -> int:
-    return hot_rows or int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
+def _borders(df: DataFrame, place: Column, chunks: int) -> DataFrame:
+    """One row: at most ``chunks`` places in order, picked by a hash of the place."""
+    code = F.xxhash64(place)
+    picked = (
+        df.select(place.alias("place"), code.alias("code"))
+        .filter(F.pmod(F.xxhash64("code"), F.lit(BORDER_SAMPLE)) == 0)
+        .groupBy(F.pmod("code", F.lit(chunks)).alias("bucket"))
+        .agg(F.min_by("place", "code").alias("place"))
+    )
+    return picked.groupBy(F.lit(0).alias("one")).agg(F.array_sort(F.collect_list("place")).alias("places")).select("places")
+
+
+def _all(tests: list[Column]) -> Column:
+    out = F.lit(True)
+    for test in tests:
+        out = out & test
+    return out
 
 
 def number_groups(
@@ -36,160 +49,112 @@ def number_groups(
     *,
     count: int | str | Column | None = None,
     closes: str | Column | None = None,
-    gap: str | None = None,
+    gap: str | Column | None = None,
     time: str | None = None,
-    hot_rows: int | None = None,
+    runs: str | Column | None = None,
+    chunks: int | None = None,
     then: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add ``position``, ``group_start``, ``group_pos`` (and ``closed``) per key.
 
     A group ends after ``count`` rows, after a row for which ``closes`` is true,
-    or before a row whose ``time`` lies more than ``gap`` after the row before.
-    ``group_start`` is the position of a group's first row and names the group;
-    ``closed`` tells whether a closing row ends the group. ``order_by`` must be
-    a total order within a key, and ``keys`` may be empty. The frame is read for
-    counting and again for numbering: write one that is costly to make first.
-
-    ``then`` is applied to the rows of small and of very large keys apart, before
-    they are put together: a grouping by the keys in it finds the rows of small
-    keys already in place and shuffles only the others.
+    before a row whose ``time`` lies more than ``gap`` after the row before (an
+    interval as text, or one computed from the row before), and where the value of
+    ``runs`` changes. ``group_start`` is the position of a group's first row and
+    names the group; ``closed`` tells whether a closing row ends the group.
+    ``order_by`` must be a total order within a key, ``keys`` may be empty. There are
+    as many chunks as the session has shuffle partitions, unless ``chunks`` says
+    otherwise. The frame is read once for the borders, once for what crosses them,
+    and once for the rows: write one first that is costly to make. ``then`` is
+    applied to the numbered rows.
     """
     if gap is not None and time is None:
         raise ValueError("a gap needs the time column it is measured on")
-    limit = hot_row_limit(df, hot_rows)
+    chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = df
+    watched: dict[str, Column] = {}
     if closes is not None:
-        rows = rows.withColumn("__closes", F.coalesce(as_col(closes), F.lit(False)))
-    hot = _hot_keys(df, keys, limit)
-    if hot is None:
-        ways = [_number_small(rows, keys, order_by, closes, gap, time)]
-    else:
-        hot_keys, parts = hot
-        if keys:
-            match = _same_key(rows, hot_keys, keys)
-            hot_side = rows.join(F.broadcast(hot_keys), match).drop(*[f"__{key}" for key in keys])
-            small = rows.join(F.broadcast(hot_keys), match, "left_anti")
-            ways = [_number_small(small, keys, order_by, closes, gap, time)]
-        else:
-            hot_side, ways = rows.withColumn("__hot", F.lit(0)), []
-        ways.append(_number_large(hot_side, order_by, closes, gap, time, parts))
-    since = F.col("position") - F.col("__segment")
-    if count is not None:
-        since = since % (F.lit(count) if isinstance(count, int) else as_col(count))
-    done = []
-    for numbered in ways:
-        placed = (
-            numbered.withColumn("group_pos", (since + 1).cast("bigint"))
-            .withColumn("group_start", F.col("position") - F.col("group_pos") + 1)
-            .drop("__segment", "__closes")
-        )
-        done.append(placed if then is None else then(placed))
-    return done[0] if len(done) == 1 else done[0].unionByName(done[1])
-
-
-def _hot_keys(df: DataFrame, keys: list[str], limit: int):
-    """Keys above the limit, and how many chunks their rows need.
-
-    There are at most (all rows / limit) such keys, which bounds both what
-    comes to the driver and what is broadcast.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit).collect()
-    if not counts:
-        return None
-    schema = T.StructType(
-        [T.StructField(f"__{key}", df.schema[key].dataType) for key in keys]
-        + [T.StructField("__hot", T.IntegerType())]
-    )
-    rows = [tuple(row[key] for key in keys) + (i,) for i, row in enumerate(counts)]
-    # Above the largest number of chunks they get longer; their windows spill to disk.
-    parts = min(sum(ceil(row["__n"] / limit) for row in counts) + 1, MAX_CHUNKS)
-    return df.sparkSession.createDataFrame(rows, schema), parts
-
-
-def _same_key(df: DataFrame, hot: DataFrame, keys: list[str]) -> Column:
-    match = F.lit(True)
-    for key in keys:
-        match = match & df[key].eqNullSafe(hot[f"__{key}"])
-    return match
-
-
-def _starts(closes, gap, time, previous_closes: Column, previous_time: Column) -> Column:
-    start = F.col("position") == 1
-    if closes is not None:
-        start = start | F.coalesce(previous_closes, F.lit(False))
+        watched["closes"] = F.coalesce(as_col(closes), F.lit(False))
     if gap is not None:
-        late = F.col(time) > previous_time + F.expr(f"interval {gap}")
-        start = start | F.coalesce(late, F.lit(False))
-    return start
-
-
-def _number_small(df, keys, order_by, closes, gap, time) -> DataFrame:
-    order = Window.partitionBy(*keys).orderBy(*order_by)
-    rows = df.withColumn("position", F.row_number().over(order).cast("bigint"))
-    if closes is None and gap is None:
-        return rows.withColumn("__segment", F.lit(1).cast("bigint"))
-    start = _starts(
-        closes, gap, time,
-        F.lag("__closes").over(order) if closes is not None else None,
-        F.lag(time).over(order) if gap is not None else None,
+        watched["due"] = F.col(time) + (F.expr(f"interval {gap}") if isinstance(gap, str) else gap)
+    if runs is not None:
+        watched["run"] = as_col(runs)
+    rows = rows.withColumns({f"__{name}": column for name, column in watched.items()})
+    place = F.struct(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)), *(F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)))
+    # A border is a bounded list of places: Spark computes it once and takes it as a constant.
+    borders = _borders(df, place, chunks).scalar()
+    rows = rows.withColumn("__place", place).withColumn("__borders", borders)
+    before = F.size(F.filter("__borders", lambda border: border <= F.col("__place")))
+    at_border = F.exists(
+        "__borders", lambda border: _all([border[f"k{i}"].eqNullSafe(F.col("__place")[f"k{i}"]) for i in range(len(keys))])
     )
-    rows = rows.withColumn("__start", F.when(start, F.col("position")))
-    rows = rows.withColumn(
-        "__segment", F.max("__start").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ).drop("__start")
-    if closes is not None:
-        closing = F.max(F.when(F.col("__closes"), F.col("position"))).over(Window.partitionBy(*keys))
-        rows = rows.withColumn("closed", F.coalesce(F.col("__segment") <= closing, F.lit(False)))
-    return rows
-
-
-def _number_large(df, order_by, closes, gap, time, parts) -> DataFrame:
-    cut = df.repartitionByRange(parts, "__hot", *order_by)
-    rows = cut_lineage(cut.withColumn("__chunk", F.spark_partition_id()))
-    chunk = ["__hot", "__chunk"]
-    across = Window.partitionBy("__hot").orderBy("__chunk")
-    before = across.rowsBetween(Window.unboundedPreceding, -1)
-    order = Window.partitionBy(*chunk).orderBy(*order_by)
+    rows = rows.withColumns(
+        {"__chunk": F.when(F.col("__borders").isNull(), 0).otherwise(before), "__edge": F.coalesce(at_border, F.lit(False))}
+    ).drop("__place", "__borders")
+
+    part = ["__chunk", *keys]
+    order = Window.partitionBy(*part).orderBy(*order_by)
+    across = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__chunk")
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    edges = rows.filter("__edge")
+
+    def carried(frame: DataFrame, facts: DataFrame) -> DataFrame:
+        """Join one bounded row per chunk and border key."""
+        renamed = facts.withColumnsRenamed({name: f"__at_{name}" for name in part})
+        same = _all([F.col(name).eqNullSafe(F.col(f"__at_{name}")) for name in part])
+        return frame.join(F.broadcast(renamed), same, "left").drop(*(f"__at_{name}" for name in part))
 
-    # One row per chunk: its size and its last row, seen from the next chunk.
     last = F.struct(*order_by)
-    facts = [F.count(F.lit(1)).alias("__n")]
-    if closes is not None:
-        facts.append(F.max_by("__closes", last).alias("__last_closes"))
-    if gap is not None:
-        facts.append(F.max_by(time, last).alias("__last_time"))
-    carry = rows.groupBy(*chunk).agg(*facts)
-    carry = carry.withColumn("__offset", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-    if closes is not None:
-        carry = carry.withColumn("__last_closes", F.lag("__last_closes").over(across))
-    if gap is not None:
-        carry = carry.withColumn("__last_time", F.lag("__last_time").over(across))
-
-    rows = rows.join(F.broadcast(carry.drop("__n")), chunk)
-    rows = rows.withColumn("position", F.col("__offset") + F.row_number().over(order))
-    if closes is None and gap is None:
-        return rows.withColumn("__segment", F.lit(1).cast("bigint")).drop(*chunk, "__offset")
-    start = _starts(
-        closes, gap, time,
-        F.coalesce(F.lag("__closes").over(order), F.col("__last_closes")) if closes is not None else None,
-        F.coalesce(F.lag(time).over(order), F.col("__last_time")) if gap is not None else None,
+    facts = [F.count(F.lit(1)).alias("__n"), *(F.max_by(f"__{name}", last).alias(f"__last_{name}") for name in watched)]
+    carry = edges.groupBy(*part).agg(*facts).withColumn("__offset", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    carry = carry.withColumns({f"__last_{name}": F.lag(f"__last_{name}").over(across) for name in watched}).drop("__n")
+
+    def started(frame: DataFrame) -> DataFrame:
+        placed = carried(frame, carry)
+        placed = placed.withColumn("position", (F.coalesce("__offset", F.lit(0)) + F.row_number().over(order)).cast("bigint"))
+        first = F.col("position") == 1
+
+        def previous(name: str) -> Column:
+            own = F.row_number().over(order) > 1
+            return F.when(own, F.lag(f"__{name}").over(order)).otherwise(F.col(f"__last_{name}"))
+
+        start = first
+        if closes is not None:
+            start = start | F.coalesce(previous("closes"), F.lit(False))
+        if gap is not None:
+            start = start | F.coalesce(F.col(time) > previous("due"), F.lit(False))
+        if runs is not None:
+            start = start | ~previous("run").eqNullSafe(F.col("__run"))
+        placed = placed.withColumn("__start", F.when(start, F.col("position")))
+        return placed.drop("__offset", *(f"__last_{name}" for name in watched))
+
+    numbered = started(rows)
+    if not watched:
+        numbered = numbered.withColumn("__segment", F.lit(1).cast("bigint"))
+    else:
+        closing = F.max(F.when(F.col("__closes"), F.col("position"))) if closes is not None else F.max(F.lit(None).cast("bigint"))
+        seen = started(edges).groupBy(*part).agg(F.max("__start").alias("__last_start"), closing.alias("__closing"))
+        seen = seen.withColumns({
+            "__last_start": F.max("__last_start").over(earlier),
+            "__closing": F.max("__closing").over(Window.partitionBy(*(keys or [F.lit(0)]))),
+        })
+        numbered = carried(numbered, seen)
+        running = F.max("__start").over(order.rowsBetween(Window.unboundedPreceding, 0))
+        numbered = numbered.withColumn("__segment", F.coalesce(running, F.col("__last_start")))
+        if closes is not None:
+            own = F.max(F.when(F.col("__closes"), F.col("position"))).over(Window.partitionBy(*part))
+            ends = F.when(F.col("__edge"), F.col("__closing")).otherwise(own)
+            numbered = numbered.withColumn("closed", F.coalesce(F.col("__segment") <= ends, F.lit(False)))
+        numbered = numbered.drop("__last_start", "__closing")
+    since = F.col("position") - F.col("__segment")
+    if count is not None:
+        since = since % (F.lit(count) if isinstance(count, int) else as_col(count))
+    done = (
+        numbered.withColumn("group_pos", (since + 1).cast("bigint"))
+        .withColumn("group_start", F.col("position") - F.col("group_pos") + 1)
+        .drop("__segment", "__start", "__chunk", "__edge", *(f"__{name}" for name in watched))
     )
-    rows = rows.withColumn("__start", F.when(start, F.col("position")))
-
-    # Again one row per chunk: the last group start, and the last closing row of the key.
-    facts = [F.max("__start").alias("__last_start")]
-    if closes is not None:
-        facts.append(F.max(F.when(F.col("__closes"), F.col("position"))).alias("__closing"))
-    opened = rows.groupBy(*chunk).agg(*facts)
-    opened = opened.withColumn("__last_start", F.max("__last_start").over(before))
-    if closes is not None:
-        opened = opened.withColumn("__closing", F.max("__closing").over(Window.partitionBy("__hot")))
-    rows = rows.join(F.broadcast(opened), chunk)
-    running = F.max("__start").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("__segment", F.coalesce(running, F.col("__last_start")))
-    if closes is not None:
-        rows = rows.withColumn("closed", F.coalesce(F.col("__segment") <= F.col("__closing"), F.lit(False)))
-    return rows.drop(*chunk, "__offset", "__start", "__last_start", "__closing", "__last_closes", "__last_time")
+    return done if then is None else then(done)
 
 
 def lists_of(
@@ -200,9 +165,9 @@ def lists_of(
     rows: int,
     *,
     facts: list[Column] | None = None,
-    hot_rows: int | None = None,
+    chunks: int | None = None,
 ) -> DataFrame:
-    """Per key the items in order, in lists of at most ``rows``: ``part`` 0, 1, ... and ``items``."""
+    """Per key the items in order, in pages of ``rows``: ``part`` 0, 1, ... and ``items``."""
     part = F.floor((F.col("position") - 1) / rows).cast("bigint")
 
     def listed(placed: DataFrame) -> DataFrame:
@@ -211,4 +176,4 @@ def lists_of(
             F.count(F.lit(1)).alias("n"), *(facts or []), F.transform(gathered, lambda one: one["item"]).alias("items")
         )
 
-    return number_groups(df, keys, order_by, hot_rows=hot_rows, then=listed)
+    return number_groups(df, keys, order_by, chunks=chunks, then=listed)

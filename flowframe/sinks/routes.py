@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from flowframe.functions.columns import as_col, fixed_or_expr
 from flowframe.functions.patterns import simple_pattern
+from flowframe.plans.scratch import qualified, task_store
 
 # The headers that route a document.
 INDEX_ID = "INDEX_ID"
@@ -50,24 +53,28 @@ def last_documents(df: DataFrame, order_by: list[str]) -> DataFrame:
     return named.unionByName(unnamed).select("index", "id", "__last.*")
 
 
-def bulk_write(df: DataFrame, write, *, batch_rows: int = 1000) -> DataFrame:
+def bulk_write(
+    df: DataFrame, write: Callable[[], Callable[[pa.RecordBatch], list[str | None]]], *, batch_rows: int = 1000
+) -> DataFrame:
     """Send rows in bulk from each task; gives one (index, id, error) row per item.
 
-    ``write`` is called once per task and returns a function from a list of row
-    dictionaries to a list of error texts (None where an item went well).
+    ``write`` is called once per task and returns a function from a record batch with
+    ``index``, ``id``, ``doc`` and, where the frame has it, ``routing`` to a list of
+    error texts (None where an item went well). A timeout is the client's own setting.
     """
-    out = T.StructType([T.StructField(name, T.StringType()) for name in ("index", "id", "error")])
+    sent = ["index", "id", "doc", *(["routing"] if "routing" in df.columns else [])]
 
     def send(batches):
+        import pyarrow as pa
+
         bulk = write()
         for batch in batches:
-            for start in range(0, len(batch), batch_rows):
-                part = batch.iloc[start:start + batch_rows]
-                result = part[["index", "id"]].copy()
-                result["error"] = bulk(part.to_dict("records"))
-                yield result
+            for start in range(0, batch.num_rows, batch_rows):
+                part = batch.slice(start, batch_rows)
+                errors = pa.array(bulk(part), pa.string())
+                yield pa.RecordBatch.from_arrays([part.column("index"), part.column("id"), errors], names=["index", "id", "error"])
 
-    return df.select("index", "id", "doc").mapInPandas(send, out)
+    return df.select(*sent).mapInArrow(send, "index string, id string, error string")
 
 
 def bulk_result_check(
@@ -89,12 +96,21 @@ def bulk_result_check(
     return requests.select(*bulk, "items", "failed", F.array_join(texts, " : ").alias("message"))
 
 
-def raise_bulk_errors(results: DataFrame, *, error: str = "error") -> None:
-    """Fail if any item failed; the message holds each distinct error once."""
-    kinds = results.filter(F.col(error).isNotNull()).groupBy(error).agg(F.count(F.lit(1)).alias("n"))
-    worst = kinds.orderBy(F.desc("n"), error).limit(20).collect()
-    if worst:
-        raise RuntimeError(" : ".join(row[error] for row in worst))
+class BulkError(RuntimeError):
+    """A bulk request with failed items; ``table`` holds the message of every request that failed."""
+
+    def __init__(self, requests: int, items: int, first: str, table: str):
+        super().__init__(f"{items} items of {requests} bulk requests failed, all of them in {table}: {first}")
+        self.requests, self.items, self.table = requests, items, table
+
+
+def raise_bulk_errors(requests: DataFrame, path: str) -> None:
+    """Fail if any request did: takes the rows of ``bulk_result_check`` and writes them all to ``path`` first."""
+    requests.write.mode("overwrite").parquet(path)
+    failed = requests.sparkSession.read.schema(requests.schema).parquet(path)
+    totals = failed.agg(F.count(F.lit(1)).alias("n"), F.sum("failed").alias("items"), F.min("message").alias("first")).first()
+    if totals["n"]:
+        raise BulkError(totals["n"], totals["items"], totals["first"], path)
 
 
 def with_suffix(name: Column, suffix: str | None) -> Column:
@@ -125,15 +141,19 @@ def file_write(
 
 def write_partitioned(
     df: DataFrame, path: str, by: list[str], *, content: str = "content", mode: str = "append",
-    files_each: int | None = None, share_by: str | Column | None = None,
+    files_each: int | None = None, share_by: str | Column | None = None, line_end: str = "\n",
 ) -> None:
-    """Write lines under one folder per destination.
+    """Write records under one folder per destination, as lines of UTF-8.
 
-    Without ``files_each`` nothing is shuffled and each task writes a file per
-    destination it meets. With it the rows of a destination are first brought
-    into that many shares, for few files; a large destination needs several.
+    ``mode`` is what to do with what is there: append, overwrite, ignore or error.
+    Each record ends with ``line_end``; bytes as they are, exact names, other charsets
+    and metadata go through ``write_objects``. Without ``files_each`` nothing is shuffled and each task writes
+    a file per destination it meets. With it the rows of a destination are first
+    brought into that many shares, for few files; a large destination needs several.
     ``share_by`` (the content unless given) should differ between its rows.
     """
+    if dict(df.dtypes)[content] == "binary":
+        raise ValueError("write bytes with write_objects: lines would change them")
     rows = df.select(
         *by, F.col(content).cast("string").alias("value"),
         *([] if share_by is None else [as_col(share_by).alias("__share_by")]),
@@ -141,7 +161,7 @@ def write_partitioned(
     if files_each is not None:
         share = F.pmod(F.xxhash64("value" if share_by is None else "__share_by"), F.lit(files_each))
         rows = rows.withColumn("__share", share).repartition(*by, "__share")
-    rows.select(*by, "value").write.partitionBy(*by).mode(mode).text(path)
+    rows.select(*by, "value").write.partitionBy(*by).mode(mode).option("lineSep", line_end).text(path)
 
 
 def object_write(
@@ -172,39 +192,55 @@ def object_write(
     )
 
 
-def write_objects(df: DataFrame, root: str, path: list[str], *, content: str = "content") -> DataFrame:
-    """Write each row's content to its own object; gives the path and the bytes written.
-
-    The object lies under ``root`` at the ``path`` columns joined by slashes, as
-    bytes are, or as UTF-8 text. A task that is run again writes the same
-    objects. An action on the result runs it.
+def write_objects(
+    df: DataFrame, root: str, path: list[str], *, content: str = "content", exists: str = "replace",
+    charset: str = "UTF-8", metadata: str | None = None,
+) -> DataFrame:
+    """Write each row's content to its own object; gives ``path``, ``size`` and ``outcome``.
+
+    The object lies under ``root`` at the ``path`` columns joined by slashes: binary as
+    it is, text in ``charset``. A root without a scheme is one of Spark's default file
+    system. ``exists`` is what happens to an object that is there: ``replace``,
+    ``ignore``, ``append`` (text files of stores that can) or ``fail``. ``metadata`` is a
+    map column (an ACL among it, say) that goes to the store with the object. A task
+    that is run again writes the same objects, but for ``append``. An action on the
+    result runs it.
     """
-    place = F.concat_ws("/", F.lit(root.rstrip("/")), *path)
+    if exists not in ("replace", "ignore", "append", "fail"):
+        raise ValueError(f"'{exists}' is not one of replace, ignore, append and fail")
+    place = F.concat_ws("/", F.lit(qualified(df.sparkSession, root).rstrip("/")), *path)
 
     def put(batches):
-        import pandas as pd
+        import pyarrow as pa
         from pyarrow import fs
 
         store, made = None, set()
         for batch in batches:
-            sizes = []
-            for uri, data in zip(batch["path"], batch["data"]):
-                if store is None:
-                    store = fs.LocalFileSystem() if uri.startswith(("/", "file:")) else fs.FileSystem.from_uri(uri)[0]
-                target = uri.removeprefix("file://").removeprefix("file:") if uri.startswith("file:") else (
-                    uri if uri.startswith("/") else uri.split("://", 1)[1]
-                )
+            sizes, outcomes = [], []
+            for uri, data, facts in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                own, target = task_store(uri)
+                store = store or own
                 folder = target.rsplit("/", 1)[0]
                 if folder not in made:
                     store.create_dir(folder, recursive=True)
                     made.add(folder)
-                with store.open_output_stream(target) as out:
-                    out.write(bytes(data))
-                sizes.append(len(data))
-            yield pd.DataFrame({"path": batch["path"], "size": sizes})
-
-    data = F.col(content).cast("binary").alias("data")
-    return df.select(place.alias("path"), data).mapInPandas(put, "path string, size bigint")
+                there = exists != "replace" and store.get_file_info(target).type != fs.FileType.NotFound
+                if there and exists == "fail":
+                    raise FileExistsError(uri)
+                if not (there and exists == "ignore"):
+                    open_stream = store.open_append_stream if there else store.open_output_stream
+                    with open_stream(target, metadata=dict(facts) if facts else None) as out:
+                        out.write(data or b"")
+                sizes.append(len(data or b""))
+                outcomes.append("ignored" if there and exists == "ignore" else "written")
+            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(outcomes, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "size", "outcome"])
+
+    binary = dict(df.dtypes)[content] == "binary"
+    data = F.col(content) if binary else F.encode(F.col(content).cast("string"), charset)
+    facts = F.lit(None).cast("map<string,string>") if metadata is None else F.col(metadata)
+    rows = df.select(place.alias("path"), data.alias("data"), facts.alias("facts"))
+    return rows.mapInArrow(put, "path string, size bigint, outcome string")
 
 
 def collection_write(
@@ -325,15 +361,26 @@ def log_write(
 
 
 def write_log(lines: DataFrame) -> None:
-    """Log the rows of ``log_write`` where they are, in the tasks."""
+    """Log the rows of ``log_write`` where they are, in the tasks, on the workers' error stream.
+
+    The logger takes the level of the lines, so that every line appears at any level.
+    """
 
-    def log(rows):
+    def log(batches):
         import logging
+        import sys
 
         numbers = {"FATAL": 50, "TRACE": 5}
-        for row in rows:
-            level = numbers.get(row["level"]) or logging.getLevelName(row["level"])
-            logging.getLogger(row["logger"]).log(level, row["text"])
-
-    lines.select("level", "logger", "text").foreachPartition(log)
-
+        shown = logging.StreamHandler(sys.stderr)
+        shown.setFormatter(logging.Formatter("%(levelname)s %(name)s %(message)s"))
+        for batch in batches:
+            for level, name, text in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                logger = logging.getLogger(f"flowframe.lines.{name}")
+                if not logger.handlers:
+                    logger.addHandler(shown)
+                    logger.propagate = False
+                    logger.setLevel(1)
+                logger.log(numbers.get(level) or logging.getLevelName(level), text)
+            yield batch.slice(0, 0)
+
+    lines.select("level", "logger", "text").mapInArrow(log, "level string, logger string, text string").write.format("noop").mode("overwrite").save()

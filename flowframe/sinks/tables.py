@@ -33,6 +33,12 @@ def _resolves(df: DataFrame, expression: str | Column) -> bool:
         return False
 
 
+def tried_casts(expression: str) -> str:
+    """The expression with ``try_cast`` for ``cast``, outside of quoted text."""
+    parts = re.split(r"('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`)", expression)
+    return "".join(p if k % 2 else re.sub(r"(?i)(?<![\w.])cast(?=\s*\()", "try_cast", p) for k, p in enumerate(parts))
+
+
 def column_map_insert(
     df: DataFrame,
     columns: str | dict[str, str | Column] = DEFAULT_COLUMNS,
@@ -42,10 +48,11 @@ def column_map_insert(
 ) -> DataFrame:
     """The rows to insert: one column per ``column:expression`` of the mapping.
 
-    An expression is tried as it is written, then with ``payload.`` in front;
-    what resolves neither way is null. ``payload_type`` is the declared type of
-    a JSON text payload, whose fields the mapping may then name. Errors of a
-    value (a cast, a missing key) are nulls under Spark's ``try_`` functions.
+    An expression is tried as it is written, then with ``payload.`` in front, and
+    the first value that is not null counts, row by row; what resolves neither way
+    is null. ``payload_type`` is the declared type of a JSON text payload, whose
+    fields the mapping may then name. Casts in the mapping's text are tried casts: a
+    value that does not fit is null and fails no other row.
     """
     rows = df
     if payload_type is not None:
@@ -54,10 +61,11 @@ def column_map_insert(
     chosen = [F.col(name) for name in keep or []]
     for name, expression in mapping.items():
         candidates = [expression] if isinstance(expression, Column) else [
-            expression, *([] if expression.startswith("payload") else [f"payload.{expression}"])
+            tried_casts(c) for c in (expression, *([] if expression.startswith("payload") else [f"payload.{expression}"]))
         ]
-        fit = next((as_col(c) for c in candidates if _resolves(rows, c)), None)
-        chosen.append((F.lit(None).cast("string") if fit is None else fit).alias(name))
+        fits = [as_col(c) for c in candidates if _resolves(rows, c)]
+        both = len(fits) > 1 and len({rows.select(fit).dtypes[0][1] for fit in fits}) == 1
+        chosen.append((F.coalesce(*fits) if both else fits[0] if fits else F.lit(None).cast("string")).alias(name))
     return rows.select(*chosen)
 
 
@@ -66,7 +74,7 @@ def jdbc_write(
     options: dict[str, str] | None = None,
 ) -> None:
     """Append rows to a database table, ``batch_rows`` per statement, ``writers`` connections at most."""
-    rows = df if writers is None else df.coalesce(writers)
+    rows = df if writers is None else df.repartition(writers)
     rows.write.format("jdbc").option("url", url).option("dbtable", table).option(
         "batchsize", batch_rows
     ).options(**(options or {})).mode("append").save()
@@ -113,7 +121,7 @@ def batch_flush(
     time: str | None = None,
     kind: str | Column = "'all'",
     payload: str | Column = "payload",
-    hot_rows: int | None = None,
+    chunks: int | None = None,
 ) -> DataFrame:
     """The batches a buffering sink writes: full ones, and what an idle time leaves.
 
@@ -122,7 +130,7 @@ def batch_flush(
     """
     return aggregate(
         df, {"kind": kind}, order_by, payload=payload, count=batch_rows, gap=idle, time=time,
-        partial=True, hot_rows=hot_rows,
+        partial=True, chunks=chunks,
     )
 
 
@@ -206,8 +214,8 @@ def live_rows(table: DataFrame, now: str | Column) -> DataFrame:
 
 
 def flush_numbers(df: DataFrame, order_by: list[str], batch_rows: int, *, kind: str = "kind",
-                  hot_rows: int | None = None) -> DataFrame:
+                  chunks: int | None = None) -> DataFrame:
     """Tag each row with the number of the batch it is written in."""
-    placed = number_groups(df, [kind], order_by, count=batch_rows, hot_rows=hot_rows)
+    placed = number_groups(df, [kind], order_by, count=batch_rows, chunks=chunks)
     number = F.floor((F.col("position") - 1) / batch_rows).cast("bigint")
     return placed.withColumn("batch_no", number).drop("position", "group_start", "group_pos")

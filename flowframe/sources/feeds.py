@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from flowframe.functions.columns import as_col
 from flowframe.functions.patterns import full_match, quote, simple_pattern
 from flowframe.plans.ordered import lists_of, number_groups
+from flowframe.plans.scratch import path_exists
 
 
 def kafka_stream(
@@ -30,7 +31,7 @@ def record_stream_source(
     topics: list[str] | None = None,
     pattern: str | None = None,
     batch_rows: int | None = None,
-    hot_rows: int | None = None,
+    chunks: int | None = None,
 ) -> DataFrame:
     """Records of the chosen topics, one per row, or in batches per topic partition.
 
@@ -46,7 +47,7 @@ def record_stream_source(
     home = ["topic", "partition"]
     lists = lists_of(
         rows.select(*home, "offset", "value"), home, ["offset"], F.col("value"), batch_rows,
-        facts=[F.min("offset").alias("first_offset")], hot_rows=hot_rows,
+        facts=[F.min("offset").alias("first_offset")], chunks=chunks,
     )
     return lists.withColumnsRenamed({"part": "batch", "items": "payload"})
 
@@ -121,71 +122,44 @@ def without_tombstones(df: DataFrame, payload: str = "payload") -> DataFrame:
     return df.filter(F.col(payload).isNotNull())
 
 
-UNBOUNDED = -1
-
-
-@dataclass(frozen=True)
-class PageCursor:
-    """Where a paged, newest-first read stands between two requests.
-
-    ``since`` is the highest id already read (exclusive lower bound), ``upto`` the
-    inclusive upper bound of the next page, ``seen_top`` the highest id of the
-    current pass and ``left`` the pages left in it. -1 means unbounded.
-    """
-
-    pages: int
-    until_empty: bool = False
-    since: int = UNBOUNDED
-    upto: int = UNBOUNDED
-    seen_top: int = UNBOUNDED
-    left: int | None = None
-
-    def __post_init__(self):
-        if self.pages < 1:
-            raise ValueError("at least one page is needed")
-        if self.left is None:
-            object.__setattr__(self, "left", self.pages - 1)
-
-    def advance(self, lowest: int | None, highest: int | None) -> PageCursor:
-        """The cursor after a page with these lowest and highest ids (None: empty page)."""
-        now = self
-        if lowest is not None and highest is not None:
-            if highest < self.since:
-                raise ValueError(f"page top {highest} lies below the since id {self.since}")
-            now = replace(now, upto=lowest - 1, seen_top=max(self.seen_top, highest))
-        out_of_pages = self.left <= 0
-        by_empty_page = self.until_empty and self.since != UNBOUNDED
-        if (lowest is None) if by_empty_page else out_of_pages:
-            top = max(now.since, now.upto + 1, now.seen_top)
-            now = replace(now, since=top, upto=UNBOUNDED, seen_top=UNBOUNDED, left=self.pages)
-        return replace(now, left=now.left - 1)
-
-
-def read_page(df: DataFrame, cursor: PageCursor, page_size: int, *, id_column: str = "id") -> DataFrame:
-    """The next page: the highest ids between the cursor's bounds. Bounds reach the scan."""
-    rows = df
-    if cursor.since != UNBOUNDED:
-        rows = rows.filter(F.col(id_column) > cursor.since)
-    if cursor.upto != UNBOUNDED:
-        rows = rows.filter(F.col(id_column) <= cursor.upto)
-    return rows.orderBy(F.col(id_column).desc()).limit(page_size)
-
-
 def incremental_read(
-    df: DataFrame, since: int | None, *, id_column: str = "id", page_size: int, hot_rows: int | None = None
+    df: DataFrame, since: int | None, *, id_column: str = "id", page_size: int | None = None, chunks: int | None = None
 ) -> DataFrame:
-    """Everything above the mark, with the ``page`` (newest first) each row falls on.
+    """Everything above the stored mark; the filter reaches the scan.
 
-    One run reads all pages that single requests would; the highest id is the
-    next run's mark.
+    With ``page_size`` each row gets the ``page`` (newest first) that it falls on.
+    The highest id read (``high_mark``) is the next run's mark.
     """
     rows = df if since is None else df.filter(F.col(id_column) > since)
+    if page_size is None:
+        return rows
     rows = rows.withColumn("__newest", -F.col(id_column))
-    placed = number_groups(rows, [], ["__newest"], count=page_size, hot_rows=hot_rows)
+    placed = number_groups(rows, [], ["__newest"], count=page_size, chunks=chunks)
     page = F.floor((F.col("position") - 1) / page_size).cast("bigint")
     return placed.withColumn("page", page).drop("__newest", "position", "group_start", "group_pos")
 
 
+def read_new(
+    df: DataFrame, mark_path: str, deliver: Callable[[DataFrame], None], *, id_column: str = "id"
+) -> int | None:
+    """One polling run: what lies above the mark kept at ``mark_path`` goes to ``deliver``, then the mark moves on.
+
+    If ``deliver`` fails the mark stays, and the next run reads the same rows again.
+    Gives the new mark; None while nothing was ever read.
+    """
+    spark = df.sparkSession
+    marks = spark.read.parquet(mark_path) if path_exists(spark, mark_path) else None
+    since = None if marks is None else high_mark(marks, "since").first()["since"]
+    rows = incremental_read(df, since, id_column=id_column)
+    top = high_mark(rows, id_column).first()["since"]
+    if top is None:
+        return since
+    # Rows that come in meanwhile lie above the mark and wait for the next run.
+    deliver(rows.filter(F.col(id_column) <= top))
+    spark.range(1).select(F.lit(top).alias("since")).write.mode("append").parquet(mark_path)
+    return top
+
+
 def high_mark(df: DataFrame, id_column: str = "id") -> DataFrame:
     """The highest id, to be kept as the next run's ``since``."""
     return df.agg(F.max(id_column).alias("since"))

@@ -9,6 +9,7 @@ from flowframe.functions.columns import as_col, text_of, text_or_null
 from flowframe.functions.patterns import ant_to_regex, full_match
 from flowframe.operators.split import marker_json
 from flowframe.plans.ordered import number_groups
+from flowframe.plans.scratch import qualified, task_store
 
 
 def file_contents_scan(spark: SparkSession, path: str | list[str], *, glob: str | None = None) -> DataFrame:
@@ -32,7 +33,7 @@ def file_lines_scan(
     glob: str | None = None,
     charset: str = "UTF-8",
     numbered: bool = False,
-    hot_rows: int | None = None,
+    chunks: int | None = None,
 ) -> DataFrame:
     """One row per line. Large files are read in splits by many tasks.
 
@@ -59,7 +60,7 @@ def file_lines_scan(
     )
     if not numbered:
         return rows
-    placed = number_groups(rows, ["path"], ["split_start", "line_id"], hot_rows=hot_rows)
+    placed = number_groups(rows, ["path"], ["split_start", "line_id"], chunks=chunks)
     return placed.withColumnRenamed("position", "line_no").drop("group_pos", "group_start")
 
 
@@ -73,16 +74,16 @@ def with_markers(
     body = lines.select(
         F.col(path).alias("path"), F.col(line_no).cast("bigint").alias("seq"), F.col(payload).alias("payload")
     )
-    counts = lines.groupBy(F.col(path).alias("path")).agg(F.count(F.lit(1)).alias("n"))
-    ends = counts.select(
+    # The counts need the numbers only, so the second read of the lines carries no text.
+    counts = lines.groupBy(F.col(path).alias("path")).agg(F.max(line_no).cast("bigint").alias("n"))
+    marks = counts.select(
         "path",
-        F.posexplode(
-            F.array(marker_json("path", "START", F.lit(0)), marker_json("path", "END", F.col("n")))
-        ).alias("end", "payload"),
-        "n",
-    )
-    marks = ends.select(
-        "path", F.when(F.col("end") == 0, F.lit(0)).otherwise(F.col("n") + 1).cast("bigint").alias("seq"), "payload"
+        F.inline(
+            F.array(
+                F.struct(F.lit(0).cast("bigint").alias("seq"), marker_json("path", "START", F.lit(0)).alias("payload")),
+                F.struct((F.col("n") + 1).alias("seq"), marker_json("path", "END", F.col("n")).alias("payload")),
+            )
+        ),
     )
     return body.unionByName(marks)
 
@@ -165,27 +166,24 @@ def plan_disposition(
 def apply_disposition(plan: DataFrame) -> DataFrame:
     """Delete or move the files of a plan, in tasks; gives ``path`` and ``outcome``.
 
-    Safe to repeat: a file that is already gone counts as done. An action on the
-    result runs it, so write the outcome to a table.
+    A path without a scheme is one of Spark's default file system. Safe to repeat: a
+    file that is already gone counts as done. An action on the result runs it, so
+    write the outcome to a table.
     """
+    root = qualified(plan.sparkSession, "/").rstrip("/")
 
     def act(batches):
         import posixpath
-        from urllib.parse import quote, unquote, urlparse
 
-        import pandas as pd
+        import pyarrow as pa
         from pyarrow import fs
 
         def opened(uri):
-            if uri.startswith("file:"):
-                return fs.LocalFileSystem(), unquote(urlparse(uri).path)
-            if ":" not in uri:
-                return fs.LocalFileSystem(), uri
-            return fs.FileSystem.from_uri(quote(uri, safe=":/%"))
+            return task_store(uri if ":" in uri.split("/", 1)[0] else root + uri)
 
         for batch in batches:
             outcomes = []
-            for source, action, target in zip(batch["path"], batch["action"], batch["target"]):
+            for source, action, target in zip(*(batch.column(k).to_pylist() for k in ("path", "action", "target")), strict=True):
                 store, place = opened(source)
                 if action == "leave":
                     outcomes.append("left")
@@ -199,13 +197,17 @@ def apply_disposition(plan: DataFrame) -> DataFrame:
                     store.create_dir(posixpath.dirname(to), recursive=True)
                     store.move(place, to)
                     outcomes.append("renamed")
-            yield pd.DataFrame({"path": batch["path"], "outcome": outcomes})
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(outcomes, pa.string())], names=["path", "outcome"])
+
+    return plan.select("path", "action", "target").mapInArrow(act, "path string, outcome string")
+
 
-    return plan.mapInPandas(act, "path string, outcome string")
+# Fixed value: the header that names the server a file came from.
+SERVER_HEADER = "sftp_selectedServer"
 
 
 def multi_source_read(
-    spark: SparkSession, sources: list[str], directories: dict[str, str], *, header: str = "sftp_selectedServer"
+    spark: SparkSession, sources: list[str], directories: dict[str, str], *, header: str = SERVER_HEADER
 ) -> DataFrame:
     """Lines of several ``server.directory`` sources; the server's name goes to a header.
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowframe.plans.ordered import lists_of
-
-LIST_ROWS = 100_000
-
+from flowframe.plans.scratch import cut_lineage, path_exists
 
 def sql_query_source(
     spark: SparkSession, query: str, tables: dict[str, DataFrame] | None = None, *, max_rows: int = 0
@@ -27,9 +27,13 @@ def jdbc_query_source(
     """A query sent to a database as it is.
 
     For a parallel read give ``partitionColumn``, ``lowerBound``, ``upperBound``
-    and ``numPartitions`` in ``options``; the query then runs as a subquery.
+    and ``numPartitions`` in ``options``; the query then runs as a subquery. Without
+    them, and without ``max_rows``, the read is refused: all rows would come
+    through one task.
     """
     options = options or {}
+    if "partitionColumn" not in options and max_rows <= 0:
+        raise ValueError("give partitionColumn and its bounds, or max_rows")
     reader = spark.read.format("jdbc").option("url", url).options(**options)
     if "partitionColumn" in options:
         reader = reader.option("dbtable", f"({query}) rows_of")
@@ -39,47 +43,41 @@ def jdbc_query_source(
     return rows.limit(max_rows) if max_rows > 0 else rows
 
 
-def rows_or_list(
-    df: DataFrame,
-    order_by: list[str],
-    *,
-    split: bool = True,
-    list_rows: int = LIST_ROWS,
-    hot_rows: int | None = None,
-) -> DataFrame:
-    """The rows as they are, or with ``split=False`` as lists of rows in order.
+def rows_or_list(df: DataFrame, order_by: list[str], *, list_rows: int | None = None, chunks: int | None = None) -> DataFrame:
+    """The rows as they are, or as lists of ``list_rows`` rows in order: ``part`` 0, 1, ...
 
-    A result of more than ``list_rows`` rows comes as several lists, ``part`` 0,
-    1, ...: one list of all rows would have to fit into one task.
+    One list of all rows would have to fit into one task, so the caller says how
+    long a list may be.
     """
-    if split:
+    if list_rows is None:
         return df
-    lists = lists_of(df, [], order_by, F.struct(*df.columns), list_rows, hot_rows=hot_rows)
+    lists = lists_of(df, [], order_by, F.struct(*df.columns), list_rows, chunks=chunks)
     return lists.withColumnRenamed("items", "payload")
 
 
 def unseen_rows(df: DataFrame, seen: DataFrame, key: list[str]) -> DataFrame:
-    """The rows whose key is not in the table of seen keys."""
-    return df.join(seen.select(*key), key, "left_anti")
+    """The rows whose key is not in the table of seen keys; null is a key like any other."""
+    named = seen.select(*[F.col(name).alias(f"__{name}") for name in key])
+    same = F.lit(True)
+    for name in key:
+        same = same & F.col(name).eqNullSafe(F.col(f"__{name}"))
+    return df.join(named, same, "left_anti")
 
 
-def mark_seen(df: DataFrame, seen_path: str, key: list[str]) -> DataFrame:
+def mark_seen(
+    df: DataFrame, seen_path: str, key: list[str], deliver: Callable[[DataFrame], None] | None = None
+) -> DataFrame:
     """Rows not read before; remembers them, so that the next call leaves them out.
 
-    The ids go to ``seen_path`` first and the rows are read by those ids, so the
-    rows returned are exactly the rows marked.
+    The fresh rows are written to the shared folder first. ``deliver`` gets them and
+    runs before their keys are marked: if it fails, the next call gives them again
+    (at least once). Without it the rows returned are marked already (at most once).
     """
-    from flowframe.plans.scratch import cut_lineage
-
     spark = df.sparkSession
-    try:
-        seen = spark.read.parquet(seen_path)
-        fresh = unseen_rows(df, seen, key)
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        fresh = df
-    fresh = cut_lineage(fresh)
+    seen = spark.read.schema(df.select(*key).schema).parquet(seen_path) if path_exists(spark, seen_path) else None
+    fresh = cut_lineage(df if seen is None else unseen_rows(df, seen, key))
+    if deliver is not None:
+        deliver(fresh)
     fresh.select(*key).distinct().write.mode("append").parquet(seen_path)
     return fresh
 
@@ -112,16 +110,16 @@ def document_query(
     return df.filter(F.exists(F.array(F.try_parse_json(F.col(document))), fits))
 
 
-def document_rows(df: DataFrame, columns: list[str] | None = None, *, group_by: list[str] | None = None,
-                  order_by: list[str] | None = None, list_rows: int = LIST_ROWS,
-                  hot_rows: int | None = None) -> DataFrame:
-    """Rows as JSON messages: one object per row, or one array per group.
-
-    An array holds at most ``list_rows`` objects; further ones follow as the next ``part``.
-    """
+def document_rows(
+    df: DataFrame, columns: list[str] | None = None, *, group_by: list[str] | None = None,
+    order_by: list[str] | None = None, list_rows: int | None = None, chunks: int | None = None,
+) -> DataFrame:
+    """Rows as JSON messages: one object per row, or arrays of ``list_rows`` objects per group, ``part`` 0, 1, ..."""
     body = F.struct(*(columns or df.columns))
     json_type = F.create_map(F.lit("contentType"), F.lit("application/json")).alias("headers")
     if group_by is None:
         return df.select(F.to_json(body).alias("payload"), json_type)
-    lists = lists_of(df, group_by, order_by or [], body, list_rows, hot_rows=hot_rows)
+    if list_rows is None:
+        raise ValueError("say how many objects an array may hold")
+    lists = lists_of(df, group_by, order_by or [], body, list_rows, chunks=chunks)
     return lists.select(*group_by, "part", F.to_json("items").alias("payload"), json_type)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowframe.functions.columns import as_col, text_of
+from flowframe.functions.columns import as_col
 from flowframe.operators.split import split_expression
 
 # The line shapes of RFC 3164 and RFC 5424.
@@ -82,20 +82,24 @@ def frame_split(
 ) -> DataFrame:
     """Cut captured data into records, one row each, with ``record_error``.
 
-    Delimiters: CRLF, LF, NULL, STXETX. Length prefixes: L1, L2, L4, on binary
-    data. RAW takes the whole input. Faulty records stay, marked: those above
-    ``max_record`` bytes, what follows the last complete record, and text that
-    does not begin with STX where it must.
+    Delimiters: CRLF, LF, NULL, STXETX. Length prefixes: L1, L2, L4. RAW takes the
+    whole input. Records are binary, byte by byte as captured; text input counts as
+    UTF-8. Faulty records stay, marked: those above ``max_record`` bytes, what follows
+    the last complete record, and data that does not begin with STX where it must.
     """
     if encoding in LENGTH_BYTES:
         return _split_lengths(df, LENGTH_BYTES[encoding], payload, max_record)
     rows = df if payload == "payload" else df.withColumnRenamed(payload, "payload")
-    if dict(rows.dtypes)["payload"] == "binary":
-        rows = rows.withColumn("payload", text_of(F.col("payload")))
+    # One character per byte, so that no byte is lost on the way through text functions.
+    rows = rows.withColumn("payload", F.decode(F.col("payload").cast("binary"), "ISO-8859-1"))
     text = F.col("payload")
-    too_long = F.when(F.octet_length("payload") > max_record, F.lit("record too long"))
+    too_long = F.when(F.length("payload") > max_record, F.lit("record too long"))
+
+    def as_bytes(frame: DataFrame) -> DataFrame:
+        return frame.withColumn("payload", F.encode("payload", "ISO-8859-1"))
+
     if encoding == "RAW":
-        return split_expression(rows, F.array(text), correlate=correlate).withColumn("record_error", too_long)
+        return as_bytes(split_expression(rows, F.array(text), correlate=correlate).withColumn("record_error", too_long))
     end = DELIMITERS[encoding]
     rows = rows.withColumn("__open", (text != "") & ~text.endswith(end))
     parts = split_expression(rows, F.split(text, end), correlate=F.lit(None) if correlate is None else correlate)
@@ -110,7 +114,7 @@ def frame_split(
         parts = parts.withColumn("payload", F.when(begun, F.substring(text, F.lit(2), F.length(text))).otherwise(text))
     else:
         parts = parts.withColumn("record_error", error)
-    parts = parts.withColumn("record_error", F.coalesce("record_error", too_long))
+    parts = as_bytes(parts.withColumn("record_error", F.coalesce("record_error", too_long)))
     if correlate is None:
         return parts.drop("correlation_id", "sequence_number", "sequence_size", "__open", "__cut")
     size = F.col("sequence_size") - F.when(F.col("__open"), 0).otherwise(1)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowframe.functions.columns import as_col
-from flowframe.operators.aggregate import LIST_ROWS, Release, emit, number, prepare
+from flowframe.operators.aggregate import Release, emit, number, prepare
 from flowframe.streaming.flows import Snapshots
 
 
@@ -29,10 +29,6 @@ class BatchedAggregator:
     driver or executor neither drops nor doubles a group. Messages are taken in
     the order they came: by batch, then by ``order_by``.
 
-    Keys so large that they are cut into chunks leave a checkpoint per batch: for
-    a long stream let Spark remove old ones
-    (``spark.cleaner.referenceTracking.cleanCheckpoints``).
-
     A ``gap`` closes a group once the highest time seen is more than ``delay``
     past its end.
     """
@@ -49,16 +45,17 @@ class BatchedAggregator:
         where: str | Column | None = None,
         output: dict[str, Column] | None = None,
         delay: str = "0 seconds",
-        list_rows: int = LIST_ROWS,
-        hot_rows: int | None = None,
+        list_rows: int | None = None,
+        sort_by: list[str] | None = None,
+        chunks: int | None = None,
     ):
         place = state_path.rstrip("/")
         self.open, self.numbered = Snapshots(f"{place}/open"), Snapshots(f"{place}/numbered")
         self.output_path = output_path
         self.correlate, self.order_by, self.rule = correlate, order_by, rule
-        self.needs = {"payload": payload, "where": where, "output": output}
-        self.shape = {"output": output, "list_rows": list_rows}
-        self.delay, self.hot_rows = delay, hot_rows
+        self.needs = {"payload": payload, "where": where, "output": output, "sort_by": sort_by}
+        self.shape = {"output": output, "list_rows": list_rows, "sort_by": sort_by}
+        self.delay, self.chunks = delay, chunks
 
     @property
     def keys(self) -> list[str]:
@@ -75,7 +72,7 @@ class BatchedAggregator:
         left = self.open_rows(spark, batch_id - 1)
         rows = fresh if left is None else left.unionByName(fresh)
         # Numbered once, used three times; the slot is written over two batches later.
-        self.numbered.write(number(rows, self.keys, ["__batch", *self.order_by], self.rule, self.hot_rows), batch_id)
+        self.numbered.write(number(rows, self.keys, ["__batch", *self.order_by], self.rule, self.chunks), batch_id)
         numbered = self.numbered.read(spark, batch_id)
         tail = self._open_tail(numbered)
         same = F.lit(True)
@@ -117,7 +114,7 @@ class BatchedAggregator:
     def flush(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """The open groups after the last batch, as a timeout would release them."""
         left = self.open_rows(spark, batch_id)
-        numbered = number(left, self.keys, ["__batch", *self.order_by], self.rule, self.hot_rows)
+        numbered = number(left, self.keys, ["__batch", *self.order_by], self.rule, self.chunks)
         return emit(numbered, self.keys, self.rule, partial=True, **self.shape)
 
 
@@ -131,18 +128,19 @@ def keyed_aggregate(
     closes: str | Column | None = None,
     idle_seconds: float | None = None,
     time: str | None = None,
-    until: Callable[[list[str]], bool] | None = None,
-    list_rows: int = LIST_ROWS,
+    until: Callable[[object, str], tuple[object, bool]] | None = None,
+    list_rows: int | None = None,
 ) -> DataFrame:
     """Groups of a streaming frame as (key, n, reason, payloads), held in the state store.
 
     Rows of a key are taken in ``order_by`` within a micro-batch. ``until`` is a
-    rule over the whole open group: a function of its payloads, asked after each
-    message, that says whether to release it. With
-    ``idle_seconds`` the frame needs a watermark on ``time``: an event-time timer
-    releases a group that got no further message, as reason ``timeout``. A group
-    longer than ``list_rows`` comes out piece by piece, the first ones as reason
-    ``part``, so neither state nor memory grows with it. Rows that arrive behind
+    rule over the whole open group, carried from message to message: it gets what
+    it gave before (None for a new group) and the payload, and gives a small value
+    to carry on and whether to release. With ``idle_seconds`` the frame needs a watermark on ``time``: an event-time timer
+    releases a group that got no further message, as reason ``timeout``. Where
+    no ``count`` bounds a group, ``list_rows`` is required: groups come out in pieces
+    of that many messages, all but the last as reason ``part``, so neither state nor
+    memory grows with a group. Rows that arrive behind
     the watermark are dropped by Spark: choose its delay by the latest ones to
     come, or use ``BatchedAggregator``, which takes every row.
     """
@@ -150,6 +148,8 @@ def keyed_aggregate(
         raise ValueError("give a release rule: count, closes, until or idle_seconds")
     if idle_seconds is not None and time is None:
         raise ValueError("an idle time needs the time column it is measured on")
+    if count is None and list_rows is None:
+        raise ValueError("say how many messages a piece of a group may hold")
     at = F.unix_micros(F.col(time).cast("timestamp")) if time is not None else F.lit(0).cast("bigint")
     # Spark allows one watermarked column, so the time is ordered by as a number.
     order = [at if name == time else F.col(name) for name in order_by]
@@ -178,7 +178,9 @@ def keyed_aggregate(
     )
 
 
-def _processor(count: int | None, idle: int | None, until, list_rows: int):
+def _processor(count: int | None, idle: int | None, until, list_rows: int | None):
+    import pickle
+
     import pandas as pd
     from pyspark.sql.streaming import StatefulProcessor
 
@@ -189,32 +191,37 @@ def _processor(count: int | None, idle: int | None, until, list_rows: int):
             self.handle = handle
             self.open = handle.getListState("open", "payload string")
             self.last = handle.getValueState("last", "at bigint")
+            self.carried = handle.getValueState("carried", "value binary")
 
         def handleInputRows(self, key, rows, timerValues):
             batch = pd.concat(list(rows), ignore_index=True)
             held = [row[0] for row in self.open.get()] if self.open.exists() else []
             last = self.last.get()[0] if self.last.exists() else None
+            carried = pickle.loads(self.carried.get()[0]) if self.carried.exists() else None
             done = []
             batch = batch.sort_values([name for name in batch.columns if name.startswith("order")], kind="stable")
             for at, closing, payload in zip(batch["at"].tolist(), batch["closes"].tolist(), batch["payload"].tolist()):
                 if idle is not None and held and last is not None and at - last > idle:
                     done.append(("timeout", held))
-                    held = []
-                if count is None and until is None and len(held) >= list_rows:
+                    held, carried = [], None
+                if list_rows is not None and len(held) >= list_rows:
                     done.append(("part", held))
                     held = []
                 held.append(payload)
-                last = at
-                if closing or (until is not None and until(held)):
+                last, full = at, False
+                if until is not None:
+                    carried, full = until(carried, payload)
+                if closing or full:
                     done.append(("closed", held))
-                    held = []
+                    held, carried = [], None
                 elif count is not None and len(held) >= count:
                     done.append(("count", held))
-                    held = []
+                    held, carried = [], None
             self.open.clear()
             if held:
                 self.open.put([(one,) for one in held])
             self.last.update((last,))
+            self.carried.update((pickle.dumps(carried),))
             if idle is not None:
                 for due in self.handle.listTimers():
                     self.handle.deleteTimer(due)
@@ -226,6 +233,7 @@ def _processor(count: int | None, idle: int | None, until, list_rows: int):
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
             held = [row[0] for row in self.open.get()] if self.open.exists() else []
             self.open.clear()
+            self.carried.clear()
             yield self._frame(key, [("timeout", held)] if held else [])
 
         def _frame(self, key, done):

@@ -14,32 +14,31 @@ def rows_of(df):
 
 
 def test_counter_by_name(spark):
-    df = spark.createDataFrame([("hello",)] * 13, "payload string")
-    assert rows_of(metrics.metric_counter(df, "payload")) == [("hello", 13.0)]
-    assert rows_of(metrics.metric_counter(df, "'n'", amount="length(payload)")) == [("n", 65.0)]
+    df = spark.createDataFrame([("maple",)] * 7 + [("elm",)] * 2, "payload string")
+    assert sorted(rows_of(metrics.metric_counter(df, "payload"))) == [("elm", 2.0), ("maple", 7.0)]
+    assert rows_of(metrics.metric_counter(df, "'n'", amount="length(payload)")) == [("n", 41.0)]
 
 
 def test_literal_tags_make_one_meter(spark):
-    df = spark.createDataFrame([("x",)] * 13, "payload string")
-    out = metrics.metric_counter(df, "'m'", fixed={"foo": "bar", "gork": "bork"})
-    assert out.columns == ["name", "tag_foo", "tag_gork", "amount"]
-    assert rows_of(out) == [("m", "bar", "bork", 13.0)]
+    df = spark.createDataFrame([("x",)] * 5, "payload string")
+    out = metrics.metric_counter(df, "'m'", fixed={"site": "north", "unit": "cm"})
+    assert out.columns == ["name", "tag_site", "tag_unit", "amount"]
+    assert rows_of(out) == [("m", "north", "cm", 5.0)]
 
 
-@pytest.mark.parametrize("seen,value", [(1, 5), (2, 11), (3, 26)])
+@pytest.mark.parametrize("seen,value", [(1, 2), (2, 9), (3, 4)])
 def test_gauge_keeps_the_last_value(spark, seen, value):
-    texts = ["hello", "hello world", "hello world, hello people!"]
-    df = spark.createDataFrame(list(enumerate(texts[:seen])), "i int, payload string")
-    assert rows_of(metrics.metric_gauge(df, "'g'", ["i"], amount="length(payload) + 0.9D")) == [("g", value)]
+    df = spark.createDataFrame(list(enumerate([2.7, 9.2, 4.9][:seen])), "i int, payload double")
+    assert rows_of(metrics.metric_gauge(df, "'g'", ["i"], amount="payload")) == [("g", value)]
 
 
 def test_tags_missing_null_and_empty(spark):
-    df = spark.createDataFrame([(0, '{"test":"Bar"}'), (1, '{"test":null}')], "i int, payload string")
+    df = spark.createDataFrame([(0, '{"tree":"Elm"}'), (1, '{"tree":null}')], "i int, payload string")
     out = metrics.metric_tags(
-        df, fixed={"foo": ""},
-        tags={"tag666": "get_json_object(payload, '$.nope')", "test": "get_json_object(payload, '$.test')"},
+        df, fixed={"blank": ""},
+        tags={"rock": "get_json_object(payload, '$.rock')", "tree": "get_json_object(payload, '$.tree')"},
     ).orderBy("i").collect()
-    assert [r["tags"] for r in out] == [{"tag666": "NA", "test": "Bar"}, {"tag666": "NA", "test": "NA"}]
+    assert [r["tags"] for r in out] == [{"rock": "NA", "tree": "Elm"}, {"rock": "NA", "tree": "NA"}]
 
 
 def test_tag_lists_are_padded_and_count_in_full(spark):
@@ -54,16 +53,13 @@ def test_tag_lists_are_padded_and_count_in_full(spark):
     assert metrics.metric_tags(empty, tags={"l": "l"}).first()["tags"] == {"l": "NA"}
 
 
-def test_stock_counters(spark):
-    quotes = [("AAPL", "XNAS")] * 3 + [("VMW", "NYSE")] * 2
-    df = spark.createDataFrame(
-        [(f'{{"data":{{"symbol":"{s}","exchange":"{e}"}}}}',) for s, e in quotes], "payload string"
-    )
+def test_counters_by_json_tags(spark):
+    sales = [("ale", "pub")] * 4 + [("tea", "cafe")] * 2 + [("tea", "pub")]
+    df = spark.createDataFrame([(f'{{"of":{{"drink":"{d}","place":"{p}"}}}}',) for d, p in sales], "payload string")
     out = metrics.metric_counter(
-        df, "'stocks'",
-        tags={"symbol": "get_json_object(payload, '$.data.symbol')", "exchange": "get_json_object(payload, '$.data.exchange')"},
+        df, "'sales'", tags={"drink": "get_json_object(payload, '$.of.drink')", "place": "get_json_object(payload, '$.of.place')"}
     )
-    assert sorted(rows_of(out)) == [("stocks", "NYSE", "VMW", 2.0), ("stocks", "XNAS", "AAPL", 3.0)]
+    assert sorted(rows_of(out)) == [("sales", "ale", "pub", 4.0), ("sales", "tea", "cafe", 2.0), ("sales", "tea", "pub", 1.0)]
 
 
 @pytest.mark.parametrize("name,wanted", [("'a'", "a"), ("' \t'", "empty"), ("''", "empty"), ("NULL", "empty")])
@@ -74,27 +70,23 @@ def test_metric_name(spark, name, wanted):
 def line(spark, payload, **options):
     df = spark.createDataFrame([(payload,)], "payload string")
     value = "CAST(get_json_object(payload, '$.value') AS DOUBLE)"
-    return metrics.metric_line_format(df, "testMetricName", value, "testSource", **options).first()
+    return metrics.metric_line_format(df, "tide.level", value, "pier-4", **options).first()
 
 
 def test_metric_line(spark):
-    payload = '{"value":1.5,"timestamp":1382754475,"testProp1":"testvalue1"}'
-    tag = {"testpoint1": "get_json_object(payload, '$.testProp1')"}
-    stamp = "CAST(get_json_object(payload, '$.timestamp') AS BIGINT)"
-    assert line(spark, payload, timestamp=stamp, tags=tag)["line"] == (
-        '"testMetricName" 1.5 1382754475 source=testSource testpoint1="testvalue1"'
-    )
-    assert line(spark, payload, tags=tag)["line"] == '"testMetricName" 1.5 source=testSource testpoint1="testvalue1"'
-    assert line(spark, payload)["line"] == '"testMetricName" 1.5 source=testSource'
-    assert line(spark, payload, tags={"gone": "get_json_object(payload, '$.gone')"})["line"] == (
-        '"testMetricName" 1.5 source=testSource'
-    )
+    payload = '{"value":2.25,"at":1700000123,"side":"lee ward"}'
+    tag = {"side": "get_json_object(payload, '$.side')"}
+    stamp = "CAST(get_json_object(payload, '$.at') AS BIGINT)"
+    assert line(spark, payload, timestamp=stamp, tags=tag)["line"] == '"tide.level" 2.25 1700000123 source=pier-4 side="lee ward"'
+    assert line(spark, payload, tags=tag)["line"] == '"tide.level" 2.25 source=pier-4 side="lee ward"'
+    assert line(spark, payload)["line"] == '"tide.level" 2.25 source=pier-4'
+    assert line(spark, payload, tags={"none": "get_json_object(payload, '$.none')"})["line"] == '"tide.level" 2.25 source=pier-4'
     assert line(spark, "{}")["error"] is not None
     assert line(spark, payload, timestamp="'soon'")["error"] is not None
 
 
-@pytest.mark.parametrize("key,valid", [(k, True) for k in ["b", "B", "2", ".", "_", "-", "c.8W-2h_dE_J-h"]]
-                         + [(k, False) for k in [" ", ":", "a B", "#", "/", ","]])
+@pytest.mark.parametrize("key,valid", [(k, True) for k in ["k", "Q", "7", ".", "_", "-", "z-9.Y_x"]]
+                         + [(k, False) for k in [" ", "é", "x y", "$", "=", ";"]])
 def test_metric_tag_keys(spark, key, valid):
     row = line(spark, '{"value":1}', tags={key: "'v'"})
     assert (row["error"] is None) == valid
@@ -115,17 +107,23 @@ def test_column_map_setting():
 
 
 def test_column_map_insert(spark):
-    df = spark.sql("SELECT named_struct('a', 'hello', 'b', 42) AS payload, map('foo', 'bar') AS headers")
-    assert rows_of(tables.column_map_insert(df, "a,b")) == [("hello", 42)]
-    assert rows_of(tables.column_map_insert(df, "a: substring(payload.a\\, 1\\, 4), b: b + 624")) == [("hell", 666)]
-    assert rows_of(tables.column_map_insert(df, "a: headers['foo']")) == [("bar",)]
-    assert rows_of(tables.column_map_insert(df, "a: nowhere")) == [(None,)]
-    texts = spark.createDataFrame(
-        [('{"a":"hello1","b":42}',), ('{"a":"hello2","b":null}',), ('{"a":"hello3"}',)], "payload string"
-    )
-    out = tables.column_map_insert(texts, "a,b", payload_type="a STRING, b INT")
-    assert rows_of(out) == [("hello1", 42), ("hello2", None), ("hello3", None)]
-    assert rows_of(tables.column_map_insert(texts.limit(1))) == [('{"a":"hello1","b":42}',)]
+    df = spark.sql("SELECT named_struct('tree', 'cedar', 'rings', 80) AS payload, map('site', 'hill') AS headers")
+    assert rows_of(tables.column_map_insert(df, "tree,rings")) == [("cedar", 80)]
+    assert rows_of(tables.column_map_insert(df, "t: upper(payload.tree), r: rings / 2")) == [("CEDAR", 40.0)]
+    assert rows_of(tables.column_map_insert(df, "s: headers['site']")) == [("hill",)]
+    assert rows_of(tables.column_map_insert(df, "s: nowhere")) == [(None,)]
+    texts = spark.createDataFrame([('{"tree":"fir","rings":9}',), ('{"tree":"yew","rings":null}',), ('{"tree":"ash"}',)], "payload string")
+    out = tables.column_map_insert(texts, "tree,rings", payload_type="tree STRING, rings INT")
+    assert rows_of(out) == [("fir", 9), ("yew", None), ("ash", None)]
+    assert rows_of(tables.column_map_insert(texts.limit(1))) == [('{"tree":"fir","rings":9}',)]
+
+
+def test_a_value_that_does_not_fit_is_null(spark):
+    df = spark.createDataFrame([("12",), ("abc",), (None,)], "payload string")
+    out = tables.column_map_insert(df, "n: CAST(payload AS INT), t: concat('cast(', payload, ')')".replace("', ", "'\\, ").replace("payload, ')", "payload\\, ')"))
+    assert rows_of(out) == [(12, "cast(12)"), (None, "cast(abc)"), (None, None)]
+    both = spark.sql("SELECT CAST(NULL AS STRING) AS a, named_struct('a', 'inner') AS payload UNION ALL SELECT 'outer', named_struct('a', 'x')")
+    assert sorted(rows_of(tables.column_map_insert(both, "a"))) == [("inner",), ("outer",)]
 
 
 def test_batches(spark):
@@ -202,30 +200,42 @@ def test_last_document_wins(spark):
     assert sorted((r["id"] or "", r["doc"]) for r in out.collect()) == [("", "x"), ("", "x"), ("1", "new")]
 
 
-def test_bulk_errors(spark):
+def test_bulk_errors(spark, tmp_path):
     sent = spark.createDataFrame(
-        [(0, 1, None), (0, 2, "bad a"), (0, 3, "bad b"), (1, 1, None)], "bulk int, i int, error string"
+        [(b, i, f"fault {b}-{i}" if i else None) for b in range(30) for i in range(3)] + [(99, 1, None)], "bulk int, i int, error string"
     )
-    assert rows_of(routes.bulk_result_check(sent, ["bulk"], ["i"])) == [(0, 3, 2, " : bad a : bad b")]
-    with pytest.raises(RuntimeError, match="bad a : bad b"):
-        routes.raise_bulk_errors(sent)
-    routes.raise_bulk_errors(sent.filter("error IS NULL"))
+    checked = routes.bulk_result_check(sent, ["bulk"], ["i"])
+    assert checked.filter("bulk = 7").drop("bulk").first() == (3, 2, " : fault 7-1 : fault 7-2")
+    with pytest.raises(routes.BulkError) as failed:
+        routes.raise_bulk_errors(checked, str(tmp_path / "failed"))
+    assert (failed.value.requests, failed.value.items) == (30, 60)
+    kept = [r["message"] for r in spark.read.parquet(failed.value.table).collect()]
+    assert sorted(kept) == sorted(f" : fault {b}-1 : fault {b}-2" for b in range(30))
+    routes.raise_bulk_errors(checked.filter("failed = 0"), str(tmp_path / "none"))
 
 
 def test_file_write(spark, tmp_path):
-    df = spark.createDataFrame([("this is a test",)], "payload string")
-    named = routes.file_write(df, directory="d", name="test", suffix="txt").first()
-    assert (named["dir"], named["file"], named["content"]) == ("d", "test.txt", "this is a test")
-    by_text = routes.file_write(df, directory_expr="'expression'", name_expr="substring(payload, 1, 4)", suffix=".out")
-    assert rows_of(by_text) == [("expression", "this.out", "this is a test")]
+    df = spark.createDataFrame([("leaf fall",)], "payload string")
+    named = routes.file_write(df, directory="d", name="autumn", suffix="csv").first()
+    assert (named["dir"], named["file"], named["content"]) == ("d", "autumn.csv", "leaf fall")
+    by_text = routes.file_write(df, directory_expr="concat('s', 1)", name_expr="split(payload, ' ')[0]", suffix=".log")
+    assert rows_of(by_text) == [("s1", "leaf.log", "leaf fall")]
     routes.write_partitioned(by_text, str(tmp_path / "out"), ["dir", "file"])
-    assert rows_of(spark.read.text(str(tmp_path / "out"))) == [("this is a test", "expression", "this.out")]
+    assert rows_of(spark.read.text(str(tmp_path / "out"))) == [("leaf fall", "s1", "leaf.log")]
     with pytest.raises(ValueError):
         routes.file_write(df, directory="a", directory_expr="'b'", name="c")
     with pytest.raises(ValueError):
         routes.file_write(df, directory="a")
 
 
+def test_line_ends_and_bytes_refused(spark, tmp_path):
+    df = spark.createDataFrame([("d", "né")], "dir string, content string")
+    routes.write_partitioned(df, str(tmp_path / "l"), ["dir"], line_end="|")
+    assert [x.read_bytes() for x in (tmp_path / "l").glob("dir=d/*.txt")] == ["né|".encode()]
+    with pytest.raises(ValueError):
+        routes.write_partitioned(df.withColumn("content", F.expr("X'00FF01'")), str(tmp_path / "b"), ["dir"])
+
+
 def test_files_each_keeps_destinations_in_few_files(spark, tmp_path):
     df = spark.range(200).selectExpr("'d' AS dir", "CAST(id AS STRING) AS content", "id").repartition(8)
     routes.write_partitioned(df, str(tmp_path / "o"), ["dir"], files_each=2, share_by="id")
@@ -235,11 +245,28 @@ def test_files_each_keeps_destinations_in_few_files(spark, tmp_path):
 
 def test_write_objects(spark, tmp_path):
     df = spark.createDataFrame([("b", "x/1", b"\x00\xff"), ("b", "2", b"two")], "bucket string, key string, content binary")
-    out = routes.write_objects(df, str(tmp_path), ["bucket", "key"])
-    assert sorted(r["size"] for r in out.collect()) == [2, 3]
+    out = routes.write_objects(df, str(tmp_path), ["bucket", "key"]).collect()
+    assert sorted(r["size"] for r in out) == [2, 3] and all(r["path"].startswith("file:") for r in out)
     assert (tmp_path / "b/x/1").read_bytes() == b"\x00\xff" and (tmp_path / "b/2").read_bytes() == b"two"
 
 
+def test_objects_that_exist(spark, tmp_path):
+    df = spark.createDataFrame([("é 1.txt", "né")], "key string, content string")
+
+    def write(**options):
+        return routes.write_objects(df, f"file:{tmp_path}", ["key"], **options).first()["outcome"]
+
+    place = tmp_path / "é 1.txt"
+    assert write(charset="ISO-8859-1") == "written" and place.read_bytes() == "né".encode("latin-1")
+    assert write(exists="ignore") == "ignored" and place.read_bytes() == "né".encode("latin-1")
+    assert write() == "written" and place.read_bytes() == "né".encode()
+    assert write(exists="append") == "written" and place.read_bytes() == "néné".encode()
+    with pytest.raises(PySparkException):
+        write(exists="fail")
+    with pytest.raises(ValueError):
+        write(exists="maybe")
+
+
 def test_object_and_collection_write(spark):
     df = spark.createDataFrame([("body", "k")], "payload string, key string")
     out = routes.object_write(df, bucket="b", key_expr="key", acl="private")
@@ -274,5 +301,6 @@ def test_log_write(spark):
     df = spark.createDataFrame([("p",)], "payload string")
     assert rows_of(routes.log_write(df)) == [("INFO", "log", "p")]
     routes.write_log(routes.log_write(df, level="fatal"))
+    routes.write_log(routes.log_write(df))
     with pytest.raises(ValueError):
         routes.log_write(df, level="loud")

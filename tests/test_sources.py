@@ -22,13 +22,13 @@ def test_whole_files(spark, tmp_path):
 
 
 def test_lines_and_markers(spark, tmp_path):
-    put(tmp_path, "one.txt", "first line\nsecond line\n")
+    put(tmp_path, "one.txt", "dawn\ndusk\n")
     lines = files.file_lines_scan(spark, str(tmp_path), numbered=True)
-    assert [r["payload"] for r in lines.orderBy("line_no").collect()] == ["first line", "second line"]
+    assert [r["payload"] for r in lines.orderBy("line_no").collect()] == ["dawn", "dusk"]
     marked = files.with_markers(lines).orderBy("path", "seq").collect()
     path = marked[0]["path"]
     assert [r["payload"] for r in marked] == [
-        f'{{"filePath":"{path}","mark":"START","lineCount":0}}', "first line", "second line",
+        f'{{"filePath":"{path}","mark":"START","lineCount":0}}', "dawn", "dusk",
         f'{{"filePath":"{path}","mark":"END","lineCount":2}}',
     ]
 
@@ -39,8 +39,8 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
     put(tmp_path, "small.txt", "only\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
     try:
-        for hot in (None, 500):
-            rows = files.file_lines_scan(spark, str(tmp_path), numbered=True, hot_rows=hot)
+        for chunks in (1, 9):
+            rows = files.file_lines_scan(spark, str(tmp_path), numbered=True, chunks=chunks)
             big = rows.filter("path LIKE '%big.txt'").orderBy("line_no").collect()
             assert [r["payload"] for r in big] == wanted
             assert [r["line_no"] for r in big] == list(range(1, 3001))
@@ -67,12 +67,12 @@ def test_listing_sorted_by_name(spark, tmp_path):
 
 
 def test_name_filters(spark):
-    df = spark.createDataFrame([("test.txt",), ("other.txt",), ("test.txt.bak",), ("d/test.txt",)], "name string")
+    df = spark.createDataFrame([("leaf.csv",), ("root.csv",), ("leaf.csv.old",), ("d/leaf.csv",)], "name string")
     names = lambda out: [r["name"] for r in out.collect()]
-    assert names(files.file_name_filter(df, regex="t.*.txt")) == ["test.txt"]
-    assert names(files.file_name_filter(df, pattern="*.txt")) == ["test.txt", "other.txt"]
-    assert names(files.file_name_filter(df, pattern="**/t?st.txt")) == ["test.txt", "d/test.txt"]
-    assert names(files.file_name_filter(df, pattern="o*", regex="t.*")) == ["other.txt"]
+    assert names(files.file_name_filter(df, regex="l.*[.]csv")) == ["leaf.csv"]
+    assert names(files.file_name_filter(df, pattern="*.csv")) == ["leaf.csv", "root.csv"]
+    assert names(files.file_name_filter(df, pattern="**/l?af.csv")) == ["leaf.csv", "d/leaf.csv"]
+    assert names(files.file_name_filter(df, pattern="r*", regex="l.*")) == ["root.csv"]
     assert len(names(files.file_name_filter(df))) == 4
 
 
@@ -115,48 +115,60 @@ def test_multi_source(spark, tmp_path):
 
 
 def test_query_source_rows_and_list(spark):
-    table = spark.createDataFrame(
-        [(1, "Bob", None), (2, "Jane", None), (3, "John", None)], "id long, name string, tag string"
-    )
-    rows = tables.sql_query_source(spark, "SELECT id, name FROM {test} ORDER BY id", {"test": table})
-    assert [r["name"] for r in rows.collect()] == ["Bob", "Jane", "John"]
-    assert tables.sql_query_source(spark, "SELECT * FROM {test}", {"test": table}, max_rows=2).count() == 2
-    listed = tables.rows_or_list(rows, ["id"], split=False).collect()
-    assert [[(r["id"], r["name"]) for r in one["payload"]] for one in listed] == [[(1, "Bob"), (2, "Jane"), (3, "John")]]
-    parts = tables.rows_or_list(rows, ["id"], split=False, list_rows=2, hot_rows=1).orderBy("part").collect()
-    assert [[r["id"] for r in one["payload"]] for one in parts] == [[1, 2], [3]]
+    table = spark.createDataFrame([(7, "elm", 3.5), (8, "oak", None), (9, "yew", 1.0)], "id long, tree string, height double")
+    rows = tables.sql_query_source(spark, "SELECT id, tree FROM {wood} ORDER BY id", {"wood": table})
+    assert [r["tree"] for r in rows.collect()] == ["elm", "oak", "yew"]
+    assert tables.sql_query_source(spark, "SELECT * FROM {wood}", {"wood": table}, max_rows=2).count() == 2
+    assert tables.rows_or_list(rows, ["id"]).count() == 3
+    for chunks in (1, 3):
+        parts = tables.rows_or_list(rows, ["id"], list_rows=2, chunks=chunks).orderBy("part").collect()
+        assert [[(r["id"], r["tree"]) for r in one["payload"]] for one in parts] == [[(7, "elm"), (8, "oak")], [(9, "yew")]]
+    with pytest.raises(ValueError):
+        tables.jdbc_query_source(spark, "jdbc:none", "SELECT 1")
 
 
 def test_mark_seen(spark, tmp_path):
     seen = str(tmp_path / "seen")
-    df = spark.range(5)
-    assert tables.mark_seen(df.filter("id < 3"), seen, ["id"]).count() == 3
-    assert sorted(r["id"] for r in tables.mark_seen(df, seen, ["id"]).collect()) == [3, 4]
-    assert tables.mark_seen(df, seen, ["id"]).count() == 0
+    df = spark.sql("SELECT id, IF(id = 4, NULL, id) AS k FROM range(5)")
+    assert tables.mark_seen(df.filter("id < 3"), seen, ["k"]).count() == 3
+    assert sorted(r["id"] for r in tables.mark_seen(df, seen, ["k"]).collect()) == [3, 4]
+    assert tables.mark_seen(df, seen, ["k"]).count() == 0
+
+
+def test_rows_are_marked_after_their_delivery(spark, tmp_path):
+    seen, got = str(tmp_path / "seen"), []
+
+    def refuse(rows):
+        raise OSError("down")
+
+    with pytest.raises(OSError):
+        tables.mark_seen(spark.range(3), seen, ["id"], deliver=refuse)
+    tables.mark_seen(spark.range(3), seen, ["id"], deliver=lambda rows: got.extend(r["id"] for r in rows.collect()))
+    assert sorted(got) == [0, 1, 2] and tables.mark_seen(spark.range(3), seen, ["id"]).count() == 0
 
 
 def test_document_query(spark):
     docs = spark.createDataFrame(
-        [('{"greeting":"hello","name":"foo"}',), ('{"greeting":"hola","name":"bar"}',), ('{"greeting":"hi"}',), ("{x",)],
+        [('{"bark":"rough","tree":"elm"}',), ('{"bark":"smooth","tree":"beech"}',), ('{"bark":"none"}',), ("{x",)],
         "doc string",
     )
-    assert tables.document_query(docs, "doc", exists={"name": True}).count() == 2
-    assert tables.document_query(docs, "doc", exists={"name": False}).count() == 2
-    assert tables.document_query(docs, "doc", equals={"name": "bar"}).first()["doc"].startswith('{"greeting":"hola"')
+    assert tables.document_query(docs, "doc", exists={"tree": True}).count() == 2
+    assert tables.document_query(docs, "doc", exists={"tree": False}).count() == 2
+    assert tables.document_query(docs, "doc", equals={"tree": "beech"}).first()["doc"].startswith('{"bark":"smooth"')
     assert tables.document_query(docs, "doc").count() == 4
 
 
 def test_record_streams(spark):
     df = spark.createDataFrame(
-        [("k", f"test data #{i}", "t" if i % 2 else "tt", 0, i) for i in range(1, 6)],
+        [("k", f"leaf {i}", "t" if i % 2 else "tt", 0, i) for i in range(1, 6)],
         "key string, value string, topic string, partition int, offset long",
     )
-    assert [r["value"] for r in feeds.record_filter(df.filter("offset < 3"), "value = 'test data #2'").collect()] == ["test data #1"]
+    assert [r["value"] for r in feeds.record_filter(df.filter("offset < 3"), "value = 'leaf 2'").collect()] == ["leaf 1"]
     assert feeds.record_stream_source(df, topics=["tt"], pattern="t").count() == 3
     assert feeds.record_stream_source(df, topics=["tt"]).count() == 2
-    for hot in (None, 1):
-        out = feeds.record_stream_source(df, topics=["t"], batch_rows=2, hot_rows=hot).orderBy("batch").collect()
-        assert [(r["n"], r["payload"]) for r in out] == [(2, ["test data #1", "test data #3"]), (1, ["test data #5"])]
+    for chunks in (1, 4):
+        out = feeds.record_stream_source(df, topics=["t"], batch_rows=2, chunks=chunks).orderBy("batch").collect()
+        assert [(r["n"], r["payload"]) for r in out] == [(2, ["leaf 1", "leaf 3"]), (1, ["leaf 5"])]
     with pytest.raises(ValueError):
         feeds.record_stream_source(df)
 
@@ -183,36 +195,28 @@ def test_header_names(spark):
     assert feeds.header_names(df).first()["headers"] == {"a1": "1", "b": "2"}
 
 
-def cursor_states(cursor, pages):
-    out = []
-    for page in pages:
-        cursor = cursor.advance(min(page, default=None), max(page, default=None))
-        out.append((cursor.since, cursor.upto, cursor.seen_top, cursor.left))
-    return out
+def test_read_above_the_mark(spark, tmp_path):
+    mark, got = str(tmp_path / "mark"), []
+    take = lambda rows: got.append(sorted(r["id"] for r in rows.collect()))
+    assert feeds.read_new(spark.range(0), mark, take) is None
+    assert feeds.read_new(spark.range(1, 5), mark, take) == 4
+    assert feeds.read_new(spark.range(1, 5), mark, take) == 4
+    assert feeds.read_new(spark.range(2, 9), mark, take) == 8
+    assert got == [[1, 2, 3, 4], [5, 6, 7, 8]]
 
+    def refuse(rows):
+        raise OSError("down")
 
-def test_page_cursor():
-    pages = [range(8, 11), range(4, 8), range(14, 21), range(8, 14)]
-    states = cursor_states(feeds.PageCursor(2), [list(p) for p in pages])
-    # The first bound after each page: one below the lowest id of the page.
-    assert states == [(-1, 7, 10, 0), (10, -1, -1, 1), (10, 13, 20, 0), (20, -1, -1, 1)]
-    until_empty = cursor_states(feeds.PageCursor(2, until_empty=True), [*[list(p) for p in pages], []])
-    assert until_empty[-2:] == [(10, 7, 20, -1), (20, -1, -1, 1)]
-    with pytest.raises(ValueError):
-        feeds.PageCursor(0)
+    with pytest.raises(OSError):
+        feeds.read_new(spark.range(12), mark, refuse)
+    assert feeds.read_new(spark.range(12), mark, take) == 11 and got[-1] == [9, 10, 11]
 
 
-def test_pages(spark):
+def test_pages_of_new_rows(spark):
     df = spark.range(1, 11)
-    cursor, seen = feeds.PageCursor(3), []
-    for _ in range(3):
-        ids = [r["id"] for r in feeds.read_page(df, cursor, 4).collect()]
-        seen.append(ids)
-        cursor = cursor.advance(min(ids), max(ids))
-    assert seen == [[10, 9, 8, 7], [6, 5, 4, 3], [2, 1]]
-    assert cursor.since == 10
-    for hot in (None, 3):
-        paged = feeds.incremental_read(df, 2, page_size=3, hot_rows=hot).orderBy(F.desc("id")).collect()
+    assert feeds.incremental_read(df, 7).count() == 3
+    for chunks in (1, 3):
+        paged = feeds.incremental_read(df, 2, page_size=3, chunks=chunks).orderBy(F.desc("id")).collect()
         assert [(r["id"], r["page"]) for r in paged] == [(10 - i, i // 3) for i in range(8)]
     assert feeds.high_mark(df).first()["since"] == 10
 
@@ -238,67 +242,55 @@ def test_stream_filter(spark):
 
 
 def test_syslog(spark):
-    lines = [
-        "<157>JUL 26 22:08:35 WEBERN TESTING[70729]: TEST SYSLOG MESSAGE",
-        "no syslog at all",
-    ]
-    df = spark.createDataFrame([(line,) for line in lines], "payload string")
-    good, bad = wire.syslog_parse(df).collect()
-    assert (good["HOST"], good["FACILITY"], good["SEVERITY"], good["TAG"], good["MESSAGE"]) == (
-        "WEBERN", 19, 5, "TESTING", "TEST SYSLOG MESSAGE",
-    )
+    lines = ["<37>Feb  3 04:05:06 tower cron[81]: job 9 done", "free text"]
+    good, bad = wire.syslog_parse(spark.createDataFrame([(x,) for x in lines], "payload string")).collect()
+    assert (good["HOST"], good["FACILITY"], good["SEVERITY"], good["TAG"], good["MESSAGE"]) == ("tower", 4, 5, "cron", "job 9 done")
     assert not good["parse_error"] and bad["parse_error"] and bad["HOST"] is None
-    line = (
-        '<14>1 2014-06-20T09:14:07+00:00 loggregator d0602076-b14a-4c55-852a-981e7afeed38 DEA - '
-        '[exampleSDID@32473 iut="3" eventID="1\\]1"][sd2] Removing instance'
-    )
+    line = '<93>1 2031-02-03T04:05:06.7Z mast - 4711 ID7 [a@1 x="\\]" y="2"][b] wind: 7 bft'
     row = wire.syslog_parse(spark.createDataFrame([(line,)], "payload string"), rfc="5424").first()
-    assert (row["syslog_HOST"], row["syslog_FACILITY"], row["syslog_SEVERITY"], row["syslog_PROCID"]) == (
-        "loggregator", 1, 6, "DEA",
-    )
-    assert row["syslog_SD"] == ['[exampleSDID@32473 iut="3" eventID="1\\]1"]', "[sd2]"]
-    assert row["syslog_MESSAGE"] == "Removing instance" and row["syslog_MSGID"] is None
-
-
-@pytest.mark.parametrize(
-    "encoding,data",
-    [
-        ("CRLF", b"foo\r\nfoo\r\n"),
-        ("LF", b"foo\nfoo\n"),
-        ("NULL", b"foo\x00foo\x00"),
-        ("STXETX", b"\x02foo\x03\x02foo\x03"),
-        ("L1", b"\x03foo\x03foo"),
-        ("L2", b"\x00\x03foo\x00\x03foo"),
-        ("L4", b"\x00\x00\x00\x03foo\x00\x00\x00\x03foo"),
-    ],
-)
-def test_frames(spark, encoding, data):
-    df = spark.createDataFrame([(data,)], "payload binary")
-    out = wire.frame_split(df, encoding).collect()
-    assert [bytes(r["payload"]) if encoding[0] == "L" and encoding != "LF" else r["payload"].encode() for r in out] == [b"foo", b"foo"]
-    assert all(r["record_error"] is None for r in out)
+    assert (row["syslog_HOST"], row["syslog_FACILITY"], row["syslog_SEVERITY"], row["syslog_PROCID"]) == ("mast", 11, 5, "4711")
+    assert row["syslog_SD"] == ['[a@1 x="\\]" y="2"]', "[b]"] and row["syslog_APP_NAME"] is None
+    assert row["syslog_MESSAGE"] == "wind: 7 bft" and row["syslog_MSGID"] == "ID7"
+
+
+ENDS = {"CRLF": b"\r\n", "LF": b"\n", "NULL": b"\x00", "STXETX": b"\x03"}
+
+
+@pytest.mark.parametrize("encoding", [*ENDS, "L1", "L2", "L4"])
+def test_frames(spark, encoding):
+    """Records of bytes that are no UTF-8 come out as they went in."""
+    records = [b"ab\xff\xfe", b"", b"\x80c"]
+    if encoding in ENDS:
+        data = b"".join((b"\x02" if encoding == "STXETX" else b"") + x + ENDS[encoding] for x in records)
+    else:
+        data = b"".join(len(x).to_bytes(int(encoding[1]), "big") + x for x in records)
+    out = wire.frame_split(spark.createDataFrame([(data,)], "payload binary"), encoding)
+    assert dict(out.dtypes)["payload"] == "binary"
+    assert [bytes(r["payload"]) for r in out.collect()] == records
+    assert all(r["record_error"] is None for r in out.collect())
 
 
 def test_frame_errors(spark):
-    raw = spark.createDataFrame([(b"foofoo",)], "payload binary")
-    assert [r["payload"] for r in wire.frame_split(raw, "RAW").collect()] == ["foofoo"]
-    assert [r["record_error"] for r in wire.frame_split(raw, "RAW", max_record=3).collect()] == ["record too long"]
+    raw = spark.createDataFrame([(b"\xe9\xe8!",)], "payload binary")
+    assert [bytes(r["payload"]) for r in wire.frame_split(raw, "RAW", max_record=3).collect()] == [b"\xe9\xe8!"]
+    assert [r["record_error"] for r in wire.frame_split(raw, "RAW", max_record=3).collect()] == [None]
+    assert [r["record_error"] for r in wire.frame_split(raw, "RAW", max_record=2).collect()] == ["record too long"]
     cut = spark.createDataFrame([(b"\x02a\x03b\x03\x02\x03\x02c",)], "data binary")
     rows = wire.frame_split(cut, "STXETX", payload="data", correlate="7").collect()
-    assert [(r["payload"], r["record_error"], r["sequence_number"], r["sequence_size"]) for r in rows] == [
-        ("a", None, 1, 4), ("b", "no start of record", 2, 4), ("", None, 3, 4), ("c", "incomplete record", 4, 4),
+    assert [(bytes(r["payload"]), r["record_error"], r["sequence_number"], r["sequence_size"]) for r in rows] == [
+        (b"a", None, 1, 4), (b"b", "no start of record", 2, 4), (b"", None, 3, 4), (b"c", "incomplete record", 4, 4),
     ]
-    lines = spark.createDataFrame([("one\n\ntwo",), ("",), ("x\n",)], "payload string")
+    lines = spark.createDataFrame([("öne\n\ntwo",), ("",), ("x\n",)], "payload string")
     rows = wire.frame_split(lines, "LF", correlate="7").collect()
-    assert [(r["payload"], r["record_error"], r["sequence_number"], r["sequence_size"]) for r in rows] == [
-        ("one", None, 1, 3), ("", None, 2, 3), ("two", "incomplete record", 3, 3), ("x", None, 1, 1),
+    assert [(bytes(r["payload"]).decode(), r["record_error"], r["sequence_number"], r["sequence_size"]) for r in rows] == [
+        ("öne", None, 1, 3), ("", None, 2, 3), ("two", "incomplete record", 3, 3), ("x", None, 1, 1),
     ]
-    short = spark.createDataFrame([(b"\x00\x03foo\x00\x09fo",)], "payload binary")
+    short = spark.createDataFrame([(b"\x00\x02ab\x00\x09xy",)], "payload binary")
     assert [r["record_error"] for r in wire.frame_split(short, "L2").collect()] == [None, "incomplete record"]
 
 
 def test_json_documents(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, name string")
     assert [r["payload"] for r in tables.document_rows(df).collect()] == ['{"id":1,"name":"a"}', '{"id":2,"name":"b"}']
-    one = tables.document_rows(df, group_by=[], order_by=["id"]).collect()
+    one = tables.document_rows(df, group_by=[], order_by=["id"], list_rows=9).collect()
     assert [r["payload"] for r in one] == ['[{"id":1,"name":"a"},{"id":2,"name":"b"}]']

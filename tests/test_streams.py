@@ -37,11 +37,19 @@ RULES = [
 ]
 
 
-@pytest.mark.parametrize("rule,hot_rows", [*[(rule, None) for rule in RULES], (RULES[1], 20)], ids=str)
-def test_stream_equals_batch(spark, tmp_path, rule, hot_rows):
+def grouped(df):
+    """Groups as (key, payloads), from pages."""
+    whole = {}
+    for r in sorted(df.collect(), key=lambda r: r.asDict().get("part", 0)):
+        whole.setdefault((r["k"], r["group_start"], r.asDict().get("batch")), []).extend(r["payloads"])
+    return [(k, found) for (k, *_), found in whole.items()]
+
+
+@pytest.mark.parametrize("rule", RULES, ids=str)
+def test_stream_equals_batch(spark, tmp_path, rule):
     data = rows()
     groups = BatchedAggregator(
-        str(tmp_path / "open"), str(tmp_path / "out"), {"k": "k"}, ["ts", "i"], rule, payload="i", hot_rows=hot_rows
+        str(tmp_path / "open"), str(tmp_path / "out"), {"k": "k"}, ["ts", "i"], rule, payload="i", list_rows=3
     )
     batches = []
 
@@ -52,15 +60,15 @@ def test_stream_equals_batch(spark, tmp_path, rule, hot_rows):
         batches.append(batch_id)
 
     deliver(spark, tmp_path, lambda stream, place: flows.run_available(stream, place, each=each), data)
-    released = [(r["k"], r["payloads"]) for r in groups.released(spark).collect()]
-    still_open = [(r["k"], r["payloads"]) for r in groups.flush(spark, batches[-1]).collect()]
+    released = grouped(groups.released(spark))
+    still_open = grouped(groups.flush(spark, batches[-1]))
     options = {name: value for name, value in vars(rule).items() if value is not None}
     df = spark.createDataFrame(data, SCHEMA)
-    whole = aggregate(df, {"k": "k"}, ["ts", "i"], payload="i", partial=True, **options)
-    assert sorted(released + still_open, key=repr) == sorted(((r["k"], r["payloads"]) for r in whole.collect()), key=repr)
+    whole = aggregate(df, {"k": "k"}, ["ts", "i"], payload="i", partial=True, list_rows=3, **options)
+    assert sorted(released + still_open, key=repr) == sorted(grouped(whole), key=repr)
     if rule.gap is None:
-        done = aggregate(df, {"k": "k"}, ["ts", "i"], payload="i", **options)
-        assert sorted(released, key=repr) == sorted(((r["k"], r["payloads"]) for r in done.collect()), key=repr)
+        done = aggregate(df, {"k": "k"}, ["ts", "i"], payload="i", list_rows=3, **options)
+        assert sorted(released, key=repr) == sorted(grouped(done), key=repr)
     assert len(batches) == 3 and released
 
 
@@ -82,8 +90,12 @@ def test_state_store_aggregator(spark, tmp_path):
 def test_state_store_rule_over_the_group_and_parts(spark, tmp_path):
     data = [("a", i, START, False, 1) for i in range(10)]
 
+    def at_least_six(total, payload):
+        total = (total or 0) + int(payload)
+        return total, total >= 6
+
     def consume(stream, place):
-        groups = keyed_aggregate(stream, "k", ["i"], payload="i", until=lambda held: sum(map(int, held)) >= 6)
+        groups = keyed_aggregate(stream, "k", ["i"], payload="i", until=at_least_six, list_rows=50)
         flows.run_available(groups, place + "-1", path=str(tmp_path / "sums"))
         parts = keyed_aggregate(stream, "k", ["i"], payload="i", closes="i = 7", list_rows=3)
         flows.run_available(parts, place + "-2", path=str(tmp_path / "parts"))
@@ -100,14 +112,14 @@ def test_state_store_idle_timeout(spark, tmp_path):
 
     def consume(stream, place):
         groups = keyed_aggregate(
-            stream.withWatermark("ts", "0 seconds"), "k", ["ts", "i"], payload="i", idle_seconds=10, time="ts"
+            stream.withWatermark("ts", "0 seconds"), "k", ["ts", "i"], payload="i", idle_seconds=10, time="ts", list_rows=1000
         )
         flows.run_available(groups, place, path=str(tmp_path / "out"))
 
     deliver(spark, tmp_path, consume, data)
     out = sorted((r["key"], r["payloads"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     df = spark.createDataFrame(data, SCHEMA)
-    whole = aggregate(df, {"k": "k"}, ["ts", "i"], payload="CAST(i AS STRING)", gap="10 seconds", time="ts").collect()
+    whole = aggregate(df, {"k": "k"}, ["ts", "i"], payload="CAST(i AS STRING)", gap="10 seconds", time="ts", list_rows=1000).collect()
     wanted = sorted((r["k"], r["payloads"]) for r in whole)
     # The last group of a key stays open: no later message moves the watermark on.
     assert set(map(repr, out)) <= set(map(repr, wanted))

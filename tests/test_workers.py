@@ -46,11 +46,13 @@ def test_archive_expand(spark):
         archive.writestr("a.txt", "one")
         archive.writestr("dir/", "")
         archive.writestr("dir/b.bin", b"\x00\x01")
-    df = spark.createDataFrame([("x.zip", blob.getvalue())], "path string, payload binary")
-    out = archive_expand(df).collect()
-    assert [(r["path"], r["entry_no"], r["entry"], bytes(r["payload"])) for r in out] == [
-        ("x.zip", 1, "a.txt", b"one"), ("x.zip", 2, "dir/b.bin", b"\x00\x01"),
+    rows = [("x.zip", {"h": "1"}, blob.getvalue()), ("cut.zip", {"h": "2"}, blob.getvalue()[:30]), ("none.zip", None, None)]
+    df = spark.createDataFrame(rows, "path string, headers map<string,string>, payload binary")
+    whole, broken = archive_expand(df).filter("error IS NULL"), archive_expand(df).filter("error IS NOT NULL")
+    assert [(r["path"], r["headers"], r["entry_no"], r["entry"], bytes(r["payload"])) for r in whole.collect()] == [
+        ("x.zip", {"h": "1"}, 1, "a.txt", b"one"), ("x.zip", {"h": "1"}, 2, "dir/b.bin", b"\x00\x01"),
     ]
+    assert sorted((r["path"], r["entry"], r["payload"]) for r in broken.collect()) == [("cut.zip", None, None), ("none.zip", None, None)]
 
 
 def test_image_inference(spark):
@@ -94,8 +96,14 @@ def test_detections(spark):
 
 def test_bulk_write_sends_in_batches(spark):
     def client():
-        return lambda items: [f"batch of {len(items)}" if one["doc"] == "bad" else None for one in items]
+        def send(items):
+            routes = items.column("routing").to_pylist()
+            return [f"batch of {len(items)} by {r}" if d == "bad" else None for d, r in zip(items.column("doc").to_pylist(), routes, strict=True)]
 
-    df = spark.createDataFrame([("i", str(n), "bad" if n == 4 else "ok") for n in range(5)], "index string, id string, doc string")
+        return send
+
+    df = spark.createDataFrame(
+        [("i", str(n), "bad" if n == 4 else "ok", f"r{n}") for n in range(5)], "index string, id string, doc string, routing string"
+    )
     out = bulk_write(df.coalesce(1), client, batch_rows=2).collect()
-    assert [(r["id"], r["error"]) for r in out] == [("0", None), ("1", None), ("2", None), ("3", None), ("4", "batch of 1")]
+    assert [(r["id"], r["error"]) for r in out] == [("0", None), ("1", None), ("2", None), ("3", None), ("4", "batch of 1 by r4")]

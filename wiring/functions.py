@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowframe.envelope import to_messages
@@ -50,7 +51,8 @@ def transform_payload(spark, sf_dir):
 )
 def header_enrich(spark, sf_dir):
     messages = event_messages(spark, sf_dir)
-    added = {"kind": "upper(event_type)", "len": "length(payload)", "fixed": F.lit("yes")}
+    # The null adds nothing, and with overwrite it leaves the user's id alone.
+    added = {"kind": "upper(event_type)", "len": "length(payload)", "fixed": F.lit("yes"), "user-id": "CAST(NULL AS STRING)"}
     modes = [("kept", False), ("overwritten", True)]
     both = [
         tr.header_enrich(messages, added, overwrite=flag).select(
@@ -207,10 +209,79 @@ def _document_lines(spark, sf_dir):
     """,
 )
 def agg_sequence(spark, sf_dir):
-    groups = aggregate_sequence(_document_lines(spark, sf_dir))
+    groups = aggregate_sequence(_document_lines(spark, sf_dir), None)
     return groups.select("correlation_id", "n", joined("payloads", "\n").alias("text"))
 
 
+AGAIN = """
+    SELECT user_id, event_id, ts, 2 + (row_number() OVER w - 1) // 12 % 3 AS size, (row_number() OVER w * 7) % 5 AS place
+    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+"""
+
+
+@query(
+    "aggregate_sequence_again",
+    f"""
+    WITH told AS ({AGAIN}),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM told),
+    marked AS (SELECT *, CASE WHEN size IS DISTINCT FROM lag(size) OVER (PARTITION BY user_id ORDER BY rn) THEN rn END AS start FROM numbered),
+    placed AS (SELECT *, max(start) OVER (PARTITION BY user_id ORDER BY rn ROWS UNBOUNDED PRECEDING) AS first FROM marked)
+    SELECT user_id AS correlation_id, min(rn) AS group_start, count(*) AS n,
+           string_agg(event_id::VARCHAR, ',' ORDER BY place, rn) AS payloads
+    FROM placed GROUP BY user_id, first, (rn - first) // size HAVING count(*) = max(size)
+    """,
+)
+def agg_sequence_again(spark, sf_dir):
+    """Ids come back with other sizes, and their messages out of sequence."""
+    rn = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    told = table(spark, sf_dir, "events").select(
+        "user_id", "event_id", "ts", (2 + F.floor((rn - 1) / 12) % 3).alias("size"), (rn * 7 % 5).alias("place")
+    )
+    groups = aggregate_sequence(
+        told, ["ts", "event_id"], correlate="user_id", sequence="place", size="size", payload="event_id"
+    )
+    return groups.withColumn("payloads", joined("payloads"))
+
+
+@query(
+    "aggregate_one_large_key",
+    """
+    WITH keyed AS (SELECT *, CASE WHEN event_id % 2 = 0 THEN -1 ELSE user_id END AS k FROM events),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts, event_id) AS rn,
+      coalesce(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY ts, event_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS grp FROM keyed),
+    counted AS (SELECT *, min(rn) OVER (PARTITION BY k, grp) AS group_start, count(*) OVER (PARTITION BY k, grp) AS n,
+      max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (PARTITION BY k, grp) AS ended FROM numbered)
+    SELECT k, group_start, rn AS position, n, event_id AS payload FROM counted WHERE ended = 1
+    """,
+)
+def agg_large_key(spark, sf_dir):
+    """One key holds half of the rows; a group comes as its messages, of whatever length it is."""
+    return aggregate(
+        table(spark, sf_dir, "events"), {"k": "IF(event_id % 2 = 0, -1, user_id)"}, ["ts", "event_id"],
+        payload="event_id", closes="event_type = 'purchase'",
+    )
+
+
+@query(
+    "aggregate_timeout_told",
+    """
+    WITH brk AS (SELECT *, row_number() OVER w AS rn, CASE WHEN ts > lag(ts) OVER w +
+        CASE WHEN lag(event_type) OVER w = 'view' THEN INTERVAL 2 HOUR ELSE INTERVAL 5 HOUR END THEN 1 ELSE 0 END AS brk
+      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    segmented AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY rn ROWS UNBOUNDED PRECEDING) AS seg FROM brk)
+    SELECT user_id, min(rn) AS group_start, count(*) AS n, max(value) AS top FROM segmented GROUP BY user_id, seg
+    """,
+)
+def agg_timeout_told(spark, sf_dir):
+    """The idle time is an expression over the message that waits."""
+    gap = F.expr("IF(event_type = 'view', INTERVAL 2 HOUR, INTERVAL 5 HOUR)")
+    return aggregate(
+        table(spark, sf_dir, "events"), {"user_id": "user_id"}, ["ts", "event_id"], gap=gap, time="ts",
+        output={"top": F.max("value")},
+    )
+
+
 NUMBERED = """
     SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY ts, event_id) AS rn FROM events
 """
@@ -270,7 +341,7 @@ TRIGGERED = f"""
 def agg_predicate(spark, sf_dir):
     groups = aggregate(
         table(spark, sf_dir, "events"), {"user_id": "user_id"}, ["ts", "event_id"],
-        payload="event_id", closes="event_type = 'purchase'",
+        payload="event_id", closes="event_type = 'purchase'", list_rows=1000,
     )
     return groups.select("user_id", "group_start", "n", joined("payloads").alias("payloads"))
 
@@ -291,7 +362,7 @@ def agg_predicate(spark, sf_dir):
 def agg_timeout(spark, sf_dir):
     groups = aggregate(
         table(spark, sf_dir, "events"), {"user_id": "user_id"}, ["ts", "event_id"],
-        payload="event_id", gap="6 hours", time="ts",
+        payload="event_id", gap="6 hours", time="ts", list_rows=1000,
     )
     return groups.select("user_id", "group_start", "n", joined("payloads").alias("payloads"))
 
@@ -310,7 +381,7 @@ def agg_output(spark, sf_dir):
     groups = aggregate(
         table(spark, sf_dir, "events"), {"user_id": "user_id"}, ["ts", "event_id"],
         payload="concat(upper(event_type), '#', event_id)", where="event_type = 'view'",
-        closes="event_type = 'purchase'",
+        closes="event_type = 'purchase'", list_rows=1000,
     )
     return groups.select("user_id", "group_start", "n", joined("payloads").alias("payloads"))
 
@@ -330,7 +401,7 @@ def agg_output_fold(spark, sf_dir):
         closes="event_type = 'purchase'",
         output={"total": F.sum(F.expr("CAST(value AS DECIMAL(18, 2))")).cast("double"), "top": F.max("value")},
     )
-    return groups.drop("part")
+    return groups
 
 
 @query(
@@ -483,9 +554,12 @@ def prediction(spark, sf_dir):
 @query(
     "archive_expand",
     """
-    SELECT doc_id || '.zip' AS path, 1 AS entry_no, 'body.txt' AS entry, text AS payload FROM documents
+    SELECT doc_id || '.zip' AS path, lang AS tag, 1 AS entry_no, 'body.txt' AS entry, text AS payload, false AS broken
+    FROM documents WHERE doc_id % 10 <> 3
+    UNION ALL
+    SELECT doc_id || '.zip', lang, 2, 'meta/lang.txt', lang, false FROM documents WHERE doc_id % 10 <> 3
     UNION ALL
-    SELECT doc_id || '.zip', 2, 'meta/lang.txt', lang FROM documents
+    SELECT doc_id || '.zip', lang, NULL, NULL, NULL, true FROM documents WHERE doc_id % 10 = 3
     """,
 )
 def archives(spark, sf_dir):
@@ -497,19 +571,29 @@ def archives(spark, sf_dir):
 
         for batch in batches:
             blobs = []
-            for text, lang in zip(batch["text"], batch["lang"]):
+            for doc, text, lang in zip(batch["doc_id"], batch["text"], batch["lang"]):
                 blob = io.BytesIO()
                 with zipfile.ZipFile(blob, "w") as archive:
                     archive.writestr("body.txt", text)
                     archive.writestr("meta/lang.txt", lang)
-                blobs.append(blob.getvalue())
-            yield pd.DataFrame({"path": batch["doc_id"].astype(str) + ".zip", "payload": blobs})
+                # One in ten is cut off and so no archive any more.
+                blobs.append(blob.getvalue()[: 20 if doc % 10 == 3 else None])
+            yield pd.DataFrame({"path": batch["doc_id"].astype(str) + ".zip", "tag": batch["lang"], "payload": blobs})
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    entries = archive_expand(docs.mapInPandas(pack, "path string, payload binary"))
-    return entries.withColumn("payload", F.decode("payload", "UTF-8"))
+    entries = archive_expand(docs.mapInPandas(pack, "path string, tag string, payload binary"))
+    return entries.select(
+        "path", "tag", "entry_no", "entry", F.decode("payload", "UTF-8").alias("payload"), F.col("error").isNotNull().alias("broken")
+    )
+
+
+COMPOSED = """
+    SELECT event_id, upper(props) AS payload, 'contentType=application/json,size=' || length(props) AS headers
+    FROM events WHERE event_type <> 'error'
+"""
 
 
+@query("pipeline_compose", COMPOSED)
 @query(
     "step_compose",
     """

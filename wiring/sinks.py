@@ -115,14 +115,16 @@ def metric_line(spark, sf_dir):
     "column_map_insert",
     """
     SELECT event_id AS id, json_extract_string(props, '$.k')::INT AS k, substr(event_type, 1, 4) AS a,
-           json_extract_string(props, '$.k')::INT + 624 AS b, event_type AS kind, NULL::VARCHAR AS gone
+           json_extract_string(props, '$.k')::INT + 624 AS b, event_type AS kind, NULL::VARCHAR AS gone,
+           CASE WHEN json_extract_string(props, '$.k')::INT % 2 <> 0 THEN json_extract_string(props, '$.k')::INT END AS odd
     FROM events
     """,
 )
 def mapped(spark, sf_dir):
     return tables.column_map_insert(
         event_messages(spark, sf_dir),
-        "id: event_id, k, a: substring(event_type\\, 1\\, 4), b: k + 624, kind: headers['kind'], gone: nowhere",
+        "id: event_id, k, a: substring(event_type\\, 1\\, 4), b: k + 624, kind: headers['kind'], gone: nowhere, "
+        "odd: CAST(IF(payload.k % 2 = 0\\, 'x'\\, string(payload.k)) AS INT)",
         payload_type="k INT",
     )
 
@@ -268,7 +270,7 @@ def bulk(spark, sf_dir):
 def bulk_send(spark, sf_dir):
     def client():
         def send(items):
-            return [f"too long: {len(one['doc'])}" if len(one["doc"]) > 8 else None for one in items]
+            return [f"too long: {len(doc)}" if len(doc) > 8 else None for doc in items.column("doc").to_pylist()]
 
         return send
 

@@ -75,9 +75,15 @@ def file_markers(spark, sf_dir):
     return files.with_markers(lines)
 
 
-@query("file_ref_listing")
+@query(
+    "file_ref_listing",
+    """SELECT 'source=' || source AS folder, 'txt' AS kind, sum(strlen(text) + 1)::BIGINT AS size FROM documents GROUP BY source""",
+)
 def file_listing(spark, sf_dir):
-    return files.file_ref_listing(spark, sf_dir, glob="*.parquet", sort_by="FILENAME").select("name", "size")
+    listed = files.file_ref_listing(spark, document_files(spark, sf_dir, "source"), glob="*.txt", sort_by="FILENAME")
+    folder = F.element_at(F.split("path", "/"), -2).alias("folder")
+    kind = F.element_at(F.split("name", "[.]"), -1).alias("kind")
+    return listed.groupBy(folder, kind).agg(F.sum("size").alias("size"))
 
 
 @query(
@@ -149,9 +155,9 @@ def disposition(spark, sf_dir):
 )
 def multi_source(spark, sf_dir):
     root = document_files(spark, sf_dir, "lang")
-    read = files.multi_source_read(
-        spark, ["west.lang=en", "east.lang=de", "west.lang=fr", "east.lang=es"], {"west": root, "east": root}
-    )
+    languages = sorted(row["lang"] for row in table(spark, sf_dir, "documents").select("lang").distinct().collect())
+    sources = [f"{'west' if lang in ('en', 'fr') else 'east'}.lang={lang}" for lang in languages]
+    read = files.multi_source_read(spark, sources, {"west": root, "east": root})
     return read.select(F.col("headers")["sftp_selectedServer"].alias("server"), "payload")
 
 
@@ -193,7 +199,7 @@ def sql_capped(spark, sf_dir):
 )
 def row_list(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    lists = tables.rows_or_list(orders, ["o_orderkey"], split=False, list_rows=1000)
+    lists = tables.rows_or_list(orders, ["o_orderkey"], list_rows=1000)
     return lists.withColumn("payload", F.to_json("payload"))
 
 
@@ -441,7 +447,21 @@ def frames(spark, sf_dir):
         captured = docs.select("doc_id", F.expr(f"encode({blob}, 'UTF-8')").alias("payload"))
         part = wire.frame_split(captured, encoding).withColumn("encoding", F.lit(encoding))
         cut = part if cut is None else cut.unionByName(part)
-    return cut
+    return cut.withColumn("payload", F.col("payload").cast("string"))
+
+
+@query(
+    "frame_split_bytes",
+    """
+    SELECT event_id, hex(payload) AS payload_hex FROM (
+      SELECT event_id, unnest([unhex('FFFE' || lpad(to_hex(event_id % 200 + 32), 2, '0')), encode(props), unhex('80')]) AS payload
+      FROM events)
+    """,
+)
+def byte_frames(spark, sf_dir):
+    blob = "concat(unhex('FFFE'), unhex(lpad(hex(event_id % 200 + 32), 2, '0')), X'0A', encode(props, 'UTF-8'), X'0A800A')"
+    captured = table(spark, sf_dir, "events").select("event_id", F.expr(blob).alias("payload"))
+    return wire.frame_split(captured, "LF").select("event_id", F.hex("payload").alias("payload_hex"))
 
 
 @query(
@@ -473,9 +493,10 @@ def length_frames(spark, sf_dir):
            'application/json' AS content_type
     FROM customer
     UNION ALL
-    SELECT 'nation ' || c_nationkey, '[' || string_agg('{"c_custkey":' || c_custkey || ',"c_name":"' || c_name || '"}',
-             ',' ORDER BY c_custkey) || ']', 'application/json'
-    FROM customer GROUP BY c_nationkey
+    SELECT 'nation ' || c_nationkey || ' page ' || page, '[' || string_agg('{"c_custkey":' || c_custkey || ',"c_name":"'
+             || c_name || '"}', ',' ORDER BY c_custkey) || ']', 'application/json'
+    FROM (SELECT *, (row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1) // 20 AS page FROM customer)
+    GROUP BY c_nationkey, page
     """,
 )
 def json_rows(spark, sf_dir):
@@ -485,7 +506,7 @@ def json_rows(spark, sf_dir):
         F.get_json_object("payload", "$.c_custkey").alias("key"), "payload", kind
     )
     lists = tables.document_rows(
-        customers, ["c_custkey", "c_name"], group_by=["c_nationkey"], order_by=["c_custkey"]
-    ).select(F.concat(F.lit("nation "), "c_nationkey").alias("key"), "payload", kind)
+        customers, ["c_custkey", "c_name"], group_by=["c_nationkey"], order_by=["c_custkey"], list_rows=20
+    ).select(F.concat(F.lit("nation "), "c_nationkey", F.lit(" page "), "part").alias("key"), "payload", kind)
     return single.unionByName(lists)
 

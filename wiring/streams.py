@@ -89,7 +89,7 @@ def stream_first(spark, sf_dir):
 def stream_predicate(spark, sf_dir):
     groups = BatchedAggregator(
         scratch_path(spark, "open"), scratch_path(spark, "groups"), {"user_id": "user_id"}, ["ts", "event_id"],
-        Release(closes="event_type = 'purchase'"), payload="event_id",
+        Release(closes="event_type = 'purchase'"), payload="event_id", list_rows=1000,
     )
     deliver(spark, sf_dir, lambda stream, checkpoint: flows.run_available(stream, checkpoint, each=groups))
     return groups.released(spark).select("user_id", "n", joined("payloads").alias("payloads"))

@@ -43,7 +43,7 @@ SCHEMES = 128
 #: Sets of a key whose pairs are listed one by one; more go into families.
 LISTED = 8
 #: Keys that one group of the first exchange holds, and keys that a task gathers before it sends.
-KEYS, GATHERED = 500_000, 1 << 20
+KEYS, GATHERED = 500_000, 1 << 19
 #: Sets and shingles in a block of a family.
 BLOCK_SETS, BLOCK_SHINGLES = 512, 250_000
 #: Bits of the filter that tells scans which sets take part; a fixed size.

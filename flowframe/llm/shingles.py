@@ -14,7 +14,7 @@ import pyarrow as pa
 
 WORDS = 5
 #: Bytes of text hashed in one go: the working arrays are some fifty times as large.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True

@@ -11,7 +11,8 @@ from flowframe.llm.base import written
 def _large(edges: DataFrame) -> DataFrame:
     """Hang every greater neighbour of a node on the node's smallest neighbour."""
     both = edges.select("u", "v").union(edges.select("v", "u"))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # Written, so that Spark may split the rows of a node that very many others hang on.
+    least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
     return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 

@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-
-from flowframe.sources.files import accept_once
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StreamingQuery
 
 
 def file_stream(
@@ -52,12 +50,26 @@ def run_available(
     mode: str = "append",
 ) -> StreamingQuery:
     """Process what is there now, then stop: into ``each`` batch function or parquet files."""
-    writer = df.writeStream.option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True)
-    query = writer.foreachBatch(each).start() if each is not None else writer.format("parquet").start(path)
+    query = run_polling(df, checkpoint, each=each, path=path, mode=mode)
     query.awaitTermination()
     return query
 
 
+def run_polling(
+    df: DataFrame,
+    checkpoint: str,
+    *,
+    interval: str | None = None,
+    each: Callable[[DataFrame, int], None] | None = None,
+    path: str | None = None,
+    mode: str = "append",
+) -> StreamingQuery:
+    """Start a query that polls its source once per ``interval`` until stopped; without one it takes what is there."""
+    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
+    writer = df.writeStream.option("checkpointLocation", checkpoint).outputMode(mode).trigger(**trigger)
+    return writer.foreachBatch(each).start() if each is not None else writer.format("parquet").start(path)
+
+
 def stream_dedup(df: DataFrame, key: list[str], *, time: str | None = None, delay: str | None = None) -> DataFrame:
     """First record per key. With a ``delay`` keys are forgotten once the watermark has passed them."""
     if delay is None:
@@ -65,73 +77,78 @@ def stream_dedup(df: DataFrame, key: list[str], *, time: str | None = None, dela
     return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(key)
 
 
-class Snapshots:
-    """A table that a stream replaces as a whole, one version per batch.
+def latest_by_key(df: DataFrame, key: list[str], order_by: list[str]) -> DataFrame:
+    """The last row per key so far, held in Spark's state store: one row per key, combined in each task first.
 
-    A batch reads the other slot than it writes, so running it again is safe.
+    In update mode a batch gives the keys it touched: write them with ``changes_each``.
     """
+    return _picked(df, key, F.max_by, order_by)
 
-    def __init__(self, path: str):
-        self.path = path.rstrip("/")
 
-    def slot(self, batch_id: int) -> str:
-        return f"{self.path}/slot={batch_id % 2}"
+def first_by_key(df: DataFrame, key: list[str], order_by: list[str]) -> DataFrame:
+    """The first row per key so far, in the same way as ``latest_by_key``."""
+    return _picked(df, key, F.min_by, order_by)
 
-    def read(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        if batch_id < 0:
-            return None
-        try:
-            return spark.read.parquet(self.slot(batch_id))
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return None
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(self.slot(batch_id))
+def _picked(df: DataFrame, key: list[str], pick, order_by: list[str]) -> DataFrame:
+    rest = [name for name in df.columns if name not in key]
+    chosen = df.groupBy(*key).agg(pick(F.struct(*rest), F.struct(*order_by)).alias("__row"))
+    return chosen.select(*[F.col(name) if name in key else F.col(f"__row.{name}") for name in df.columns])
 
 
-def merge_each(snapshots: Snapshots, merge: Callable[[DataFrame | None, DataFrame], DataFrame]):
-    """A batch function that replaces a table by ``merge(table, batch)``."""
+def changes_each(path: str) -> Callable[[DataFrame, int], None]:
+    """A batch function that writes the rows an update touched, each batch to a folder of its own.
+
+    A batch that is run again overwrites just its own folder; nothing older is read or written.
+    """
+    place = path.rstrip("/")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        old = snapshots.read(batch.sparkSession, batch_id - 1)
-        snapshots.write(merge(old, batch), batch_id)
+        batch.write.mode("overwrite").parquet(f"{place}/batch={batch_id}")
 
     return each
 
 
-def latest_per_key(key: list[str], order_by: list[str]):
-    """A merge that keeps the last row per key; combined per task before the shuffle."""
-
-    def merge(old: DataFrame | None, batch: DataFrame) -> DataFrame:
-        rows = batch if old is None else old.unionByName(batch)
-        rest = [name for name in batch.columns if name not in key]
-        last = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*order_by)).alias("__last"))
-        return last.select(*key, "__last.*").select(*batch.columns)
-
-    return merge
+def read_changes(spark: SparkSession, path: str, key: list[str]) -> DataFrame:
+    """The table that the written changes make: the row of the last batch per key."""
+    rows = spark.read.parquet(path)
+    rest = [name for name in rows.columns if name not in (*key, "batch")]
+    last = rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch").alias("__row"))
+    return last.select(*key, "__row.*")
 
 
-def accept_each(path: str, *, key: list[str], modified: str):
-    """A batch function for file listings: writes the files that are new or changed.
+def accept_stream(df: DataFrame, key: str, modified: str, order_by: list[str]) -> DataFrame:
+    """The listed files that are new, or changed since they were last accepted.
 
-    What earlier batches wrote is the ledger, so each batch writes only what it
-    accepts, and running one again overwrites just its own folder.
+    Spark's state store keeps one time per file; a file's listings within a batch are
+    taken in order. Rows come out whole.
     """
-    place = path.rstrip("/")
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        listing = batch.select(*key, modified).dropDuplicates([*key, modified])
-        try:
-            earlier = batch.sparkSession.read.parquet(place).filter(F.col("batch") < batch_id)
-        except AnalysisException as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-        else:
-            # Of each file only the time it was last accepted with counts.
-            stored = earlier.groupBy(*key).agg(F.max_by(modified, F.struct("batch", modified)).alias(modified))
-            listing = accept_once(listing, stored, key=key, modified=modified)
-        listing.write.mode("overwrite").parquet(f"{place}/batch={batch_id}")
-
-    return each
+    schema = df.schema
+
+    class Ledger(StatefulProcessor):
+        """What a file's time was when it was last accepted."""
+
+        def init(self, handle):
+            self.seen = handle.getValueState("seen", T.StructType([T.StructField("modified", schema[modified].dataType)]))
+
+        def handleInputRows(self, key, rows, timerValues):
+            import pandas as pd
+
+            batch = pd.concat(list(rows), ignore_index=True).sort_values(order_by, kind="stable")
+            last = self.seen.get()[0] if self.seen.exists() else None
+            # Pandas shows whole numbers next to nulls as floats.
+            whole = isinstance(schema[modified].dataType, T.IntegralType)
+            times = [None if pd.isna(x) else int(x) if whole else x for x in batch[modified].tolist()]
+            before = [last, *times[:-1]]
+            # A file's first listing counts even where its time is the null that stands for none.
+            known = self.seen.exists()
+            new = [not (known or i) or a != b for i, (a, b) in enumerate(zip(times, before, strict=True))]
+            self.seen.update((times[-1],))
+            yield batch[new]
+
+        def close(self):
+            pass
+
+    return df.groupBy(key).transformWithStateInPandas(
+        statefulProcessor=Ledger(), outputStructType=schema, outputMode="append", timeMode="none"
+    )

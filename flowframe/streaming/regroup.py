@@ -1,121 +1,14 @@
-"""The aggregator on a stream.
-
-``BatchedAggregator`` runs the batch operator on each micro-batch together with
-the rows of still open groups, so a stream gives what a batch over the same rows
-gives, and very large keys are split the same way. ``keyed_aggregate`` keeps the
-open groups in Spark's state store instead: cheaper with very many keys, one
-task per key.
-"""
+"""The aggregator on a stream, in Spark's state store."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowframe.functions.columns import as_col
-from flowframe.operators.aggregate import Release, emit, number, prepare
-from flowframe.streaming.flows import Snapshots
-
-
-class BatchedAggregator:
-    """A ``foreachBatch`` function: open rows plus new rows in, released groups out.
-
-    Rows of open groups are written to one of two slots under ``state_path`` in
-    turn, groups to one folder per batch under ``output_path``. A batch that is
-    run again reads the same slot and overwrites the same files, so a lost
-    driver or executor neither drops nor doubles a group. Messages are taken in
-    the order they came: by batch, then by ``order_by``.
-
-    A ``gap`` closes a group once the highest time seen is more than ``delay``
-    past its end.
-    """
-
-    def __init__(
-        self,
-        state_path: str,
-        output_path: str,
-        correlate: dict[str, str | Column],
-        order_by: list[str],
-        rule: Release,
-        *,
-        payload: str | Column = "payload",
-        where: str | Column | None = None,
-        output: dict[str, Column] | None = None,
-        delay: str = "0 seconds",
-        list_rows: int | None = None,
-        sort_by: list[str] | None = None,
-        chunks: int | None = None,
-    ):
-        place = state_path.rstrip("/")
-        self.open, self.numbered = Snapshots(f"{place}/open"), Snapshots(f"{place}/numbered")
-        self.output_path = output_path
-        self.correlate, self.order_by, self.rule = correlate, order_by, rule
-        self.needs = {"payload": payload, "where": where, "output": output, "sort_by": sort_by}
-        self.shape = {"output": output, "list_rows": list_rows, "sort_by": sort_by}
-        self.delay, self.chunks = delay, chunks
-
-    @property
-    def keys(self) -> list[str]:
-        return list(self.correlate)
-
-    def open_rows(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        """The rows left open after a batch; None before the first one."""
-        return self.open.read(spark, batch_id)
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = prepare(batch, self.correlate, self.order_by, self.rule, **self.needs)
-        fresh = fresh.withColumn("__batch", F.lit(batch_id).cast("bigint"))
-        left = self.open_rows(spark, batch_id - 1)
-        rows = fresh if left is None else left.unionByName(fresh)
-        # Numbered once, used three times; the slot is written over two batches later.
-        self.numbered.write(number(rows, self.keys, ["__batch", *self.order_by], self.rule, self.chunks), batch_id)
-        numbered = self.numbered.read(spark, batch_id)
-        tail = self._open_tail(numbered)
-        same = F.lit(True)
-        for key in self.keys:
-            same = same & numbered[key].eqNullSafe(tail[f"__{key}"])
-        in_tail = same & (numbered["group_start"] >= tail["__from"])
-        ready = numbered.join(tail, in_tail, "left_anti")
-        groups = emit(ready, self.keys, self.rule, partial=True, **self.shape)
-        groups.write.mode("overwrite").parquet(f"{self.output_path.rstrip('/')}/batch={batch_id}")
-        self.open.write(numbered.join(tail, in_tail, "left_semi").select(*rows.columns), batch_id)
-
-    def _open_tail(self, numbered: DataFrame) -> DataFrame:
-        """Per key, where its last group starts if that group is still open."""
-        last = [F.max_by("group_start", "position").alias("__from"), F.max("position").alias("__to")]
-        rule = self.rule
-        if rule.size is not None:
-            last.append(F.max_by("__size", "position").alias("__size"))
-        if rule.closes is not None:
-            last.append(F.max_by("__ends", "position").alias("__ended"))
-        if rule.gap is not None:
-            last.append(F.max(rule.time).alias("__last"))
-        tail = numbered.groupBy(*[F.col(key).alias(f"__{key}") for key in self.keys]).agg(*last)
-        still = F.lit(True)
-        if rule.bounded:
-            still = still & (F.col("__to") - F.col("__from") + 1 < rule.expected())
-        if rule.closes is not None:
-            still = still & ~F.col("__ended")
-        if rule.gap is not None:
-            # As text and back, so that no time zone comes in between.
-            mark = (F.max(rule.time) - F.expr(f"interval {self.delay}")).cast("string")
-            top = F.lit(numbered.agg(mark.alias("top")).first()["top"]).cast(numbered.schema[rule.time].dataType)
-            still = still & (F.col("__last") + F.expr(f"interval {rule.gap}") >= top)
-        return tail.filter(still).select(*[f"__{key}" for key in self.keys], "__from")
-
-    def released(self, spark: SparkSession) -> DataFrame:
-        """All groups released so far."""
-        return spark.read.parquet(self.output_path)
-
-    def flush(self, spark: SparkSession, batch_id: int) -> DataFrame:
-        """The open groups after the last batch, as a timeout would release them."""
-        left = self.open_rows(spark, batch_id)
-        numbered = number(left, self.keys, ["__batch", *self.order_by], self.rule, self.chunks)
-        return emit(numbered, self.keys, self.rule, partial=True, **self.shape)
 
 
 def keyed_aggregate(
@@ -124,6 +17,7 @@ def keyed_aggregate(
     order_by: list[str],
     *,
     payload: str | Column = "payload",
+    size: str | Column | None = None,
     count: int | None = None,
     closes: str | Column | None = None,
     idle_seconds: float | None = None,
@@ -133,7 +27,10 @@ def keyed_aggregate(
 ) -> DataFrame:
     """Groups of a streaming frame as (key, n, reason, payloads), held in the state store.
 
-    Rows of a key are taken in ``order_by`` within a micro-batch. ``until`` is a
+    Rows of a key are taken in ``order_by`` within a micro-batch, which a task holds
+    for one key at a time: cap the batch at the source. ``size`` is the number of
+    messages that each message announces for its group; one that announces another
+    number than the message before begins a new group. ``until`` is a
     rule over the whole open group, carried from message to message: it gets what
     it gave before (None for a new group) and the payload, and gives a small value
     to carry on and whether to release. With ``idle_seconds`` the frame needs a watermark on ``time``: an event-time timer
@@ -141,14 +38,13 @@ def keyed_aggregate(
     no ``count`` bounds a group, ``list_rows`` is required: groups come out in pieces
     of that many messages, all but the last as reason ``part``, so neither state nor
     memory grows with a group. Rows that arrive behind
-    the watermark are dropped by Spark: choose its delay by the latest ones to
-    come, or use ``BatchedAggregator``, which takes every row.
+    the watermark are dropped by Spark: choose its delay by the latest ones to come.
     """
-    if count is None and closes is None and idle_seconds is None and until is None:
-        raise ValueError("give a release rule: count, closes, until or idle_seconds")
+    if size is None and count is None and closes is None and idle_seconds is None and until is None:
+        raise ValueError("give a release rule: size, count, closes, until or idle_seconds")
     if idle_seconds is not None and time is None:
         raise ValueError("an idle time needs the time column it is measured on")
-    if count is None and list_rows is None:
+    if size is None and count is None and list_rows is None:
         raise ValueError("say how many messages a piece of a group may hold")
     at = F.unix_micros(F.col(time).cast("timestamp")) if time is not None else F.lit(0).cast("bigint")
     # Spark allows one watermarked column, so the time is ordered by as a number.
@@ -159,6 +55,7 @@ def keyed_aggregate(
         F.coalesce(as_col(closes), F.lit(False)).alias("closes") if closes is not None else F.lit(False).alias("closes"),
         *([F.col(time).alias("event_time")] if idle_seconds is not None else []),
         at.alias("at"),
+        (F.lit(None) if size is None else as_col(size)).cast("bigint").alias("size"),
         as_col(payload).cast("string").alias("payload"),
     )
     processor = _processor(count, None if idle_seconds is None else int(idle_seconds * 1_000_000), until, list_rows)
@@ -192,15 +89,22 @@ def _processor(count: int | None, idle: int | None, until, list_rows: int | None
             self.open = handle.getListState("open", "payload string")
             self.last = handle.getValueState("last", "at bigint")
             self.carried = handle.getValueState("carried", "value binary")
+            self.announced = handle.getValueState("announced", "size bigint")
 
         def handleInputRows(self, key, rows, timerValues):
             batch = pd.concat(list(rows), ignore_index=True)
             held = [row[0] for row in self.open.get()] if self.open.exists() else []
             last = self.last.get()[0] if self.last.exists() else None
             carried = pickle.loads(self.carried.get()[0]) if self.carried.exists() else None
+            announced = self.announced.get()[0] if self.announced.exists() else None
             done = []
             batch = batch.sort_values([name for name in batch.columns if name.startswith("order")], kind="stable")
-            for at, closing, payload in zip(batch["at"].tolist(), batch["closes"].tolist(), batch["payload"].tolist()):
+            sizes = [None if pd.isna(size) else int(size) for size in batch["size"].tolist()]
+            messages = zip(batch["at"].tolist(), sizes, batch["closes"].tolist(), batch["payload"].tolist(), strict=True)
+            for at, size, closing, payload in messages:
+                if size != announced:
+                    # What is left of a group that never was complete stays behind, as in a batch.
+                    held, announced = [], size
                 if idle is not None and held and last is not None and at - last > idle:
                     done.append(("timeout", held))
                     held, carried = [], None
@@ -214,7 +118,7 @@ def _processor(count: int | None, idle: int | None, until, list_rows: int | None
                 if closing or full:
                     done.append(("closed", held))
                     held, carried = [], None
-                elif count is not None and len(held) >= count:
+                elif len(held) == (size if size is not None else count):
                     done.append(("count", held))
                     held, carried = [], None
             self.open.clear()
@@ -222,19 +126,23 @@ def _processor(count: int | None, idle: int | None, until, list_rows: int | None
                 self.open.put([(one,) for one in held])
             self.last.update((last,))
             self.carried.update((pickle.dumps(carried),))
+            if announced is not None:
+                self.announced.update((announced,))
             if idle is not None:
                 for due in self.handle.listTimers():
                     self.handle.deleteTimer(due)
                 if held:
                     # Timers are in whole milliseconds; fire after the idle time, not at it.
                     self.handle.registerTimer((last + idle) // 1000 + 1)
-            yield self._frame(key, done)
+            if done:
+                yield self._frame(key, done)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
             held = [row[0] for row in self.open.get()] if self.open.exists() else []
             self.open.clear()
             self.carried.clear()
-            yield self._frame(key, [("timeout", held)] if held else [])
+            if held:
+                yield self._frame(key, [("timeout", held)])
 
         def _frame(self, key, done):
             return pd.DataFrame(

@@ -1,11 +1,9 @@
 import datetime as dt
 
-import pytest
-
-from flowframe.operators.aggregate import Release, aggregate
+from flowframe.operators.aggregate import aggregate
 from flowframe.sources.feeds import clock_source
 from flowframe.streaming import flows
-from flowframe.streaming.regroup import BatchedAggregator, keyed_aggregate
+from flowframe.streaming.regroup import keyed_aggregate
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "k string, i int, ts timestamp, closing boolean, size int"
@@ -27,51 +25,6 @@ def deliver(spark, tmp_path, consume, data, cuts=3):
         consume(flows.file_stream(spark, source, "parquet", schema=SCHEMA), str(tmp_path / "checkpoint"))
 
 
-RULES = [
-    Release(count=5),
-    Release(closes="closing"),
-    Release(size="size"),
-    Release(count=4, closes="closing"),
-    Release(gap="10 seconds", time="ts"),
-    Release(gap="10 seconds", time="ts", count=4),
-]
-
-
-def grouped(df):
-    """Groups as (key, payloads), from pages."""
-    whole = {}
-    for r in sorted(df.collect(), key=lambda r: r.asDict().get("part", 0)):
-        whole.setdefault((r["k"], r["group_start"], r.asDict().get("batch")), []).extend(r["payloads"])
-    return [(k, found) for (k, *_), found in whole.items()]
-
-
-@pytest.mark.parametrize("rule", RULES, ids=str)
-def test_stream_equals_batch(spark, tmp_path, rule):
-    data = rows()
-    groups = BatchedAggregator(
-        str(tmp_path / "open"), str(tmp_path / "out"), {"k": "k"}, ["ts", "i"], rule, payload="i", list_rows=3
-    )
-    batches = []
-
-    def each(batch, batch_id):
-        groups(batch, batch_id)
-        if batch_id == 1:
-            groups(batch, batch_id)  # a batch run twice must change nothing
-        batches.append(batch_id)
-
-    deliver(spark, tmp_path, lambda stream, place: flows.run_available(stream, place, each=each), data)
-    released = grouped(groups.released(spark))
-    still_open = grouped(groups.flush(spark, batches[-1]))
-    options = {name: value for name, value in vars(rule).items() if value is not None}
-    df = spark.createDataFrame(data, SCHEMA)
-    whole = aggregate(df, {"k": "k"}, ["ts", "i"], payload="i", partial=True, list_rows=3, **options)
-    assert sorted(released + still_open, key=repr) == sorted(grouped(whole), key=repr)
-    if rule.gap is None:
-        done = aggregate(df, {"k": "k"}, ["ts", "i"], payload="i", list_rows=3, **options)
-        assert sorted(released, key=repr) == sorted(grouped(done), key=repr)
-    assert len(batches) == 3 and released
-
-
 def test_state_store_aggregator(spark, tmp_path):
     data = [row for row in rows() if row[0] is not None]
 
@@ -87,6 +40,51 @@ def test_state_store_aggregator(spark, tmp_path):
     assert {r["reason"] for r in out} == {"count", "closed"}
 
 
+def test_state_store_sequences_start_anew(spark, tmp_path):
+    told = [2, 2, 3, 3, 3, 1, 2, 2, 2, 3]
+    data = [("a", i, START + dt.timedelta(seconds=i), False, size) for i, size in enumerate(told)]
+
+    def consume(stream, place):
+        flows.run_available(keyed_aggregate(stream, "k", ["i"], payload="i", size="size"), place, path=str(tmp_path / "out"))
+
+    deliver(spark, tmp_path, consume, data, cuts=4)
+    out = sorted(r["payloads"] for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert out == [["0", "1"], ["2", "3", "4"], ["5"], ["6", "7"]]
+
+
+def test_accepts_every_version_once(spark, tmp_path):
+    data = [("f", i, START + dt.timedelta(seconds=i), False, size) for i, size in enumerate([1, 1, 2, 2, 1, 3])]
+    data += [("g", 9, START, False, None), ("g", 10, START, False, None)]
+
+    def consume(stream, place):
+        flows.run_available(flows.accept_stream(stream, "k", "size", ["i"]), place, path=str(tmp_path / "out"))
+
+    deliver(spark, tmp_path, consume, data, cuts=4)
+    assert sorted(r["i"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 2, 4, 5, 9]
+
+
+def test_first_and_latest_by_key(spark, tmp_path):
+    data = [row for row in rows() if row[0] is not None]
+
+    def consume(stream, place):
+        for name, pick in (("first", flows.first_by_key), ("latest", flows.latest_by_key)):
+            each = flows.changes_each(str(tmp_path / name))
+            flows.run_available(pick(stream, ["k"], ["ts", "i"]), f"{place}-{name}", each=each, mode="update")
+
+    deliver(spark, tmp_path, consume, data)
+    found = {name: {r["k"]: r["i"] for r in flows.read_changes(spark, str(tmp_path / name), ["k"]).collect()} for name in ("first", "latest")}
+    assert found == {pick: {k: end(r[1] for r in data if r[0] == k) for k in "ab"} for pick, end in (("first", min), ("latest", max))}
+
+
+def test_polling_at_an_interval(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "in"))
+    stream = flows.file_stream(spark, str(tmp_path / "in"), "parquet", schema="id long")
+    query = flows.run_polling(stream, str(tmp_path / "c"), interval="1 second", path=str(tmp_path / "out"))
+    query.processAllAvailable()
+    query.stop()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+
+
 def test_state_store_rule_over_the_group_and_parts(spark, tmp_path):
     data = [("a", i, START, False, 1) for i in range(10)]
 

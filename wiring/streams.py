@@ -2,39 +2,51 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from flowframe.operators import metrics
-from flowframe.operators.aggregate import Release
 from flowframe.plans.scratch import scratch_path
-from flowframe.sources.feeds import record_filter
+from flowframe.sources.feeds import read_new, record_filter
 from flowframe.streaming import flows
-from flowframe.streaming.regroup import BatchedAggregator, keyed_aggregate
+from flowframe.streaming.regroup import keyed_aggregate
 from wiring.base import joined, query, table
-from wiring.functions import TRIGGERED
-
-
+from wiring.functions import AGAIN, TRIGGERED
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def deliver(spark, sf_dir, consume):
-    """Write the events half a month at a time into one folder and let ``consume`` run after each.
+@contextmanager
+def rocks_db(spark):
+    """The state store that stateful processors need, for the time of a run."""
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKS_DB)
+    try:
+        yield
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
+def deliver(spark, rows, consume):
+    """Write the rows half a month at a time into one folder and let ``consume`` run after each.
 
     ``consume`` takes the folder's stream and a checkpoint; being started anew
     each time, it also shows that a stream goes on where it stopped.
     """
     path, checkpoint = scratch_path(spark, "event-stream"), scratch_path(spark, "checkpoint")
-    staged = scratch_path(spark, "event-parts")
-    events = table(spark, sf_dir, "events")
-    schema = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in events.schema)
+    schema = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in rows.schema)
     half = F.concat(F.date_format("ts", "yyyy-MM"), F.when(F.dayofmonth("ts") <= 15, "-a").otherwise("-b"))
-    events.withColumn("half", half).write.partitionBy("half").parquet(staged)
-    halves = spark.read.parquet(staged).select("half").distinct().collect()
-    for one in sorted(row["half"] for row in halves):
-        spark.read.parquet(f"{staged}/half={one}").write.mode("append").parquet(path)
+    for one in sorted(row["half"] for row in rows.select(half.alias("half")).distinct().collect()):
+        rows.filter(half == one).write.mode("append").parquet(path)
         consume(flows.file_stream(spark, path, "parquet", schema=schema), checkpoint)
+    return path
+
+
+def events_of(spark, sf_dir):
+    return table(spark, sf_dir, "events")
 
 
 @query(
@@ -45,54 +57,104 @@ def deliver(spark, sf_dir, consume):
     """,
 )
 def stream_counter(spark, sf_dir):
-    snapshots = flows.Snapshots(scratch_path(spark, "counters"))
-    last = []
-
-    def each(batch, batch_id):
-        snapshots.write(batch, batch_id)
-        last.append(batch_id)
+    out = scratch_path(spark, "counters")
 
     def consume(stream, checkpoint):
         kept = record_filter(stream, "value > 300")
         counts = metrics.metric_counter(
             kept, "event_type", amount="CAST(value AS DECIMAL(18, 2))", tags={"user": "user_id"}
         )
-        flows.run_available(counts, checkpoint, each=each, mode="complete")
+        flows.run_available(counts, checkpoint, each=flows.changes_each(out), mode="update")
 
-    deliver(spark, sf_dir, consume)
-    return snapshots.read(spark, last[-1])
+    deliver(spark, events_of(spark, sf_dir), consume)
+    return flows.read_changes(spark, out, ["name", "tag_user"])
 
 
 @query(
     "stream_first_seen",
-    "SELECT DISTINCT user_id, event_type FROM events",
+    """
+    SELECT user_id, event_type, event_id, ts, value FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS rn FROM events) WHERE rn = 1
+    """,
 )
 def stream_first(spark, sf_dir):
-    out = scratch_path(spark, "first-seen")
+    out, key = scratch_path(spark, "first-seen"), ["user_id", "event_type"]
+
+    def consume(stream, checkpoint):
+        rows = stream.select(*key, "event_id", "ts", "value")
+        first = flows.first_by_key(rows, key, ["ts", "event_id"])
+        flows.run_available(first, checkpoint, each=flows.changes_each(out), mode="update")
+
+    deliver(spark, events_of(spark, sf_dir), consume)
+    return flows.read_changes(spark, out, key)
+
+
+@query(
+    "stream_cdc_latest",
+    """
+    SELECT user_id, event_id, event_type, value FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+    WHERE rn = 1 AND event_type <> 'error'
+    """,
+)
+def stream_latest(spark, sf_dir):
+    out = scratch_path(spark, "latest")
+
+    def consume(stream, checkpoint):
+        latest = flows.latest_by_key(stream, ["user_id"], ["ts", "event_id"])
+        flows.run_available(latest, checkpoint, each=flows.changes_each(out), mode="update")
+
+    deliver(spark, events_of(spark, sf_dir), consume)
+    latest = flows.read_changes(spark, out, ["user_id"])
+    return latest.filter("event_type <> 'error'").select("user_id", "event_id", "event_type", "value")
+
+
+@query(
+    "stream_accept_once",
+    """
+    SELECT user_id, event_type, event_id FROM (
+      SELECT *, lag(event_type) OVER w AS before, row_number() OVER w AS rn FROM events
+      WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+    WHERE rn = 1 OR event_type <> before
+    """,
+)
+def stream_accept(spark, sf_dir):
+    """A user's kind of event stands for a file's time: each change is a new version to accept."""
+    out = scratch_path(spark, "accepted")
 
     def consume(stream, checkpoint):
-        pairs = flows.stream_dedup(stream.select("user_id", "event_type"), ["user_id", "event_type"])
-        flows.run_available(pairs, checkpoint, path=out)
+        listing = stream.select("user_id", "event_type", "ts", "event_id")
+        accepted = flows.accept_stream(listing, "user_id", "event_type", ["ts", "event_id"])
+        flows.run_available(accepted.select("user_id", "event_type", "event_id"), checkpoint, path=out)
+
+    with rocks_db(spark):
+        deliver(spark, events_of(spark, sf_dir), consume)
+    return spark.read.parquet(out)
+
 
-    deliver(spark, sf_dir, consume)
-    return spark.read.schema("user_id BIGINT, event_type STRING").parquet(out)
+GROUPS = "key STRING, n BIGINT, reason STRING, payloads ARRAY<STRING>"
+
+
+def regrouped(spark, rows, name, groups_of):
+    """Run a stream of groups to its end and read what it released."""
+    out = scratch_path(spark, name)
+    with rocks_db(spark):
+        deliver(spark, rows, lambda stream, checkpoint: flows.run_available(groups_of(stream), checkpoint, path=out))
+    return spark.read.schema(GROUPS).parquet(out).withColumn("payloads", joined("payloads"))
 
 
 @query(
     "stream_aggregate_predicate",
     f"""
-    SELECT user_id, count(*) AS n, string_agg(event_id::VARCHAR, ',' ORDER BY rn) AS payloads
+    SELECT user_id::VARCHAR AS "key", count(*) AS n, 'closed' AS reason, string_agg(event_id::VARCHAR, ',' ORDER BY rn) AS payloads
     FROM ({TRIGGERED}) GROUP BY user_id, grp
     HAVING sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) > 0
     """,
 )
 def stream_predicate(spark, sf_dir):
-    groups = BatchedAggregator(
-        scratch_path(spark, "open"), scratch_path(spark, "groups"), {"user_id": "user_id"}, ["ts", "event_id"],
-        Release(closes="event_type = 'purchase'"), payload="event_id", list_rows=1000,
-    )
-    deliver(spark, sf_dir, lambda stream, checkpoint: flows.run_available(stream, checkpoint, each=groups))
-    return groups.released(spark).select("user_id", "n", joined("payloads").alias("payloads"))
+    return regrouped(spark, events_of(spark, sf_dir), "closed", lambda stream: keyed_aggregate(
+        stream, "user_id", ["ts", "event_id"], payload="event_id", closes="event_type = 'purchase'", list_rows=1000
+    ))
 
 
 @query(
@@ -104,54 +166,60 @@ def stream_predicate(spark, sf_dir):
     """,
 )
 def stream_count(spark, sf_dir):
-    before = spark.conf.get(STATE_STORE)
-    spark.conf.set(STATE_STORE, ROCKS_DB)
-    out = scratch_path(spark, "counted")
-
-    def consume(stream, checkpoint):
-        groups = keyed_aggregate(stream, "event_type", ["ts", "event_id"], payload="event_id", count=20)
-        flows.run_available(groups, checkpoint, path=out)
-
-    deliver(spark, sf_dir, consume)
-    spark.conf.set(STATE_STORE, before)
-    return spark.read.schema("key STRING, n BIGINT, reason STRING, payloads ARRAY<STRING>").parquet(out).withColumn(
-        "payloads", joined("payloads")
-    )
+    return regrouped(spark, events_of(spark, sf_dir), "counted", lambda stream: keyed_aggregate(
+        stream, "event_type", ["ts", "event_id"], payload="event_id", count=20
+    ))
 
 
 @query(
-    "stream_cdc_latest",
-    """
-    SELECT user_id, event_id, event_type, value FROM (
-      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
-    WHERE rn = 1 AND event_type <> 'error'
+    "stream_aggregate_sequence",
+    f"""
+    WITH told AS ({AGAIN}),
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM told),
+    marked AS (SELECT *, CASE WHEN size IS DISTINCT FROM lag(size) OVER (PARTITION BY user_id ORDER BY rn) THEN rn END AS start FROM numbered),
+    placed AS (SELECT *, max(start) OVER (PARTITION BY user_id ORDER BY rn ROWS UNBOUNDED PRECEDING) AS first FROM marked)
+    SELECT user_id::VARCHAR AS "key", count(*) AS n, 'count' AS reason, string_agg(event_id::VARCHAR, ',' ORDER BY rn) AS payloads
+    FROM placed GROUP BY user_id, first, (rn - first) // size HAVING count(*) = max(size)
     """,
 )
-def stream_latest(spark, sf_dir):
-    snapshots = flows.Snapshots(scratch_path(spark, "latest"))
-    merge = flows.merge_each(snapshots, flows.latest_per_key(["user_id"], ["ts", "event_id"]))
-    last = []
-
-    def each(batch, batch_id):
-        merge(batch, batch_id)
-        last.append(batch_id)
-
-    deliver(spark, sf_dir, lambda stream, checkpoint: flows.run_available(stream, checkpoint, each=each))
-    return snapshots.read(spark, last[-1]).filter("event_type <> 'error'").select(
-        "user_id", "event_id", "event_type", "value"
-    )
+def stream_sequence(spark, sf_dir):
+    rn = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    told = events_of(spark, sf_dir).select("user_id", "event_id", "ts", (2 + F.floor((rn - 1) / 12) % 3).alias("size"))
+    return regrouped(spark, told, "sequences", lambda stream: keyed_aggregate(
+        stream, "user_id", ["ts", "event_id"], payload="event_id", size="size"
+    ))
 
 
 @query(
-    "stream_accept_once",
-    "SELECT DISTINCT user_id, value FROM events",
+    "stream_group_timeout",
+    """
+    WITH brk AS (SELECT *, CASE WHEN ts > lag(ts) OVER w + INTERVAL 2 HOUR THEN 1 ELSE 0 END AS brk
+      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    segmented AS (SELECT *, sum(brk) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS seg FROM brk)
+    SELECT user_id::VARCHAR AS "key", count(*) AS n, 'timeout' AS reason, string_agg(event_id::VARCHAR, ',' ORDER BY ts, event_id) AS payloads
+    FROM segmented GROUP BY user_id, seg HAVING max(ts) + INTERVAL 2 HOUR < (SELECT max(ts) FROM events)
+    """,
 )
-def stream_accept(spark, sf_dir):
-    out = scratch_path(spark, "accepted")
-    each = flows.accept_each(out, key=["user_id"], modified="value")
-
-    def consume(stream, checkpoint):
-        flows.run_available(stream.select("user_id", "value"), checkpoint, each=each)
-
-    deliver(spark, sf_dir, consume)
-    return spark.read.parquet(out).select("user_id", "value").distinct()
+def stream_timeout(spark, sf_dir):
+    """What idles at the end of the stream is released by its watermark; what may still go on is not."""
+    return regrouped(spark, events_of(spark, sf_dir), "idle", lambda stream: keyed_aggregate(
+        stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "0 seconds"), "user_id", ["ts", "event_id"], payload="event_id",
+        idle_seconds=7200, time="ts", list_rows=1000,
+    ))
+
+
+@query("stream_incremental_read", "SELECT event_id, user_id, value FROM events")
+def stream_read_new(spark, sf_dir):
+    """A table that grows is polled after each part; the stored mark keeps a row from being read twice."""
+    out, mark = scratch_path(spark, "read"), scratch_path(spark, "mark")
+    place = F.row_number().over(Window.partitionBy("half").orderBy("ts", "event_id"))
+    half = F.when(F.dayofmonth("ts") <= 15, 0).otherwise(1)
+    rows = events_of(spark, sf_dir).withColumn("half", half)
+    # Ids that rise with time, as a feed's do.
+    rows = rows.withColumn("id", half.cast("bigint") * 1_000_000_000 + place).select("id", "event_id", "user_id", "value", "ts")
+    grown = scratch_path(spark, "grown")
+    for low in (0, 1_000_000_000):
+        rows.filter((F.col("id") > low) & (F.col("id") <= low + 1_000_000_000)).write.mode("append").parquet(grown)
+        for _ in range(2):
+            read_new(spark.read.parquet(grown), mark, lambda new: new.write.mode("append").parquet(out))
+    return spark.read.parquet(out).select("event_id", "user_id", "value")

@@ -4,14 +4,16 @@ Per language, texts of a bounded sample make one raw-content zstandard dictionar
 text is lower-cased, runs of anything but letters become one space, and it is encoded
 whole, in blocks of ``BLOCK`` bytes so that the dictionary counts all along, once with
 each dictionary. The smallest sum wins. A text whose runner-up is nearly as small is
-marked as rejected.
+marked as rejected. The encoder stores a very short input as it is, so a text of fewer
+than ``SHORT`` bytes goes through its most thorough setting after several lead-ins from
+the dictionary; their own sizes are taken off the sum.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import zstandard
@@ -22,6 +24,7 @@ from flowframe.llm.base import without
 
 BLOCK = 2048
 LEVEL = 6
+SHORT, LEADS, LEAD = 64, 8, 48
 #: Bounds of the sample: texts of a language, characters of a text, bytes of a dictionary, languages.
 TEXTS, CHARS, BYTES, LANGUAGES = 256, 1024, 1 << 17, 256
 #: Softness of the score, as a share of the smallest size.
@@ -66,16 +69,29 @@ class Classifier:
     """The dictionaries, ready to encode with."""
 
     def __init__(self, model: dict[str, bytes]):
-        options = zstandard.ZstdCompressionParameters.from_level(
-            LEVEL, write_content_size=0, write_checksum=0, write_dict_id=0
+        plain = {"write_content_size": 0, "write_checksum": 0, "write_dict_id": 0}
+        usual = zstandard.ZstdCompressionParameters.from_level(LEVEL, **plain)
+        thorough = zstandard.ZstdCompressionParameters(
+            strategy=zstandard.STRATEGY_BTULTRA2, min_match=3, window_log=18, chain_log=18, hash_log=17, search_log=8,
+            target_length=256, **plain,
         )
-        self.encoders = {}
-        for name in sorted(model):
-            data = zstandard.ZstdCompressionDict(model[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            data.precompute_compress(compression_params=options)
-            self.encoders[name] = zstandard.ZstdCompressor(dict_data=data, compression_params=options).compress
+        names = sorted(model)
+        self.encoders = {name: self._encoder(model[name], usual) for name in names}
+        self.short = {}
+        for name in names:
+            encode, data = self._encoder(model[name], thorough), model[name]
+            leads = [data[at : at + LEAD] for at in (len(data) * i // LEADS for i in range(LEADS))]
+            self.short[name] = encode, leads, sum(len(encode(lead)) for lead in leads)
+
+    @staticmethod
+    def _encoder(data: bytes, options: zstandard.ZstdCompressionParameters) -> Callable[[bytes], bytes]:
+        made = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        made.precompute_compress(compression_params=options)
+        return zstandard.ZstdCompressor(dict_data=made, compression_params=options).compress
 
     def sizes(self, data: bytes) -> dict[str, int]:
+        if len(data) < SHORT:
+            return {name: sum(len(encode(lead + data)) for lead in leads) - own for name, (encode, leads, own) in self.short.items()}
         blocks = [data[i : i + BLOCK] for i in range(0, len(data), BLOCK)]
         return {name: sum(len(encode(block)) for block in blocks) for name, encode in self.encoders.items()}
 
@@ -85,7 +101,7 @@ class Classifier:
             return "und", 0.0, True
         ranked = sorted((size, name) for name, size in self.sizes(data).items())
         best = ranked[0][0]
-        score = 1 / sum(math.exp((best - size) / (SOFTNESS * best)) for size, _ in ranked)
+        score = 1 / sum(math.exp((best - size) / (SOFTNESS * max(1, best))) for size, _ in ranked)
         narrow = len(ranked) > 1 and ranked[1][0] - best < margin * ranked[1][0]
         return ranked[0][1], score, narrow
 

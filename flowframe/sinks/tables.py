@@ -92,6 +92,13 @@ def table_init(
     spark.sql(f"CREATE TABLE {table} ({body}) USING {using}{place}")
 
 
+def table_script(spark: SparkSession, script: str) -> None:
+    """Run a user's set-up script: SQL statements, each ended by a semicolon at the end of a line."""
+    for statement in re.split(r";[ \t]*(?:\n|$)", script):
+        if statement.strip():
+            spark.sql(statement)
+
+
 def table_append(df: DataFrame, table: str) -> None:
     """Append rows to a table by column name, as text where the table says so."""
     target = df.sparkSession.table(table).schema

@@ -148,6 +148,16 @@ def test_table_init_makes_the_table_anew(spark, tmp_path):
     spark.sql("DROP TABLE made_table")
 
 
+def test_table_script(spark, tmp_path):
+    tables.table_script(spark, f"""
+        CREATE TABLE scripted (a STRING, b INT) USING parquet LOCATION '{tmp_path / 'scripted'}';
+        INSERT INTO scripted VALUES ('x; y', 1), ('z', 2);
+
+        INSERT INTO scripted SELECT a, b + 10 FROM scripted WHERE b = 2""")
+    assert sorted(rows_of(spark.table("scripted"))) == [("x; y", 1), ("z", 2), ("z", 12)]
+    spark.sql("DROP TABLE scripted")
+
+
 BOOK = "isbn STRING, title STRING, author STRING, pages INT, saleDate STRING, inStock BOOLEAN"
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowframe.envelope import to_messages
 from flowframe.plans.scratch import scratch_path
-from flowframe.sinks.routes import write_partitioned
+from flowframe.sinks.routes import write_objects, write_partitioned
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,3 +62,17 @@ def document_files(spark: SparkSession, sf_dir: str, by: str) -> str:
     docs = table(spark, sf_dir, "documents").select(by, F.col("text").alias("content"))
     write_partitioned(docs, path, [by])
     return path
+
+
+def document_objects(spark: SparkSession, sf_dir: str) -> str:
+    """The documents as files of their own, ``<lang>/<doc_id>.txt``, bytes as they are."""
+    root = scratch_path(spark, "document-objects")
+    name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name")
+    docs = table(spark, sf_dir, "documents").select("lang", name, F.col("text").alias("content"))
+    write_objects(docs, root, ["lang", "name"]).write.format("noop").mode("overwrite").save()
+    return root
+
+
+def document_of(path: str | Column = "path") -> Column:
+    """The document's id, from the name of its file."""
+    return F.regexp_extract(path, r"/(?:done-)?(\d+)\.txt$", 1).cast("bigint")

@@ -5,32 +5,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowframe.envelope import to_messages
-from flowframe.operators.split import split_file_content
 from flowframe.plans.scratch import cut_lineage, scratch_path
 from flowframe.sources import feeds, files, tables, wire
-from wiring.base import document_files, joined, query, table
-from wiring.functions import LINES_SQL
+from wiring.base import document_files, document_objects, document_of, joined, query, table
 
 
 @query(
     "file_contents_scan",
-    """SELECT source, sum(strlen(text) + 1)::BIGINT AS bytes, count(*) AS terminators
-       FROM (SELECT source, text FROM documents) GROUP BY source""",
+    "SELECT doc_id, strlen(text)::BIGINT AS size, sha256(text) AS content, 'application/octet-stream' AS content_type FROM documents",
 )
 def file_contents(spark, sf_dir):
-    path = document_files(spark, sf_dir, "source")
-    whole = files.file_contents_scan(spark, path, glob="*.txt")
-    # Documents have line breaks of their own; count the ones that end a document.
-    lines = table(spark, sf_dir, "documents").groupBy("source").agg(
-        F.sum(F.expr("length(text) - length(replace(text, '\n', ''))")).alias("inner")
-    )
-    breaks = F.expr("octet_length(payload) - octet_length(replace(CAST(payload AS STRING), '\n', ''))")
-    found = (
-        whole.select(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"),
-                     F.octet_length("payload").alias("b"), breaks.alias("n"))
-        .groupBy("source").agg(F.sum("b").alias("bytes"), F.sum("n").alias("n"))
+    whole = files.file_contents_scan(spark, document_objects(spark, sf_dir), glob="*.txt")
+    return whole.select(
+        document_of().alias("doc_id"), "size", F.sha2("payload", 256).alias("content"),
+        F.col("headers")["contentType"].alias("content_type"),
     )
-    return found.join(lines, "source").select("source", "bytes", (F.col("n") - F.col("inner")).alias("terminators"))
 
 
 @query(
@@ -46,33 +35,36 @@ def file_lines(spark, sf_dir):
     )
 
 
+#: A file's last line end begins no further line, and an empty file has none.
+FILE_LINES = """
+    (SELECT doc_id, string_split(regexp_replace(text, chr(10) || '$', ''), chr(10)) AS lines FROM documents WHERE text <> '')
+"""
+
+
 @query(
     "file_lines_numbered",
-    """SELECT source, sum(len(string_split(text, chr(10))))::BIGINT AS lines FROM documents GROUP BY source""",
+    f"SELECT doc_id, unnest(range(1, len(lines) + 1)) AS line_no, unnest(lines) AS payload FROM {FILE_LINES}",
 )
 def file_lines_numbered(spark, sf_dir):
-    lines = files.file_lines_scan(spark, document_files(spark, sf_dir, "source"), glob="*.txt", numbered=True)
-    per_file = lines.groupBy("path").agg(F.max("line_no").alias("top"))
-    source = F.regexp_extract("path", "source=([^/]+)/", 1).alias("source")
-    return per_file.groupBy(source).agg(F.sum("top").alias("lines"))
+    lines = files.file_lines_scan(spark, document_objects(spark, sf_dir), glob="*.txt", numbered=True)
+    return lines.select(document_of().alias("doc_id"), "line_no", "payload")
 
 
 @query(
     "file_lines_with_markers",
     f"""
-    WITH lined AS (SELECT doc_id, {LINES_SQL} AS lines FROM documents)
-    SELECT doc_id::VARCHAR AS path, unnest(range(0, len(lines) + 2)) AS seq, unnest(
-             ['{{"filePath":"' || doc_id || '","mark":"START","lineCount":0}}'] || lines
-             || ['{{"filePath":"' || doc_id || '","mark":"END","lineCount":' || len(lines) || '}}']) AS payload
-    FROM lined
+    SELECT doc_id, unnest(range(0, len(lines) + 2)) AS seq, unnest(
+             ['{{"mark":"START","lineCount":0}}'] || lines || ['{{"mark":"END","lineCount":' || len(lines) || '}}']) AS payload
+    FROM {FILE_LINES}
     """,
 )
 def file_markers(spark, sf_dir):
-    messages = to_messages(table(spark, sf_dir, "documents"), "text", keep=["doc_id"])
-    lines = split_file_content(messages, correlate="doc_id").select(
-        F.col("doc_id").cast("string").alias("path"), F.col("sequence_number").alias("line_no"), "payload"
-    )
-    return files.with_markers(lines)
+    lines = files.file_lines_scan(spark, document_objects(spark, sf_dir), glob="*.txt", numbered=True)
+    marked = files.with_markers(lines)
+    # The path is that of a scratch folder; the mark must name the row's own file.
+    own = F.concat(F.lit('{"filePath":"'), F.col("path"), F.lit('",'))
+    body = F.when(F.startswith("payload", own), F.concat(F.lit("{"), F.substring("payload", F.length(own) + 1, F.length("payload"))))
+    return marked.select(document_of().alias("doc_id"), "seq", F.coalesce(body, "payload").alias("payload"))
 
 
 @query(
@@ -101,7 +93,9 @@ def file_names(spark, sf_dir):
     return by_pattern.withColumn("way", F.lit("pattern")).unionByName(by_regex.withColumn("way", F.lit("regex")))
 
 
-LEDGER = """SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN o_orderdate - INTERVAL 1 DAY ELSE o_orderdate END
+#: What is listed, and a ledger that knows some files as they are, some with a later time, and some that are gone.
+LISTING = "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderkey % 7 <> 0"
+LEDGER = """SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END
             AS o_orderdate FROM orders WHERE o_orderstatus IN ('F', 'O')"""
 
 
@@ -109,7 +103,7 @@ LEDGER = """SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN o_orderdate -
     "accept_once",
     f"""
     WITH ledger AS ({LEDGER})
-    SELECT o_orderkey, o_orderdate FROM orders o
+    SELECT o_orderkey, o_orderdate FROM ({LISTING}) o
     WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.o_orderkey = o.o_orderkey AND l.o_orderdate = o.o_orderdate)
     """,
 )
@@ -120,13 +114,19 @@ def accept(spark, sf_dir):
 
 def _listing(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
-    listing = orders.select("o_orderkey", "o_orderdate")
-    stored = F.expr("IF(o_orderstatus = 'O', o_orderdate - INTERVAL 1 DAY, o_orderdate)")
+    listing = orders.filter("o_orderkey % 7 <> 0").select("o_orderkey", "o_orderdate")
+    stored = F.expr("IF(o_orderstatus = 'O', o_orderdate + INTERVAL 1 DAY, o_orderdate)")
     ledger = orders.filter("o_orderstatus IN ('F', 'O')").select("o_orderkey", stored.alias("o_orderdate"))
     return listing, ledger
 
 
-@query("accept_once_ledger", "SELECT o_orderkey, o_orderdate FROM orders")
+@query(
+    "accept_once_ledger",
+    f"""
+    SELECT coalesce(l.o_orderkey, k.o_orderkey) AS o_orderkey, coalesce(l.o_orderdate, k.o_orderdate) AS o_orderdate
+    FROM ({LISTING}) l FULL JOIN ({LEDGER}) k ON l.o_orderkey = k.o_orderkey
+    """,
+)
 def accept_ledger(spark, sf_dir):
     listing, ledger = _listing(spark, sf_dir)
     accepted = files.accept_once(listing, ledger, key=["o_orderkey"], modified="o_orderdate")
@@ -135,14 +135,20 @@ def accept_ledger(spark, sf_dir):
 
 @query(
     "post_read_disposition",
-    """SELECT DISTINCT lang, CASE WHEN lang = 'en' THEN 'renamed' ELSE 'left' END AS outcome FROM documents""",
+    """
+    SELECT doc_id, CASE WHEN lang = 'en' THEN 'renamed' ELSE 'left' END AS outcome,
+           CASE WHEN lang = 'en' THEN 'done-' ELSE '' END || doc_id || '.txt' AS name, strlen(text)::BIGINT AS size
+    FROM documents
+    """,
 )
 def disposition(spark, sf_dir):
-    read = files.file_contents_scan(spark, document_files(spark, sf_dir, "lang"), glob="*.txt")
-    name = "IF(path LIKE '%lang=en%', concat('done-', element_at(split(path, '/'), -1)), '')"
+    root = document_objects(spark, sf_dir)
+    read = files.file_contents_scan(spark, root, glob="*.txt")
+    name = "IF(path LIKE '%/en/%', concat('done-', element_at(split(path, '/'), -1)), '')"
     plan = cut_lineage(files.plan_disposition(read, rename=name))
-    done = cut_lineage(files.apply_disposition(plan))
-    return done.select(F.regexp_extract("path", "lang=([^/]+)/", 1).alias("lang"), "outcome").distinct()
+    done = cut_lineage(files.apply_disposition(plan)).select(document_of().alias("doc_id"), "outcome")
+    now = files.file_ref_listing(spark, root, glob="*.txt").select(document_of().alias("doc_id"), "name", "size")
+    return done.join(now, "doc_id")
 
 
 @query(

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowframe.llm.base import pieces, without
+from flowframe.llm.base import pieces, without, written
 
 MOST = 1024
 #: Rows that a block or a bin holds as long as ``MOST`` allows.
@@ -69,9 +69,9 @@ def even(total: int, parts: int) -> list[int]:
 
 
 def _rows(df: DataFrame, values: list[dict], schema: str) -> DataFrame:
-    """A bounded list as a frame, through one literal."""
+    """A bounded list as a written table, through one literal that later plans need not carry."""
     literal = F.from_json(F.lit(json.dumps(values)), f"array<struct<{schema}>>")
-    return df.sparkSession.range(1).select(F.inline(literal))
+    return written(df.sparkSession.range(1).select(F.inline(literal)), "matrix")
 
 
 def shard(df: DataFrame, key: list[str], shards: int = 40, seed: int = 7) -> DataFrame:

@@ -12,9 +12,9 @@ on it, which is at most a few token lengths later.
 from __future__ import annotations
 
 import base64
-import hashlib
 from array import array
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import pyarrow as pa
 import regex
@@ -234,18 +234,28 @@ class Codec:
     """Whole texts to ids and back."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer = Transducer(ranks)
+        self.ranks = ranks
+        self.raw = {rank: token for token, rank in ranks.items()}
         self.find = regex.compile(pattern).findall
         # Words seen of late, in two halves: when the newer is full, the older is forgotten.
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        # What a token reads as when no character is open before or after it.
-        self.plain: dict[int, str] = {}
-        for token, rank in ranks.items():
+
+    @cached_property
+    def plain(self) -> dict[int, str]:
+        """What a token reads as when no character is open before or after it."""
+        out = {}
+        for token, rank in self.ranks.items():
             stream = Utf8Stream()
             read = stream.feed(token)
             if not stream.state and "�" not in read:
-                self.plain[rank] = read
+                out[rank] = read
+        return out
+
+    @cached_property
+    def transducer(self) -> Transducer:
+        """Built by the first text to encode; a worker that only decodes does without."""
+        return Transducer(self.ranks)
 
     def _word(self, word: str) -> bytes:
         out = self.older.get(word)
@@ -263,7 +273,7 @@ class Codec:
 
     def decode(self, ids: bytes) -> Iterator[str]:
         """The text of such ids, piece by piece."""
-        stream, raw = Utf8Stream(), self.transducer.text
+        stream, raw = Utf8Stream(), self.raw
         tokens = memoryview(ids).cast("I").tolist()
         read = list(map(self.plain.get, tokens))
         read.append(None)
@@ -338,7 +348,3 @@ def bpe_decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", out:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*columns, out])
 
     return docs.select(*(F.col(f"`{c}`") for c in columns)).mapInArrow(run, schema)
-
-
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()

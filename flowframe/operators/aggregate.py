@@ -115,9 +115,11 @@ def emit(
     names = [*keys, "group_start"]
     if rule.closes is not None and not rule.bounded and not partial:
         numbered = numbered.filter("closed")
-    chosen = F.col("__chosen") if "__chosen" in numbered.columns else F.lit(True)
-    listed = F.sort_array(F.collect_list(F.when(chosen, F.struct(*(sort_by or []), "position", "__payload"))))
-    payloads = F.transform(listed, lambda one: one["__payload"]).alias("payloads")
+    picked = "__chosen" in numbered.columns
+    fields = [*(sort_by or []), "position", "__payload", *(["__chosen"] if picked else [])]
+    every = F.sort_array(F.collect_list(F.struct(*fields))).alias("__every")
+    wanted = F.filter("__every", lambda one: one["__chosen"]) if picked else F.col("__every")
+    payloads = F.transform(wanted, lambda one: one["__payload"]).alias("payloads")
     if rule.bounded or output is not None:
         facts = [F.count(F.lit(1)).alias("n")]
         if rule.size is not None:
@@ -125,22 +127,30 @@ def emit(
         by_row = rule.closes is not None and rule.bounded
         if by_row:
             facts.append(F.max("__ends").alias("__by_row"))
-        made = [payloads] if output is None else [column.alias(name) for name, column in output.items()]
+        made = [every] if output is None else [column.alias(name) for name, column in output.items()]
         groups = numbered.groupBy(*names).agg(*facts, *made)
         if rule.bounded and not partial:
             full = F.col("n") == rule.expected()
             groups = groups.filter(full | F.col("__by_row") if by_row else full)
-        return groups.select(*names, "n", *(output or ["payloads"]))
-    totals = numbered.groupBy(*(F.col(name).alias(f"__{name}") for name in names)).agg(F.count(F.lit(1)).alias("n"))
+        return groups.select(*names, "n", *(output or [payloads]))
+    # The totals come from the same rows, or pages, in full, so that Spark numbers them once for both.
+    if list_rows is None:
+        rows = numbered.select(*names, F.struct(*[name for name in fields if name not in (sort_by or [])]).alias("__one"))
+        counted, n = rows, F.count("__one")
+    else:
+        part = F.floor((F.col("group_pos") - 1) / list_rows).cast("bigint").alias("part")
+        rows = numbered.groupBy(*names, part).agg(every)
+        counted, n = rows, F.sum(F.size("__every")).cast("bigint")
+    totals = counted.groupBy(*(F.col(name).alias(f"__{name}") for name in names)).agg(n.alias("n"))
     same = F.lit(True)
     for name in names:
         same = same & F.col(name).eqNullSafe(F.col(f"__{name}"))
-    if list_rows is None:
-        rows = numbered.filter(chosen).join(totals, same)
-        return rows.select(*names, "position", "n", F.col("__payload").alias("payload"))
-    part = F.floor((F.col("group_pos") - 1) / list_rows).cast("bigint").alias("part")
-    pages = numbered.groupBy(*names, part).agg(payloads)
-    return pages.join(totals, same).select(*names, "part", "n", "payloads")
+    rows = rows.join(totals, same)
+    if list_rows is not None:
+        return rows.select(*names, "part", "n", payloads)
+    if picked:
+        rows = rows.filter("__one.__chosen")
+    return rows.select(*names, F.col("__one.position"), "n", F.col("__one.__payload").alias("payload"))
 
 
 def aggregate(

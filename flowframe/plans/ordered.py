@@ -76,6 +76,7 @@ def number_groups(
     if closes is not None:
         watched["closes"] = F.coalesce(as_col(closes), F.lit(False))
     if gap is not None:
+        watched["time"] = F.col(time)
         watched["due"] = F.col(time) + (F.expr(f"interval {gap}") if isinstance(gap, str) else gap)
     if runs is not None:
         watched["run"] = as_col(runs)
@@ -94,65 +95,70 @@ def number_groups(
 
     part = ["__chunk", *keys]
     order = Window.partitionBy(*part).orderBy(*order_by)
-    across = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__chunk")
-    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-    edges = rows.filter("__edge")
-
-    def carried(frame: DataFrame, facts: DataFrame) -> DataFrame:
-        """Join one bounded row per chunk and border key."""
-        renamed = facts.withColumnsRenamed({name: f"__at_{name}" for name in part})
-        same = _all([F.col(name).eqNullSafe(F.col(f"__at_{name}")) for name in part])
-        return frame.join(F.broadcast(renamed), same, "left").drop(*(f"__at_{name}" for name in part))
-
-    last = F.struct(*order_by)
-    facts = [F.count(F.lit(1)).alias("__n"), *(F.max_by(f"__{name}", last).alias(f"__last_{name}") for name in watched)]
-    carry = edges.groupBy(*part).agg(*facts).withColumn("__offset", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
-    carry = carry.withColumns({f"__last_{name}": F.lag(f"__last_{name}").over(across) for name in watched}).drop("__n")
-
-    def started(frame: DataFrame) -> DataFrame:
-        placed = carried(frame, carry)
-        placed = placed.withColumn("position", (F.coalesce("__offset", F.lit(0)) + F.row_number().over(order)).cast("bigint"))
-        first = F.col("position") == 1
-
-        def previous(name: str) -> Column:
-            own = F.row_number().over(order) > 1
-            return F.when(own, F.lag(f"__{name}").over(order)).otherwise(F.col(f"__last_{name}"))
+    row = F.row_number().over(order).cast("bigint")
 
-        start = first
+    def begins(previous: Callable[[str], Column], now: Callable[[str], Column]) -> Column:
+        """Whether a row starts a group, by what the row before it and the row itself say."""
+        start = F.lit(False)
         if closes is not None:
             start = start | F.coalesce(previous("closes"), F.lit(False))
         if gap is not None:
-            start = start | F.coalesce(F.col(time) > previous("due"), F.lit(False))
+            start = start | F.coalesce(now("time") > previous("due"), F.lit(False))
         if runs is not None:
-            start = start | ~previous("run").eqNullSafe(F.col("__run"))
-        placed = placed.withColumn("__start", F.when(start, F.col("position")))
-        return placed.drop("__offset", *(f"__last_{name}" for name in watched))
+            start = start | ~previous("run").eqNullSafe(now("run"))
+        return start
+
+    def numbered_in_chunk(frame: DataFrame) -> DataFrame:
+        """The row's place in its chunk and key, and whether it starts a group after a row of the same chunk."""
+        inner = (row > 1) & begins(lambda name: F.lag(f"__{name}").over(order), lambda name: F.col(f"__{name}"))
+        return frame.withColumns({"__row": row} | ({"__inner": inner} if watched else {}))
+
+    # One row per chunk and border key says what the rows after it need to know.
+    facts = [F.count(F.lit(1)).alias("__n")]
+    if watched:
+        first = [F.min_by(f"__{name}", "__row").alias(f"__first_{name}") for name in watched]
+        last = [F.max_by(f"__{name}", "__row").alias(f"__last_{name}") for name in watched]
+        facts += [*first, *last, F.max(F.when(F.col("__inner"), F.col("__row"))).alias("__inner")]
+    if closes is not None:
+        facts.append(F.max(F.when(F.col("__closes"), F.col("__row"))).alias("__closing"))
+    edges = rows.filter("__edge")
+    carry = (numbered_in_chunk(edges) if watched else edges).groupBy(*part).agg(*facts)
+    of_key = Window.partitionBy(*(keys or [F.lit(0)]))
+    across = of_key.orderBy("__chunk")
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    carry = carry.withColumn("__offset", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    kept = ["__offset"]
+    if watched:
+        begun = begins(lambda name: F.lag(f"__last_{name}").over(across), lambda name: F.col(f"__first_{name}"))
+        carry = carry.withColumn("__begun", (F.col("__offset") == 0) | begun)
+        own = F.coalesce(F.col("__offset") + F.col("__inner"), F.when(F.col("__begun"), F.col("__offset") + 1))
+        carry = carry.withColumn("__own", own).withColumn("__before", F.max("__own").over(earlier))
+        kept += ["__begun", "__before"]
+    if closes is not None:
+        carry = carry.withColumn("__closing", F.max(F.col("__offset") + F.col("__closing")).over(of_key))
+        kept.append("__closing")
+    carry = carry.select(*[F.col(name).alias(f"__at_{name}") for name in part], *kept)
+    same = _all([F.col(name).eqNullSafe(F.col(f"__at_{name}")) for name in part])
 
-    numbered = started(rows)
+    placed = numbered_in_chunk(rows).join(F.broadcast(carry), same, "left").drop(*(f"__at_{name}" for name in part))
+    numbered = placed.withColumn("position", F.coalesce("__offset", F.lit(0)) + F.col("__row"))
     if not watched:
         numbered = numbered.withColumn("__segment", F.lit(1).cast("bigint"))
     else:
-        closing = F.max(F.when(F.col("__closes"), F.col("position"))) if closes is not None else F.max(F.lit(None).cast("bigint"))
-        seen = started(edges).groupBy(*part).agg(F.max("__start").alias("__last_start"), closing.alias("__closing"))
-        seen = seen.withColumns({
-            "__last_start": F.max("__last_start").over(earlier),
-            "__closing": F.max("__closing").over(Window.partitionBy(*(keys or [F.lit(0)]))),
-        })
-        numbered = carried(numbered, seen)
-        running = F.max("__start").over(order.rowsBetween(Window.unboundedPreceding, 0))
-        numbered = numbered.withColumn("__segment", F.coalesce(running, F.col("__last_start")))
-        if closes is not None:
-            own = F.max(F.when(F.col("__closes"), F.col("position"))).over(Window.partitionBy(*part))
-            ends = F.when(F.col("__edge"), F.col("__closing")).otherwise(own)
-            numbered = numbered.withColumn("closed", F.coalesce(F.col("__segment") <= ends, F.lit(False)))
-        numbered = numbered.drop("__last_start", "__closing")
+        start = F.when(F.col("__row") == 1, F.coalesce("__begun", F.lit(True))).otherwise(F.col("__inner"))
+        latest = F.max(F.when(start, F.col("position"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+        numbered = numbered.withColumn("__segment", F.coalesce(latest, F.col("__before")))
+    if closes is not None:
+        ending = F.max(F.when(F.col("__closes"), F.col("position"))).over(Window.partitionBy(*part))
+        ends = F.when(F.col("__edge"), F.col("__closing")).otherwise(ending)
+        numbered = numbered.withColumn("closed", F.coalesce(F.col("__segment") <= ends, F.lit(False)))
     since = F.col("position") - F.col("__segment")
     if count is not None:
         since = since % (F.lit(count) if isinstance(count, int) else as_col(count))
     done = (
         numbered.withColumn("group_pos", (since + 1).cast("bigint"))
         .withColumn("group_start", F.col("position") - F.col("group_pos") + 1)
-        .drop("__segment", "__start", "__chunk", "__edge", *(f"__{name}" for name in watched))
+        .drop("__segment", "__row", "__inner", "__chunk", "__edge", *kept, *(f"__{name}" for name in watched))
     )
     return done if then is None else then(done)
 

@@ -180,7 +180,8 @@ def kept_keys(docs: DataFrame, percent: int, shingles: int) -> DataFrame:
     """Keys and classes that are left after each class drops the keys it may do without."""
     groups = pieces(shingles * 7 // 10, KEYS)
     bundles = docs.mapInArrow(_emit(percent, groups), "group long, keys binary, classes binary")
-    shared = bundles.groupBy("group").applyInArrow(_shared, "key long, class long, holders long")
+    # More partitions than groups, so that few groups meet in one.
+    shared = bundles.repartition(2 * groups, "group").groupBy("group").applyInArrow(_shared, "key long, class long, holders long")
     spare = [allotment(k, percent)[1] - 1 for k in range(SCHEMES - 1)] + [0]
     scheme = F.col("key").bitwiseAND(SCHEMES - 1)
     # A whole key and a deleted one of the same class lie in schemes that drop none.

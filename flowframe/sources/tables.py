@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowframe.functions.columns import as_col
 from flowframe.plans.ordered import lists_of
 from flowframe.plans.scratch import cut_lineage, path_exists
 
@@ -110,6 +112,20 @@ def document_query(
     return df.filter(F.exists(F.array(F.try_parse_json(F.col(document))), fits))
 
 
+def document_update(
+    df: DataFrame, document: str, changes: dict[str, str | int | float | bool | None], found: str | Column = "true"
+) -> DataFrame:
+    """The documents with top-level fields set, as after a read that marks what it read.
+
+    Only rows for which ``found`` is true change; other fields, and documents that are
+    no JSON objects, stay as they are.
+    """
+    fields = F.from_json(F.col(document), "map<string,variant>")
+    pairs = [part for name, value in changes.items() for part in (F.lit(name), F.parse_json(F.lit(json.dumps(value))))]
+    changed = F.to_json(F.map_concat(F.map_filter(fields, lambda name, _: ~name.isin(*changes)), F.create_map(*pairs)))
+    return df.withColumn(document, F.when(as_col(found), F.coalesce(changed, F.col(document))).otherwise(F.col(document)))
+
+
 def document_rows(
     df: DataFrame, columns: list[str] | None = None, *, group_by: list[str] | None = None,
     order_by: list[str] | None = None, list_rows: int | None = None, chunks: int | None = None,

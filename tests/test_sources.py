@@ -1,3 +1,4 @@
+import json
 import os
 
 import pytest
@@ -158,6 +159,14 @@ def test_document_query(spark):
     assert tables.document_query(docs, "doc").count() == 4
 
 
+def test_document_update(spark):
+    texts = ['{"a":1,"b":{"c":[1,2]},"s":"x"}', '{"a":2}', "{bad", None, "[1]"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i int, doc string")
+    out = tables.document_update(docs, "doc", {"a": "z", "seen": None}, "i <> 1").orderBy("i").collect()
+    assert json.loads(out[0]["doc"]) == {"b": {"c": [1, 2]}, "s": "x", "a": "z", "seen": None}
+    assert [r["doc"] for r in out[1:]] == texts[1:]
+
+
 def test_record_streams(spark):
     df = spark.createDataFrame(
         [("k", f"leaf {i}", "t" if i % 2 else "tt", 0, i) for i in range(1, 6)],

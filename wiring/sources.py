@@ -240,6 +240,20 @@ def documents_found(spark, sf_dir):
     return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
+@query(
+    "document_update",
+    """
+    SELECT event_id, CASE WHEN event_type = 'purchase' THEN '{"k":' || json_extract_string(props, '$.k') || ',"seen":true}' ELSE props END AS doc
+    FROM (SELECT event_id, event_type, '{"k":' || json_extract_string(props, '$.k') || '}' AS props FROM events)
+    """,
+)
+def documents_marked(spark, sf_dir):
+    docs = table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.expr("concat('{\"k\":', get_json_object(props, '$.k'), '}')").alias("doc")
+    )
+    return tables.document_update(docs, "doc", {"seen": True}, "event_type = 'purchase'").select("event_id", "doc")
+
+
 def _records(spark, sf_dir):
     return table(spark, sf_dir, "events").selectExpr(
         "CAST(user_id AS STRING) AS key", "props AS value", "event_type AS topic",

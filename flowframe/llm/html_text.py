@@ -1,7 +1,7 @@
 """Visible text of web pages, laid out as a reader sees it.
 
 A tree builder reads the markup with its implied tags: an item ends an item, a block
-ends a paragraph, a cell ends a cell, and an end tag closes what is still open in it.
+ends a paragraph, a cell ends a cell, what is no metadata ends the head, and an end tag closes what is still open in it.
 The renderer leaves out what a browser hides, puts blocks on lines of their own, a
 blank line around paragraphs and the like, marks list items, keeps preformatted text
 as it is and aligns the cells of a table in columns.
@@ -44,6 +44,9 @@ ENDS = {
 } | {x: ({"tr", "td", "th", "caption", "colgroup", "thead", "tbody", "tfoot"}, {"table"}) for x in ("thead", "tbody", "tfoot")}
 P_ENDS = (SPACED | BLOCK | {"hr"}) - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "body", "html", "legend"}
 P_FENCES = {"td", "th", "caption", "button", "object", "table"}
+#: What may stand in a head; anything else ends it, as its end tag may be left out.
+METADATA = set("base basefont bgsound link meta noframes noscript script style template title".split())
+BLANK = " \t\n\r\f"
 
 _MARKUP = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
@@ -86,10 +89,16 @@ def build(source: str) -> Node:
             elif stack[depth].tag in fences:
                 return
 
+    def text(data: str) -> None:
+        data = html.unescape(data)
+        if stack[-1].tag == "head" and data.strip(BLANK):
+            cut(len(stack) - 1)
+        stack[-1].children.append(data)
+
     at = 0
     while match := _MARKUP.search(source, at):
         if match.start() > at:
-            stack[-1].children.append(html.unescape(source[at : match.start()]))
+            text(source[at : match.start()])
         at = match.end()
         if match[1]:
             tag = match[1].lower()
@@ -101,9 +110,15 @@ def build(source: str) -> Node:
                 if stack[depth].tag in fences:
                     break
             if tag == "br":
+                if stack[-1].tag == "head":
+                    cut(len(stack) - 1)
                 stack[-1].children.append(Node("br", {}))
         elif match[2]:
             tag = match[2].lower()
+            if tag == "body":
+                close({"head"}, {"template"})
+            elif stack[-1].tag == "head" and tag not in METADATA:
+                cut(len(stack) - 1)
             if tag in P_ENDS:
                 close({"p"}, P_FENCES)
             if tag in ENDS:
@@ -122,7 +137,7 @@ def build(source: str) -> Node:
                 stack.append(node)
                 opened[tag] += 1
     broken = re.compile(r"<[a-zA-Z!/?]").search(source, at)
-    stack[-1].children.append(html.unescape(source[at : broken.start() if broken else len(source)]))
+    text(source[at : broken.start() if broken else len(source)])
     return root
 
 

@@ -30,6 +30,15 @@ def test_what_a_browser_hides():
     assert page_text(source) == "yes & © A"
 
 
+def test_a_head_without_its_end_tag_hides_nothing():
+    assert page_text("<html><head><title>T</title><body><p>Hello</p></body></html>") == "Hello"
+    assert page_text("<head><meta charset=utf-8><link rel=x><style>p{}</style>\n<div>a</div>b") == "a\nb"
+    assert page_text("<head><title>T</title> text <b>c</b>") == "text c"
+    assert page_text("<head><noscript><img></noscript><template><p>no</p></template><!-- c --><p>yes") == "yes"
+    assert page_text("<head><noscript><link><body>yes") == "yes"
+    assert page_text("<html><head><title>T</title></html>") == ""
+
+
 def test_preformatted():
     assert page_text("x<pre>\n a\n   b &lt;c&gt;\n</pre>y") == "x\n\n a\n   b <c>\n\ny"
 

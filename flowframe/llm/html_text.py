@@ -48,12 +48,14 @@ P_FENCES = {"td", "th", "caption", "button", "object", "table"}
 METADATA = set("base basefont bgsound link meta noframes noscript script style template title".split())
 BLANK = " \t\n\r\f"
 
+# A quote opens a value only right after '='; anywhere else it is a plain character, and '>' ends the tag.
+_VALUED = r"""[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+)?+"""
 _MARKUP = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>"
-    r"""|<([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
+    rf"|<([a-zA-Z][^\s/>]*+)((?:[\s/]++|{_VALUED})*+)(>|\Z)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>][^\s>]*+))?+)?+""")
 _UNSEEN = re.compile(r"(display\s*:\s*none|visibility\s*:\s*(hidden|collapse))", re.IGNORECASE)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
@@ -100,6 +102,8 @@ def build(source: str) -> Node:
         if match.start() > at:
             text(source[at : match.start()])
         at = match.end()
+        if match[2] and not match[4]:
+            break
         if match[1]:
             tag = match[1].lower()
             fences = {"table"} if tag not in {"table", "html", "body"} else set()

@@ -50,6 +50,15 @@ def test_broken_markup():
     assert page_text("plain\n text") == "plain text"
 
 
+def test_stray_quotes_stay_in_their_tag():
+    assert page_text('<table><tr><td width=100%">Cell 1</td><td width=100%">Cell 2</td></table>') == "Cell 1 | Cell 2"
+    assert page_text('<a href="x"">link</a> and <a href="y">more</a>') == "link and more"
+    assert page_text("<p class=it's>it's fine</p>") == "it's fine"
+    assert page_text("""<p " ' a='>' b=">" c = "x"d=e/>one<p title="it's">two<p a="x>three""") == "one\n\ntwo\n\nthree"
+    assert page_text('<i style="a" hidden>no</i><i title=hidden">yes</i><i/hidden/>no</i>') == "yes"
+    assert page_text("yes <a " * 50_000) == "yes"
+
+
 def test_depth_and_length_do_not_crash():
     assert page_text("<div>" * 30_000 + "hi") == "hi"
     assert page_text("<ul><li>" * 2_000 + "hi").strip(" -\n") == "hi"

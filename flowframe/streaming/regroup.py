@@ -25,7 +25,7 @@ def keyed_aggregate(
     until: Callable[[object, str], tuple[object, bool]] | None = None,
     list_rows: int | None = None,
 ) -> DataFrame:
-    """Groups of a streaming frame as (key, n, reason, payloads), held in the state store.
+    """Groups of a streaming frame as (key, group_start, n, reason, payloads), held in the state store.
 
     Rows of a key are taken in ``order_by`` within a micro-batch, which a task holds
     for one key at a time: cap the batch at the source. ``size`` is the number of
@@ -37,7 +37,10 @@ def keyed_aggregate(
     releases a group that got no further message, as reason ``timeout``. Where
     no ``count`` bounds a group, ``list_rows`` is required: groups come out in pieces
     of that many messages, all but the last as reason ``part``, so neither state nor
-    memory grows with a group. Rows that arrive behind
+    memory grows with a group. ``group_start`` is the place of a group's first message
+    among its key's, and ``n`` the messages of the group up to a piece's end: on the last
+    piece it is the whole group's. A group that has no other piece than parts is still
+    open; ``whole_groups`` leaves it out and puts the others together. Rows that arrive behind
     the watermark are dropped by Spark: choose its delay by the latest ones to come.
     """
     if size is None and count is None and closes is None and idle_seconds is None and until is None:
@@ -62,6 +65,7 @@ def keyed_aggregate(
     out = T.StructType(
         [
             T.StructField("key", T.StringType()),
+            T.StructField("group_start", T.LongType()),
             T.StructField("n", T.LongType()),
             T.StructField("reason", T.StringType()),
             T.StructField("payloads", T.ArrayType(T.StringType())),
@@ -75,6 +79,17 @@ def keyed_aggregate(
     )
 
 
+def whole_groups(pieces: DataFrame) -> DataFrame:
+    """Stored pieces of ``keyed_aggregate`` as one row for each group that was released, of any length."""
+    every = F.sort_array(F.collect_list(F.struct("n", "payloads")))
+    groups = pieces.groupBy("key", "group_start").agg(
+        F.max("n").alias("n"),
+        F.max_by("reason", "n").alias("reason"),
+        F.flatten(F.transform(every, lambda one: one["payloads"])).alias("payloads"),
+    )
+    return groups.filter("reason <> 'part'")
+
+
 def _processor(count: int | None, idle: int | None, until, list_rows: int | None):
     import pickle
 
@@ -82,11 +97,12 @@ def _processor(count: int | None, idle: int | None, until, list_rows: int | None
     from pyspark.sql.streaming import StatefulProcessor
 
     class Groups(StatefulProcessor):
-        """Open payloads per key, and the time of the last message."""
+        """Open payloads per key, where their group starts, how long it is, and the time of the last message."""
 
         def init(self, handle):
             self.handle = handle
             self.open = handle.getListState("open", "payload string")
+            self.place = handle.getValueState("place", "start bigint, total bigint")
             self.last = handle.getValueState("last", "at bigint")
             self.carried = handle.getValueState("carried", "value binary")
             self.announced = handle.getValueState("announced", "size bigint")
@@ -94,6 +110,7 @@ def _processor(count: int | None, idle: int | None, until, list_rows: int | None
         def handleInputRows(self, key, rows, timerValues):
             batch = pd.concat(list(rows), ignore_index=True)
             held = [row[0] for row in self.open.get()] if self.open.exists() else []
+            start, total = self.place.get() if self.place.exists() else (1, 0)
             last = self.last.get()[0] if self.last.exists() else None
             carried = pickle.loads(self.carried.get()[0]) if self.carried.exists() else None
             announced = self.announced.get()[0] if self.announced.exists() else None
@@ -105,25 +122,28 @@ def _processor(count: int | None, idle: int | None, until, list_rows: int | None
                 if size != announced:
                     # What is left of a group that never was complete stays behind, as in a batch.
                     held, announced = [], size
+                    start, total = start + total, 0
                 if idle is not None and held and last is not None and at - last > idle:
-                    done.append(("timeout", held))
-                    held, carried = [], None
+                    done.append((start, total, "timeout", held))
+                    held, carried, start, total = [], None, start + total, 0
                 if list_rows is not None and len(held) >= list_rows:
-                    done.append(("part", held))
+                    done.append((start, total, "part", held))
                     held = []
                 held.append(payload)
+                total += 1
                 last, full = at, False
                 if until is not None:
                     carried, full = until(carried, payload)
                 if closing or full:
-                    done.append(("closed", held))
-                    held, carried = [], None
-                elif len(held) == (size if size is not None else count):
-                    done.append(("count", held))
-                    held, carried = [], None
+                    done.append((start, total, "closed", held))
+                    held, carried, start, total = [], None, start + total, 0
+                elif total == (size if size is not None else count):
+                    done.append((start, total, "count", held))
+                    held, carried, start, total = [], None, start + total, 0
             self.open.clear()
             if held:
                 self.open.put([(one,) for one in held])
+            self.place.update((start, total))
             self.last.update((last,))
             self.carried.update((pickle.dumps(carried),))
             if announced is not None:
@@ -142,15 +162,18 @@ def _processor(count: int | None, idle: int | None, until, list_rows: int | None
             self.open.clear()
             self.carried.clear()
             if held:
-                yield self._frame(key, [("timeout", held)])
+                start, total = self.place.get()
+                self.place.update((start + total, 0))
+                yield self._frame(key, [(start, total, "timeout", held)])
 
         def _frame(self, key, done):
             return pd.DataFrame(
                 {
                     "key": [key[0]] * len(done),
-                    "n": [len(held) for _, held in done],
-                    "reason": [reason for reason, _ in done],
-                    "payloads": [held for _, held in done],
+                    "group_start": [start for start, _, _, _ in done],
+                    "n": [total for _, total, _, _ in done],
+                    "reason": [reason for _, _, reason, _ in done],
+                    "payloads": [held for _, _, _, held in done],
                 }
             )
 

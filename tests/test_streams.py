@@ -3,7 +3,7 @@ import datetime as dt
 from flowframe.operators.aggregate import aggregate
 from flowframe.sources.feeds import clock_source
 from flowframe.streaming import flows
-from flowframe.streaming.regroup import keyed_aggregate
+from flowframe.streaming.regroup import keyed_aggregate, whole_groups
 
 START = dt.datetime(2024, 1, 1)
 SCHEMA = "k string, i int, ts timestamp, closing boolean, size int"
@@ -105,6 +105,49 @@ def test_state_store_rule_over_the_group_and_parts(spark, tmp_path):
     assert sorted(parts) == [("closed", ["6", "7"]), ("part", ["0", "1", "2"]), ("part", ["3", "4", "5"])]
 
 
+def test_pieces_carry_start_and_total_and_make_whole_groups(spark, tmp_path):
+    data = [("a", i, START, False, 1) for i in range(24)]
+
+    def consume(stream, place):
+        parts = keyed_aggregate(stream, "k", ["i"], payload="i", closes="i IN (7, 8, 16)", list_rows=3)
+        flows.run_available(parts, place, path=str(tmp_path / "out"))
+
+    deliver(spark, tmp_path, consume, data, cuts=4)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted((r["group_start"], r["n"], r["reason"]) for r in out.collect()) == [
+        (1, 3, "part"), (1, 6, "part"), (1, 8, "closed"), (9, 1, "closed"),
+        (10, 3, "part"), (10, 6, "part"), (10, 8, "closed"), (18, 3, "part"), (18, 6, "part"),
+    ]
+    groups = sorted(tuple(r) for r in whole_groups(out).collect())
+    assert groups == [
+        ("a", first + 1, last - first, "closed", [str(i) for i in range(first, last)]) for first, last in ((0, 8), (8, 9), (9, 17))
+    ]
+
+
+def test_registered_groups_of_any_length_match_their_sql(spark, tmp_path):
+    """A hot user: 1,300 messages to a purchase, without an idle gap, and 1,100 that never end."""
+    import duckdb
+
+    from __spark_entry__ import oracle_sql, queries
+
+    kinds = ["view"] * 1299 + ["purchase"] + ["view", "error"] * 550
+    hot = [(i, 1, START + dt.timedelta(minutes=20 * i), kind) for i, kind in enumerate(kinds)]
+    cold = [(5000 + i, 2, START + dt.timedelta(days=i), "purchase" if i % 3 else "view") for i in range(50)]
+    path = f"{tmp_path}/events.parquet"
+    schema = "event_id long, user_id long, ts timestamp_ntz, event_type string"
+    spark.createDataFrame(hot + cold, schema).coalesce(1).write.parquet(path)
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW events AS SELECT * FROM '{path}/*.parquet'")
+        for name in (
+            "aggregate_release_predicate", "aggregate_group_timeout", "aggregate_output",
+            "stream_aggregate_predicate", "stream_group_timeout",
+        ):
+            found = queries()[name](spark, str(tmp_path))
+            wanted = db.execute(oracle_sql()[name])
+            assert found.columns == [column[0] for column in wanted.description], name
+            assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, wanted.fetchall())), name
+
+
 def test_state_store_idle_timeout(spark, tmp_path):
     data = [row for row in rows() if row[0] is not None]
 

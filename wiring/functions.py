@@ -321,6 +321,17 @@ def agg_count(spark, sf_dir):
     return groups.select("user_id", "group_start", "n", joined("payloads").alias("payloads"))
 
 
+def whole(payload):
+    """The payloads of a whole group as text, in order and of whatever length; null ones are left out."""
+    one = F.expr(payload)
+    every = F.sort_array(F.collect_list(F.when(one.isNotNull(), F.struct("position", one.alias("payload")))))
+    return {"payloads": joined(F.transform(every, lambda row: row["payload"]))}
+
+
+def narrow_events(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type")
+
+
 TRIGGERED = f"""
     SELECT *, coalesce(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (
                 PARTITION BY user_id ORDER BY ts, event_id
@@ -339,11 +350,10 @@ TRIGGERED = f"""
     """,
 )
 def agg_predicate(spark, sf_dir):
-    groups = aggregate(
-        table(spark, sf_dir, "events"), {"user_id": "user_id"}, ["ts", "event_id"],
-        payload="event_id", closes="event_type = 'purchase'", list_rows=1000,
+    return aggregate(
+        narrow_events(spark, sf_dir), {"user_id": "user_id"}, ["ts", "event_id"],
+        closes="event_type = 'purchase'", output=whole("event_id"),
     )
-    return groups.select("user_id", "group_start", "n", joined("payloads").alias("payloads"))
 
 
 @query(
@@ -360,11 +370,10 @@ def agg_predicate(spark, sf_dir):
     """,
 )
 def agg_timeout(spark, sf_dir):
-    groups = aggregate(
-        table(spark, sf_dir, "events"), {"user_id": "user_id"}, ["ts", "event_id"],
-        payload="event_id", gap="6 hours", time="ts", list_rows=1000,
+    return aggregate(
+        narrow_events(spark, sf_dir), {"user_id": "user_id"}, ["ts", "event_id"],
+        gap="6 hours", time="ts", output=whole("event_id"),
     )
-    return groups.select("user_id", "group_start", "n", joined("payloads").alias("payloads"))
 
 
 @query(
@@ -378,12 +387,10 @@ def agg_timeout(spark, sf_dir):
     """,
 )
 def agg_output(spark, sf_dir):
-    groups = aggregate(
-        table(spark, sf_dir, "events"), {"user_id": "user_id"}, ["ts", "event_id"],
-        payload="concat(upper(event_type), '#', event_id)", where="event_type = 'view'",
-        closes="event_type = 'purchase'", list_rows=1000,
+    return aggregate(
+        narrow_events(spark, sf_dir), {"user_id": "user_id"}, ["ts", "event_id"], closes="event_type = 'purchase'",
+        output=whole("IF(event_type = 'view', concat(upper(event_type), '#', event_id), NULL)"),
     )
-    return groups.select("user_id", "group_start", "n", joined("payloads").alias("payloads"))
 
 
 @query(

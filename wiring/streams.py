@@ -11,7 +11,7 @@ from flowframe.operators import metrics
 from flowframe.plans.scratch import scratch_path
 from flowframe.sources.feeds import read_new, record_filter
 from flowframe.streaming import flows
-from flowframe.streaming.regroup import keyed_aggregate
+from flowframe.streaming.regroup import keyed_aggregate, whole_groups
 from wiring.base import joined, query, table
 from wiring.functions import AGAIN, TRIGGERED
 
@@ -132,15 +132,16 @@ def stream_accept(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-GROUPS = "key STRING, n BIGINT, reason STRING, payloads ARRAY<STRING>"
+GROUPS = "key STRING, group_start BIGINT, n BIGINT, reason STRING, payloads ARRAY<STRING>"
 
 
 def regrouped(spark, rows, name, groups_of):
-    """Run a stream of groups to its end and read what it released."""
+    """Run a stream of groups to its end and read what it released, the pieces of a group put together."""
     out = scratch_path(spark, name)
     with rocks_db(spark):
         deliver(spark, rows, lambda stream, checkpoint: flows.run_available(groups_of(stream), checkpoint, path=out))
-    return spark.read.schema(GROUPS).parquet(out).withColumn("payloads", joined("payloads"))
+    groups = whole_groups(spark.read.schema(GROUPS).parquet(out))
+    return groups.select("key", "n", "reason", joined("payloads").alias("payloads"))
 
 
 @query(

@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections import defaultdict
+from collections.abc import Generator, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -60,10 +61,6 @@ _UNSEEN = re.compile(r"(display\s*:\s*none|visibility\s*:\s*(hidden|collapse))",
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
-#: An element that is nested deeper stands beside what it holds, not around it.
-DEPTH = 120
-
-
 class Node:
     __slots__ = ("tag", "attributes", "children")
 
@@ -76,20 +73,28 @@ def build(source: str) -> Node:
     """The tree of a page; markup that is broken off at the end stays out."""
     root = Node("", {})
     stack = [root]
-    opened: Counter[str] = Counter()
+    # Where each tag stands open on the stack, so that no search walks a deep one.
+    opened: defaultdict[str, list[int]] = defaultdict(list)
+
+    def push(node: Node) -> None:
+        opened[node.tag].append(len(stack))
+        stack.append(node)
 
     def cut(depth: int) -> None:
-        opened.subtract(x.tag for x in stack[depth:])
-        del stack[depth:]
+        while len(stack) > depth:
+            opened[stack.pop().tag].pop()
+
+    def deepest(tags: Iterable[str]) -> int:
+        return max((opened[tag][-1] for tag in tags if opened[tag]), default=0)
 
     def close(tags: set[str], fences: set[str]) -> None:
         if not any(opened[tag] for tag in tags):
             return
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in tags:
-                cut(depth)
-            elif stack[depth].tag in fences:
-                return
+        fence = deepest(fences)
+        within = ((opened[tag], bisect_right(opened[tag], fence)) for tag in tags)
+        first = min((depths[at] for depths, at in within if at < len(depths)), default=0)
+        if first:
+            cut(first)
 
     def text(data: str) -> None:
         data = html.unescape(data)
@@ -107,12 +112,8 @@ def build(source: str) -> Node:
         if match[1]:
             tag = match[1].lower()
             fences = {"table"} if tag not in {"table", "html", "body"} else set()
-            for depth in range(len(stack) - 1, 0, -1) if opened[tag] else ():
-                if stack[depth].tag == tag:
-                    cut(depth)
-                    break
-                if stack[depth].tag in fences:
-                    break
+            if opened[tag] and opened[tag][-1] > deepest(fences):
+                cut(opened[tag][-1])
             if tag == "br":
                 if stack[-1].tag == "head":
                     cut(len(stack) - 1)
@@ -127,19 +128,17 @@ def build(source: str) -> Node:
                 close({"p"}, P_FENCES)
             if tag in ENDS:
                 close(*ENDS[tag])
-            if tag in {"td", "th"} and stack[-1].tag in {"table", "thead", "tbody", "tfoot"} and len(stack) < DEPTH:
+            if tag in {"td", "th"} and stack[-1].tag in {"table", "thead", "tbody", "tfoot"}:
                 stack[-1].children.append(row := Node("tr", {}))
-                stack.append(row)
-                opened["tr"] += 1
+                push(row)
             found = _ATTRIBUTE.findall(match[3]) if match[3].strip() else []
             node = Node(tag, {k.lower(): html.unescape(a or b or c) for k, a, b, c in reversed(found)})
             stack[-1].children.append(node)
             if tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE).search(source, at)
                 at = end.end() if end else len(source)
-            elif tag not in VOID and len(stack) < DEPTH:
-                stack.append(node)
-                opened[tag] += 1
+            elif tag not in VOID:
+                push(node)
     broken = re.compile(r"<[a-zA-Z!/?]").search(source, at)
     text(source[at : broken.start() if broken else len(source)])
     return root
@@ -201,15 +200,37 @@ def _rows(table: Node) -> Iterator[Node]:
                 yield from _rows(child)
 
 
-def _table(node: Node) -> list[str]:
+#: A task yields the tasks whose lines it needs; ``run`` keeps them on a stack of its own,
+#: so that no depth of nesting can overrun Python's.
+Task = Generator["Task", list[str], list[str]]
+
+
+def run(task: Task) -> list[str]:
+    tasks, lines = [task], None
+    while tasks:
+        try:
+            inner = tasks[-1].send(lines)
+        except StopIteration as done:
+            tasks.pop()
+            lines = done.value
+        else:
+            tasks.append(inner)
+            lines = None
+    return lines
+
+
+def _table(node: Node) -> Task:
     """Rows of cells in columns; a cell may have several lines, and a wide one fills its first column."""
-    head = [x for c in node.children if isinstance(c, Node) and c.tag == "caption" and not hidden(c) for x in lines_of(c)]
+    head = []
+    for child in node.children:
+        if isinstance(child, Node) and child.tag == "caption" and not hidden(child):
+            head += yield _lines(child)
     rows = []
     for row in _rows(node):
         cells: list[list[str]] = []
         for cell in row.children:
             if isinstance(cell, Node) and cell.tag in {"td", "th"} and not hidden(cell):
-                cells.append(lines_of(cell))
+                cells.append((yield _lines(cell)))
                 span = cell.attributes.get("colspan", "1")
                 cells.extend([] for _ in range(min(int(span), 100) - 1 if span.isdecimal() and span.isascii() else 0))
         if any(cells):
@@ -220,7 +241,7 @@ def _table(node: Node) -> list[str]:
         for k in range(max(map(len, row))):
             line = " | ".join((cell[k] if k < len(cell) else "").ljust(width) for cell, width in zip(row, widths))
             out.append(line.rstrip())
-    return lines_of(_group([*_loose(node)])) + out
+    return (yield _lines(_group([*_loose(node)]))) + out
 
 
 def _loose(node: Node) -> Iterator[Node | str]:
@@ -239,8 +260,8 @@ def _group(children: list) -> Node:
     return node
 
 
-def _render(node: Node, page: Page) -> None:
-    """An explicit stack of pending work, so that deep nesting can't overrun Python's own."""
+def _lines(node: Node) -> Task:
+    page = Page()
     work: list = [iter(node.children)]
     while work:
         child = next(work[-1], None)
@@ -261,11 +282,12 @@ def _render(node: Node, page: Page) -> None:
         elif child.tag in {"pre", "listing"}:
             page.block("".join(_raw(child)).strip("\r\n").splitlines(), True)
         elif child.tag == "table":
-            page.block(_table(child), True)
+            page.block((yield _table(child)), True)
         elif child.tag in {"ul", "ol", "menu", "dir"}:
-            page.block(_list(child), True)
+            page.block((yield _list(child)), True)
         elif child.tag == "blockquote":
-            page.block(["  " + x if x else x for x in lines_of(child)], True)
+            quoted = yield _lines(child)
+            page.block(["  " + x if x else x for x in quoted], True)
         elif child.tag in BLOCK:
             spaced = child.tag in SPACED
             page.block([], spaced)
@@ -275,9 +297,11 @@ def _render(node: Node, page: Page) -> None:
             if child.tag in {"td", "th"}:
                 page.text(" ")
             work.append(iter(child.children))
+    page.flush()
+    return page.lines
 
 
-def _list(node: Node) -> list[str]:
+def _list(node: Node) -> Task:
     start = node.attributes.get("start", "1")
     number = int(start) if start.isdecimal() and start.isascii() else 1
     out: list[str] = []
@@ -285,34 +309,32 @@ def _list(node: Node) -> list[str]:
         if isinstance(child, Node) and child.tag == "li" and not hidden(child):
             mark = f"{number}. " if node.tag == "ol" else "- "
             number += 1
-            lines = [x for x in lines_of(child) if x] or [""]
+            lines = [x for x in (yield _lines(child)) if x] or [""]
             out.append((mark + lines[0]).rstrip())
             out.extend(" " * len(mark) + x for x in lines[1:])
         else:
-            out.extend("  " + x for x in lines_of(_group([child])) if x)
+            loose = yield _lines(_group([child]))
+            out.extend("  " + x for x in loose if x)
     return out
 
 
 def _raw(node: Node) -> Iterator[str]:
-    for child in node.children:
-        if isinstance(child, str):
+    work = [iter(node.children)]
+    while work:
+        child = next(work[-1], None)
+        if child is None:
+            work.pop()
+        elif isinstance(child, str):
             yield child
         elif child.tag == "br":
             yield "\n"
         elif not hidden(child):
-            yield from _raw(child)
-
-
-def lines_of(node: Node) -> list[str]:
-    page = Page()
-    _render(node, page)
-    page.flush()
-    return page.lines
+            work.append(iter(child.children))
 
 
 def page_text(source: str | None) -> str:
     """All visible text of a page."""
-    lines = lines_of(build(source or ""))
+    lines = run(_lines(build(source or "")))
     return "\n".join(line.rstrip() for line in lines).strip("\n")
 
 
@@ -322,7 +344,9 @@ def html_text(pages: DataFrame, source: str = "html", out: str = "text") -> Data
     A null or empty page, or one without markup, gives its plain text (null: empty).
     Repeated rows each get theirs. A column named like the result gives way to it,
     and the markup is left out. Style sheets and scripts do not run: only attributes
-    and the tags' own rules hide text. Memory follows the largest page.
+    and the tags' own rules hide text. Memory follows the largest page, and with each level of
+    nested lists, quotes and tables every line within gets longer: the text of a page that
+    opens thousands of them grows with the square of their number.
     """
     kept = without(pages, source, out)
     columns = kept.columns

@@ -67,6 +67,20 @@ def test_depth_and_length_do_not_crash():
     assert page_text("<" * 20_000 + "x") is not None
 
 
+def test_rules_hold_at_any_depth():
+    for deep in ("<font>" * 200, "<div>" * 5_000, "<b><span><a>" * 500):
+        for hiding in ("<p hidden>", "<i style=display:none>", "<noscript>", "<select>", "<template>", "<svg>"):
+            tag = hiding.strip("<>").split()[0]
+            assert page_text(f"{deep}a {hiding}no</{tag}> b").split() == ["a", "b"]
+        assert page_text(f"{deep}<ul><li>a<li>b</ul>") == "- a\n- b"
+        assert page_text(f"{deep}<pre>a\n  b</pre>") == "a\n  b"
+        assert page_text(f"{deep}<table><tr><td>aa<td>b<tr><td>c<td>d</table>") == "aa | b\nc  | d"
+    assert page_text("<blockquote>" * 500 + "hi") == "  " * 500 + "hi"
+    assert page_text("<pre>" + "<b>" * 5_000 + "a\n b") == "a\n b"
+    # Searches of the stack do not walk it.
+    assert page_text("<p><button>" + "<span>" * 50_000 + "<div></div><td></i>" * 50_000 + "hi").endswith("hi")
+
+
 def test_rows_pass(spark):
     df = spark.createDataFrame([(1, "<p>a", "t"), (1, "<p>a", "t"), (None, None, None)], "page_id long, html string, TEXT string")
     out = html_text(df)

@@ -26,9 +26,9 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title xmp iframe noembed noframes plaintext".split())
 HIDDEN = set(
     "area base datalist head link meta noembed noframes noscript param rp script style template title iframe "
-    "select option optgroup textarea input object video audio canvas svg math".split()
+    "select option optgroup input object video audio canvas math".split()
 )
-SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset menu".split())
+SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset menu xmp plaintext".split())
 BLOCK = SPACED | set(
     "address article aside body caption center dd details dialog dir div dt fieldset figcaption footer form header "
     "hgroup html legend li listing main nav search section summary tbody td tfoot th thead tr".split()
@@ -47,6 +47,16 @@ P_ENDS = (SPACED | BLOCK | {"hr"}) - {"td", "th", "tr", "tbody", "thead", "tfoot
 P_FENCES = {"td", "th", "caption", "button", "object", "table"}
 #: What may stand in a head; anything else ends it, as its end tag may be left out.
 METADATA = set("base basefont bgsound link meta noframes noscript script style template title".split())
+#: Raw text that a browser shows.
+SHOWN = {"xmp", "plaintext", "textarea"}
+#: In drawings and formulas a tag may close itself; these end them, unless they stand in a part that holds HTML.
+BREAKOUT = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr "
+    "ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+FOREIGN, HOLDS_HTML = {"svg", "math"}, set("foreignobject desc annotation-xml mi mo mn ms mtext".split())
+#: What a drawing only defines or describes.
+UNDRAWN = set("defs symbol clippath mask pattern marker desc metadata".split())
 BLANK = " \t\n\r\f"
 
 # A quote opens a value only right after '='; anywhere else it is a plain character, and '>' ends the tag.
@@ -61,6 +71,13 @@ _UNSEEN = re.compile(r"(display\s*:\s*none|visibility\s*:\s*(hidden|collapse))",
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
+class Kept(str):
+    """An empty line of the page's own, which a list leaves in."""
+
+
+KEPT = Kept()
+
+
 class Node:
     __slots__ = ("tag", "attributes", "children")
 
@@ -124,6 +141,10 @@ def build(source: str) -> Node:
                 close({"head"}, {"template"})
             elif stack[-1].tag == "head" and tag not in METADATA:
                 cut(len(stack) - 1)
+            foreign = deepest(FOREIGN) > deepest(HOLDS_HTML)
+            if foreign and tag in BREAKOUT:
+                close(FOREIGN, HOLDS_HTML)
+                foreign = False
             if tag in P_ENDS:
                 close({"p"}, P_FENCES)
             if tag in ENDS:
@@ -134,8 +155,13 @@ def build(source: str) -> Node:
             found = _ATTRIBUTE.findall(match[3]) if match[3].strip() else []
             node = Node(tag, {k.lower(): html.unescape(a or b or c) for k, a, b, c in reversed(found)})
             stack[-1].children.append(node)
+            if (foreign or tag in FOREIGN) and self_closed(match[3]):
+                continue
             if tag in RAW:
-                end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE).search(source, at)
+                end = None if tag == "plaintext" else re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE).search(source, at)
+                if tag in SHOWN:
+                    raw = source[at : end.start() if end else len(source)]
+                    node.children.append(html.unescape(raw) if tag == "textarea" else raw)
                 at = end.end() if end else len(source)
             elif tag not in VOID:
                 push(node)
@@ -144,6 +170,11 @@ def build(source: str) -> Node:
     return root
 
 
+def self_closed(attributes: str) -> bool:
+    """Whether a tag ends with a slash of its own, not with that of an unquoted value."""
+    return attributes.endswith("/") and all(x.end() < len(attributes) for x in _ATTRIBUTE.finditer(attributes))
+
+
 def hidden(node: Node) -> bool:
     a = node.attributes
     return (
@@ -177,7 +208,7 @@ class Page:
         if self.line:
             if self.gap and self.lines:
                 self.lines.append("")
-            self.lines.extend("".join(self.line).removesuffix("\n").split("\n"))
+            self.lines.extend(x or KEPT for x in "".join(self.line).removesuffix("\n").split("\n"))
             self.line, self.gap = [], False
         self.space = False
 
@@ -191,15 +222,25 @@ class Page:
             self.gap = spaced
 
 
-def _rows(table: Node) -> Iterator[Node]:
-    for child in table.children:
+def _rows(part: Node) -> Iterator[tuple[Node, Node]]:
+    """The rows with the part of the table that holds them."""
+    for child in part.children:
         if isinstance(child, Node) and not hidden(child):
             if child.tag == "tr":
-                yield child
+                yield part, child
             elif child.tag in {"thead", "tbody", "tfoot"}:
                 yield from _rows(child)
 
 
+def _span(cell: Node, name: str, most: int) -> int:
+    """A span within the standard's bounds."""
+    told = re.match(r"[ \t\n\r\f]*\+?([0-9]+)", cell.attributes.get(name, ""))
+    if told is None:
+        return 1
+    digits = told[1].lstrip("0")
+    return most if len(digits) > len(str(most)) else min(int(digits or 0), most)
+
+
 #: A task yields the tasks whose lines it needs; ``run`` keeps them on a stack of its own,
 #: so that no depth of nesting can overrun Python's.
 Task = Generator["Task", list[str], list[str]]
@@ -220,27 +261,41 @@ def run(task: Task) -> list[str]:
 
 
 def _table(node: Node) -> Task:
-    """Rows of cells in columns; a cell may have several lines, and a wide one fills its first column."""
+    """Rows of cells in columns; a cell may have several lines, and one that spans others fills its first place."""
     head = []
     for child in node.children:
         if isinstance(child, Node) and child.tag == "caption" and not hidden(child):
             head += yield _lines(child)
-    rows = []
-    for row in _rows(node):
-        cells: list[list[str]] = []
+    rows: list[list[list[str] | None]] = []
+    part, held = None, {}
+    for within, row in _rows(node):
+        if within is not part:
+            # A cell spans no further than its part of the table.
+            part, held = within, {}
+        cells: list[list[str] | None] = []
+        begun = {}
         for cell in row.children:
             if isinstance(cell, Node) and cell.tag in {"td", "th"} and not hidden(cell):
+                while len(cells) in held:
+                    cells.append(None)
+                wide, deep = _span(cell, "colspan", 1000) or 1, _span(cell, "rowspan", 65534) or 65534
+                if deep > 1:
+                    begun |= dict.fromkeys(range(len(cells), len(cells) + wide), deep - 1)
                 cells.append((yield _lines(cell)))
-                span = cell.attributes.get("colspan", "1")
-                cells.extend([] for _ in range(min(int(span), 100) - 1 if span.isdecimal() and span.isascii() else 0))
+                cells.extend([None] * (wide - 1))
+        cells.extend([None] * (max(held, default=-1) + 1 - len(cells)))
+        held = {k: left - 1 for k, left in held.items() if left > 1} | begun
         if any(cells):
             rows.append(cells)
-    widths = [max((len(x) for r in rows if k < len(r) for x in r[k]), default=0) for k in range(max(map(len, rows), default=0))]
+    # A column in which no cell begins takes no room.
+    used = sorted({k for row in rows for k, cell in enumerate(row) if cell is not None})
+    rows = [[row[k] or [] for k in used if k < len(row)] for row in rows]
+    widths = [max((len(x) for r in rows if k < len(r) for x in r[k]), default=0) for k in range(len(used))]
     out = head
     for row in rows:
         for k in range(max(map(len, row))):
-            line = " | ".join((cell[k] if k < len(cell) else "").ljust(width) for cell, width in zip(row, widths))
-            out.append(line.rstrip())
+            line = " | ".join((cell[k] if k < len(cell) else "").ljust(width) for cell, width in zip(row, widths)).rstrip()
+            out.append(line or (KEPT if any(k < len(cell) and cell[k] is KEPT for cell in row) else line))
     return (yield _lines(_group([*_loose(node)]))) + out
 
 
@@ -279,8 +334,11 @@ def _lines(node: Node) -> Task:
             page.space = False
         elif child.tag == "hr":
             page.block(["---"], False)
-        elif child.tag in {"pre", "listing"}:
-            page.block("".join(_raw(child)).strip("\r\n").splitlines(), True)
+        elif child.tag in {"pre", "listing", "xmp", "plaintext", "textarea"}:
+            page.block([x or KEPT for x in "".join(_raw(child)).strip("\r\n").splitlines()], child.tag != "textarea")
+        elif child.tag == "svg":
+            for piece in _drawn(child):
+                page.block((yield _lines(piece)), False)
         elif child.tag == "table":
             page.block((yield _table(child)), True)
         elif child.tag in {"ul", "ol", "menu", "dir"}:
@@ -309,12 +367,12 @@ def _list(node: Node) -> Task:
         if isinstance(child, Node) and child.tag == "li" and not hidden(child):
             mark = f"{number}. " if node.tag == "ol" else "- "
             number += 1
-            lines = [x for x in (yield _lines(child)) if x] or [""]
+            lines = [x for x in (yield _lines(child)) if x or x is KEPT] or [""]
             out.append((mark + lines[0]).rstrip())
-            out.extend(" " * len(mark) + x for x in lines[1:])
+            out.extend(x if x is KEPT else " " * len(mark) + x for x in lines[1:])
         else:
             loose = yield _lines(_group([child]))
-            out.extend("  " + x for x in loose if x)
+            out.extend(x if x is KEPT else "  " + x for x in loose if x or x is KEPT)
     return out
 
 
@@ -329,7 +387,22 @@ def _raw(node: Node) -> Iterator[str]:
         elif child.tag == "br":
             yield "\n"
         elif not hidden(child):
-            work.append(iter(child.children))
+            work.append(iter(child.children if child.tag != "svg" else _drawn(child)))
+
+
+def _drawn(node: Node) -> list[Node]:
+    """The texts of a drawing, and its parts that hold HTML."""
+    found, work = [], [iter(node.children)]
+    while work:
+        child = next(work[-1], None)
+        if child is None:
+            work.pop()
+        elif isinstance(child, Node) and not hidden(child) and child.tag not in UNDRAWN:
+            if child.tag in {"text", "foreignobject"}:
+                found.append(child)
+            else:
+                work.append(iter(child.children))
+    return found
 
 
 def page_text(source: str | None) -> str:
@@ -344,7 +417,8 @@ def html_text(pages: DataFrame, source: str = "html", out: str = "text") -> Data
     A null or empty page, or one without markup, gives its plain text (null: empty).
     Repeated rows each get theirs. A column named like the result gives way to it,
     and the markup is left out. Style sheets and scripts do not run: only attributes
-    and the tags' own rules hide text. Memory follows the largest page, and with each level of
+    and the tags' own rules hide text. Formulas, media and form fields but textareas give none,
+    and the items of a list stand without the gaps around their paragraphs. Memory follows the largest page, and with each level of
     nested lists, quotes and tables every line within gets longer: the text of a page that
     opens thousands of them grows with the square of their number.
     """

@@ -81,6 +81,39 @@ def test_rules_hold_at_any_depth():
     assert page_text("<p><button>" + "<span>" * 50_000 + "<div></div><td></i>" * 50_000 + "hi").endswith("hi")
 
 
+def test_spans():
+    rows = "<tr><td rowspan=3>a<td>b<td>c<tr><td>d<td rowspan=2>e<tr><td>f<tr><td>g<td>h<td>i"
+    assert page_text(f"<table>{rows}</table>") == "a | b | c\n  | d | e\n  | f |\ng | h | i"
+    assert page_text("<table><tbody><tr><td rowspan=9>a<td>b<tbody><tr><td>c<td>d</table>") == "a | b\nc | d"
+    assert page_text("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>") == "a | b\n  | c\n  | d"
+    assert page_text("<table><tr><td rowspan=2 colspan=2>a<td>b<tr><td>c<tr><td>d<td>e<td>f</table>") == "a |   | b\n  |   | c\nd | e | f"
+    wide = "<table><tr><td colspan=150>w<td>z<tr>" + "<td>x" * 150 + "<td>y</table>"
+    first, second = page_text(wide).split("\n")
+    assert first.index("z") == second.index("y")
+    assert page_text("<table><tr><td colspan=99999999>w<tr><td>a<td>b</table>") == "w |\na | b"
+
+
+def test_blank_lines_of_items():
+    assert page_text("<ul><li>a<pre>x\n\n  y</pre><li>b</ul>") == "- a\n  x\n\n    y\n- b"
+    assert page_text("<ul><li><ul><li><pre>x\n\ny</pre></ul></ul>") == "- - x\n\n    y"
+    assert page_text("<ul><li>a<br><br>b<li><p>c<p>d</ul>") == "- a\n\n  b\n- c\n  d"
+
+
+def test_raw_text_that_is_shown():
+    assert page_text("a<xmp><b>x</b> &amp;\n y</xmp>b") == "a\n\n<b>x</b> &amp;\n y\n\nb"
+    assert page_text("a<plaintext><p>b</plaintext>\nc") == "a\n\n<p>b</plaintext>\nc"
+    assert page_text("a<textarea>\nx &amp; <b>\n y</textarea>b") == "a\nx & <b>\n y\nb"
+    assert page_text("a<textarea hidden>no</textarea> b<xmp style='display:none'>no</xmp>") == "a b"
+
+
+def test_drawings():
+    assert page_text("a <svg width='1' /> b <math/> c") == "a b c"
+    assert page_text("a<svg><style/><path d=x /><g/><title>t</title><defs><text>no</text></defs>no<text>x <tspan>y</tspan></text></svg>b") == "a\nx y\nb"
+    assert page_text("<svg><foreignObject><div/>in</div></foreignObject><text>t</text></svg>") == "in\nt"
+    assert page_text("a<svg><path d=x><p>b") == "a\n\nb"
+    assert page_text("<div/>a<svg width=1/>no</svg>") == "a"
+
+
 def test_rows_pass(spark):
     df = spark.createDataFrame([(1, "<p>a", "t"), (1, "<p>a", "t"), (None, None, None)], "page_id long, html string, TEXT string")
     out = html_text(df)

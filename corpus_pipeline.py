@@ -31,9 +31,23 @@ def one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links connect the one with the smallest id."""
-    dropped = jaccard_groups(docs).filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(written(dropped, "near-copies"), "doc_id", "left_anti").select(docs.columns)
+    """Of rows that links connect the one with the smallest id, null ids last, and of equal ids the smallest row hash.
+
+    Rows are told apart by id and hash, not by the id alone, so ids may be null or repeated.
+    Of rows that are equal in all columns one stays; rows without a word all stay.
+    """
+    columns = docs.columns
+    whole = F.xxhash64(*(F.col(f"`{c}`") for c in columns), *(F.col(f"`{c}`").isNull() for c in columns))
+    key = F.struct(F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), whole.alias("row"))
+    rows = docs.withColumn("__row", key)
+    groups = jaccard_groups(rows, doc_id="__row").filter("class is not null")
+    judged = groups.groupBy("__row").agg(F.max(F.col("component_id") != F.col("__row")).alias("dropped"), F.count(F.lit(1)).alias("n"))
+    judged = written(judged.filter("dropped or n > 1"), "near-copies")
+    kept = rows.join(judged.select("__row"), "__row", "left_anti").select(columns)
+    equal = judged.filter("not dropped").select("__row")
+    if equal.isEmpty():
+        return kept
+    return kept.union(rows.join(equal, "__row", "left_semi").dropDuplicates(["__row"]).select(columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

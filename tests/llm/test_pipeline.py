@@ -39,6 +39,29 @@ def test_stages_against_brute_force(spark, tmp_path):
         before = kept
 
 
+def test_near_copies_with_null_and_repeated_ids(spark):
+    def text(word, end):
+        return " ".join(f"{word}{i}" for i in range(60)) + f" {end}"
+
+    rows = [
+        (1, text("a", "x")), (2, text("a", "y")),  # near copies: 1 stays
+        (2, text("b", "x")),  # its id is that of a dropped row
+        (3, text("c", "x")), (3, text("c", "y")),  # near copies that share an id
+        (None, text("d", "x")), (None, text("d", "y")),  # and those without one
+        (None, text("e", "x")), (9, text("e", "y")),  # null ids come last
+        (1, text("f", "x")), (4, text("f", "y")), (4, text("f", "y")),
+        (5, text("g", "x")), (5, text("g", "x")),  # equal rows
+        (6, None), (6, None), (None, ""),  # no words, no links
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.one_of_near_copies(spark, docs, SF)
+    assert out.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    found = sorted((str(i), (t or "-")[0], (t or "-")[-1]) for i, t in got if t)
+    assert [f[:2] for f in found] == [("1", "a"), ("1", "f"), ("2", "b"), ("3", "c"), ("5", "g"), ("9", "e"), ("None", "d")]
+    assert sorted((r for r in got if not r[1]), key=str) == [(6, None), (6, None), (None, "")]
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and {r.capacity for r in rows} <= set(SEQUENCES)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from flowframe.llm.base import Query, table
+from flowframe.llm.base import Query, table, written
 from flowframe.llm.bpe import bpe_decode, bpe_encode
 from flowframe.llm.chat import rotate
 from flowframe.llm.exact_dedup import exact_dedup
@@ -14,6 +14,7 @@ from flowframe.llm.html_text import html_text
 from flowframe.llm.jaccard_join import jaccard_groups
 from flowframe.llm.language import identify, learn, learnable
 from flowframe.llm.packing import pack
+from flowframe.llm.repair import damaged, digests, faults, judged_rows, repair
 from flowframe.llm.sharding import shard
 from flowframe.llm.topk import top_k
 from flowframe.llm.url_filter import rule_table, url_filter
@@ -201,3 +202,99 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.select("doc_id", "text"), model).select(
         "doc_id", (~learnable()).alias("held_out"), "lang_pred", "score", "rejected"
     )
+
+
+def _repair_sql() -> str:
+    """A search forward over the four states, row by row: an entry is its cost, its audit and its lines."""
+
+    def entry(of: str, cost: str, mark: str, line: str | None = None) -> str:
+        text = f"{of}.t" if line is None else f"CASE WHEN {of}.t = '' THEN '' ELSE {of}.t || chr(10) END || {line}"
+        return f"{{'c': {of}.c + {cost}, 'a': {of}.a || '{mark}', 't': {text}}}"
+
+    def least(*entries: str) -> str:
+        return f"list_sort([{', '.join(entries)}])[1]"
+
+    def keep(of: str, initial: str) -> str:
+        return entry(of, f"(CASE WHEN i = '{initial}' THEN extra ELSE 1000000 END)", "K", "(role || ':' || text)")
+
+    def rename(of: str, role: str) -> str:
+        return entry(of, "(1 + extra)", "R", f"('{role}:' || text)")
+
+    def insert(of: str, role: str) -> str:
+        return entry(of, "5", "I", f"'{role}:'")
+
+    user = least("s2", insert("s0", "user"), insert("s1", "user"), insert("s3", "user"))
+    assistant = least("s3", insert("e2", "assistant"))
+    after = [
+        entry("s0", "2", "D"),
+        least(entry("s1", "2", "D"), keep("s0", "s")),
+        least(entry("e2", "2", "D"), *[f(s, x) for s in ("s0", "s1", "e3") for f, x in ((keep, "u"), (rename, "user"))]),
+        least(entry("e3", "2", "D"), keep("e2", "a"), rename("e2", "assistant")),
+    ]
+    nothing = "{'c': 100000000, 'a': '', 't': ''}"
+    # DuckDB has no crc32: one byte after the other, bit by bit.
+    name = "coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
+    by_bit = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    crc = f"xor(list_reduce([4294967295] || list_transform(split({name}, ''), lambda c: ord(c)::BIGINT), lambda a, b: {by_bit}), 4294967295)"
+    return rf"""
+    WITH RECURSIVE lots AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        {crc} % 20 AS lot FROM conversations
+    ), kept AS (
+      SELECT conv_id, turn, CASE WHEN lot = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN lot = 1 THEN '' WHEN lot = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(range(CASE WHEN lot = 3 THEN 2 ELSE 1 END)) AS copy FROM lots WHERE lot <> 0
+    ), numbered AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM kept
+    ), judged AS (
+      SELECT *, left(role, 1) AS i, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
+          WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+          WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' END AS fault,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair
+      FROM numbered
+    ), priced AS (
+      SELECT *, CASE WHEN fault IN ('blank', 'duplicate') THEN 1000000 WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra FROM judged
+    ), facts AS (
+      SELECT conv_id, max(pos) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+        count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM judged GROUP BY conv_id
+    ), dp AS (
+      SELECT conv_id, 0::BIGINT AS pos, {{'c': 0, 'a': '', 't': ''}} AS s0, {nothing} AS s1, {nothing} AS s2, {nothing} AS s3
+      FROM (SELECT DISTINCT conv_id FROM conversations)
+      UNION ALL
+      SELECT conv_id, pos, {', '.join(f'{x} AS s{k}' for k, x in enumerate(after))}
+      FROM (SELECT *, {assistant} AS e3 FROM (
+        SELECT dp.conv_id, p.pos, s0, s1, s2, s3, i, role, text, extra, {user} AS e2
+        FROM dp JOIN priced p ON p.conv_id IS NOT DISTINCT FROM dp.conv_id AND p.pos = dp.pos + 1))
+    ), ended AS (
+      SELECT conv_id, pos, {least('s0', 'e3')} AS best FROM (SELECT *, {assistant} AS e3 FROM (SELECT *, {user} AS e2 FROM dp))
+    )
+    SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+      coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(best.c AS BIGINT) AS cost, best.a AS audit,
+      sha256(best.t) AS repaired_sha256
+    FROM ended e LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM e.conv_id WHERE e.pos = coalesce(f.n, 0)
+    """
+
+
+@query("op13_prefix_doubling_repair", _repair_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    rows = written(judged_rows(damaged(conversations)), "judged")
+    edits, costs = repair(rows)
+    found = faults(rows).withColumnRenamed("conv", "key")
+    costs = costs.withColumnRenamed("conv", "cost_key")
+    done = digests(edits).withColumnRenamed("conv", "done_key")
+    every = conversations.select("conv_id").distinct()
+    all_facts = (
+        every.join(found, F.col("conv_id").eqNullSafe(F.col("key")), "left")
+        .join(costs, F.col("conv_id").eqNullSafe(F.col("cost_key")), "left")
+        .join(done, F.col("conv_id").eqNullSafe(F.col("done_key")), "left")
+    )
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return all_facts.select(
+        "conv_id", *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )

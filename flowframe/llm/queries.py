@@ -10,6 +10,7 @@ from flowframe.llm.base import Query, table, written
 from flowframe.llm.bpe import bpe_decode, bpe_encode
 from flowframe.llm.chat import rotate
 from flowframe.llm.exact_dedup import exact_dedup
+from flowframe.llm.even_packing import pack_even
 from flowframe.llm.html_text import html_text
 from flowframe.llm.jaccard_join import jaccard_groups
 from flowframe.llm.language import identify, learn, learnable
@@ -247,11 +248,9 @@ def _repair_sql() -> str:
     ), numbered AS (
       SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM kept
     ), judged AS (
-      SELECT *, left(role, 1) AS i, CASE WHEN NOT regexp_matches(text, '[^ 	-
-]') THEN 'blank'
+      SELECT *, left(role, 1) AS i, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
           WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
-          WHEN NOT regexp_matches(text, '[.!?][ 	-
-]*\z') THEN 'truncated' END AS fault,
+          WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' END AS fault,
         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY pos) || left(role, 1) AS pair
       FROM numbered
     ), priced AS (
@@ -298,3 +297,11 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in numbers],
         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+@query("op12_differencing_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_even(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )

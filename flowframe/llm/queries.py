@@ -9,6 +9,7 @@ import public_tokenizers
 from flowframe.llm.base import Query, table, written
 from flowframe.llm.bpe import bpe_decode, bpe_encode
 from flowframe.llm.chat import rotate
+from flowframe.llm.collocations import best, collocations
 from flowframe.llm.exact_dedup import exact_dedup
 from flowframe.llm.even_packing import pack_even
 from flowframe.llm.html_text import html_text
@@ -305,3 +306,40 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query(
+    "op11_tiled_collocations",
+    r"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece FROM documents
+    ), w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
+    grams AS (
+      SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: list_aggregate(w[i:i + k - 1], 'string_agg', ' '))) AS phrase
+      FROM w, (VALUES (1), (2), (3)) AS lengths(k) WHERE len(w) >= k
+    ), f AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL),
+    n AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+    c AS (SELECT lang, k, phrase, a, split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10),
+    cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+    scored AS (
+      SELECT c.*, l.a AS l, r.a AS r, (1000000 * c.a::HUGEINT * c.a::HUGEINT) // (l.a::HUGEINT * r.a::HUGEINT) AS score
+      FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:cut], ' ')
+        JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:len(c.w)], ' ')
+    ), lowest AS (
+      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS first FROM scored) WHERE first = 1
+    ), kept AS (
+      SELECT * FROM lowest s WHERE NOT EXISTS (
+        SELECT 1 FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM c WHERE k = 3) t
+        WHERE s.k = 2 AND t.lang = s.lang AND t.part = s.phrase AND 100 * t.a >= 50 * s.a)
+    ), placed AS (
+      SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+      FROM kept JOIN n USING (lang)
+    )
+    SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM placed WHERE rank <= 2000
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = best(collocations(table(spark, sf_dir, "documents")), 2000)
+    return found.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

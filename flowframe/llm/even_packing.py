@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from flowframe.llm.base import pieces
 
 #: Pieces of a group on average, texts encoded at a time, and the smallest piece that is cut off on purpose.
-GROUP, TEXTS, SLIVER = 1_024, 256, 8
-#: Words whose ids are kept, and the longest of them; parts encoded in one call; characters from which a part is cut further.
-WORDS, WORD_CHARS, SLICES, SLICE_CHARS = 400_000, 64, 4_096, 10_000
+GROUP, TEXTS, SLIVER = 1_024, 64, 8
+#: Words after which the older half of those kept is forgotten, and the longest of them; parts encoded in one call; characters from which a part is cut further.
+WORDS, WORD_CHARS, SLICES, SLICE_CHARS = 200_000, 64, 4_096, 10_000
 
 #: White space before a space, and a space after anything else.
 BLANKS, SPACE = re.compile(r"\s "), re.compile(r"(?<=\S) ")
@@ -119,49 +119,70 @@ class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit integers.
 
     A space after any other character than white space always begins a new match of the
-    tokenizer's pattern, so what stands between such spaces is encoded on its own; words
-    met before are looked up.
+    tokenizer's pattern, so what stands between such spaces is encoded on its own. Words
+    met of late are looked up; the others go to the tokenizer together, with the special
+    token between them, whose id then parts them.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Names of special tokens in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        special = [(i, token.content) for i, token in self.tokenizer.get_added_tokens_decoder().items() if token.special]
+        self.mark, self.name = special[0] if special else (-1, "")
         self.kept: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _ids(self, part: str, plain: bool) -> np.ndarray:
+        # Names of special tokens in a text are ordinary text.
+        self.tokenizer.encode_special_tokens = plain
+        return np.array(self.tokenizer.encode_batch_fast([part], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _ids(self, parts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [np.array(one.ids, dtype="<u4").tobytes() for one in encoded]
+    def _words(self, parts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(parts), SLICES):
+            ids = self._ids(self.name.join(parts[at:at + SLICES]), False)
+            ends = 4 * np.flatnonzero(ids == self.mark)
+            data = ids.tobytes()
+            yield from (data[low:high] for low, high in zip([0, *(ends + 4).tolist()], [*ends.tolist(), len(data)], strict=True))
 
     def _long(self, part: str) -> bytes:
         """A part of a text without fitting spaces: any white space after something else will do."""
         slices = re.split(r"(?<=\S)(?=\s)", part) if len(part) > SLICE_CHARS else [part]
-        return b"".join(b for at in range(0, len(slices), SLICES) for b in self._ids(slices[at:at + SLICES]))
+        return b"".join(self._ids(one, True).tobytes() for one in slices)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [text.split(" ") if BLANKS.search(text) is None else SPACE.split(text) for text in texts]
         if len(self.kept) > WORDS:
-            self.kept = {}
+            self.kept, self.older = {}, self.kept
         new = set()
         for words in split:
             new.update(words[1:])
-        new = [word for word in new if word not in self.kept]
-        short = [word for word in new if len(word) <= WORD_CHARS]
-        for at in range(0, len(short), SLICES):
-            some = short[at:at + SLICES]
-            self.kept.update(zip(some, self._ids([f" {word}" for word in some]), strict=True))
-        long = {word: self._long(f" {word}") for word in new if len(word) > WORD_CHARS}
-        found = collections.ChainMap(self.kept, long) if long else self.kept
+        new -= self.kept.keys()
+        known = new & self.older.keys()
+        self.kept.update((word, self.older[word]) for word in known)
+        new -= known
+        short = [word for word in new if self.name and len(word) <= WORD_CHARS and self.name not in word]
+        self.kept.update(zip(short, self._words([f" {word}" for word in short]), strict=True))
+        new.difference_update(short)
+        found = collections.ChainMap(self.kept, {word: self._long(f" {word}") for word in new}) if new else self.kept
         return [self._long(words[0]) + b"".join(map(found.__getitem__, words[1:])) for words in split]
 
 
+#: One encoder per file and worker process, so that its words last for more than one task.
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def _cut(path: str, capacity: int, end_id: int):
     """Tokens of each document in whole windows and a rest."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         end, step = np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
         met: dict[int, int] = {}
         for batch in batches:

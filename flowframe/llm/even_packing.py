@@ -18,6 +18,7 @@ import collections
 import heapq
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +29,18 @@ from pyspark.sql import functions as F
 from flowframe.llm.base import pieces
 
 #: Pieces of a group on average, texts encoded at a time, and the smallest piece that is cut off on purpose.
-GROUP, TEXTS, SLIVER = 1_024, 64, 8
+GROUP, TEXTS, SLIVER = 1_024, 128, 8
 #: Words after which the older half of those kept is forgotten, and the longest of them; parts encoded in one call; characters from which a part is cut further.
-WORDS, WORD_CHARS, SLICES, SLICE_CHARS = 200_000, 64, 4_096, 10_000
+WORDS, WORD_CHARS, SLICES, SLICE_CHARS = 250_000, 64, 4_096, 10_000
+
+# The byte-level pattern for words of printable ASCII, line feeds and the letters of Latin-1, and the
+# characters that stand for bytes which are not printable there.
+COMMON = re.compile("[!-~\nÀ-ÖØ-öø-ÿ]+").fullmatch
+MATCHES = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^ \nA-Za-z0-9À-ÖØ-öø-ÿ]+|[ \n]+(?![^ \n])|[ \n]+"
+).findall
+HIDDEN = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
+LETTERS = {byte: 256 + k for k, byte in enumerate(HIDDEN)}
 
 #: White space before a space, and a space after anything else.
 BLANKS, SPACE = re.compile(r"\s "), re.compile(r"(?<=\S) ")
@@ -120,14 +130,22 @@ class Encoder:
 
     A space after any other character than white space always begins a new match of the
     tokenizer's pattern, so what stands between such spaces is encoded on its own. Words
-    met of late are looked up; the others go to the tokenizer together, with the special
-    token between them, whose id then parts them.
+    met of late are looked up. Others of common characters are cut by the pattern here and
+    only their new parts go to the tokenizer's model; the rest go through the whole
+    tokenizer together, with the special token between them, whose id then parts them.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        plain = self.tokenizer.pre_tokenizer
+        if not isinstance(plain, pre_tokenizers.ByteLevel) or plain.add_prefix_space or not plain.use_regex:
+            raise ValueError("the tokenizer must cut texts by the byte-level pattern")
+        if not isinstance(self.tokenizer.model, models.BPE) or self.tokenizer.normalizer is not None:
+            raise ValueError("the tokenizer must merge bytes as they are")
+        self.model = self.tokenizer.model
+        self.parts: dict[str, bytes] = {}
         special = [(i, token.content) for i, token in self.tokenizer.get_added_tokens_decoder().items() if token.special]
         self.mark, self.name = special[0] if special else (-1, "")
         self.kept: dict[str, bytes] = {}
@@ -145,6 +163,24 @@ class Encoder:
             data = ids.tobytes()
             yield from (data[low:high] for low, high in zip([0, *(ends + 4).tolist()], [*ends.tolist(), len(data)], strict=True))
 
+    def _common(self, words: list[str]) -> Iterator[bytes]:
+        """Words of common characters, part by part."""
+        if len(self.parts) > WORDS:
+            self.parts = {}
+        known, tokenize = self.parts, self.model.tokenize
+        for word in words:
+            ids = []
+            for part in MATCHES(f" {word}"):
+                found = known.get(part)
+                if found is None:
+                    if part.isascii():
+                        letters = part.replace(" ", "Ġ").replace("\n", "Ċ")
+                    else:
+                        letters = part.encode().decode("latin-1").translate(LETTERS)
+                    found = known[part] = array("I", [token.id for token in tokenize(letters)]).tobytes()
+                ids.append(found)
+            yield b"".join(ids) if len(ids) > 1 else ids[0]
+
     def _long(self, part: str) -> bytes:
         """A part of a text without fitting spaces: any white space after something else will do."""
         slices = re.split(r"(?<=\S)(?=\s)", part) if len(part) > SLICE_CHARS else [part]
@@ -157,10 +193,13 @@ class Encoder:
         new = set()
         for words in split:
             new.update(words[1:])
-        new -= self.kept.keys()
-        known = new & self.older.keys()
-        self.kept.update((word, self.older[word]) for word in known)
-        new -= known
+        new = [word for word in new if word not in self.kept]
+        known = [word for word in new if word in self.older]
+        self.kept.update(zip(known, map(self.older.__getitem__, known), strict=True))
+        new = {word for word in new if word not in self.older} if known else set(new)
+        common = [word for word in new if len(word) <= WORD_CHARS and COMMON(word)]
+        self.kept.update(zip(common, self._common(common), strict=True))
+        new.difference_update(common)
         short = [word for word in new if self.name and len(word) <= WORD_CHARS and self.name not in word]
         self.kept.update(zip(short, self._words([f" {word}" for word in short]), strict=True))
         new.difference_update(short)

@@ -16,10 +16,12 @@ TRICKY = ["", " ", "  ", "a", " a", "a ", "  a", "a  b", "a\n b", "a \n b", "it'
           "  x", "a\x1c b", "tab\t tab", "<|endoftext|> end <|endoftext|>", "'s 's", "end. \n\n", "a᠎ b", "🙂 🙂🙂  🙂", "a\x00 b", "\r\n x", "a" * 20_000 + "\n" + "b" * 9]
 
 
+TOKENIZER = Tokenizer.from_file(PATH)
+TOKENIZER.encode_special_tokens = True
+
+
 def plain_ids(text):
-    tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+    return TOKENIZER.encode(text or "", add_special_tokens=False).ids + [0]
 
 
 def plain_difference(lengths, windows):
@@ -79,12 +81,31 @@ def test_windows_are_near_equal():
 def test_ids_are_those_of_whole_texts():
     rng = random.Random(4)
     mixed = ["".join(rng.choice(["a", "the", " ", " ", "\n", "\t", ".", "'ll", "9", "ß", "　", "\u0085", "​", "🙂"]) for _ in range(60)) for _ in range(400)]
-    texts = TRICKY + mixed
+    common = ["".join(rng.choice(["a", "B", " ", " ", "\n", "'", "'s", "ll", "7", "é", "ÿ", "×", "!", "$$", "_", "\x7f"]) for _ in range(40)) for _ in range(600)]
+    texts = TRICKY + mixed + common
     encoder = e.Encoder(PATH)
     for got, text in zip(encoder.encode(texts), texts, strict=True):
         assert np.frombuffer(got, "<u4").tolist() == plain_ids(text)[:-1], text
 
 
+def test_every_byte_has_its_letter():
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    plain = ByteLevel(add_prefix_space=False, use_regex=False)
+    for text in ["".join(map(chr, range(128))), "".join(map(chr, range(128, 0x2000)))]:
+        assert text.encode().decode("latin-1").translate(e.LETTERS) == plain.pre_tokenize_str(text)[0][0]
+
+
+def test_other_tokenizers_are_refused(tmp_path):
+    import json
+
+    other = json.load(open(PATH))
+    other["pre_tokenizer"]["add_prefix_space"] = True
+    (tmp_path / "t.json").write_text(json.dumps(other))
+    with pytest.raises(ValueError):
+        e.Encoder(str(tmp_path / "t.json"))
+
+
 def check(rows, docs):
     """Pieces against ids of whole texts, gapless windows, and little padding."""
     windows, covered = defaultdict(list), defaultdict(list)

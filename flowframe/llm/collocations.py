@@ -16,6 +16,7 @@
 
 from __future__ import annotations
 
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -28,9 +29,9 @@ from flowframe.llm.base import pieces, written
 from flowframe.plans.ordered import number_groups
 
 #: Words of a block, cells of a tile's side, tiles of the dense head in each direction, lists merged at a time.
-BLOCK, SIDE, HEAD, FAN = 2_000_000, 1_024, 4, 64
-#: Bytes of a text that are cut into words at a time, and vocabulary rows sent at a time.
-SLICE, ROWS = 1 << 20, 100_000
+BLOCK, SIDE, HEAD, FAN = 1_000_000, 1_024, 4, 64
+#: Texts taken from a batch and bytes of a text cut into words at a time, and vocabulary rows sent at a time.
+TEXTS, SLICE, ROWS = 256, 1 << 20, 50_000
 
 # What ends a piece of text, and what parts words in it besides the space.
 ENDS, TAB = b".,;:!?\n\x0b\x0c\r", b"\t"
@@ -71,12 +72,12 @@ def _blocks(block_words: int):
 
         block, size = TaskContext.get().partitionId() << 32, 0
         words: dict[str, _Vocabulary] = defaultdict(_Vocabulary)
-        texts: dict[str, list[np.ndarray]] = defaultdict(list)
+        texts: dict[str, array] = defaultdict(lambda: array("I"))
         carried: dict[str, int] = {}
 
         def flush():
-            for lang, parts in texts.items():
-                ids = np.concatenate(parts)
+            for lang, held in texts.items():
+                ids = np.frombuffer(held, dtype=np.uint32)
                 begun = carried.get(lang, 0)
                 counts = np.bincount(ids[begun:], minlength=len(words[lang]))
                 names = pa.array([w.decode() for w in words[lang]], pa.string())
@@ -85,22 +86,21 @@ def _blocks(block_words: int):
                     yield _rows(block, lang, len(local), local=pa.array(local, pa.int32()), word=names.slice(low, len(local)), n=pa.array(counts[local], pa.int64()))
                 yield _rows(block, lang, 1, ids=pa.array([ids.astype("<u4").tobytes()], pa.binary()), n=pa.array([begun], pa.int64()))
 
-        for batch in batches:
+        for batch in (whole.slice(low, TEXTS) for whole in batches for low in range(0, whole.num_rows, TEXTS)):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 for some in words_of((text or "").encode()):
                     if size >= block_words:
                         yield from flush()
-                        last = np.concatenate(texts[lang][-2:])[-2:] if texts[lang] else []
                         names = list(words[lang])
-                        tail = [names[i] for i in last]
+                        tail = [names[i] for i in texts[lang][-2:]]
                         words.clear()
                         texts.clear()
                         carried.clear()
                         block, size, carried[lang] = block + 1, 0, len(tail)
                         some = tail + some
-                    texts[lang].append(np.fromiter(map(words[lang].__getitem__, some), np.uint32, len(some)))
+                    texts[lang].extend(map(words[lang].__getitem__, some))
                     size += len(some)
-                texts[lang].append(np.zeros(1, dtype=np.uint32))
+                texts[lang].append(0)
                 size += 1
         if texts:
             yield from flush()

@@ -14,7 +14,6 @@ group is dealt to as few windows as could hold it:
 
 from __future__ import annotations
 
-import collections
 import heapq
 import re
 import zlib
@@ -30,8 +29,8 @@ from flowframe.llm.base import pieces
 
 #: Pieces of a group on average, texts encoded at a time, and the smallest piece that is cut off on purpose.
 GROUP, TEXTS, SLIVER = 1_024, 128, 8
-#: Words after which the older half of those kept is forgotten, and the longest of them; parts encoded in one call; characters from which a part is cut further.
-WORDS, WORD_CHARS, SLICES, SLICE_CHARS = 250_000, 64, 4_096, 10_000
+#: Words after which the older half of those kept is forgotten, and the longest of them; characters from which a part is cut further.
+WORDS, WORD_CHARS, SLICE_CHARS = 450_000, 64, 10_000
 
 # The byte-level pattern for words of printable ASCII, line feeds and the letters of Latin-1, and the
 # characters that stand for bytes which are not printable there.
@@ -43,7 +42,8 @@ HIDDEN = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
 LETTERS = {byte: 256 + k for k, byte in enumerate(HIDDEN)}
 
 #: White space before a space, and a space after anything else.
-BLANKS, SPACE = re.compile(r"\s "), re.compile(r"(?<=\S) ")
+BLANKS, SPACE, LONG = re.compile(r"\s "), re.compile(r"(?<=\S) "), re.compile(r"(?<=\S)(?=\s)")
+ASCII_BLANKS = [f"{chr(code)} " for code in (*range(9, 14), *range(28, 33))]
 
 Window = list[tuple[int, int, int]]
 
@@ -56,31 +56,40 @@ def difference(lengths: list[int], windows: int) -> list[list[int]]:
     windows makes one of both.
     """
     left, right = [-1] * len(lengths), [-1] * len(lengths)
-    heap = [(-length, i, np.array([length]), np.array([i])) for i, length in enumerate(lengths)]
+    heap = [(-length, i, [length], [i]) for i, length in enumerate(lengths)]
     heapq.heapify(heap)
     tie = len(heap)
     while len(heap) > 1:
         _, _, a, at_a = heapq.heappop(heap)
         _, _, b, at_b = heapq.heappop(heap)
         shared = len(a) + len(b) - windows
-        if shared <= 0:
-            sums, nodes = np.concatenate([a, b]), np.concatenate([at_a, at_b])
+        if shared <= 0 and len(b) == 1 and b[0] <= a[-1]:
+            # The common case at first: one more window that is the shortest so far.
+            a.append(b[0])
+            at_a.append(at_b[0])
+            sums, nodes = a, at_a
         else:
-            # The last of one meet the last of the other in opposite order; what is left over meets empty windows.
-            alone_a, alone_b = len(a) - shared, len(b) - shared
-            met = np.arange(len(left), len(left) + shared)
-            left += at_a[alone_a:].tolist()
-            right += at_b[alone_b:][::-1].tolist()
-            sums = np.concatenate([a[:alone_a], b[:alone_b], a[alone_a:] + b[alone_b:][::-1]])
-            nodes = np.concatenate([at_a[:alone_a], at_b[:alone_b], met])
-        order = np.argsort(-sums, kind="stable")
-        sums, nodes = sums[order], nodes[order]
+            a, b, at_a, at_b = map(np.asarray, (a, b, at_a, at_b))
+            if shared <= 0:
+                sums, nodes = np.concatenate([a, b]), np.concatenate([at_a, at_b])
+            else:
+                # The last of one meet the last of the other in opposite order; what is left over meets empty windows.
+                alone_a, alone_b = len(a) - shared, len(b) - shared
+                met = np.arange(len(left), len(left) + shared)
+                left += at_a[alone_a:].tolist()
+                right += at_b[alone_b:][::-1].tolist()
+                sums = np.concatenate([a[:alone_a], b[:alone_b], a[alone_a:] + b[alone_b:][::-1]])
+                nodes = np.concatenate([at_a[:alone_a], at_b[:alone_b], met])
+            order = np.argsort(-sums, kind="stable")
+            sums, nodes = sums[order], nodes[order]
+            if len(sums) < windows:
+                sums, nodes = sums.tolist(), nodes.tolist()
         if len(sums) == windows:
-            sums = sums - sums[-1]
+            sums = np.asarray(sums) - sums[-1]
         heapq.heappush(heap, (-int(sums[0]), tie, sums, nodes))
         tie += 1
     out = []
-    for node in heap[0][3].tolist() if heap else []:
+    for node in np.asarray(heap[0][3]).tolist() if heap else []:
         held, stack = [], [node]
         while stack:
             x = stack.pop()
@@ -125,86 +134,82 @@ def _joined(parts) -> Window:
     return out
 
 
-class Encoder:
+def _single_spaces(text: str) -> bool:
+    """Whether no space follows white space."""
+    if text.isascii():
+        return not any(pair in text for pair in ASCII_BLANKS)
+    return BLANKS.search(text) is None
+
+
+class Encoder(dict):
     """Token ids of whole texts as little-endian unsigned 32-bit integers.
 
     A space after any other character than white space always begins a new match of the
-    tokenizer's pattern, so what stands between such spaces is encoded on its own. Words
-    met of late are looked up. Others of common characters are cut by the pattern here and
-    only their new parts go to the tokenizer's model; the rest go through the whole
-    tokenizer together, with the special token between them, whose id then parts them.
+    tokenizer's pattern, so what stands between such spaces is encoded on its own. As a
+    dictionary it holds the ids of the words met of late, a space before each. New ones of
+    common characters are cut by the pattern here and only their new parts go to the
+    tokenizer's model; any other goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, models, pre_tokenizers
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         plain = self.tokenizer.pre_tokenizer
         if not isinstance(plain, pre_tokenizers.ByteLevel) or plain.add_prefix_space or not plain.use_regex:
             raise ValueError("the tokenizer must cut texts by the byte-level pattern")
         if not isinstance(self.tokenizer.model, models.BPE) or self.tokenizer.normalizer is not None:
             raise ValueError("the tokenizer must merge bytes as they are")
+        # Names of special tokens in a text are ordinary text.
+        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.parts: dict[str, bytes] = {}
-        special = [(i, token.content) for i, token in self.tokenizer.get_added_tokens_decoder().items() if token.special]
-        self.mark, self.name = special[0] if special else (-1, "")
-        self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
-    def _ids(self, part: str, plain: bool) -> np.ndarray:
-        # Names of special tokens in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = plain
-        return np.array(self.tokenizer.encode_batch_fast([part], add_special_tokens=False)[0].ids, dtype="<u4")
-
-    def _words(self, parts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(parts), SLICES):
-            ids = self._ids(self.name.join(parts[at:at + SLICES]), False)
-            ends = 4 * np.flatnonzero(ids == self.mark)
-            data = ids.tobytes()
-            yield from (data[low:high] for low, high in zip([0, *(ends + 4).tolist()], [*ends.tolist(), len(data)], strict=True))
-
-    def _common(self, words: list[str]) -> Iterator[bytes]:
-        """Words of common characters, part by part."""
+    def _part(self, part: str) -> bytes:
+        """The ids of a match of the pattern."""
+        if part.isascii():
+            letters = part.replace(" ", "Ġ").replace("\n", "Ċ")
+        else:
+            letters = part.encode().decode("latin-1").translate(LETTERS)
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = self._new(word)
+        if len(word) <= WORD_CHARS:
+            self[word] = found
+        return found
+
+    def _new(self, word: str) -> bytes:
+        if len(word) > WORD_CHARS or not COMMON(word):
+            return self.whole(f" {word}")
+        if word.isalpha():
+            return self._part(f" {word}")
+        ids = []
+        for part in MATCHES(f" {word}"):
+            known = self.parts.get(part)
+            if known is None:
+                known = self.parts[part] = self._part(part)
+            ids.append(known)
+        return b"".join(ids)
+
+    def whole(self, part: str) -> bytes:
+        """A part of a text through the tokenizer; a long one is cut at white space after something else."""
+        slices = LONG.split(part) if len(part) > SLICE_CHARS else [part]
+        ids = (self.tokenizer.encode_batch_fast([one], add_special_tokens=False)[0].ids for one in slices)
+        return b"".join(np.array(one, dtype="<u4").tobytes() for one in ids)
+
+    def encode(self, text: str) -> bytes:
+        if len(self) > WORDS:
+            self.older = dict(self)
+            self.clear()
         if len(self.parts) > WORDS:
             self.parts = {}
-        known, tokenize = self.parts, self.model.tokenize
-        for word in words:
-            ids = []
-            for part in MATCHES(f" {word}"):
-                found = known.get(part)
-                if found is None:
-                    if part.isascii():
-                        letters = part.replace(" ", "Ġ").replace("\n", "Ċ")
-                    else:
-                        letters = part.encode().decode("latin-1").translate(LETTERS)
-                    found = known[part] = array("I", [token.id for token in tokenize(letters)]).tobytes()
-                ids.append(found)
-            yield b"".join(ids) if len(ids) > 1 else ids[0]
-
-    def _long(self, part: str) -> bytes:
-        """A part of a text without fitting spaces: any white space after something else will do."""
-        slices = re.split(r"(?<=\S)(?=\s)", part) if len(part) > SLICE_CHARS else [part]
-        return b"".join(self._ids(one, True).tobytes() for one in slices)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.split(" ") if BLANKS.search(text) is None else SPACE.split(text) for text in texts]
-        if len(self.kept) > WORDS:
-            self.kept, self.older = {}, self.kept
-        new = set()
-        for words in split:
-            new.update(words[1:])
-        new = [word for word in new if word not in self.kept]
-        known = [word for word in new if word in self.older]
-        self.kept.update(zip(known, map(self.older.__getitem__, known), strict=True))
-        new = {word for word in new if word not in self.older} if known else set(new)
-        common = [word for word in new if len(word) <= WORD_CHARS and COMMON(word)]
-        self.kept.update(zip(common, self._common(common), strict=True))
-        new.difference_update(common)
-        short = [word for word in new if self.name and len(word) <= WORD_CHARS and self.name not in word]
-        self.kept.update(zip(short, self._words([f" {word}" for word in short]), strict=True))
-        new.difference_update(short)
-        found = collections.ChainMap(self.kept, {word: self._long(f" {word}") for word in new}) if new else self.kept
-        return [self._long(words[0]) + b"".join(map(found.__getitem__, words[1:])) for words in split]
+        first, *words = text.split(" ") if _single_spaces(text) else SPACE.split(text)
+        return self.whole(first) + b"".join(map(self.__getitem__, words))
 
 
 #: One encoder per file and worker process, so that its words last for more than one task.
@@ -230,8 +235,8 @@ def _cut(path: str, capacity: int, end_id: int):
                 keys = some.column("key")
                 names = keys.to_pylist()
                 rows, starts, whole, data, copies = [], [], [], [], []
-                for row, ids in enumerate(encoder.encode([text or "" for text in some.column("text").to_pylist()])):
-                    ids += end
+                for row, text in enumerate(some.column("text").to_pylist()):
+                    ids = encoder.encode(text or "") + end
                     # Rows that are equal are told apart by their number in the task, so that they may go to many groups.
                     name = zlib.crc32(repr(names[row]).encode()) << 32 | zlib.crc32(ids)
                     met[name] = met.get(name, -1) + 1
@@ -292,8 +297,8 @@ def pack_even(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str
     if capacity < 1:
         raise ValueError("a window holds at least one token")
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")).first()
-    groups = pieces(max(size["n"], (size["chars"] or 0) // (2 * capacity)), GROUP)
+    size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
+    groups = pieces(max(size["n"], (size["bytes"] or 0) // (2 * capacity)), GROUP)
     kind = rows.schema["key"].dataType.simpleString()
     cut = rows.mapInArrow(_cut(tokenizer, capacity, end_id), f"key {kind}, start long, doc_tokens long, ids binary, copy long")
     group = F.pmod(F.xxhash64("key", F.crc32("ids"), "doc_tokens", "start", "copy"), F.lit(groups))

@@ -32,6 +32,8 @@ from flowframe.plans.ordered import number_groups
 BLOCK, SIDE, HEAD, FAN = 1_000_000, 1_024, 4, 64
 #: Texts taken from a batch and bytes of a text cut into words at a time, and vocabulary rows sent at a time.
 TEXTS, SLICE, ROWS = 256, 1 << 20, 50_000
+#: Ranked words that are broadcast: at most 1 million rows of some 40 bytes.
+FEW_RANKS = 1_000_000
 
 # What ends a piece of text, and what parts words in it besides the space.
 ENDS, TAB = b".,;:!?\n\x0b\x0c\r", b"\t"
@@ -84,7 +86,7 @@ def _blocks(block_words: int):
                 for low in range(1, len(names), ROWS):
                     local = np.arange(low, min(low + ROWS, len(names)))
                     yield _rows(block, lang, len(local), local=pa.array(local, pa.int32()), word=names.slice(low, len(local)), n=pa.array(counts[local], pa.int64()))
-                yield _rows(block, lang, 1, ids=pa.array([ids.astype("<u4").tobytes()], pa.binary()), n=pa.array([begun], pa.int64()))
+                yield _rows(block, lang, 1, ids=pa.array([pack(ids.astype(np.int64))], pa.binary()), n=pa.array([begun], pa.int64()))
 
         for batch in (whole.slice(low, TEXTS) for whole in batches for low in range(0, whole.num_rows, TEXTS)):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -189,19 +191,27 @@ def whole_codes(tile: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row * SIDE + codes // SIDE, column * SIDE + codes % SIDE
 
 
-def _pack(numbers: np.ndarray) -> bytes:
-    return numbers.astype("<i8").tobytes()
+def pack(numbers: np.ndarray, rising: bool = False) -> bytes:
+    """Whole numbers, compressed; rising ones as their differences."""
+    numbers = np.diff(numbers, prepend=0) if rising else numbers
+    wide = len(numbers) > 0 and (int(numbers.max()) >= 1 << 31 or int(numbers.min()) < -(1 << 31))
+    data = numbers.astype("<i8" if wide else "<i4").tobytes()
+    head = (len(data) << 2 | wide << 1 | rising).to_bytes(8, "little")
+    return head + pa.Codec("zstd", 1).compress(data, asbytes=True)
 
 
-def _unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype="<i8")
+def unpack(data: bytes) -> np.ndarray:
+    head = int.from_bytes(data[:8], "little")
+    whole = pa.Codec("zstd", 1).decompress(data[8:], decompressed_size=head >> 2, asbytes=True)
+    numbers = np.frombuffer(whole, dtype="<i8" if head & 2 else "<i4").astype(np.int64)
+    return np.cumsum(numbers) if head & 1 else numbers
 
 
-TILES = "block long, lang string, seq binary, also binary, known long, tile long, codes binary, counts binary"
+TILES = "block long, lang string, words binary, known long, tile long, codes binary, counts binary"
 
 
-def _level_rows(block: int, lang: str, left: np.ndarray, words: np.ndarray, known: int, longest: int, buckets: int) -> pa.Table:
-    """A block's symbols and words, and its tiles of (symbol, word after it)."""
+def _level_rows(block: int, lang: str, left: np.ndarray, words: np.ndarray, known: int, longest: int, buckets: int, keep: bool) -> pa.Table:
+    """A block's tiles of (symbol, word after it), and its words themselves if they are needed again."""
     right = np.full(len(words), -1, dtype=np.int64)
     if len(words) > longest:
         right[:-longest] = words[longest:]
@@ -209,27 +219,44 @@ def _level_rows(block: int, lang: str, left: np.ndarray, words: np.ndarray, know
         # The pairs of three words share one, and both must be frequent.
         right[:-1][left[1:] < 0] = -1
     found = list(tiles(left, right, max(0, known - longest), buckets))
-    empty = [None] * len(found)
+    own = [pack(words)] if keep else []
+    none = [None] * len(own)
+    rows = len(own) + len(found)
     return pa.table(
         [
-            pa.array([block] * (len(found) + 1), pa.int64()), pa.array([lang] * (len(found) + 1), pa.string()),
-            pa.array([left.astype("<i4").tobytes(), *empty], pa.binary()), pa.array([words.astype("<i4").tobytes(), *empty], pa.binary()),
-            pa.array([known, *empty], pa.int64()), pa.array([None, *[t for t, _, _ in found]], pa.int64()),
-            pa.array([None, *[_pack(c) for _, c, _ in found]], pa.binary()), pa.array([None, *[_pack(n) for _, _, n in found]], pa.binary()),
+            pa.array([block] * rows, pa.int64()), pa.array([lang] * rows, pa.string()), pa.array(own + [None] * len(found), pa.binary()),
+            pa.array([known] * len(own) + [None] * len(found), pa.int64()), pa.array(none + [t for t, _, _ in found], pa.int64()),
+            pa.array(none + [pack(c, True) for _, c, _ in found], pa.binary()), pa.array(none + [pack(n) for _, _, n in found], pa.binary()),
         ],
-        names=["block", "lang", "seq", "also", "known", "tile", "codes", "counts"],
+        names=["block", "lang", "words", "known", "tile", "codes", "counts"],
     )
 
 
+def _bundled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ranks of a block's words, as many rows together as came together."""
+    for batch in batches:
+        blocks, local, rank = (batch.column(c).to_numpy() for c in ("block", "local", "rank"))
+        _, lang = np.unique(batch.column("lang").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+        order = np.lexsort((local, lang, blocks))
+        low, high = _runs(blocks[order] * (int(lang.max(initial=0)) + 1) + lang[order])
+        first = pa.array(order[low], pa.int64())
+        parts = [order[a:b] for a, b in zip(low, high)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("block").take(first), batch.column("lang").take(first), pa.array([pack(local[p].astype(np.int64), True) for p in parts], pa.binary()),
+             pa.array([pack(rank[p]) for p in parts], pa.binary())],
+            names=["block", "lang", "local", "rank"],
+        )
+
+
 def _ranked_words(buckets: int):
     def take(texts: pa.Table, ranks: pa.Table) -> pa.Table:
         block, lang = texts["block"][0].as_py(), texts["lang"][0].as_py()
-        ids = np.frombuffer(texts["ids"][0].as_py(), dtype="<u4").astype(np.int64)
+        ids = unpack(texts["ids"][0].as_py())
         table = np.full(int(ids.max()) + 1, -1, dtype=np.int64)
-        if ranks.num_rows:
-            table[ranks["local"].to_numpy()] = ranks["rank"].to_numpy()
+        for local, rank in zip(ranks["local"].to_pylist(), ranks["rank"].to_pylist(), strict=True):
+            table[unpack(local)] = unpack(rank)
         words = table[ids]
-        return _level_rows(block, lang, words, words, texts["n"][0].as_py(), 1, buckets)
+        return _level_rows(block, lang, words, words, texts["n"][0].as_py(), 1, buckets, True)
 
     return lambda texts, ranks: take(texts, ranks) if texts.num_rows else pa.Table.from_batches([], _schema(TILES))
 
@@ -244,29 +271,29 @@ def _ranked_pairs(buckets: int):
 
     def take(texts: pa.Table, found: pa.Table) -> pa.Table:
         block, lang = texts["block"][0].as_py(), texts["lang"][0].as_py()
-        words = np.frombuffer(texts["also"][0].as_py(), dtype="<i4").astype(np.int64)
+        words = unpack(texts["words"][0].as_py())
         right = np.append(words[1:], -1)
         codes = (words << 32) | right
         codes[(words < 0) | (right < 0)] = -1
         symbols = np.full(len(words), -1, dtype=np.int64)
-        names = np.concatenate([_unpack(x) for x in [b"", *found["codes"].to_pylist()]])
+        names = np.concatenate([np.zeros(0, dtype=np.int64), *map(unpack, found["codes"].to_pylist())])
         if len(names):
-            ranks = np.concatenate([_unpack(x) for x in found["ranks"].to_pylist()])
+            ranks = np.concatenate([unpack(x) for x in found["ranks"].to_pylist()])
             order = np.argsort(names)
             names, ranks = names[order], ranks[order]
             at = np.minimum(np.searchsorted(names, codes), len(names) - 1)
             symbols = np.where(names[at] == codes, ranks[at], -1)
-        return _level_rows(block, lang, symbols, words, texts["known"][0].as_py(), 2, buckets)
+        return _level_rows(block, lang, symbols, words, texts["known"][0].as_py(), 2, buckets, False)
 
     return lambda texts, found: take(texts, found) if texts.num_rows else pa.Table.from_batches([], _schema(TILES))
 
 
 def _merge(table: pa.Table) -> pa.Table:
     tile = table["tile"][0].as_py()
-    lists = [(_unpack(c), _unpack(n)) for c, n in zip(table["codes"].to_pylist(), table["counts"].to_pylist(), strict=True)]
+    lists = [(unpack(c), unpack(n)) for c, n in zip(table["codes"].to_pylist(), table["counts"].to_pylist(), strict=True)]
     codes, counts = merged(tile, lists)
     return pa.table(
-        [table["lang"].slice(0, 1), table["tile"].slice(0, 1), table["share"].slice(0, 1), pa.array([_pack(codes)], pa.binary()), pa.array([_pack(counts)], pa.binary())],
+        [table["lang"].slice(0, 1), table["tile"].slice(0, 1), table["share"].slice(0, 1), pa.array([pack(codes, True)], pa.binary()), pa.array([pack(counts)], pa.binary())],
         names=["lang", "tile", "share", "codes", "counts"],
     )
 
@@ -275,7 +302,7 @@ def _frequent(least: int):
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, tile, codes, counts in zip(*(batch.column(c).to_pylist() for c in ("lang", "tile", "codes", "counts")), strict=True):
-                codes, counts = _unpack(codes), _unpack(counts)
+                codes, counts = unpack(codes), unpack(counts)
                 often = counts >= least
                 i, j = whole_codes(tile, codes[often])
                 n = len(i)
@@ -314,11 +341,11 @@ def _returned(lists: pa.Table, frequent: pa.Table) -> pa.Table:
         order = np.argsort(codes)
         codes, ranks = codes[order], ranks[order]
         for block, lang, own in zip(*(lists[c].to_pylist() for c in ("block", "lang", "codes")), strict=True):
-            own = _unpack(own)
+            own = unpack(own)
             at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
             hit = codes[at] == own
             i, j = whole_codes(tile, own[hit])
-            out.append((block, lang, _pack((i << 32) | j), _pack(ranks[at[hit]])))
+            out.append((block, lang, pack((i << 32) | j, True), pack(ranks[at[hit]])))
     return pa.Table.from_pylist([dict(zip(("block", "lang", "codes", "ranks"), x)) for x in out], _schema("block long, lang string, codes binary, ranks binary"))
 
 
@@ -369,7 +396,11 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", lea
     counted = written(vocabulary.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
     ranked = written(by_rank(counted.filter(F.col("n") >= least), "n", ["word"]), "ranks")
-    local = vocabulary.select("block", "lang", "local", "word").join(ranked.select("lang", "word", "rank"), ["lang", "word"])
+    # Ranks are sent to all tasks while they are few; else Spark shuffles both sides.
+    names = ranked.select("lang", "word", "rank")
+    names = F.broadcast(names) if names.count() <= FEW_RANKS else names
+    local = vocabulary.select("block", "lang", "local", "word").join(names, ["lang", "word"])
+    local = local.select("block", "lang", "local", "rank").mapInArrow(_bundled, "block long, lang string, local binary, rank binary")
     first = written(
         _apart(texts).groupBy("block", "lang").cogroup(_apart(local.select("block", "lang", "local", "rank")).groupBy("block", "lang"))
         .applyInArrow(_ranked_words(number), TILES), "pairs-of-words",
@@ -384,7 +415,7 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", lea
     answers = pairs.select("lang", "tile", "code", "rank", copies.alias("share"))
     keys = ["lang", "tile", "share"]
     told = _apart(asked).groupBy(*keys).cogroup(_apart(answers).groupBy(*keys)).applyInArrow(_returned, "block long, lang string, codes binary, ranks binary")
-    symbols = first.filter("seq is not null").select("block", "lang", "also", "known")
+    symbols = first.filter("words is not null").select("block", "lang", "words", "known")
     second = _apart(symbols).groupBy("block", "lang").cogroup(_apart(told).groupBy("block", "lang")).applyInArrow(_ranked_pairs(number), TILES)
     triples = written(frequent_pairs(written(second, "pairs-of-pairs"), number, least).select("lang", F.col("i").alias("pair"), F.col("j").alias("k"), "a"), "triples")
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from flowframe.functions.columns import as_col
 from flowframe.plans.ordered import number_groups
+from flowframe.plans.running import running_groups
 
 
 @dataclass(frozen=True)
@@ -26,7 +27,9 @@ class Release:
     that tells another number than the one before begins a group of its own;
     ``count`` a fixed number; ``closes`` is true for a message that ends its group;
     ``gap`` is the idle time after which the open group is released as it is, as
-    text or, as a column, told by each message for the time after it.
+    text or, as a column, told by each message for the time after it. With ``reaches``
+    a group is complete at the message at which its sum of ``amount`` (an integer
+    expression) is that much or more; the sum then begins anew.
     """
 
     size: str | Column | None = None
@@ -34,10 +37,17 @@ class Release:
     closes: str | Column | None = None
     gap: str | Column | None = None
     time: str | None = None
+    amount: str | Column | None = None
+    reaches: int | None = None
 
     def __post_init__(self):
-        if self.size is None and self.count is None and self.closes is None and self.gap is None:
-            raise ValueError("give a release rule: size, count, closes or gap")
+        others = [self.size, self.count, self.closes, self.gap]
+        if all(rule is None for rule in (*others, self.reaches)):
+            raise ValueError("give a release rule: size, count, closes, gap or reaches")
+        if (self.amount is None) != (self.reaches is None):
+            raise ValueError("a sum that is reached needs an amount and a limit")
+        if self.reaches is not None and any(rule is not None for rule in others):
+            raise ValueError("a sum that is reached excludes the other rules")
         if self.size is not None and self.count is not None:
             raise ValueError("size and count exclude each other")
         if self.gap is not None and self.time is None:
@@ -70,6 +80,8 @@ def prepare(
     made = {name: as_col(expression) for name, expression in correlate.items()}
     if rule.size is not None:
         made["__size"] = as_col(rule.size)
+    if rule.amount is not None:
+        made["__adds"] = as_col(rule.amount)
     if rule.closes is not None:
         made["__ends"] = F.coalesce(as_col(rule.closes), F.lit(False))
     if isinstance(rule.gap, Column):
@@ -93,6 +105,9 @@ def number(
     then: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Prepared rows with their positions and groups."""
+    if rule.reaches is not None:
+        grouped = running_groups(rows, keys, order_by, F.col("__adds"), rule.reaches, chunks=chunks)
+        return grouped if then is None else then(grouped)
     told = rule.size is not None
     return number_groups(
         rows, keys, order_by, count="__size" if told else rule.count, runs="__size" if told else None,
@@ -113,7 +128,7 @@ def emit(
 ) -> DataFrame:
     """One row per group, per message or per page; open groups only with ``partial``."""
     names = [*keys, "group_start"]
-    if rule.closes is not None and not rule.bounded and not partial:
+    if (rule.closes is not None or rule.reaches is not None) and not rule.bounded and not partial:
         numbered = numbered.filter("closed")
     picked = "__chosen" in numbered.columns
     fields = [*(sort_by or []), "position", "__payload", *(["__chosen"] if picked else [])]
@@ -164,6 +179,8 @@ def aggregate(
     closes: str | Column | None = None,
     gap: str | Column | None = None,
     time: str | None = None,
+    amount: str | Column | None = None,
+    reaches: int | None = None,
     where: str | Column | None = None,
     output: dict[str, Column] | None = None,
     partial: bool = False,
@@ -183,7 +200,7 @@ def aggregate(
     group's ``n`` and ``payload``; or, with ``list_rows``, as pages of so many
     messages: ``part`` 0, 1, ..., the whole group's ``n``, and ``payloads``.
     """
-    rule = Release(size=size, count=count, closes=closes, gap=gap, time=time)
+    rule = Release(size=size, count=count, closes=closes, gap=gap, time=time, amount=amount, reaches=reaches)
     keys = list(correlate)
     rows = prepare(df, correlate, order_by, rule, payload=payload, where=where, output=output, sort_by=sort_by)
 

@@ -35,6 +35,18 @@ def _borders(df: DataFrame, place: Column, chunks: int) -> DataFrame:
     return picked.groupBy(F.lit(0).alias("one")).agg(F.array_sort(F.collect_list("place")).alias("places")).select("places")
 
 
+def _borders_before(chunks: int) -> Column:
+    """How many of the borders lie at or before a row's place: halving, so as many steps as the number has bits."""
+    count = F.coalesce(F.size("__borders"), F.lit(0))
+
+    def further(at: Column, step: Column) -> Column:
+        reached = at + step
+        return F.when((reached <= count) & (F.get("__borders", reached - 1) <= F.col("__place")), reached).otherwise(at)
+
+    steps = F.array(*[F.lit(1 << bit) for bit in range(chunks.bit_length() - 1, -1, -1)])
+    return F.when(F.col("__borders").isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), further))
+
+
 def _all(tests: list[Column]) -> Column:
     out = F.lit(True)
     for test in tests:
@@ -42,6 +54,47 @@ def _all(tests: list[Column]) -> Column:
     return out
 
 
+def _placed(rows: DataFrame, df: DataFrame, keys: list[str], order_by: list[str], chunks: int) -> DataFrame:
+    """The rows with their ``__chunk``, and whether their key is that of a border (``__edge``)."""
+    place = F.struct(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)), *(F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)))
+    # The borders are a bounded list of places: Spark computes it once and takes it as a constant.
+    borders = _borders(df, place, chunks).scalar()
+    rows = rows.withColumn("__place", place).withColumn("__borders", borders)
+    rows = rows.withColumn("__chunk", _borders_before(chunks))
+    at_border = F.lit(False)
+    for nearest in (F.get("__borders", F.col("__chunk") - 1), F.get("__borders", F.col("__chunk"))):
+        same = _all([nearest[f"k{i}"].eqNullSafe(F.col("__place")[f"k{i}"]) for i in range(len(keys))])
+        at_border = at_border | (nearest.isNotNull() & same)
+    return rows.withColumn("__edge", F.coalesce(at_border, F.lit(False))).drop("__place", "__borders")
+
+
+def running_totals(
+    df: DataFrame, keys: list[str], order_by: list[str], totals: dict[str, str | Column], *, chunks: int | None = None
+) -> DataFrame:
+    """Add per key the sum over the rows before each row, by name; a key may have any number of rows.
+
+    ``order_by`` must be a total order within a key. Works as ``number_groups`` does:
+    windows within chunks, and what lies before a chunk from one small row per chunk.
+    """
+    chunks = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.withColumns({f"__add_{name}": as_col(value).cast("bigint") for name, value in totals.items()})
+    rows = _placed(rows, df, keys, order_by, chunks)
+    part = ["__chunk", *keys]
+    before = Window.partitionBy(*part).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
+    carry = rows.filter("__edge").groupBy(*part).agg(*[F.sum(f"__add_{name}").alias(f"__sum_{name}") for name in totals])
+    earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = carry.select(
+        *[F.col(name).alias(f"__at_{name}") for name in part], *[F.sum(f"__sum_{name}").over(earlier).alias(f"__sum_{name}") for name in totals]
+    )
+    same = _all([F.col(name).eqNullSafe(F.col(f"__at_{name}")) for name in part])
+    inner = rows.withColumns({f"__in_{name}": F.sum(f"__add_{name}").over(before) for name in totals})
+    # At most twice as many rows as chunks, as in number_groups.
+    joined = inner.join(F.broadcast(carry), same, "left")
+    zero = F.lit(0).cast("bigint")
+    made = {name: F.coalesce(f"__sum_{name}", zero) + F.coalesce(f"__in_{name}", zero) for name in totals}
+    return joined.withColumns(made).select(*df.columns, *totals)
+
+
 def number_groups(
     df: DataFrame,
     keys: list[str],
@@ -81,17 +134,7 @@ def number_groups(
     if runs is not None:
         watched["run"] = as_col(runs)
     rows = rows.withColumns({f"__{name}": column for name, column in watched.items()})
-    place = F.struct(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)), *(F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)))
-    # A border is a bounded list of places: Spark computes it once and takes it as a constant.
-    borders = _borders(df, place, chunks).scalar()
-    rows = rows.withColumn("__place", place).withColumn("__borders", borders)
-    before = F.size(F.filter("__borders", lambda border: border <= F.col("__place")))
-    at_border = F.exists(
-        "__borders", lambda border: _all([border[f"k{i}"].eqNullSafe(F.col("__place")[f"k{i}"]) for i in range(len(keys))])
-    )
-    rows = rows.withColumns(
-        {"__chunk": F.when(F.col("__borders").isNull(), 0).otherwise(before), "__edge": F.coalesce(at_border, F.lit(False))}
-    ).drop("__place", "__borders")
+    rows = _placed(rows, df, keys, order_by, chunks)
 
     part = ["__chunk", *keys]
     order = Window.partitionBy(*part).orderBy(*order_by)

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from flowframe.functions.columns import as_col, fixed_or_expr
 from flowframe.functions.patterns import simple_pattern
-from flowframe.plans.scratch import qualified, task_store
 
 # The headers that route a document.
 INDEX_ID = "INDEX_ID"
@@ -192,57 +191,6 @@ def object_write(
     )
 
 
-def write_objects(
-    df: DataFrame, root: str, path: list[str], *, content: str = "content", exists: str = "replace",
-    charset: str = "UTF-8", metadata: str | None = None,
-) -> DataFrame:
-    """Write each row's content to its own object; gives ``path``, ``size`` and ``outcome``.
-
-    The object lies under ``root`` at the ``path`` columns joined by slashes: binary as
-    it is, text in ``charset``. A root without a scheme is one of Spark's default file
-    system. ``exists`` is what happens to an object that is there: ``replace``,
-    ``ignore``, ``append`` (text files of stores that can) or ``fail``. ``metadata`` is a
-    map column (an ACL among it, say) that goes to the store with the object. A task
-    that is run again writes the same objects, but for ``append``. An action on the
-    result runs it.
-    """
-    if exists not in ("replace", "ignore", "append", "fail"):
-        raise ValueError(f"'{exists}' is not one of replace, ignore, append and fail")
-    place = F.concat_ws("/", F.lit(qualified(df.sparkSession, root).rstrip("/")), *path)
-
-    def put(batches):
-        import pyarrow as pa
-        from pyarrow import fs
-
-        store, made = None, set()
-        for batch in batches:
-            sizes, outcomes = [], []
-            for uri, data, facts in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                own, target = task_store(uri)
-                store = store or own
-                folder = target.rsplit("/", 1)[0]
-                if folder not in made:
-                    store.create_dir(folder, recursive=True)
-                    made.add(folder)
-                there = exists != "replace" and store.get_file_info(target).type != fs.FileType.NotFound
-                if there and exists == "fail":
-                    raise FileExistsError(uri)
-                if not (there and exists == "ignore"):
-                    open_stream = store.open_append_stream if there else store.open_output_stream
-                    with open_stream(target, metadata=dict(facts) if facts else None) as out:
-                        out.write(data or b"")
-                sizes.append(len(data or b""))
-                outcomes.append("ignored" if there and exists == "ignore" else "written")
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(outcomes, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["path", "size", "outcome"])
-
-    binary = dict(df.dtypes)[content] == "binary"
-    data = F.col(content) if binary else F.encode(F.col(content).cast("string"), charset)
-    facts = F.lit(None).cast("map<string,string>") if metadata is None else F.col(metadata)
-    rows = df.select(place.alias("path"), data.alias("data"), facts.alias("facts"))
-    return rows.mapInArrow(put, "path string, size bigint, outcome string")
-
-
 def collection_write(
     df: DataFrame,
     *,

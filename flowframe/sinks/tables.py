@@ -12,6 +12,7 @@ from flowframe.functions.columns import as_col
 from flowframe.functions.settings import parse_column_map
 from flowframe.operators.aggregate import aggregate
 from flowframe.plans.ordered import number_groups
+from flowframe.plans.scratch import cut_lineage
 
 # The default mapping, and the type of columns made by default.
 DEFAULT_COLUMNS = "payload: string(payload)"
@@ -50,9 +51,10 @@ def column_map_insert(
 
     An expression is tried as it is written, then with ``payload.`` in front, and
     the first value that is not null counts, row by row; what resolves neither way
-    is null. ``payload_type`` is the declared type of a JSON text payload, whose
-    fields the mapping may then name. Casts in the mapping's text are tried casts: a
-    value that does not fit is null and fails no other row.
+    is null. If both resolve with different types the column is text, so that either
+    value can stand in it. ``payload_type`` is the declared type of a JSON text payload,
+    whose fields the mapping may then name. Casts in the mapping's text are tried casts:
+    a value that does not fit is null and fails no other row.
     """
     rows = df
     if payload_type is not None:
@@ -64,8 +66,9 @@ def column_map_insert(
             tried_casts(c) for c in (expression, *([] if expression.startswith("payload") else [f"payload.{expression}"]))
         ]
         fits = [as_col(c) for c in candidates if _resolves(rows, c)]
-        both = len(fits) > 1 and len({rows.select(fit).dtypes[0][1] for fit in fits}) == 1
-        chosen.append((F.coalesce(*fits) if both else fits[0] if fits else F.lit(None).cast("string")).alias(name))
+        if len({rows.select(fit).dtypes[0][1] for fit in fits}) > 1:
+            fits = [fit.cast("string") for fit in fits]
+        chosen.append((F.coalesce(*fits) if fits else F.lit(None).cast("string")).alias(name))
     return rows.select(*chosen)
 
 
@@ -215,6 +218,41 @@ def table_upsert(
     )
 
 
+#: The column that names a row's bucket in a bucketed table's folders.
+BUCKET = "bucket_no"
+
+
+def bucket_of(key: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+
+
+def create_buckets(rows: DataFrame, path: str, key: list[str], buckets: int) -> None:
+    """Store a table in folders by a hash of its key, for ``upsert_buckets``."""
+    rows.withColumn(BUCKET, bucket_of(key, buckets)).repartition(BUCKET).write.partitionBy(BUCKET).parquet(path)
+
+
+def upsert_buckets(
+    spark: SparkSession, path: str, changes: DataFrame, key: list[str], order_by: list[str], buckets: int, **options
+) -> int:
+    """Apply changes to a table of ``create_buckets``; gives the number of buckets that were rewritten.
+
+    Only folders with changes are read, merged as by ``table_upsert`` (whose ``options``
+    these are) and replaced, each as a whole when the job commits; others keep their files.
+    Changes that would make the same rows again rewrite a bucket without harm, so a run
+    that was lost can be repeated. ``buckets`` must be the number the table was made with.
+    """
+    fresh = cut_lineage(changes.withColumn(BUCKET, bucket_of(key, buckets)))
+    # At most as many numbers as there are buckets.
+    touched = [row[0] for row in fresh.select(BUCKET).distinct().collect()]
+    if not touched:
+        return 0
+    table = spark.read.parquet(path).filter(F.col(BUCKET).isin(*touched))
+    merged = table_upsert(table.drop(BUCKET), fresh.drop(BUCKET), key, order_by, **options)
+    placed = merged.withColumn(BUCKET, bucket_of(key, buckets)).repartition(BUCKET)
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+    return len(touched)
+
+
 def live_rows(table: DataFrame, now: str | Column) -> DataFrame:
     """The rows whose time to live is not over."""
     return table.filter(F.col("expires_at").isNull() | (F.col("expires_at") > as_col(now)))

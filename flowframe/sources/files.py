@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowframe.functions.columns import as_col, text_of, text_or_null
 from flowframe.functions.patterns import ant_to_regex, full_match
 from flowframe.operators.split import marker_json
-from flowframe.plans.ordered import number_groups
 from flowframe.plans.scratch import qualified, task_store
+from flowframe.plans.spans import kept
 
 
 def file_contents_scan(spark: SparkSession, path: str | list[str], *, glob: str | None = None) -> DataFrame:
@@ -26,6 +26,25 @@ def file_contents_scan(spark: SparkSession, path: str | list[str], *, glob: str
     )
 
 
+def _lines(spark: SparkSession, path: str | list[str], glob: str | None, charset: str) -> tuple[DataFrame, Column]:
+    """The reader's lines, and what makes a line's text of one."""
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if glob is not None:
+        reader = reader.option("pathGlobFilter", glob)
+    value = F.col("value")
+    if charset.upper() not in ("UTF-8", "US-ASCII"):
+        # The reader cuts lines by bytes and leaves their encoding alone.
+        value = text_of(value.cast("binary"), charset)
+        if charset.upper().startswith(("UTF-16", "UTF-32")):
+            reader = reader.option("encoding", charset).option("lineSep", "\n")
+            value = F.regexp_replace(value, r"\r\z", "")
+    return reader.text(path), value
+
+
+def _line_headers() -> Column:
+    return F.create_map(F.lit("contentType"), F.lit("text/plain")).alias("headers")
+
+
 def file_lines_scan(
     spark: SparkSession,
     path: str | list[str],
@@ -33,35 +52,125 @@ def file_lines_scan(
     glob: str | None = None,
     charset: str = "UTF-8",
     numbered: bool = False,
-    chunks: int | None = None,
 ) -> DataFrame:
     """One row per line. Large files are read in splits by many tasks.
 
-    Within a file ``(split_start, line_id)`` gives the order without a shuffle;
-    ``numbered`` adds the 1-based ``line_no`` at the price of one.
+    Within a file ``(split_start, line_id)`` gives the order; ``numbered`` adds the
+    1-based ``line_no`` (see ``_counted``). Neither shuffles the lines.
     """
-    reader = spark.read.option("recursiveFileLookup", "true")
-    if glob is not None:
-        reader = reader.option("pathGlobFilter", glob)
-    value = F.col("value")
-    if charset.upper() not in ("UTF-8", "US-ASCII"):
-        # The reader cuts lines by bytes and leaves their encoding alone.
-        value = text_of(value.cast("binary"), charset)
-        if charset.upper().startswith(("UTF-16", "UTF-32")):
-            reader = reader.option("encoding", charset).option("lineSep", "\n")
-            value = F.regexp_replace(value, r"\r\z", "")
-    lines = reader.text(path)
-    rows = lines.select(
+    lines, value = _lines(spark, path, glob, charset)
+    if numbered:
+        rows = _counted(lines, value, marks=False)
+        return rows.select("path", "split_start", F.monotonically_increasing_id().alias("line_id"), "payload", _line_headers(), "line_no")
+    return lines.select(
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("split_start"),
         F.monotonically_increasing_id().alias("line_id"),
         value.alias("payload"),
-        F.create_map(F.lit("contentType"), F.lit("text/plain")).alias("headers"),
+        _line_headers(),
     )
-    if not numbered:
-        return rows
-    placed = number_groups(rows, ["path"], ["split_start", "line_id"], chunks=chunks)
-    return placed.withColumnRenamed("position", "line_no").drop("group_pos", "group_start")
+
+
+def file_lines_with_markers(spark: SparkSession, path: str | list[str], *, glob: str | None = None, charset: str = "UTF-8") -> DataFrame:
+    """The lines of each file with a START row (``seq`` 0) and an END row with the line count behind the last line.
+
+    Rows are in order by (path, seq). The marks come out of the same reading as the lines.
+    """
+    lines, value = _lines(spark, path, glob, charset)
+    rows = _counted(lines, value, marks=True)
+    mark = F.when(F.col("mark") == "START", marker_json("path", "START", F.lit(0))).when(
+        F.col("mark") == "END", marker_json("path", "END", F.col("line_no") - 1)
+    )
+    return rows.select("path", F.col("line_no").alias("seq"), F.coalesce(mark, "payload").alias("payload"))
+
+
+#: Splits up to which the lines before each are broadcast.
+FEW_SPLITS = 100_000
+
+
+def _counted(lines: DataFrame, value: Column, *, marks: bool) -> DataFrame:
+    """The lines with ``line_no``, and rows with a ``mark`` if wanted; no line is shuffled.
+
+    A task counts the lines of each split as it reads them. Only files read in several
+    splits need the lines before a split: their splits are counted first, and the sums
+    are one small row per split. Files too small to be split are left out of that count
+    when files are listed.
+    """
+    spark = lines.sparkSession
+    settings = spark._jsparkSession.sessionState().conf()
+    never_cut = min(settings.filesMaxPartitionBytes(), settings.filesOpenCostInBytes())
+    at = ["path", "split_start"]
+    known = lines.withColumns({
+        "path": F.col("_metadata.file_path"), "split_start": F.col("_metadata.file_block_start"),
+        "__whole": F.col("_metadata.file_block_length") == F.col("_metadata.file_size"),
+    })
+    cut = known.filter((F.col("_metadata.file_size") > never_cut) & ~F.col("__whole"))
+    before = Window.partitionBy("path").orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
+    counts = cut.groupBy(*at).agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    counts = kept(counts, "splits")
+    number = counts.count()
+    read = known.select(*at, "__whole", value.alias("payload"))
+    schema = "path string, split_start bigint, payload string, line_no bigint, mark string"
+    rows = read.mapInArrow(_line_numbers(marks), schema)
+    if number:
+        offsets = counts.select(*[F.col(name).alias(f"__{name}") for name in at], "before")
+        offsets = F.broadcast(offsets) if number <= FEW_SPLITS else offsets
+        same = (F.col("path") == F.col("__path")) & (F.col("split_start") == F.col("__split_start"))
+        moved = F.when(F.col("mark").isNull(), F.col("line_no") + F.coalesce("before", F.lit(0))).otherwise(F.col("line_no"))
+        rows = rows.join(offsets, same, "left").withColumn("line_no", moved).drop("__path", "__split_start", "before")
+        if marks:
+            ends = counts.groupBy("path").agg(F.min("split_start").alias("split_start"), F.sum("n").alias("n"))
+            none = F.lit(None).cast("string")
+            rows = rows.unionByName(ends.select("path", "split_start", none.alias("payload"), (F.col("n") + 1).alias("line_no"), F.lit("END").alias("mark")))
+    return rows
+
+
+def _line_numbers(marks: bool):
+    """Number the lines of each split; a split's lines follow each other."""
+
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        names = ["path", "split_start", "payload", "line_no", "mark"]
+
+        def marked(rows):
+            columns = zip(*rows, strict=True) if rows else [[]] * 4
+            path, start, line_no, mark = ([*column] for column in columns)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(path, pa.string()), pa.array(start, pa.int64()), pa.nulls(len(path), pa.string()), pa.array(line_no, pa.int64()), pa.array(mark, pa.string())],
+                names=names,
+            )
+
+        last, seen, whole = None, 0, False
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            paths, starts = batch.column("path"), batch.column("split_start").to_numpy()
+            rows = batch.num_rows
+            new = np.flatnonzero(pc.not_equal(paths.slice(1), paths.slice(0, rows - 1)).to_numpy(zero_copy_only=False) | (starts[1:] != starts[:-1])) + 1
+            numbers, found = np.arange(1, rows + 1), []
+            bounds = [0, *new.tolist(), rows]
+            for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+                split = (paths[low].as_py(), int(starts[low]))
+                if split != last:
+                    if last is not None and whole:
+                        found.append((*last, seen + 1, "END"))
+                    last, seen, whole = split, 0, batch.column("__whole")[low].as_py()
+                    if split[1] == 0:
+                        found.append((*split, 0, "START"))
+                numbers[low:high] += seen - low
+                seen += high - low
+            yield pa.RecordBatch.from_arrays(
+                [paths, batch.column("split_start"), batch.column("payload"), pa.array(numbers), pa.nulls(rows, pa.string())], names=names
+            )
+            if marks and found:
+                yield marked(found)
+        if marks and whole:
+            yield marked([(*last, seen + 1, "END")])
+
+    return count
 
 
 def with_markers(
@@ -230,3 +339,49 @@ def multi_source_read(
     for frame in frames[1:]:
         merged = merged.unionByName(frame)
     return merged
+
+
+def capped_poll(
+    listing: DataFrame, sources: list[str], cap: int, order_by: list[str], *, source: str = "source", fair: bool = True, start: int = 0
+) -> tuple[DataFrame, int]:
+    """At most ``cap`` of the listed rows over all ``sources``, and where the next poll starts.
+
+    Fair reading takes one row of each source in turn, beginning with number ``start`` of
+    the list; a source that has no more is passed over. Otherwise each source is read to its
+    end before the next. Within a source rows come in ``order_by``, which must be total.
+    The shares follow from one count per source, so that no rows are sorted across sources,
+    and each task keeps at most ``cap`` rows of a source before the shuffle.
+    """
+    if cap < 1:
+        raise ValueError("a poll takes at least one row")
+    listed = listing.filter(F.col(source).isin(*sources))
+    known = {row[source]: row["n"] for row in listed.groupBy(source).agg(F.count(F.lit(1)).alias("n")).collect()}
+    turn = [sources[(start + k) % len(sources)] for k in range(len(sources))]
+    left = {name: known.get(name, 0) for name in turn}
+    share = dict.fromkeys(turn, 0)
+    following = start % len(sources)
+    while cap and any(left.values()):
+        open_ = [name for name in turn if left[name]]
+        each = min(left[name] for name in open_) if fair else 0
+        if fair and each * len(open_) <= cap:
+            # Whole rounds, up to the end of the smallest source.
+            taken = dict.fromkeys(open_, each)
+        elif fair:
+            rounds, rest = divmod(cap, len(open_))
+            taken = {name: rounds + (k < rest) for k, name in enumerate(open_)}
+        else:
+            taken = {open_[0]: min(left[open_[0]], cap)}
+        for name, n in taken.items():
+            share[name] += n
+            left[name] -= n
+            cap -= n
+        last = [name for name in open_ if taken.get(name)][-1] if not fair or cap else [*open_][((sum(taken.values()) - 1) % len(open_))]
+        following = sources.index(last) if not fair and left[last] else (sources.index(last) + 1) % len(sources)
+    most = max(share.values(), default=0)
+    rank = F.row_number().over(Window.partitionBy(source).orderBy(*order_by))
+    own = F.lit(0)
+    for name, n in share.items():
+        own = F.when(F.col(source) == name, n).otherwise(own)
+    # The constant bound lets each task cut its rows of a source before they move.
+    ranked = listed.withColumn("__rank", rank).filter(F.col("__rank") <= most)
+    return ranked.filter(F.col("__rank") <= own).drop("__rank"), following

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from flowframe.functions.columns import as_col
 from flowframe.operators.split import split_expression
+from flowframe.plans.ordered import running_totals
+from flowframe.plans.spans import entering_states, kept
 
 # The line shapes of RFC 3164 and RFC 5424.
 RFC3164 = r"(?s)^<(\d{1,3})>([A-Za-z]{3} +\d{1,2} \d{2}:\d{2}:\d{2}) ([^\s\x01]+) (\w+)(?:\[\d+\])?:? ?(.*)$"
@@ -162,3 +164,190 @@ def _split_lengths(df: DataFrame, width: int, payload: str, max_record: int) ->
             )
 
     return df.select(*kept, payload).mapInArrow(cut, out)
+
+
+#: Bytes of a connection that one task cuts at a time.
+STREAM_BLOCK = 262_144
+
+
+def _blocks_of(df: DataFrame, keys: list[str], order_by: list[str], payload: str, block: int, back: int, ahead: int, chunks: int | None) -> DataFrame:
+    """Per ``key`` and ``block`` the captured pieces in it, with ``back`` bytes before and ``ahead`` behind it."""
+    rows = df.select(*keys, *[name for name in order_by if name not in keys], F.col(payload).cast("binary").alias("__data"))
+    rows = rows.filter(F.octet_length("__data") > 0).withColumn("__size", F.octet_length("__data").cast("bigint"))
+    placed = running_totals(rows, keys, order_by, {"__at": "__size"}, chunks=chunks)
+    at, size = F.col("__at"), F.col("__size")
+    first = F.greatest(F.floor((at - ahead) / block), F.lit(0)).cast("bigint")
+    last = F.floor((at + size + back - 1) / block).cast("bigint")
+    parts = placed.select(F.struct(*keys).alias("key"), "__at", "__size", "__data", F.explode(F.sequence(first, last)).alias("block"))
+    low = F.greatest(at, F.col("block") * block - back)
+    high = F.least(at + size, (F.col("block") + 1) * block + ahead)
+    piece = F.substring("__data", (low - at + 1).cast("int"), (high - low).cast("int"))
+    return parts.groupBy("key", "block").agg(F.sort_array(F.collect_list(F.struct(low.alias("at"), piece.alias("piece")))).alias("pieces"))
+
+
+def _joined(pieces) -> tuple[int, bytes]:
+    return pieces[0]["at"], b"".join(one["piece"] for one in pieces)
+
+
+def delimited_records(base: int, data: bytes, number: int, block: int, end: bytes, start: bytes, max_record: int):
+    """The records that begin in a block: (place, record, error); ``data`` begins at ``base`` of the connection."""
+    low, high = number * block, (number + 1) * block
+    at = 0 if low == 0 else data.find(end, max(low - len(end) - base, 0))
+    if low:
+        at = len(data) if at < 0 else at + len(end)
+    while base + at < high and at < len(data):
+        found = data.find(end, at)
+        record = data[at:found] if found >= 0 else data[at:]
+        begun = record.startswith(start)
+        body = record[len(start):] if begun else record
+        error = None
+        if len(body) > max_record:
+            error, body = "record too long", body[:max_record]
+        elif found < 0:
+            error = "incomplete record"
+        yield base + at, body, error if begun or error else "no start of record"
+        if found < 0:
+            return
+        at = found + len(end)
+
+
+def _headers(data: bytes, width: int):
+    """The record length that would be read at each place at which a whole header fits."""
+    import numpy as np
+
+    octets = np.frombuffer(data, dtype=np.uint8).astype(np.int64)
+    fits = max(len(octets) - width + 1, 0)
+    sizes = np.zeros(fits, dtype=np.int64)
+    for k in range(width):
+        sizes = (sizes << 8) | octets[k:k + fits]
+    return sizes
+
+
+def length_function(data: bytes, own: int, width: int, max_record: int) -> bytes:
+    """Where the first record behind a block of ``own`` bytes begins, by how far into it the first one begins.
+
+    The last entry stands for a connection whose reading has ended with a record too long.
+    """
+    import numpy as np
+
+    broken = width + max_record
+    sizes = _headers(data, width)[:own]
+    jump = np.arange(own + broken + 1)
+    jump[len(sizes):own] = own
+    following = np.arange(len(sizes)) + width + sizes
+    jump[:len(sizes)] = np.where(sizes > max_record, own + broken, following)
+    while True:
+        further = jump[jump]
+        if (further == jump).all():
+            break
+        jump = further
+    entry = np.arange(broken + 1)
+    out = np.where(entry < own, jump[np.minimum(entry, own + broken)] - own, entry - own)
+    out[broken] = broken
+    return out.astype("<i4").tobytes()
+
+
+def _compose_lengths(f: bytes, g: bytes) -> bytes:
+    import numpy as np
+
+    return np.frombuffer(g, dtype="<i4")[np.maximum(np.frombuffer(f, dtype="<i4"), 0)].tobytes()
+
+
+def _apply_length(f: bytes, state: bytes) -> bytes:
+    import numpy as np
+
+    return np.frombuffer(f, dtype="<i4")[np.frombuffer(state, dtype="<i4")].tobytes()
+
+
+def length_records(base: int, data: bytes, own: int, entry: int, width: int, max_record: int):
+    """The records that begin in a block of ``own`` bytes, the first of them ``entry`` bytes into it."""
+    at = entry if entry < width + max_record else own
+    while at < own:
+        size = int.from_bytes(data[at:at + width], "big")
+        record = data[at + width:at + width + size]
+        if at + width <= len(data) and size > max_record:
+            yield base + at, record[:max_record], "record too long"
+            return
+        if at + width > len(data) or len(record) < size:
+            yield base + at, data[at:], "incomplete record"
+            return
+        yield base + at, record, None
+        at += width + size
+
+
+def frame_split_stream(
+    df: DataFrame,
+    encoding: str,
+    keys: list[str],
+    order_by: list[str],
+    *,
+    payload: str = "payload",
+    max_record: int = MAX_RECORD,
+    block: int = STREAM_BLOCK,
+    chunks: int | None = None,
+) -> DataFrame:
+    """The records of each connection, whose bytes were captured in chunks cut anywhere.
+
+    ``keys`` name a connection and ``order_by``, a total order within it, its chunks; a
+    null or empty chunk adds nothing. Gives ``keys``, ``record_at`` (the byte of the
+    connection at which the record begins), ``payload`` and ``record_error``. Records may
+    run over any number of chunks, and a connection may hold any share of the bytes: it is
+    cut into blocks of bytes that overlap by one record. A delimited record above
+    ``max_record`` bytes is marked and cut to that many. With length prefixes one too long
+    ends the reading of its connection, as nothing behind it can be trusted; where the
+    first record of each block begins is found by composing the blocks' maps in a tree.
+    What follows the last complete record is marked as incomplete.
+    """
+    if encoding not in DELIMITERS and encoding not in LENGTH_BYTES:
+        raise ValueError(f"'{encoding}' is not one of {', '.join([*DELIMITERS, *LENGTH_BYTES])}")
+    end = DELIMITERS.get(encoding, "").encode()
+    start = START_OF_TEXT.encode() if encoding == "STXETX" else b""
+    width = LENGTH_BYTES.get(encoding, 0)
+    ahead = max_record + len(start) + len(end) + width + 1
+    if ahead > block:
+        raise ValueError("a block must hold more than a record")
+    blocks = _blocks_of(df, keys, order_by, payload, block, len(end), ahead, chunks)
+    key = f"key {blocks.schema['key'].dataType.simpleString()}"
+    out = f"{key}, record_at long, payload binary, record_error string"
+
+    def records(found):
+        import pyarrow as pa
+
+        def cut(batches):
+            for batch in batches:
+                rows = [(i, *one) for i in range(batch.num_rows) for one in found({name: batch.column(name)[i].as_py() for name in batch.schema.names if name != "key"})]
+                kinds = (pa.int64(), pa.binary(), pa.string())
+                columns = [pa.array([row[k + 1] for row in rows], kind) for k, kind in enumerate(kinds)]
+                at = pa.array([row[0] for row in rows], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column("key").take(at), *columns], names=["key", "record_at", "payload", "record_error"])
+
+        return cut
+
+    if not width:
+        made = blocks.mapInArrow(
+            records(lambda row: delimited_records(*_joined(row["pieces"]), row["block"], block, end, start, max_record)), out
+        )
+        return made.select("key.*", "record_at", "payload", "record_error")
+
+    stored = kept(blocks, "captured")
+
+    def functions(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            made = []
+            for pieces in batch.column("pieces").to_pylist():
+                data = _joined(pieces)[1]
+                made.append(length_function(data, min(block, len(data)), width, max_record))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("block"), pa.array(made, pa.binary())], names=["key", "block", "f"])
+
+    maps = kept(stored.mapInArrow(functions, f"{key}, block long, f binary"), "spans")
+    states, _ = entering_states(maps, _compose_lengths, _apply_length, (0).to_bytes(4, "little"))
+    states = states.select(F.col("key").alias("__key"), F.col("block").alias("__block"), "state")
+    entered = stored.join(states, (F.col("key") == F.col("__key")) & (F.col("block") == F.col("__block"))).select("key", "pieces", "state")
+
+    def of_block(row):
+        base, data = _joined(row["pieces"])
+        return length_records(base, data, min(block, len(data)), int.from_bytes(row["state"], "little"), width, max_record)
+
+    return entered.mapInArrow(records(of_block), out).select("key.*", "record_at", "payload", "record_error")

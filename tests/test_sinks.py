@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from flowframe.functions.settings import parse_column_map
 from flowframe.operators import metrics
+from flowframe.sinks.objects import write_objects
 from flowframe.sinks import routes, tables
 
 
@@ -255,7 +256,7 @@ def test_files_each_keeps_destinations_in_few_files(spark, tmp_path):
 
 def test_write_objects(spark, tmp_path):
     df = spark.createDataFrame([("b", "x/1", b"\x00\xff"), ("b", "2", b"two")], "bucket string, key string, content binary")
-    out = routes.write_objects(df, str(tmp_path), ["bucket", "key"]).collect()
+    out = write_objects(df, str(tmp_path), ["bucket", "key"]).collect()
     assert sorted(r["size"] for r in out) == [2, 3] and all(r["path"].startswith("file:") for r in out)
     assert (tmp_path / "b/x/1").read_bytes() == b"\x00\xff" and (tmp_path / "b/2").read_bytes() == b"two"
 
@@ -264,7 +265,7 @@ def test_objects_that_exist(spark, tmp_path):
     df = spark.createDataFrame([("é 1.txt", "né")], "key string, content string")
 
     def write(**options):
-        return routes.write_objects(df, f"file:{tmp_path}", ["key"], **options).first()["outcome"]
+        return write_objects(df, f"file:{tmp_path}", ["key"], **options).first()["outcome"]
 
     place = tmp_path / "é 1.txt"
     assert write(charset="ISO-8859-1") == "written" and place.read_bytes() == "né".encode("latin-1")

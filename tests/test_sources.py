@@ -34,19 +34,42 @@ def test_lines_and_markers(spark, tmp_path):
     ]
 
 
-def test_line_numbers_over_many_splits(spark, tmp_path):
+def test_line_numbers_over_many_splits(spark, tmp_path, monkeypatch):
     wanted = [f"line {i} " + "x" * (i % 50) for i in range(3000)]
     put(tmp_path, "big.txt", "\n".join(wanted) + "\n")
     put(tmp_path, "small.txt", "only\n")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
     try:
-        for chunks in (1, 9):
-            rows = files.file_lines_scan(spark, str(tmp_path), numbered=True, chunks=chunks)
+        for few in (100_000, 0):
+            monkeypatch.setattr(files, "FEW_SPLITS", few)
+            rows = files.file_lines_scan(spark, str(tmp_path), numbered=True)
             big = rows.filter("path LIKE '%big.txt'").orderBy("line_no").collect()
+            assert len({r["split_start"] for r in big}) > 5
             assert [r["payload"] for r in big] == wanted
             assert [r["line_no"] for r in big] == list(range(1, 3001))
+            marked = [(r["path"].rsplit("/", 1)[1], r["seq"], r["payload"].split('"mark"')[-1]) for r in files.file_lines_with_markers(spark, str(tmp_path)).collect()]
+            assert sorted(marked) == sorted([
+                *[("big.txt", i, line) for i, line in enumerate(wanted, 1)], ("big.txt", 0, ':"START","lineCount":0}'),
+                ("big.txt", 3001, ':"END","lineCount":3000}'), ("small.txt", 0, ':"START","lineCount":0}'),
+                ("small.txt", 1, "only"), ("small.txt", 2, ':"END","lineCount":1}'),
+            ])
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_numbering_shuffles_no_lines(spark, tmp_path):
+    for k in range(40):
+        put(tmp_path, f"f{k}.txt", "".join(f"{k} {i}\n" for i in range(k)))
+    for rows in (files.file_lines_scan(spark, str(tmp_path), numbered=True), files.file_lines_with_markers(spark, str(tmp_path))):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Sort" not in plan
+    rows = files.file_lines_scan(spark, str(tmp_path), numbered=True).collect()
+    assert sorted(r["payload"] for r in rows) == sorted(f"{k} {i}" for k in range(40) for i in range(k))
+    assert all(r["payload"].endswith(f" {r['line_no'] - 1}") for r in rows)
+    ends = [json.loads(r["payload"]) for r in files.file_lines_with_markers(spark, str(tmp_path)).collect() if '"END"' in r["payload"]]
+    assert sorted(e["lineCount"] for e in ends) == list(range(1, 40))
 
 
 @pytest.mark.parametrize("charset", ["ISO-8859-1", "UTF-16LE"])

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from flowframe.envelope import to_messages
 from flowframe.plans.scratch import scratch_path
-from flowframe.sinks.routes import write_objects, write_partitioned
+from flowframe.sinks.objects import write_objects
+from flowframe.sinks.routes import write_partitioned
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,7 +70,7 @@ def document_objects(spark: SparkSession, sf_dir: str) -> str:
     root = scratch_path(spark, "document-objects")
     name = F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name")
     docs = table(spark, sf_dir, "documents").select("lang", name, F.col("text").alias("content"))
-    write_objects(docs, root, ["lang", "name"]).write.format("noop").mode("overwrite").save()
+    write_objects(docs, root, ["lang", "name"])
     return root
 
 

@@ -263,6 +263,29 @@ def agg_large_key(spark, sf_dir):
     )
 
 
+RUNNING = """
+    WITH RECURSIVE n AS (
+      SELECT CASE WHEN event_id % 2 = 0 THEN -1 ELSE user_id END AS k, event_id, CAST(value AS DECIMAL(18, 2)) AS v, ts FROM events
+    ), o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts, event_id) AS rn FROM n),
+    r AS (
+      SELECT k, rn, event_id, v AS s, rn AS group_start FROM o WHERE rn = 1
+      UNION ALL
+      SELECT o.k, o.rn, o.event_id, CASE WHEN r.s >= 500 THEN o.v ELSE CAST(r.s + o.v AS DECIMAL(18, 2)) END,
+        CASE WHEN r.s >= 500 THEN o.rn ELSE r.group_start END
+      FROM r JOIN o ON o.k = r.k AND o.rn = r.rn + 1
+    ), g AS (SELECT *, max(s) OVER (PARTITION BY k, group_start) >= 500 AS ended, count(*) OVER (PARTITION BY k, group_start) AS n FROM r)
+"""
+
+
+@query("aggregate_release_running", RUNNING + "SELECT k, group_start, rn AS position, n, event_id AS payload FROM g WHERE ended")
+def agg_running(spark, sf_dir):
+    """A sum that begins anew at each release, over one key that holds half of the rows."""
+    return aggregate(
+        table(spark, sf_dir, "events"), {"k": "IF(event_id % 2 = 0, -1, user_id)"}, ["ts", "event_id"], payload="event_id",
+        amount="CAST(CAST(value AS DECIMAL(18, 2)) * 100 AS BIGINT)", reaches=50_000,
+    )
+
+
 @query(
     "aggregate_timeout_told",
     """
@@ -460,6 +483,31 @@ def http_call(spark, sf_dir):
     return answered.select("event_id", "payload")
 
 
+@query(
+    "http_enrich_window",
+    """
+    SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE 'seen ' || props END AS payload,
+           CASE WHEN event_type = 'error' THEN 'ConnectionError: gone' END AS reply_error
+    FROM events
+    """,
+)
+def http_window(spark, sf_dir):
+    """Sixteen requests in flight per task; a failure is a row."""
+
+    def slow():
+        def send(method, url, headers, body, timeout):
+            if url.endswith("error"):
+                raise ConnectionError("gone")
+            return {"status": 200, "headers": {}, "body": f"seen {body}"}
+
+        return send
+
+    answered = http_enrich(
+        event_messages(spark, sf_dir), slow, "concat('https://api.example/', event_type)", in_flight=16, errors="rows"
+    )
+    return answered.select("event_id", "payload", "reply_error")
+
+
 @query(
     "task_request_build",
     """

@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from flowframe.envelope import to_messages
 from flowframe.operators import metrics
+from flowframe.operators.delivery import Backoff, delivery_retry
 from flowframe.plans.scratch import scratch_path
 from flowframe.sinks import routes, tables
+from flowframe.sinks.objects import write_objects
 from flowframe.sources import files
 from wiring.base import event_messages, flat_map, joined, query, table
 
@@ -324,7 +326,7 @@ def object_round_trip(spark, sf_dir):
     root = scratch_path(spark, "objects")
     messages = to_messages(table(spark, sf_dir, "documents"), "text", keep=["doc_id", "lang"])
     rows = routes.object_write(messages, bucket_expr="lang", key_expr="concat(doc_id, '.txt')")
-    routes.write_objects(rows, root, ["bucket", "key"]).write.parquet(scratch_path(spark, "written"))
+    write_objects(rows, root, ["bucket", "key"])
     found = files.file_contents_scan(spark, root)
     parts = F.split("path", "/")
     return found.select(
@@ -400,3 +402,90 @@ def logged(spark, sf_dir):
     return routes.log_write(
         event_messages(spark, sf_dir), "concat(event_type, ': ', payload)", level="warn", name="events", keep=["event_id"]
     )
+
+
+LOGGED = """
+    SELECT event_type || '.log' AS name, row_number() OVER (PARTITION BY event_type ORDER BY event_id % 2, ts, event_id) AS line_no,
+           {line} AS payload
+    FROM events
+"""
+
+
+@query("file_write_append", LOGGED.format(line="event_id || ' ' || props"))
+def appended(spark, sf_dir):
+    """Two runs into the same files, in order: the first replaces, the second appends."""
+    root = scratch_path(spark, "appended")
+    lines = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "ts", "concat(event_type, '.log') AS name", "concat(event_id, ' ', props) AS content"
+    )
+    for rest, exists in ((0, "replace"), (1, "append")):
+        write_objects(lines.filter(f"event_id % 2 = {rest}"), root, ["name"], exists=exists, order_by=["ts", "event_id"], line_end="\n")
+    found = files.file_lines_scan(spark, root, numbered=True)
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("name"), "line_no", "payload")
+
+
+@query(
+    "file_write_shares",
+    """
+    SELECT event_type || '-' || lpad(((rn - 1) // 500)::VARCHAR, 5, '0') || '.log' AS name, count(*) AS n, min(event_id) AS first, max(event_id) AS last
+    FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn FROM events) GROUP BY ALL
+    """,
+)
+def shared_files(spark, sf_dir):
+    """A name that very many rows have becomes numbered files of 500 rows."""
+    root = scratch_path(spark, "shares")
+    lines = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "ts", "concat(event_type, '.log') AS name", "CAST(event_id AS STRING) AS content"
+    )
+    write_objects(lines, root, ["name"], order_by=["ts", "event_id"], line_end="\n", share_rows=500)
+    found = files.file_lines_scan(spark, root).select(
+        F.element_at(F.split("path", "/"), -1).alias("name"), F.col("payload").cast("bigint").alias("event_id")
+    )
+    return found.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first"), F.max("event_id").alias("last"))
+
+
+@query(
+    "table_upsert_buckets",
+    """
+    WITH n AS (SELECT l_orderkey AS o_orderkey, l_shipmode AS o_orderpriority, l_extendedprice AS o_totalprice,
+        row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM lineitem WHERE l_orderkey % 50 = 0)
+    SELECT o.o_orderkey, coalesce(n.o_orderpriority, o.o_orderpriority) AS o_orderpriority, coalesce(n.o_totalprice, o.o_totalprice) AS o_totalprice
+    FROM orders o LEFT JOIN n ON n.o_orderkey = o.o_orderkey AND n.rn = 1
+    """,
+)
+def upsert_in_buckets(spark, sf_dir):
+    """Orders in 64 buckets; the changes of a few keys rewrite only the buckets these lie in."""
+    path = scratch_path(spark, "orders-in-buckets")
+    columns = ["o_orderkey", "o_orderpriority", "o_totalprice"]
+    tables.create_buckets(table(spark, sf_dir, "orders").select(*columns), path, ["o_orderkey"], 64)
+    changes = table(spark, sf_dir, "lineitem").filter("l_orderkey % 50 = 0").selectExpr(
+        "l_orderkey AS o_orderkey", "l_shipmode AS o_orderpriority", "l_extendedprice AS o_totalprice", "l_linenumber", "l_partkey", "l_suppkey"
+    )
+    tables.upsert_buckets(
+        spark, path, changes, ["o_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], 64, update_only=True
+    )
+    return spark.read.parquet(path).select(*columns)
+
+
+@query(
+    "delivery_retry",
+    """
+    WITH tries AS (SELECT *, unnest(range(1, least(user_id % 5, 2) + 2)) AS attempt, user_id % 5 AS failing FROM events)
+    SELECT event_id, CAST(attempt AS INT) AS attempt, ts + (CASE attempt WHEN 1 THEN 0 WHEN 2 THEN 1 ELSE 3 END) * INTERVAL 1 SECOND AS due,
+      CASE WHEN attempt > failing THEN 'delivered' WHEN attempt = 3 THEN 'dead' ELSE 'retry' END AS outcome,
+      CASE WHEN attempt > failing THEN NULL ELSE 'refused ' || attempt END AS error
+    FROM tries
+    """,
+)
+def retried(spark, sf_dir):
+    """A receiver that refuses a record a number of times: at most three attempts, 1 s apart and then 2 s."""
+
+    def receiver():
+        def send(batch):
+            return [f"refused {k}" if k <= user % 5 else None for user, k in zip(*(batch.column(c).to_pylist() for c in ("user_id", "attempt")), strict=True)]
+
+        return send
+
+    messages = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    tried = delivery_retry(messages, receiver, "ts", backoff=Backoff(attempts=3, first=1, most=30, factor=2))
+    return tried.select("event_id", "attempt", "due", "outcome", "error")

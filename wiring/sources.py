@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from flowframe.envelope import to_messages
+from flowframe.plans.ordered import running_totals
 from flowframe.plans.scratch import cut_lineage, scratch_path
 from flowframe.sources import feeds, files, tables, wire
+from flowframe.sources.seen import mark_seen_large
 from wiring.base import document_files, document_objects, document_of, joined, query, table
 
 
@@ -59,8 +61,7 @@ def file_lines_numbered(spark, sf_dir):
     """,
 )
 def file_markers(spark, sf_dir):
-    lines = files.file_lines_scan(spark, document_objects(spark, sf_dir), glob="*.txt", numbered=True)
-    marked = files.with_markers(lines)
+    marked = files.file_lines_with_markers(spark, document_objects(spark, sf_dir), glob="*.txt")
     # The path is that of a scratch folder; the mark must name the row's own file.
     own = F.concat(F.lit('{"filePath":"'), F.col("path"), F.lit('",'))
     body = F.when(F.startswith("payload", own), F.concat(F.lit("{"), F.substring("payload", F.length(own) + 1, F.length("payload"))))
@@ -217,6 +218,15 @@ def seen(spark, sf_dir):
     return tables.mark_seen(orders.select("o_orderkey", "o_totalprice"), path, ["o_orderkey"])
 
 
+@query("mark_seen_large", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'F'")
+def seen_large(spark, sf_dir):
+    """The same with a Bloom filter beside the ledger; what is new is not joined with it."""
+    orders = table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "seen")
+    mark_seen_large(orders.filter("o_orderstatus = 'F'").select("o_orderkey"), path, ["o_orderkey"], buckets=64)
+    return mark_seen_large(orders.select("o_orderkey", "o_totalprice"), path, ["o_orderkey"], buckets=64)
+
+
 @query(
     "document_query",
     """
@@ -530,3 +540,109 @@ def json_rows(spark, sf_dir):
     ).select(F.concat(F.lit("nation "), "c_nationkey", F.lit(" page "), "part").alias("key"), "payload", kind)
     return single.unionByName(lists)
 
+
+
+#: Sizes of captured chunks, over and over, and where they begin.
+CHUNKS = (7, 50, 23, 11, 38, 9)
+
+
+def captured_chunks(spark, sf_dir, before: str, after: str):
+    """The events of each user as one byte stream of records, cut anywhere: ``user_id``, ``chunk_no``, ``payload``."""
+    record = F.concat(F.expr(before), F.encode("props", "UTF-8"), F.expr(after))
+    rows = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", record.alias("record"))
+    rows = rows.withColumn("size", F.octet_length("record"))
+    placed = running_totals(rows, ["user_id"], ["ts", "event_id"], {"at": "size"})
+    borders = [sum(CHUNKS[:k]) for k in range(len(CHUNKS) + 1)]
+    whole = borders[-1]
+
+    def chunk_of(place):
+        inner = place % whole
+        index = F.lit(0)
+        for k, border in enumerate(borders[:-1]):
+            index = F.when(inner >= border, k).otherwise(index)
+        return (F.floor(place / whole) * len(CHUNKS) + index).cast("bigint")
+
+    begins = F.floor(F.col("chunk_no") / len(CHUNKS)) * whole + F.element_at(F.array(*map(F.lit, borders)), (F.col("chunk_no") % len(CHUNKS) + 1).cast("int"))
+    ends = begins + F.element_at(F.array(*map(F.lit, CHUNKS)), (F.col("chunk_no") % len(CHUNKS) + 1).cast("int"))
+    parts = placed.withColumn("chunk_no", F.explode(F.sequence(chunk_of(F.col("at")), chunk_of(F.col("at") + F.col("size") - 1))))
+    low, high = F.greatest(F.col("at"), begins), F.least(F.col("at") + F.col("size"), ends)
+    piece = F.substring("record", (low - F.col("at") + 1).cast("int"), (high - low).cast("int"))
+    parts = parts.select("user_id", "chunk_no", low.alias("low"), F.hex(piece).alias("piece"))
+    pieces = F.sort_array(F.collect_list(F.struct("low", "piece")))
+    text = F.array_join(F.transform(pieces, lambda one: one["piece"]), "")
+    return parts.groupBy("user_id", "chunk_no").agg(F.unhex(text).alias("payload"))
+
+
+@query(
+    "frame_split_stream",
+    """
+    SELECT user_id, encoding, CAST(coalesce(sum(strlen(props) + extra) OVER (PARTITION BY user_id, encoding ORDER BY ts, event_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS record_at, props AS payload, NULL::VARCHAR AS record_error
+    FROM events, (VALUES ('LF', 1), ('STXETX', 2), ('L2', 2)) AS encodings(encoding, extra)
+    """,
+)
+def frames_over_chunks(spark, sf_dir):
+    """Records that run over captured chunks of 7 to 50 bytes, several connections, three framings."""
+    length = "substring(unhex(lpad(hex(octet_length(props)), 4, '0')), 1, 2)"
+    framings = {"LF": ("X''", "X'0A'"), "STXETX": ("X'02'", "X'03'"), "L2": (length, "X''")}
+    parts = [
+        wire.frame_split_stream(captured_chunks(spark, sf_dir, *marks), encoding, ["user_id"], ["chunk_no"]).withColumn("encoding", F.lit(encoding))
+        for encoding, marks in framings.items()
+    ]
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return every.select("user_id", "encoding", "record_at", F.col("payload").cast("string").alias("payload"), "record_error")
+
+
+CAPPED = """
+    WITH listed AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS r FROM events
+                    WHERE event_type IN ('click', 'purchase', 'signup', 'view')),
+    placed AS (
+      SELECT 'fair' AS reading, event_type, event_id, row_number() OVER (ORDER BY r, event_type) AS at FROM listed
+      UNION ALL
+      SELECT 'one by one', event_type, event_id, row_number() OVER (ORDER BY event_type, r) FROM listed
+    )
+    SELECT reading, (at - 1) // {cap} AS poll, event_type, event_id FROM placed WHERE at <= 2 * {cap}
+"""
+
+
+@query("multi_source_capped", CAPPED.format(cap=250))
+def capped_sources(spark, sf_dir):
+    """Two polls of 250 rows over four sources, in turn and one by one; the second goes on where the first stopped."""
+    events = table(spark, sf_dir, "events").select("event_type", "event_id", "ts")
+    polls = []
+    for reading, fair in (("fair", True), ("one by one", False)):
+        left, start = events, 0
+        for poll in (0, 1):
+            taken, start = files.capped_poll(
+                left, ["click", "purchase", "signup", "view"], 250, ["ts", "event_id"], source="event_type", fair=fair, start=start
+            )
+            left = left.join(taken.select("event_id"), "event_id", "left_anti")
+            polls.append(taken.select(F.lit(reading).alias("reading"), F.lit(poll).cast("bigint").alias("poll"), "event_type", "event_id"))
+    every = polls[0]
+    for one in polls[1:]:
+        every = every.unionByName(one)
+    return every
+
+
+TRACKED = """
+    WITH words AS (
+      SELECT word FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{6,}')) AS word FROM documents)
+      GROUP BY word ORDER BY count(*), word LIMIT 10000
+    ), posts AS (SELECT doc_id, lower(text) AS low, (doc_id * 37 % 180) - 90 AS lat, (doc_id * 101 % 360) - 180 AS lon FROM documents),
+    boxes AS (SELECT (k * 7 % 170) - 85 AS south, (k * 11 % 340) - 170 AS west, k % 4 AS tall, k % 9 AS wide FROM range(300) t(k))
+    SELECT doc_id FROM posts
+    WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT unnest(regexp_extract_all(low, '[\\p{L}\\p{N}_]+')) AS w) JOIN words ON word = w)
+       OR EXISTS (SELECT 1 FROM boxes WHERE lat BETWEEN south AND south + tall AND lon BETWEEN west AND west + wide)
+"""
+
+
+@query("stream_filter_many", TRACKED)
+def posts_by_many(spark, sf_dir):
+    """The 10,000 rarest words of six letters or more as keywords, and 300 boxes."""
+    docs = table(spark, sf_dir, "documents")
+    found = docs.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{6,}"), F.lit(0))).alias("word"))
+    rare = found.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy("n", "word").limit(10_000)
+    track = [row["word"] for row in rare.collect()]
+    boxes = [((k * 7 % 170) - 85, (k * 11 % 340) - 170, (k * 7 % 170) - 85 + k % 4, (k * 11 % 340) - 170 + k % 9) for k in range(300)]
+    posts = docs.selectExpr("doc_id", "text", "doc_id * 37 % 180 - 90 AS lat", "doc_id * 101 % 360 - 180 AS lon")
+    return feeds.stream_filter_many(posts, track=track, boxes=boxes).select("doc_id")

@@ -11,6 +11,7 @@ from flowframe.operators import metrics
 from flowframe.plans.scratch import scratch_path
 from flowframe.sources.feeds import read_new, record_filter
 from flowframe.streaming import flows
+from flowframe.streaming.hot import read_regrouped, regroup_each
 from flowframe.streaming.regroup import keyed_aggregate, whole_groups
 from wiring.base import joined, query, table
 from wiring.functions import AGAIN, TRIGGERED
@@ -224,3 +225,26 @@ def stream_read_new(spark, sf_dir):
         for _ in range(2):
             read_new(spark.read.parquet(grown), mark, lambda new: new.write.mode("append").parquet(out))
     return spark.read.parquet(out).select("event_id", "user_id", "value")
+
+
+@query(
+    "stream_aggregate_hot",
+    """
+    WITH numbered AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn,
+      coalesce(sum(CASE WHEN value > 400 THEN 1 ELSE 0 END) OVER (PARTITION BY event_type ORDER BY ts, event_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS grp FROM events),
+    counted AS (SELECT *, min(rn) OVER w AS group_start, count(*) OVER w AS n, max(CASE WHEN value > 400 THEN 1 ELSE 0 END) OVER w AS ended
+      FROM numbered WINDOW w AS (PARTITION BY event_type, grp))
+    SELECT event_type, group_start, rn AS position, n, event_id::VARCHAR AS payload FROM counted WHERE ended = 1
+    """,
+)
+def stream_hot_keys(spark, sf_dir):
+    """Five keys hold all messages; each batch of a key is spread over tasks."""
+    out = scratch_path(spark, "hot")
+    each = regroup_each(out, {"event_type": "event_type"}, ["ts", "event_id"], payload="CAST(event_id AS STRING)", closes="value > 400")
+
+    def consume(stream, checkpoint):
+        flows.run_available(stream, checkpoint, each=each)
+
+    deliver(spark, events_of(spark, sf_dir), consume)
+    return read_regrouped(spark, out, ["event_type"])

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+import unicodedata
 from bisect import bisect_right
 from collections import defaultdict
 from collections.abc import Generator, Iterable, Iterator
@@ -26,8 +27,10 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title xmp iframe noembed noframes plaintext".split())
 HIDDEN = set(
     "area base datalist head link meta noembed noframes noscript param rp script style template title iframe "
-    "select option optgroup input object video audio canvas math".split()
+    "object video audio canvas annotation annotation-xml".split()
 )
+#: Kinds of input whose value is on view; one without a kind, or of an unknown one, is a text.
+UNSHOWN = set("hidden password checkbox radio file range color image".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure fieldset menu xmp plaintext".split())
 BLOCK = SPACED | set(
     "address article aside body caption center dd details dialog dir div dt fieldset figcaption footer form header "
@@ -67,7 +70,9 @@ _MARKUP = re.compile(
     re.DOTALL,
 )
 _ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>][^\s>]*+))?+)?+""")
-_UNSEEN = re.compile(r"(display\s*:\s*none|visibility\s*:\s*(hidden|collapse))", re.IGNORECASE)
+# A declaration reaches to the next semicolon that stands in no string and no brackets.
+_DECLARATION = re.compile(r"""(?:[^;"'()\\]|\\.|"(?:[^"\\]|\\.)*+(?:"|\Z)|'(?:[^'\\]|\\.)*+(?:'|\Z)|\((?:[^()"']|"[^"]*+"?|'[^']*+'?)*+\)?|\))++""", re.DOTALL)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.DOTALL)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -78,12 +83,31 @@ class Kept(str):
 KEPT = Kept()
 
 
+def declared(style: str, name: str) -> str | None:
+    """The value of a property in a style attribute: the last one counts, an important one before others."""
+    value, important = None, False
+    if name not in style.lower():
+        return None
+    for one in _DECLARATION.findall(_COMMENT.sub(" ", style)):
+        key, colon, given = one.partition(":")
+        if colon and key.strip().lower() == name:
+            plain, mark, rest = given.strip().lower().partition("!")
+            strong = mark == "!" and rest.strip() == "important"
+            if (strong or not important) and plain.strip() and (not mark or strong):
+                value, important = plain.strip(), strong
+    return value
+
+
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    """An element; ``seen`` is its visibility, its parent's unless its style says otherwise."""
 
-    def __init__(self, tag: str, attributes: dict[str, str]):
+    __slots__ = ("tag", "attributes", "children", "seen")
+
+    def __init__(self, tag: str, attributes: dict[str, str], seen: bool = True):
         self.tag, self.attributes = tag, attributes
         self.children: list[Node | str] = []
+        told = declared(attributes["style"], "visibility") if "style" in attributes else None
+        self.seen = {"visible": True, "hidden": False, "collapse": False}.get(told, seen)
 
 
 def build(source: str) -> Node:
@@ -117,7 +141,8 @@ def build(source: str) -> Node:
         data = html.unescape(data)
         if stack[-1].tag == "head" and data.strip(BLANK):
             cut(len(stack) - 1)
-        stack[-1].children.append(data)
+        if stack[-1].seen:
+            stack[-1].children.append(data)
 
     at = 0
     while match := _MARKUP.search(source, at):
@@ -150,16 +175,16 @@ def build(source: str) -> Node:
             if tag in ENDS:
                 close(*ENDS[tag])
             if tag in {"td", "th"} and stack[-1].tag in {"table", "thead", "tbody", "tfoot"}:
-                stack[-1].children.append(row := Node("tr", {}))
+                stack[-1].children.append(row := Node("tr", {}, stack[-1].seen))
                 push(row)
             found = _ATTRIBUTE.findall(match[3]) if match[3].strip() else []
-            node = Node(tag, {k.lower(): html.unescape(a or b or c) for k, a, b, c in reversed(found)})
+            node = Node(tag, {k.lower(): html.unescape(a or b or c) for k, a, b, c in reversed(found)}, stack[-1].seen)
             stack[-1].children.append(node)
             if (foreign or tag in FOREIGN) and self_closed(match[3]):
                 continue
             if tag in RAW:
                 end = None if tag == "plaintext" else re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.IGNORECASE).search(source, at)
-                if tag in SHOWN:
+                if tag in SHOWN and node.seen:
                     raw = source[at : end.start() if end else len(source)]
                     node.children.append(html.unescape(raw) if tag == "textarea" else raw)
                 at = end.end() if end else len(source)
@@ -181,10 +206,41 @@ def hidden(node: Node) -> bool:
         node.tag in HIDDEN
         or "hidden" in a
         or (node.tag == "dialog" and "open" not in a)
-        or ("style" in a and _UNSEEN.search(a["style"]) is not None)
+        or ("style" in a and declared(a["style"], "display") == "none")
     )
 
 
+def shown(node: Node) -> list[Node | str]:
+    """The children on view: of closed details the first summary."""
+    if node.tag == "details" and "open" not in node.attributes:
+        return [x for x in node.children if isinstance(x, Node) and x.tag == "summary"][:1]
+    return node.children
+
+
+def field(node: Node) -> str:
+    """What a form field shows."""
+    a = node.attributes
+    if not node.seen:
+        return ""
+    if node.tag == "input":
+        return "" if a.get("type", "").strip().lower() in UNSHOWN else a.get("value", "")
+    options, work = [], [iter(node.children)]
+    while work:
+        child = next(work[-1], None)
+        if child is None:
+            work.pop()
+        elif isinstance(child, Node) and not hidden(child):
+            if child.tag == "option":
+                options.append(child)
+            else:
+                work.append(iter(child.children))
+    listed = "multiple" in a or (a.get("size", "").strip().isdecimal() and int(a["size"]) > 1)
+    if not listed:
+        chosen = [x for x in options if "selected" in x.attributes]
+        options = chosen[-1:] or [x for x in options if "disabled" not in x.attributes][:1]
+    return " ".join(x.attributes.get("label") or "".join(_raw(x)).strip() for x in options)
+
+
 class Page:
     """Lines in the making."""
 
@@ -232,6 +288,19 @@ def _rows(part: Node) -> Iterator[tuple[Node, Node]]:
                 yield from _rows(child)
 
 
+def columns(line: str) -> int:
+    """Places a line takes: wide characters two, marks and format characters none."""
+    if line.isascii():
+        return len(line)
+    return sum(
+        2 if unicodedata.east_asian_width(c) in "WF" else 0 if unicodedata.category(c) in ("Mn", "Me", "Cf") else 1 for c in line
+    )
+
+
+def padded(line: str, width: int) -> str:
+    return line + " " * (width - columns(line))
+
+
 def _span(cell: Node, name: str, most: int) -> int:
     """A span within the standard's bounds."""
     told = re.match(r"[ \t\n\r\f]*\+?([0-9]+)", cell.attributes.get(name, ""))
@@ -290,11 +359,11 @@ def _table(node: Node) -> Task:
     # A column in which no cell begins takes no room.
     used = sorted({k for row in rows for k, cell in enumerate(row) if cell is not None})
     rows = [[row[k] or [] for k in used if k < len(row)] for row in rows]
-    widths = [max((len(x) for r in rows if k < len(r) for x in r[k]), default=0) for k in range(len(used))]
+    widths = [max((columns(x) for r in rows if k < len(r) for x in r[k]), default=0) for k in range(len(used))]
     out = head
     for row in rows:
         for k in range(max(map(len, row))):
-            line = " | ".join((cell[k] if k < len(cell) else "").ljust(width) for cell, width in zip(row, widths)).rstrip()
+            line = " | ".join(padded(cell[k] if k < len(cell) else "", width) for cell, width in zip(row, widths)).rstrip()
             out.append(line or (KEPT if any(k < len(cell) and cell[k] is KEPT for cell in row) else line))
     return (yield _lines(_group([*_loose(node)]))) + out
 
@@ -333,7 +402,9 @@ def _lines(node: Node) -> Task:
             page.line.append("\n")
             page.space = False
         elif child.tag == "hr":
-            page.block(["---"], False)
+            page.block(["---"] if child.seen else [], False)
+        elif child.tag in {"input", "select"}:
+            page.text(f" {told} " if (told := field(child)) else " ")
         elif child.tag in {"pre", "listing", "xmp", "plaintext", "textarea"}:
             page.block([x or KEPT for x in "".join(_raw(child)).strip("\r\n").splitlines()], child.tag != "textarea")
         elif child.tag == "svg":
@@ -350,7 +421,7 @@ def _lines(node: Node) -> Task:
             spaced = child.tag in SPACED
             page.block([], spaced)
             work.append(lambda spaced=spaced: page.block([], spaced))
-            work.append(iter(child.children))
+            work.append(iter(shown(child)))
         else:
             if child.tag in {"td", "th"}:
                 page.text(" ")
@@ -359,15 +430,50 @@ def _lines(node: Node) -> Task:
     return page.lines
 
 
+# The numerals of list marks.
+ROMAN = ((1000, "m"), (900, "cm"), (500, "d"), (400, "cd"), (100, "c"), (90, "xc"), (50, "l"), (40, "xl"), (10, "x"), (9, "ix"), (5, "v"), (4, "iv"), (1, "i"))
+
+
+def numeral(number: int, kind: str) -> str:
+    """A list number as letters (a, A), in Roman numerals (i, I) or in digits, as beyond what these can tell."""
+    text = ""
+    if kind in {"a", "A"} and number > 0:
+        while number:
+            number, rest = divmod(number - 1, 26)
+            text = chr(97 + rest) + text
+    elif kind in {"i", "I"} and 0 < number < 4000:
+        for value, letters in ROMAN:
+            text += letters * (number // value)
+            number %= value
+    else:
+        return str(number)
+    return text if kind.islower() else text.upper()
+
+
+def _whole(text: str | None) -> int | None:
+    told = re.match(r"[ \t\n\r\f]*([+-]?[0-9]{1,9})", text or "")
+    return int(told[1]) if told else None
+
+
 def _list(node: Node) -> Task:
-    start = node.attributes.get("start", "1")
-    number = int(start) if start.isdecimal() and start.isascii() else 1
+    items = sum(isinstance(x, Node) and x.tag == "li" and not hidden(x) for x in node.children)
+    back = node.tag == "ol" and "reversed" in node.attributes
+    start = _whole(node.attributes.get("start"))
+    number = start if start is not None else items if back else 1
     out: list[str] = []
     for child in node.children:
         if isinstance(child, Node) and child.tag == "li" and not hidden(child):
-            mark = f"{number}. " if node.tag == "ol" else "- "
-            number += 1
-            lines = [x for x in (yield _lines(child)) if x or x is KEPT] or [""]
+            told = _whole(child.attributes.get("value"))
+            number = number if told is None else told
+            kind = child.attributes.get("type", node.attributes.get("type", "1")).strip()
+            mark = f"{numeral(number, kind)}. " if node.tag == "ol" else "- "
+            number += -1 if back else 1
+            lines = [x for x in (yield _lines(child)) if x or x is KEPT]
+            if not child.seen:
+                # The mark goes with its item; what is on view within it keeps its place.
+                out.extend(x if x is KEPT else " " * len(mark) + x for x in lines)
+                continue
+            lines = lines or [""]
             out.append((mark + lines[0]).rstrip())
             out.extend(x if x is KEPT else " " * len(mark) + x for x in lines[1:])
         else:
@@ -386,8 +492,10 @@ def _raw(node: Node) -> Iterator[str]:
             yield child
         elif child.tag == "br":
             yield "\n"
+        elif child.tag in {"input", "select"}:
+            yield "" if hidden(child) else field(child)
         elif not hidden(child):
-            work.append(iter(child.children if child.tag != "svg" else _drawn(child)))
+            work.append(iter(shown(child) if child.tag != "svg" else _drawn(child)))
 
 
 def _drawn(node: Node) -> list[Node]:
@@ -417,8 +525,9 @@ def html_text(pages: DataFrame, source: str = "html", out: str = "text") -> Data
     A null or empty page, or one without markup, gives its plain text (null: empty).
     Repeated rows each get theirs. A column named like the result gives way to it,
     and the markup is left out. Style sheets and scripts do not run: only attributes
-    and the tags' own rules hide text. Formulas, media and form fields but textareas give none,
-    and the items of a list stand without the gaps around their paragraphs. Memory follows the largest page, and with each level of
+    and the tags' own rules hide text. Media give none; a field gives the value it shows, a
+    choice the chosen option (a list box all), a formula its symbols in order, and closed
+    details their summary. The items of a list stand without the gaps around their paragraphs. Memory follows the largest page, and with each level of
     nested lists, quotes and tables every line within gets longer: the text of a page that
     opens thousands of them grows with the square of their number.
     """

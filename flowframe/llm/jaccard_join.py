@@ -39,7 +39,8 @@ from flowframe.llm.base import pieces, written
 from flowframe.llm.components import components
 from flowframe.llm.shingles import mix, shingle_sets
 
-SCHEMES = 128
+#: No set has more shingles than this; bands end beyond it.
+LARGEST = 1 << 40
 #: Sets of a key whose pairs are listed one by one; more go into families.
 LISTED = 8
 #: Keys that one group of the first exchange holds, and keys that a task gathers before it sends.
@@ -54,12 +55,19 @@ _LOWER, _UPPER, _WHOLE, _DELETED = 0, 2, 0, 1  # the two lowest bits of a class
 
 @cache
 def band_edges(percent: int) -> list[int]:
+    if not 1 <= percent <= 99:
+        raise ValueError("the similarity must lie between 1 and 99 percent")
     edges = [1]
-    while len(edges) < SCHEMES:
+    while len(edges) < 2 or edges[-2] <= LARGEST:
         edges.append(-(-edges[-1] * 100 // percent))
     return edges
 
 
+def scheme_bits(percent: int) -> int:
+    """Lowest bits of a key that name its scheme; there are as many schemes as bands."""
+    return max(7, (len(band_edges(percent)) - 1).bit_length())
+
+
 @cache
 def allotment(scheme: int, percent: int) -> tuple[int, int, bool]:
     """Segments, equal segments guaranteed (T), and whether one-deletion neighbourhoods are used."""
@@ -90,9 +98,10 @@ def class_of(members: np.ndarray) -> int:
 
 
 def keys_of(members: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, int]]:
-    """Keys of a set with the flags that its class carries there; a key's lowest seven bits name its scheme."""
+    """Keys of a set with the flags that its class carries there; a key's lowest bits name its scheme."""
     edges = band_edges(percent)
     band = int(np.searchsorted(edges, len(members), side="right")) - 1
+    bits = np.uint64(scheme_bits(percent))
     for scheme, side in ((band, _LOWER), (band - 1, _UPPER)):
         segments, _, deleting = allotment(scheme, percent) if scheme >= 0 else (0, 0, False)
         if not segments:
@@ -102,9 +111,9 @@ def keys_of(members: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, int
         sums = np.zeros(segments, dtype=np.uint64)
         np.add.at(sums, place, spread)
         tags = mix(np.arange(segments, dtype=np.uint64) + np.uint64((scheme + 1) << 32))
-        yield mix(sums ^ tags) << np.uint64(7) | np.uint64(scheme), side | _WHOLE
+        yield mix(sums ^ tags) << bits | np.uint64(scheme), side | _WHOLE
         if deleting:
-            yield mix((sums[place] - spread) ^ tags[place]) << np.uint64(7) | np.uint64(scheme), side | _DELETED
+            yield mix((sums[place] - spread) ^ tags[place]) << bits | np.uint64(scheme), side | _DELETED
 
 
 SetBatches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
@@ -126,7 +135,7 @@ def _emit(percent: int, groups: int) -> SetBatches:
 
     def bundles(keys: list[np.ndarray], classes: list[np.ndarray]) -> pa.RecordBatch:
         every, owner = np.concatenate(keys), np.concatenate(classes)
-        group = ((every >> np.uint64(7)) % np.uint64(groups)).astype(np.int64)
+        group = ((every >> np.uint64(scheme_bits(percent))) % np.uint64(groups)).astype(np.int64)
         order = np.argsort(group, kind="stable")
         ends = np.cumsum(np.bincount(group, minlength=groups))
         cut = lambda x: [part.tobytes() for part in np.split(x[order], ends[:-1])]
@@ -182,8 +191,8 @@ def kept_keys(docs: DataFrame, percent: int, shingles: int) -> DataFrame:
     bundles = docs.mapInArrow(_emit(percent, groups), "group long, keys binary, classes binary")
     # More partitions than groups, so that few groups meet in one.
     shared = bundles.repartition(2 * groups, "group").groupBy("group").applyInArrow(_shared, "key long, class long, holders long")
-    spare = [allotment(k, percent)[1] - 1 for k in range(SCHEMES - 1)] + [0]
-    scheme = F.col("key").bitwiseAND(SCHEMES - 1)
+    spare = [allotment(k, percent)[1] - 1 for k in range(len(band_edges(percent)) - 1)] + [0]
+    scheme = F.col("key").bitwiseAND((1 << scheme_bits(percent)) - 1)
     # A whole key and a deleted one of the same class lie in schemes that drop none.
     rank = F.row_number().over(Window.partitionBy("class", scheme).orderBy(F.desc("holders"), "key"))
     may_drop = F.element_at(F.array(*(F.lit(max(0, x)) for x in spare)), (scheme + 1).cast("int"))

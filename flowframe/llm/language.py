@@ -12,10 +12,10 @@ the dictionary; their own sizes are taken off the sum.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +31,8 @@ TEXTS, CHARS, BYTES, LANGUAGES = 256, 1024, 1 << 17, 256
 SOFTNESS = 0.05
 RESULTS = ("lang_pred", "score", "rejected")
 
-_OTHER = re.compile(r"[\W\d_]+")
+# Marks belong to the letters they stand on.
+_OTHER = regex.compile(r"[^\p{L}\p{M}]+")
 
 
 def letters(text: str) -> bytes:

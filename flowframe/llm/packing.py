@@ -4,15 +4,17 @@ Documents longer than the longest sequence are cut into pieces of just that leng
 a rest. Pieces fall into groups of bounded size by a hash of their document; each group
 is packed on its own, so work and memory per task do not grow with the input, and at
 most a few sequences per group stay half empty. A group is packed longest piece first:
-into the open bin with the least room that fits, else into a new bin. Each permitted
-length in turn is tried as the length to open (a longer one where a piece needs it);
-every bin is then cut down to the shortest permitted length that holds its contents,
-and the try of least cost is kept.
+into the open bin with the least room that fits, else into a new bin. Which length is
+opened is decided anew each time, over all permitted lengths jointly: by what a sequence
+of that length, filled with the longest pieces still to be placed and cut down to what it
+holds, would cost for each unit in it. In the end every bin is cut down to the shortest
+permitted length that holds its contents. Opening one and the same length throughout is
+tried too, and counts where it comes out cheaper.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,17 +31,55 @@ def cost(capacity: int, overhead: int) -> int:
     return capacity + overhead
 
 
-def best_fit(lengths: list[int], capacities: list[int], opened: int) -> list[tuple[int, list[int]]]:
-    """Bins as (length to open, item numbers); items are tried in the given order."""
+def tightest(total: int, capacities: list[int]) -> int:
+    """The shortest permitted length that holds so much."""
+    return capacities[bisect_left(capacities, total)]
+
+
+def least_cost(item: int, waiting: list[int], left: int, capacities: list[int], opened: list[int], overhead: int) -> int:
+    """The length to open for an item: the one whose sequence would cost least for each unit in it.
+
+    ``waiting`` holds all lengths, shortest first; the first ``left`` of them are still to be
+    placed. Each length that may be opened is filled in thought with the longest of these
+    that fit, and cut down to what it then holds. Ties go to the shorter length.
+    """
+    best = None
+    for capacity in opened:
+        if capacity < item:
+            continue
+        held, end = item, left
+        while end:
+            end = bisect_right(waiting, capacity - held, 0, end)
+            if not end:
+                break
+            end -= 1
+            held += waiting[end]
+        price = (cost(tightest(held, capacities), overhead) / held, capacity)
+        if best is None or price < best:
+            best = price
+    return tightest(item, capacities) if best is None else best[1]
+
+
+def best_fit(lengths: list[int], capacities: list[int], opened: list[int], overhead: int = 0) -> list[tuple[int, list[int]]]:
+    """Bins as (length to open, item numbers); items are tried in the given order, longest first.
+
+    An item goes into the open bin with the least room that fits; else a bin is opened, of
+    the one of ``opened`` that costs least for what is still to be placed, or of the
+    shortest permitted length where none of them holds the item.
+    """
     bins: list[tuple[int, list[int]]] = []
     rooms: list[tuple[int, int]] = []  # (room left, bin), sorted
+    waiting = lengths[::-1]
     for item, length in enumerate(lengths):
         at = bisect_left(rooms, (length, -1))
         if at < len(rooms):
             room, k = rooms.pop(at)
             bins[k][1].append(item)
         else:
-            room = opened if opened >= length else capacities[bisect_left(capacities, length)]
+            if len(opened) == 1:
+                room = opened[0] if opened[0] >= length else tightest(length, capacities)
+            else:
+                room = least_cost(length, waiting, len(lengths) - item - 1, capacities, opened, overhead)
             k = len(bins)
             bins.append((room, [item]))
         if room > length:
@@ -48,13 +88,15 @@ def best_fit(lengths: list[int], capacities: list[int], opened: int) -> list[tup
 
 
 def pack_lengths(lengths: list[int], capacities: list[int], overhead: int) -> list[tuple[int, list[int]]]:
-    """The cheapest try: (permitted length, item numbers in order of place); ties to the shorter length to open."""
+    """(Permitted length, item numbers in order of place), every bin cut down to its contents.
+
+    Bins are opened by least cost among all lengths; a single length for all bins may be
+    cheaper at times, so each is tried as well, and the least cost of all counts, with ties
+    to the choice among all lengths and then to the shorter one.
+    """
     best: tuple[int, list[tuple[int, list[int]]]] | None = None
-    for opened in capacities:
-        tight = [
-            (capacities[bisect_left(capacities, sum(lengths[i] for i in items))], items)
-            for _, items in best_fit(lengths, capacities, opened)
-        ]
+    for opened in (capacities, *([capacity] for capacity in capacities)):
+        tight = [(tightest(sum(lengths[i] for i in items), capacities), items) for _, items in best_fit(lengths, capacities, opened, overhead)]
         total = sum(cost(capacity, overhead) for capacity, _ in tight)
         if best is None or total < best[0]:
             best = total, tight

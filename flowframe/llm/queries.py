@@ -16,7 +16,7 @@ from flowframe.llm.html_text import html_text
 from flowframe.llm.jaccard_join import jaccard_groups
 from flowframe.llm.language import identify, learn, learnable
 from flowframe.llm.packing import pack
-from flowframe.llm.repair import damaged, digests, faults, judged_rows, repair
+from flowframe.llm.repair import damaged, digests, faults, judged_rows, repair, texts_of
 from flowframe.llm.sharding import shard
 from flowframe.llm.topk import top_k
 from flowframe.llm.url_filter import rule_table, url_filter
@@ -202,7 +202,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = learn(docs.filter(learnable()))
     return identify(docs.select("doc_id", "text"), model).select(
-        "doc_id", (~learnable()).alias("held_out"), "lang_pred", "score", "rejected"
+        "doc_id", (~F.coalesce(learnable(), F.lit(True))).alias("held_out"), "lang_pred", "score", "rejected"
     )
 
 
@@ -247,7 +247,7 @@ def _repair_sql() -> str:
         CASE WHEN lot = 1 THEN '' WHEN lot = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
         unnest(range(CASE WHEN lot = 3 THEN 2 ELSE 1 END)) AS copy FROM lots WHERE lot <> 0
     ), numbered AS (
-      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM kept
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS pos FROM kept
     ), judged AS (
       SELECT *, left(role, 1) AS i, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
           WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
@@ -282,8 +282,9 @@ def _repair_sql() -> str:
 @query("op13_prefix_doubling_repair", _repair_sql())
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     conversations = table(spark, sf_dir, "conversations")
-    rows = written(judged_rows(damaged(conversations)), "judged")
-    edits, costs = repair(rows)
+    given = damaged(conversations)
+    rows = written(judged_rows(given), "judged")
+    edits, costs = repair(rows, texts_of(given))
     found = faults(rows).withColumnRenamed("conv", "key")
     costs = costs.withColumnRenamed("conv", "cost_key")
     done = digests(edits).withColumnRenamed("conv", "done_key")
@@ -314,7 +315,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH pieces AS (
       SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS piece FROM documents
+-
+]')) AS piece FROM documents
     ), w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
     grams AS (
       SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: list_aggregate(w[i:i + k - 1], 'string_agg', ' '))) AS phrase

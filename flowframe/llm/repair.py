@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 from flowframe.llm.base import written
 from flowframe.plans.ordered import number_groups
 
-#: Rows of a block, and rows that one round of ranking takes.
-BLOCK, ROUND = 16_384, 65_536
+#: Rows of a block, and rows that one round of ranking takes; rows of blocks whose paths are kept, and their number.
+BLOCK, ROUND, SHORT, KNOWN = 16_384, 65_536, 32, 50_000
 #: Costs of the edits, and of a cut-off row that stays.
 RENAME, DELETE, INSERT, CUT_OFF = 1, 2, 5, 5
 FAR = 1 << 40
@@ -201,15 +201,25 @@ def solve(costs: Costs, blocks: list[tuple[bytes, tuple[int, ...], bool, int]])
 
 def _tables_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     costs = Costs()
+    known: dict[bytes, tuple[list[int], int]] = {}
+
+    def of(kinds: bytes) -> tuple[list[int], int]:
+        if kinds in known:
+            return known[kinds]
+        roles = [k // 3 for k in kinds]
+        made = costs.table(kinds), sum((a, b) not in ((0, 1), (1, 2), (2, 1)) for a, b in zip(roles, roles[1:]))
+        if len(kinds) <= SHORT:
+            if len(known) >= KNOWN:
+                known.clear()
+            known[kinds] = made
+        return made
+
     for batch in batches:
         rows = [bytes(k) for k in batch.column("kinds").to_pylist()]
-        wrong = []
-        for kinds in rows:
-            roles = [k // 3 for k in kinds]
-            wrong.append(sum((a, b) not in ((0, 1), (1, 2), (2, 1)) for a, b in zip(roles, roles[1:])))
+        made = [of(k) for k in rows]
         columns = [
-            batch.column("conv"), batch.column("block"), pa.array([costs.table(k) for k in rows], pa.list_(pa.int64())),
-            pa.array(wrong, pa.int64()), pa.array([k[0] // 3 for k in rows], pa.int32()), pa.array([k[-1] // 3 for k in rows], pa.int32()),
+            batch.column("conv"), batch.column("block"), pa.array([m[0] for m in made], pa.list_(pa.int64())), pa.array([m[1] for m in made], pa.int64()),
+            pa.array([k[0] // 3 for k in rows], pa.int32()), pa.array([k[-1] // 3 for k in rows], pa.int32()),
         ]
         yield pa.RecordBatch.from_arrays(columns, names=["conv", "block", "table", "wrong", "first", "last"])
 
@@ -238,24 +248,32 @@ def _ends_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _paths_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     costs = Costs()
+    # Short conversations are alike: each kind of block is solved once in a task.
+    known: dict[tuple, tuple[list[int], list[str]]] = {}
     for batch in batches:
-        kinds = [bytes(k) for k in batch.column("kinds").to_pylist()]
-        ends, finals, numbers = (batch.column(c).to_pylist() for c in ("end", "final", "block"))
-        at = 0
-        while at < len(kinds):
+        numbers = batch.column("block").to_pylist()
+        blocks = [
+            (bytes(kinds), tuple(end), final, 1 if number == 0 else 4)
+            for kinds, end, final, number in zip(batch.column("kinds").to_pylist(), batch.column("end").to_pylist(), batch.column("final").to_pylist(), numbers, strict=True)
+        ]
+        if len(known) > KNOWN:
+            known = {}
+        new, at = list(dict.fromkeys(b for b in blocks if b not in known)), 0
+        long = {}
+        while at < len(new):
             rows, to = 0, at
-            while to < len(kinds) and (to == at or rows + len(kinds[to]) <= ROUND):
-                rows += len(kinds[to])
+            while to < len(new) and (to == at or rows + len(new[to][0]) <= ROUND):
+                rows += len(new[to][0])
                 to += 1
-            solved = solve(costs, [(kinds[i], tuple(ends[i]), finals[i], 1 if numbers[i] == 0 else 4) for i in range(at, to)])
-            part = batch.slice(at, to - at)
-            yield pa.RecordBatch.from_arrays(
-                [part.column("conv"), part.column("block"), pa.array([s[0] for s in solved], pa.list_(pa.int32())),
-                 pa.array([s[1] for s in solved], pa.list_(pa.string())),
-                 pa.array([[len(m) for m in s[1]] for s in solved], pa.list_(pa.int64()))],
-                names=["conv", "block", "exits", "marks", "lengths"],
-            )
+            for block, solved in zip(new[at:to], solve(costs, new[at:to]), strict=True):
+                (known if len(block[0]) <= SHORT else long)[block] = solved
             at = to
+        solved = [known.get(b) or long[b] for b in blocks]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("conv"), batch.column("block"), pa.array([s[0] for s in solved], pa.list_(pa.int32())),
+             pa.array([s[1] for s in solved], pa.list_(pa.string())), pa.array([[len(m) for m in s[1]] for s in solved], pa.list_(pa.int64()))],
+            names=["conv", "block", "exits", "marks", "lengths"],
+        )
 
 
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,16 +295,28 @@ def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _edits_of(block_rows: int):
     def edits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                marks = np.frombuffer(batch.column("marks")[i].as_py().encode(), dtype=np.uint8)
+        for whole in batches:
+            low = 0
+            while low < whole.num_rows:
+                # As many blocks as a round of ranking takes, so that the rows made at a time are bounded.
+                high, size = low, 0
+                while high < whole.num_rows and (high == low or size < ROUND):
+                    size += len(whole.column("marks")[high].as_py())
+                    high += 1
+                batch, low = whole.slice(low, high - low), high
+                texts = [m.encode() for m in batch.column("marks").to_pylist()]
+                lengths = np.array([len(t) for t in texts])
+                marks = np.frombuffer(b"".join(texts), dtype=np.uint8)
                 new = (marks == ord("U")) | (marks == ord("A"))
-                place = batch.column("block")[i].as_py() * block_rows + np.cumsum(~new)
-                steps = batch.column("before")[i].as_py() + np.arange(len(marks))
-                conv = batch.column("conv").take(pa.array(np.full(len(marks), i)))
-                letters = pa.array([chr(m) for m in marks], pa.string())
+                row = np.repeat(np.arange(len(texts)), lengths)
+                begin = np.cumsum(lengths) - lengths
+                taken = np.concatenate([[0], np.cumsum(~new)])
+                inside = taken[1:] - taken[begin][row]
+                place = batch.column("block").to_numpy()[row] * block_rows + inside
+                steps = batch.column("before").to_numpy()[row] + np.arange(len(marks)) - begin[row]
+                letters = pa.DictionaryArray.from_arrays(pa.array(marks.astype(np.int32)), pa.array([chr(k) for k in range(128)])).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [conv, pa.array(steps, pa.int64()), letters, pa.array(place, pa.int64(), mask=new)],
+                    [batch.column("conv").take(pa.array(row)), pa.array(steps, pa.int64()), letters, pa.array(place, pa.int64(), mask=new)],
                     names=["conv", "step", "mark", "position"],
                 )
 
@@ -302,49 +332,58 @@ def _same(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner
     return left.join(other, same, how).drop(*(f"__{name}" for name in names))
 
 
+def _plain(conversations: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
+    said = F.coalesce(F.col(f"`{text}`"), F.lit(" "))
+    return conversations.select(
+        F.col(f"`{conv}`").alias("conv"), F.col(f"`{turn}`").alias("turn"), F.coalesce(F.col(f"`{role}`"), F.lit(" ")).alias("role"),
+        said.alias("text"), F.unhex(F.sha2(said, 256)).alias("print"),
+    )
+
+
 def judged_rows(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """The rows of each conversation in order with their first fault.
 
-    ``conv``, ``turn``, ``role``, ``text`` (nulls of the last two are one space),
-    ``position`` from 1 by turn (nulls first), role and text, and ``fault``: ``blank``
-    (nothing but white space), ``duplicate`` (role and text stood earlier), ``truncated``
-    (the last character other than white space is none of ``.!?``) or null. Rows that
-    are equal in all four are summed up before they are numbered. Other columns of the
-    frame are left out, so their names may be any.
+    ``conv``, ``turn``, ``role`` (null is one space), ``print`` (the SHA-256 by which texts
+    are told apart; a null text is one space), ``position`` from 1 by turn (nulls first),
+    role and print, and ``fault``: ``blank`` (nothing but white space), ``duplicate`` (role
+    and text stood earlier), ``truncated`` (the last character other than white space is
+    none of ``.!?``) or null. Rows that are equal in all four are summed up before they are
+    numbered. Other columns of the frame are left out, so their names may be any.
     """
-    plain = conversations.select(
-        F.col(f"`{conv}`").alias("conv"), F.col(f"`{turn}`").alias("turn"),
-        F.coalesce(F.col(f"`{role}`"), F.lit(" ")).alias("role"), F.coalesce(F.col(f"`{text}`"), F.lit(" ")).alias("text"),
-    )
-    counted = plain.groupBy("conv", "turn", "role", "text").agg(F.count(F.lit(1)).alias("copies"))
+    plain = _plain(conversations, conv, turn, role, text)
+    visible = F.regexp_replace("text", r"[\x20\x09-\x0D]+\z", "")
+    own = F.when(visible == "", "blank").when(~F.substring(visible, -1, 1).isin(".", "!", "?"), "truncated")
+    counted = plain.select("conv", "turn", "role", "print", own.alias("own")).groupBy("conv", "turn", "role", "print", "own").agg(F.count(F.lit(1)).alias("copies"))
     # Nulls come first, and Spark's smallest struct has nulls first too.
-    earliest = counted.groupBy("conv", "role", "text").agg(F.min(F.struct("turn")).alias("earliest"))
-    known = _same(counted, earliest, ["conv", "role", "text"])
+    earliest = counted.groupBy("conv", "role", "print").agg(F.min(F.struct("turn")).alias("earliest"))
+    known = _same(counted, earliest, ["conv", "role", "print"])
     later = ~F.col("turn").eqNullSafe(F.col("earliest.turn"))
     # In two steps, so that no list grows with the number of copies.
     first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(BLOCK).cast("long")))
-    parts = known.select("conv", "turn", "role", "text", "copies", later.alias("later"), first.alias("first"))
+    parts = known.select("conv", "turn", "role", "print", "own", "copies", later.alias("later"), first.alias("first"))
     upto = F.least(F.col("first") + BLOCK, F.col("copies")) - 1
-    shared = parts.select("conv", "turn", "role", "text", "later", F.explode(F.sequence("first", upto)).alias("copy"))
-    visible = F.regexp_replace("text", r"[\x20\x09-\x0D]+\z", "")
-    fault = (
-        F.when(~F.col("text").rlike(r"[^\x20\x09-\x0D]"), "blank")
-        .when(F.col("later") | (F.col("copy") > 0), "duplicate")
-        .when(~F.substring(visible, -1, 1).isin(".", "!", "?"), "truncated")
-    )
-    placed = number_groups(shared.withColumn("fault", fault), ["conv"], ["turn", "role", "text", "copy"])
-    return placed.select("conv", "turn", "role", "text", "position", "fault")
+    shared = parts.select("conv", "turn", "role", "print", "own", "later", F.explode(F.sequence("first", upto)).alias("copy"))
+    again = (F.col("own").isNull() | (F.col("own") != "blank")) & (F.col("later") | (F.col("copy") > 0))
+    fault = F.when(again, "duplicate").otherwise(F.col("own"))
+    placed = number_groups(shared.withColumn("fault", fault), ["conv"], ["turn", "role", "print", "copy"])
+    return placed.select("conv", "turn", "role", "print", "position", "fault")
+
+
+def texts_of(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """The text of each row by ``row``, a struct of its conversation, turn, role and print."""
+    plain = _plain(conversations, conv, turn, role, text)
+    return plain.groupBy(F.struct("conv", "turn", "role", "print").alias("row")).agg(F.first("text").alias("text"))
 
 
-def repair(rows: DataFrame, block_rows: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def repair(rows: DataFrame, texts: DataFrame, block_rows: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """The cheapest edits of ``judged_rows``, and what each conversation costs.
 
     Edits: ``conv``, ``step`` from 0, ``edit`` (K, R, D, I), ``position`` of the row (null
-    where one is inserted), and ``role`` and ``text`` afterwards (both null where deleted).
-    The roles that stay spell ``(s?(ua)+)?`` by their first letters; of all cheapest edits
-    those with the least audit (the initials in order) are taken. Costs: ``conv``,
-    ``cost`` and ``illegal`` (neighbours whose initials are none of su, ua, au).
-    Blank and duplicate rows go. A conversation without rows has none here.
+    where one is inserted), and ``role`` and ``text`` afterwards (both null where deleted;
+    texts come from ``texts_of``). The roles that stay spell ``(s?(ua)+)?`` by their first
+    letters; of all cheapest edits those with the least audit (the initials in order) are
+    taken. Costs: ``conv``, ``cost`` and ``illegal`` (neighbours whose initials are none of
+    su, ua, au). A conversation without rows has none here.
     """
     initial = F.substring("role", 1, 1)
     role = F.lit(3)
@@ -365,7 +404,9 @@ def repair(rows: DataFrame, block_rows: int = BLOCK) -> tuple[DataFrame, DataFra
     entries = links.mapInArrow(_chain, f"{conv}, block long, entry int, before long")
     chosen = _same(paths, entries, ["conv", "block"]).select("conv", "block", "before", F.col("marks")[F.col("entry")].alias("marks"))
     edits = chosen.mapInArrow(_edits_of(block_rows), f"{conv}, step long, mark string, position long")
-    held = _same(edits, rows.select("conv", "position", "role", "text"), ["conv", "position"], "left")
+    held = _same(edits, rows.select("conv", "position", "turn", "role", "print"), ["conv", "position"], "left")
+    wanted = F.when(F.col("mark").isin("K", "u", "a"), F.struct("conv", "turn", "role", "print"))
+    held = held.withColumn("__row", wanted).join(texts, F.col("__row") == F.col("row"), "left")
     named = F.when(F.lower("mark") == "u", "user").when(F.lower("mark") == "a", "assistant").when(F.col("mark") == "K", F.col("role"))
     said = F.when(F.col("mark").isin("U", "A"), "").when(F.col("mark") != "D", F.col("text"))
     edit = F.translate("mark", "uaUA", "RRII")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowframe.llm.base import without
+from flowframe.llm.base import fold, without
 
 RESULTS = ("host", "path", "rule", "verdict")
 
@@ -46,7 +46,7 @@ def compile_rules(rules: DataFrame) -> DataFrame:
     The last piece of a path that does not end in ``/`` or ``.`` may go on in the
     url, so it is no token. Rules without a host fit nothing and are left out.
     """
-    host, path = F.lower("host"), F.coalesce("path", F.lit(""))
+    host, path = fold("host"), F.coalesce("path", F.lit(""))
     ahead = F.when(path == "", F.lit("(?=/|$)")).otherwise("")
     pieces = F.split(path, "[./]")
     return rules.filter("host <> ''").select(

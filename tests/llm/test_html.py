@@ -134,3 +134,45 @@ def test_no_visible_word_is_lost(spark):
         words = re.sub(r"\s+", "", html.unescape(plain))
         got = re.sub(r"(?m)^\s*- ", "", texts[page_id])
         assert re.sub(r"\s+", "", got) == words, page_id
+
+
+def test_styles_are_read_by_declaration():
+    for style in ("--display:none", "background:url(x?display:none)", "display:none;display:block", "content:'display:none'", "display:none !wrong",
+                  "display:block!important;display:none", "/* display:none */", "visibility:hidden;visibility:visible", "x-display:none"):
+        assert page_text(f'<p style="{style}">yes</p>') == "yes", style
+    for style in ("color:red;DISPLAY : None", "display:block;display:none", "display:none!important;display:block", "width:1px;;display:/**/none;", "display:none"):
+        assert page_text(f'<p style="{style}">no</p>') == "", style
+
+
+def test_visibility_is_inherited_and_can_come_back():
+    source = "<div style=visibility:hidden>no <b>no <i style=visibility:visible>yes</i></b><hr><textarea>no</textarea><input value=no></div>z"
+    assert page_text(source) == "yes\nz"
+    assert page_text("<table><tr><td style='visibility:hidden'>aa<td>b<tr><td>c<td>d</table>") == "  | b\nc | d"
+    assert page_text("<ol><li style='visibility:hidden'>a<li>b</ol>") == "2. b"
+
+
+def test_closed_details_show_their_summary():
+    assert page_text("<details>no<summary>S</summary><p>no</p></details>x") == "S\nx"
+    assert page_text("<details open><summary>S</summary>yes</details>") == "S\nyes"
+    assert page_text("<details>no</details>") == ""
+
+
+def test_formulas_and_fields():
+    assert page_text("a <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>no</annotation></math> b") == "a x=2 b"
+    assert page_text("<select><option>a<option selected>b<option>c</select>!") == "b !"
+    assert page_text("<select><option disabled>a<option>b</select>") == "b" and page_text("<select></select>") == ""
+    assert page_text("<select multiple><optgroup label=g><option>a<option label=L>b</optgroup></select>") == "a L"
+    assert page_text("<input type=submit value='Go on'><input value=t><input type=hidden value=no><input type=password value=no>") == "Go on t"
+
+
+def test_list_marks():
+    assert page_text("<ol><li value=5>a<li>b<li value=-2>c</ol>") == "5. a\n6. b\n-2. c"
+    assert page_text("<ol start=-1><li>a<li>b<li>c</ol>") == "-1. a\n0. b\n1. c"
+    assert page_text("<ol reversed><li>a<li>b<li>c</ol>") == "3. a\n2. b\n1. c"
+    assert page_text("<ol type=a start=26><li>x<li>y<li type=I>z</ol>") == "z. x\naa. y\nXXVIII. z"
+    assert page_text("<ol type=i start=4><li>x<li>y</ol><ol type=A><li>x</ol>") == "iv. x\nv. y\n\nA. x"
+    assert page_text("<ol type=i><li value=0>x<li value=4000>y</ol>") == "0. x\n4000. y"
+
+
+def test_wide_characters_and_marks_line_up():
+    assert page_text("<table><tr><td>日本<td>1<tr><td>abc<td>2<tr><td>e\u0301<td>3</table>") == "日本 | 1\nabc  | 2\ne\u0301    | 3"

@@ -104,3 +104,19 @@ def test_whole_table_against_brute_force(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     got = QUERIES["op2_partition_jaccard"](spark, "/root/testdata/sf0.001").collect()
     assert sorted((tuple(r) for r in got), key=str) == brute(rows)
+
+
+@pytest.mark.parametrize("percent", [60, 95, 99])
+def test_other_similarities_and_large_sets(spark, percent):
+    rng = random.Random(percent)
+    base = [f"w{i}" for i in range(9_000)]
+    short = [f"s{i}" for i in range(400)]
+    rows = [(1, " ".join(base)), (2, near(rng, base, 3)), (3, near(rng, base, 60)), (4, near(rng, base, 500)), (5, " ".join(base[:8_000]))]
+    rows += [(10 + k, near(rng, short, k)) for k in range(0, 30, 3)] + [(50, "one two"), (51, "one two"), (52, None)]
+    assert grouped(spark, rows, percent=percent) == brute(rows, percent)
+
+
+def test_similarities_out_of_range():
+    for percent in (0, 100):
+        with pytest.raises(ValueError):
+            band_edges(percent)

@@ -71,3 +71,14 @@ def test_sample_is_bounded(spark, monkeypatch):
     assert set(model) == {"a", "b"} and all(len(x) <= 100 for x in model.values())
     learnt = df.filter(learnable())
     assert learnt.count() == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(1000))
+
+
+def test_marks_stay_with_their_letters_and_null_ids_are_not_held_out(spark, tmp_path):
+    from flowframe.llm.queries import QUERIES
+
+    assert language.letters("हिन्दी भाषा, 2²_x!").decode() == "हिन्दी भाषा x"
+    assert language.letters("\u0301 12") == b""
+    df = spark.createDataFrame([(None, "der die das", "de", ""), (1, "el la los", "es", "")], SCHEMA)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r.held_out for r in QUERIES["op9_zstd_language"](spark, str(tmp_path)).collect()}
+    assert out[None] is False and out[1] is (zlib.crc32(b"1") % 4 == 2)

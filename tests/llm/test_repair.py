@@ -115,7 +115,7 @@ def test_long_conversation_in_one_block():
 
 
 def ordered(rows):
-    return sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1], x[2]))
+    return sorted(rows, key=lambda x: (x[0] is not None, x[0] or 0, x[1], sha([x[2]])))
 
 
 def expected(conversations):
@@ -176,7 +176,7 @@ def test_blocks_of_a_large_conversation_and_long_text(spark):
     rng = random.Random(8)
     said = random_rows(rng, 700) + [("user", "a" * 2_000_000 + "."), ("assistant", "b.")]
     frame = spark.createDataFrame([(1, k, *x) for k, x in enumerate(said)], "conv_id long, turn long, role string, text string")
-    edits, costs = r.repair(r.judged_rows(frame), block_rows=64)
+    edits, costs = r.repair(r.judged_rows(frame), r.texts_of(frame), block_rows=64)
     done, = r.digests(edits).collect()
     cost, audit, lines = plain(said)
     assert (costs.first().cost, done.audit, done.repaired_sha256) == (cost, audit, sha(lines))

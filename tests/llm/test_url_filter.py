@@ -60,3 +60,9 @@ def test_one_url_on_most_rows_and_empty_table(spark):
 def test_other_default(spark):
     df = spark.createDataFrame([(1, "http://x.net/")], "page_id long, url string")
     assert url_filter(df, rule_table(spark, RULES), default="block").first().verdict == "block"
+
+
+def test_only_ascii_letters_of_hosts_are_folded(spark):
+    df = spark.createDataFrame([(1, "http://É.com/x"), (2, "http://é.com/x"), (3, "http://www.AÉ.com/x")], "page_id long, url string")
+    out = url_filter(df, rule_table(spark, [("block", "É.com", "/"), ("block", "aÉ.COM", "/")]), url="url").collect()
+    assert {r.page_id: r.verdict for r in out} == {1: "block", 2: "allow", 3: "block"}

@@ -102,6 +102,7 @@ def number(
     order_by: list[str],
     rule: Release,
     chunks: int | None = None,
+    tell_closed: bool = True,
     then: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Prepared rows with their positions and groups."""
@@ -112,7 +113,7 @@ def number(
     return number_groups(
         rows, keys, order_by, count="__size" if told else rule.count, runs="__size" if told else None,
         closes="__ends" if rule.closes is not None else None,
-        gap=F.col("__gap") if isinstance(rule.gap, Column) else rule.gap, time=rule.time, chunks=chunks, then=then,
+        gap=F.col("__gap") if isinstance(rule.gap, Column) else rule.gap, time=rule.time, chunks=chunks, tell_closed=tell_closed, then=then,
     )
 
 
@@ -128,7 +129,8 @@ def emit(
 ) -> DataFrame:
     """One row per group, per message or per page; open groups only with ``partial``."""
     names = [*keys, "group_start"]
-    if (rule.closes is not None or rule.reaches is not None) and not rule.bounded and not partial:
+    open_too = rule.bounded or partial or (rule.closes is None and rule.reaches is None)
+    if not open_too and "closed" in numbered.columns:
         numbered = numbered.filter("closed")
     picked = "__chosen" in numbered.columns
     fields = [*(sort_by or []), "position", "__payload", *(["__chosen"] if picked else [])]
@@ -139,7 +141,7 @@ def emit(
         facts = [F.count(F.lit(1)).alias("n")]
         if rule.size is not None:
             facts.append(F.max("__size").alias("__size"))
-        by_row = rule.closes is not None and rule.bounded
+        by_row = rule.closes is not None
         if by_row:
             facts.append(F.max("__ends").alias("__by_row"))
         made = [every] if output is None else [column.alias(name) for name, column in output.items()]
@@ -147,6 +149,8 @@ def emit(
         if rule.bounded and not partial:
             full = F.col("n") == rule.expected()
             groups = groups.filter(full | F.col("__by_row") if by_row else full)
+        elif by_row and not open_too:
+            groups = groups.filter("__by_row")
         return groups.select(*names, "n", *(output or [payloads]))
     # The totals come from the same rows, or pages, in full, so that Spark numbers them once for both.
     if list_rows is None:
@@ -209,7 +213,9 @@ def aggregate(
             numbered, keys, rule, output=output, partial=partial or gap is not None, list_rows=list_rows, sort_by=sort_by
         )
 
-    return number(rows, keys, order_by, rule, chunks, then=released)
+    # Groups that become one row tell themselves whether a closing message is among theirs.
+    one_row = output is not None or rule.bounded
+    return number(rows, keys, order_by, rule, chunks, tell_closed=not one_row, then=released)
 
 
 def aggregate_sequence(

@@ -106,6 +106,7 @@ def number_groups(
     time: str | None = None,
     runs: str | Column | None = None,
     chunks: int | None = None,
+    tell_closed: bool = True,
     then: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add ``position``, ``group_start``, ``group_pos`` (and ``closed``) per key.
@@ -114,7 +115,8 @@ def number_groups(
     before a row whose ``time`` lies more than ``gap`` after the row before (an
     interval as text, or one computed from the row before), and where the value of
     ``runs`` changes. ``group_start`` is the position of a group's first row and
-    names the group; ``closed`` tells whether a closing row ends the group.
+    names the group; ``closed`` tells whether a closing row ends the group, unless
+    ``tell_closed`` is false, as where groups are summed up and it can be seen there.
     ``order_by`` must be a total order within a key, ``keys`` may be empty. There are
     as many chunks as the session has shuffle partitions, unless ``chunks`` says
     otherwise. The frame is read once for the borders, once for what crosses them,
@@ -162,7 +164,7 @@ def number_groups(
         first = [F.min_by(f"__{name}", "__row").alias(f"__first_{name}") for name in watched]
         last = [F.max_by(f"__{name}", "__row").alias(f"__last_{name}") for name in watched]
         facts += [*first, *last, F.max(F.when(F.col("__inner"), F.col("__row"))).alias("__inner")]
-    if closes is not None:
+    if closes is not None and tell_closed:
         facts.append(F.max(F.when(F.col("__closes"), F.col("__row"))).alias("__closing"))
     edges = rows.filter("__edge")
     carry = (numbered_in_chunk(edges) if watched else edges).groupBy(*part).agg(*facts)
@@ -177,7 +179,7 @@ def number_groups(
         own = F.coalesce(F.col("__offset") + F.col("__inner"), F.when(F.col("__begun"), F.col("__offset") + 1))
         carry = carry.withColumn("__own", own).withColumn("__before", F.max("__own").over(earlier))
         kept += ["__begun", "__before"]
-    if closes is not None:
+    if closes is not None and tell_closed:
         carry = carry.withColumn("__closing", F.max(F.col("__offset") + F.col("__closing")).over(of_key))
         kept.append("__closing")
     carry = carry.select(*[F.col(name).alias(f"__at_{name}") for name in part], *kept)
@@ -191,7 +193,7 @@ def number_groups(
         start = F.when(F.col("__row") == 1, F.coalesce("__begun", F.lit(True))).otherwise(F.col("__inner"))
         latest = F.max(F.when(start, F.col("position"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
         numbered = numbered.withColumn("__segment", F.coalesce(latest, F.col("__before")))
-    if closes is not None:
+    if closes is not None and tell_closed:
         ending = F.max(F.when(F.col("__closes"), F.col("position"))).over(Window.partitionBy(*part))
         ends = F.when(F.col("__edge"), F.col("__closing")).otherwise(ending)
         numbered = numbered.withColumn("closed", F.coalesce(F.col("__segment") <= ends, F.lit(False)))

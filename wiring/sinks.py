@@ -447,7 +447,7 @@ def shared_files(spark, sf_dir):
 @query(
     "table_upsert_buckets",
     """
-    WITH n AS (SELECT l_orderkey AS o_orderkey, l_shipmode AS o_orderpriority, l_extendedprice AS o_totalprice,
+    WITH n AS (SELECT l_orderkey AS o_orderkey, l_returnflag AS o_orderpriority, l_extendedprice AS o_totalprice,
         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM lineitem WHERE l_orderkey % 50 = 0)
     SELECT o.o_orderkey, coalesce(n.o_orderpriority, o.o_orderpriority) AS o_orderpriority, coalesce(n.o_totalprice, o.o_totalprice) AS o_totalprice
     FROM orders o LEFT JOIN n ON n.o_orderkey = o.o_orderkey AND n.rn = 1
@@ -459,7 +459,7 @@ def upsert_in_buckets(spark, sf_dir):
     columns = ["o_orderkey", "o_orderpriority", "o_totalprice"]
     tables.create_buckets(table(spark, sf_dir, "orders").select(*columns), path, ["o_orderkey"], 64)
     changes = table(spark, sf_dir, "lineitem").filter("l_orderkey % 50 = 0").selectExpr(
-        "l_orderkey AS o_orderkey", "l_shipmode AS o_orderpriority", "l_extendedprice AS o_totalprice", "l_linenumber", "l_partkey", "l_suppkey"
+        "l_orderkey AS o_orderkey", "l_returnflag AS o_orderpriority", "l_extendedprice AS o_totalprice", "l_linenumber", "l_partkey", "l_suppkey"
     )
     tables.upsert_buckets(
         spark, path, changes, ["o_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], 64, update_only=True

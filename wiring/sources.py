@@ -597,11 +597,11 @@ CAPPED = """
     WITH listed AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS r FROM events
                     WHERE event_type IN ('click', 'purchase', 'signup', 'view')),
     placed AS (
-      SELECT 'fair' AS reading, event_type, event_id, row_number() OVER (ORDER BY r, event_type) AS at FROM listed
+      SELECT 'fair' AS reading, event_type, event_id, row_number() OVER (ORDER BY r, event_type) AS place FROM listed
       UNION ALL
       SELECT 'one by one', event_type, event_id, row_number() OVER (ORDER BY event_type, r) FROM listed
     )
-    SELECT reading, (at - 1) // {cap} AS poll, event_type, event_id FROM placed WHERE at <= 2 * {cap}
+    SELECT reading, (place - 1) // {cap} AS poll, event_type, event_id FROM placed WHERE place <= 2 * {cap}
 """
 
 

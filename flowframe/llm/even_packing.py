@@ -2,7 +2,7 @@
 
 Documents become token ids and an end id. One longer than a window gives whole windows and
 a rest. Rests and shorter documents fall into groups of bounded size by a hash, and each
-group is dealt to as few windows as could hold it:
+group is dealt to hardly more windows than could hold it:
 
 * Each piece begins as a partition that has it in one window and nothing in the others.
 * The two partitions with the largest spread are merged, the fullest window of one with
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from flowframe.llm.base import pieces
 
 #: Pieces of a group on average, texts encoded at a time, and the smallest piece that is cut off on purpose.
-GROUP, TEXTS, SLIVER = 1_024, 128, 8
+GROUP, TEXTS, SLIVER = 512, 128, 8
 #: Words after which the older half of those kept is forgotten, and the longest of them; characters from which a part is cut further.
 WORDS, WORD_CHARS, SLICE_CHARS = 450_000, 64, 10_000
 
@@ -104,7 +104,8 @@ def difference(lengths: list[int], windows: int) -> list[list[int]]:
 def even_windows(lengths: list[int], capacity: int) -> list[Window]:
     """Windows of (item, start, length) with at most ``capacity`` units each, of nearly equal length."""
     parts = [(i, at, min(length - at, capacity)) for i, length in enumerate(lengths) for at in range(0, length, capacity)]
-    windows = pieces(sum(lengths), capacity)
+    # With a little room in each: windows that must all be full are out of reach.
+    windows = pieces(sum(lengths), capacity - capacity // 256)
     while True:
         held = difference([p[2] for p in parts], windows)
         exceeded = [(sum(parts[i][2] for i in window) - capacity, window) for window in held]

@@ -32,6 +32,8 @@ from flowframe.plans.ordered import number_groups
 BLOCK, SIDE, HEAD, FAN = 1_000_000, 1_024, 4, 64
 #: Texts taken from a batch and bytes of a text cut into words at a time, and vocabulary rows sent at a time.
 TEXTS, SLICE, ROWS = 256, 1 << 20, 50_000
+#: Blocks that share a bucket: the bucket's pairs are about those of so many blocks that lie outside of the head.
+SHARED = 4
 #: Ranked words that are broadcast: at most 1 million rows of some 40 bytes.
 FEW_RANKS = 1_000_000
 
@@ -392,6 +394,7 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", lea
     texts = blocks.filter("ids is not null").select("block", "lang", "ids", "n")
     vocabulary = blocks.filter("word is not null").select("block", "lang", "local", "word", "n")
     number = max(1, texts.agg(F.count_distinct("block")).first()[0])
+    buckets = pieces(number, SHARED)
 
     counted = written(vocabulary.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     totals = counted.groupBy("lang").agg(F.sum("n").alias("n"))
@@ -403,7 +406,7 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", lea
     local = local.select("block", "lang", "local", "rank").mapInArrow(_bundled, "block long, lang string, local binary, rank binary")
     first = written(
         _apart(texts).groupBy("block", "lang").cogroup(_apart(local.select("block", "lang", "local", "rank")).groupBy("block", "lang"))
-        .applyInArrow(_ranked_words(number), TILES), "pairs-of-words",
+        .applyInArrow(_ranked_words(buckets), TILES), "pairs-of-words",
     )
     pairs = written(by_rank(frequent_pairs(first, number, least), "a", ["i", "j"]), "pairs")
 
@@ -416,7 +419,7 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", lea
     keys = ["lang", "tile", "share"]
     told = _apart(asked).groupBy(*keys).cogroup(_apart(answers).groupBy(*keys)).applyInArrow(_returned, "block long, lang string, codes binary, ranks binary")
     symbols = first.filter("words is not null").select("block", "lang", "words", "known")
-    second = _apart(symbols).groupBy("block", "lang").cogroup(_apart(told).groupBy("block", "lang")).applyInArrow(_ranked_pairs(number), TILES)
+    second = _apart(symbols).groupBy("block", "lang").cogroup(_apart(told).groupBy("block", "lang")).applyInArrow(_ranked_pairs(buckets), TILES)
     triples = written(frequent_pairs(written(second, "pairs-of-pairs"), number, least).select("lang", F.col("i").alias("pair"), F.col("j").alias("k"), "a"), "triples")
 
     words = ranked.select("lang", F.col("rank").alias("w"), "word", F.col("n").alias("f"))

@@ -320,18 +320,18 @@ def _frequent(least: int):
 def frequent_pairs(level: DataFrame, blocks: int, least: int) -> DataFrame:
     """``lang``, ``tile``, ``code``, ranks ``i`` and ``j`` and count ``a`` of pairs that occur ``least`` times or more."""
     lists = level.filter("tile is not null").select("lang", "tile", "block", "codes", "counts")
-    shares = blocks
-    key = F.col("block")
-    while True:
+    lang_and_tile = ["lang", "tile"]
+    merged_lists = "lang string, tile long, share long, codes binary, counts binary"
+    # Buckets are of bounded size as they are; the tiles of the head are added up in a tree first.
+    head, key, shares = lists.filter("tile >= 0"), F.col("block"), blocks
+    while shares > FAN:
         shares = pieces(shares, FAN)
-        # Buckets are of bounded size as they are; the tiles of the head are added up in a tree.
-        share = F.when(F.col("tile") < 0, F.lit(0)).otherwise(F.pmod(F.xxhash64(key), F.lit(shares))).cast("long")
-        lists = lists.withColumn("share", share).groupBy("lang", "tile", "share").applyInArrow(
-            _merge, "lang string, tile long, share long, codes binary, counts binary"
-        )
+        head = head.withColumn("share", F.pmod(F.xxhash64(key), F.lit(shares))).groupBy(*lang_and_tile, "share").applyInArrow(_merge, merged_lists)
         key = F.col("share")
-        if shares == 1:
-            return lists.mapInArrow(_frequent(least), "lang string, tile long, code long, i long, j long, a long")
+    kept = [*lang_and_tile, "codes", "counts"]
+    both = head.select(*kept).unionByName(lists.filter("tile < 0").select(*kept)).withColumn("share", F.lit(0).cast("long"))
+    whole = both.groupBy(*lang_and_tile).applyInArrow(_merge, merged_lists)
+    return whole.mapInArrow(_frequent(least), "lang string, tile long, code long, i long, j long, a long")
 
 
 def _returned(lists: pa.Table, frequent: pa.Table) -> pa.Table:

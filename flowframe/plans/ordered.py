@@ -23,8 +23,8 @@ from flowframe.functions.columns import as_col
 BORDER_SAMPLE = 64
 
 
-def _borders(df: DataFrame, place: Column, chunks: int) -> DataFrame:
-    """One row: at most ``chunks`` places in order, picked by a hash of the place."""
+def _borders(df: DataFrame, place: Column, chunks: int, keys: list[str]) -> DataFrame:
+    """At most ``chunks`` places, picked by a hash of the place, as one list in order for each key (named ``__k0``, ...)."""
     code = F.xxhash64(place)
     picked = (
         df.select(place.alias("place"), code.alias("code"))
@@ -32,19 +32,23 @@ def _borders(df: DataFrame, place: Column, chunks: int) -> DataFrame:
         .groupBy(F.pmod("code", F.lit(chunks)).alias("bucket"))
         .agg(F.min_by("place", "code").alias("place"))
     )
-    return picked.groupBy(F.lit(0).alias("one")).agg(F.array_sort(F.collect_list("place")).alias("places")).select("places")
+    names = [name for name in picked.schema["place"].dataType.names if name not in keys]
+    listed = picked.select(*[F.col(f"place.{k}").alias(f"__{k}") for k in keys], F.struct(*[F.col(f"place.{n}").alias(n) for n in names]).alias("own"))
+    return listed.groupBy(*[f"__{k}" for k in keys] or [F.lit(0).alias("one")]).agg(F.array_sort(F.collect_list("own")).alias("__borders")).select(
+        *[f"__{k}" for k in keys], "__borders"
+    )
 
 
 def _borders_before(chunks: int) -> Column:
-    """How many of the borders lie at or before a row's place: halving, so as many steps as the number has bits."""
-    count = F.coalesce(F.size("__borders"), F.lit(0))
+    """How many of its key's borders lie at or before a row: halving, so as many steps as the number has bits."""
+    count = F.size("__borders")
 
     def further(at: Column, step: Column) -> Column:
         reached = at + step
         return F.when((reached <= count) & (F.get("__borders", reached - 1) <= F.col("__place")), reached).otherwise(at)
 
     steps = F.array(*[F.lit(1 << bit) for bit in range(chunks.bit_length() - 1, -1, -1)])
-    return F.when(F.col("__borders").isNull(), 0).otherwise(F.aggregate(steps, F.lit(0), further))
+    return F.aggregate(steps, F.lit(0), further)
 
 
 def _all(tests: list[Column]) -> Column:
@@ -55,17 +59,20 @@ def _all(tests: list[Column]) -> Column:
 
 
 def _placed(rows: DataFrame, df: DataFrame, keys: list[str], order_by: list[str], chunks: int) -> DataFrame:
-    """The rows with their ``__chunk``, and whether their key is that of a border (``__edge``)."""
+    """The rows with their ``__chunk`` among those of their key, and whether their key is that of a border (``__edge``)."""
     place = F.struct(*(F.col(k).alias(f"k{i}") for i, k in enumerate(keys)), *(F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)))
-    # The borders are a bounded list of places: Spark computes it once and takes it as a constant.
-    borders = _borders(df, place, chunks).scalar()
-    rows = rows.withColumn("__place", place).withColumn("__borders", borders)
-    rows = rows.withColumn("__chunk", _borders_before(chunks))
-    at_border = F.lit(False)
-    for nearest in (F.get("__borders", F.col("__chunk") - 1), F.get("__borders", F.col("__chunk"))):
-        same = _all([nearest[f"k{i}"].eqNullSafe(F.col("__place")[f"k{i}"]) for i in range(len(keys))])
-        at_border = at_border | (nearest.isNotNull() & same)
-    return rows.withColumn("__edge", F.coalesce(at_border, F.lit(False))).drop("__place", "__borders")
+    own = F.struct(*(F.col(c).alias(f"o{i}") for i, c in enumerate(order_by)))
+    rows = rows.withColumn("__place", own)
+    if not keys:
+        # All rows are of one key. Its borders are a bounded list: Spark computes it once and takes it as a constant.
+        rows = rows.withColumn("__borders", _borders(df, place, chunks, []).scalar())
+    else:
+        # At most as many rows as chunks; most rows are of a key without a border, and done with the look-up.
+        borders = F.broadcast(_borders(df, place, chunks, [f"k{i}" for i in range(len(keys))]))
+        same = _all([F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+        rows = rows.join(borders, same, "left").drop(*(f"__k{i}" for i in range(len(keys))))
+    chunk = F.when(F.col("__borders").isNull(), 0).otherwise(_borders_before(chunks))
+    return rows.withColumns({"__chunk": chunk, "__edge": F.col("__borders").isNotNull()}).drop("__place", "__borders")
 
 
 def running_totals(

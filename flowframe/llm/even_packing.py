@@ -30,7 +30,7 @@ from flowframe.llm.base import pieces
 #: Pieces of a group on average, texts encoded at a time, and the smallest piece that is cut off on purpose.
 GROUP, TEXTS, SLIVER = 512, 128, 8
 #: Words after which the older half of those kept is forgotten, and the longest of them; characters from which a part is cut further.
-WORDS, WORD_CHARS, SLICE_CHARS = 450_000, 64, 10_000
+WORDS, WORD_CHARS, SLICE_CHARS = 600_000, 64, 10_000
 
 # The byte-level pattern for words of printable ASCII, line feeds and the letters of Latin-1, and the
 # characters that stand for bytes which are not printable there.
@@ -142,8 +142,15 @@ def _single_spaces(text: str) -> bool:
     return BLANKS.search(text) is None
 
 
+def id_width(path: str, end_id: int) -> int:
+    """Bytes that hold every id of a tokenizer, and the end id."""
+    from tokenizers import Tokenizer
+
+    return 2 if max(Tokenizer.from_file(path).get_vocab_size() - 1, end_id) < 1 << 16 else 4
+
+
 class Encoder(dict):
-    """Token ids of whole texts as little-endian unsigned 32-bit integers.
+    """Token ids of whole texts as little-endian unsigned integers of ``width`` bytes.
 
     A space after any other character than white space always begins a new match of the
     tokenizer's pattern, so what stands between such spaces is encoded on its own. As a
@@ -152,10 +159,11 @@ class Encoder(dict):
     tokenizer's model; any other goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, width: int = 4):
         from tokenizers import Tokenizer, models, pre_tokenizers
 
         super().__init__()
+        self.kind, self.code = f"<u{width}", {2: "H", 4: "I"}[width]
         self.tokenizer = Tokenizer.from_file(path)
         plain = self.tokenizer.pre_tokenizer
         if not isinstance(plain, pre_tokenizers.ByteLevel) or plain.add_prefix_space or not plain.use_regex:
@@ -174,7 +182,7 @@ class Encoder(dict):
             letters = part.replace(" ", "Ġ").replace("\n", "Ċ")
         else:
             letters = part.encode().decode("latin-1").translate(LETTERS)
-        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
+        return array(self.code, [token.id for token in self.model.tokenize(letters)]).tobytes()
 
     def __missing__(self, word: str) -> bytes:
         found = self.older.get(word)
@@ -201,7 +209,7 @@ class Encoder(dict):
         """A part of a text through the tokenizer; a long one is cut at white space after something else."""
         slices = LONG.split(part) if len(part) > SLICE_CHARS else [part]
         ids = (self.tokenizer.encode_batch_fast([one], add_special_tokens=False)[0].ids for one in slices)
-        return b"".join(np.array(one, dtype="<u4").tobytes() for one in ids)
+        return b"".join(np.array(one, dtype=self.kind).tobytes() for one in ids)
 
     def encode(self, text: str) -> bytes:
         if len(self) > WORDS:
@@ -214,21 +222,21 @@ class Encoder(dict):
 
 
 #: One encoder per file and worker process, so that its words last for more than one task.
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int], Encoder] = {}
 
 
-def encoder_of(path: str) -> Encoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder_of(path: str, width: int) -> Encoder:
+    if (path, width) not in _ENCODERS:
+        _ENCODERS[path, width] = Encoder(path, width)
+    return _ENCODERS[path, width]
 
 
-def _cut(path: str, capacity: int, end_id: int):
+def _cut(path: str, capacity: int, end_id: int, width: int):
     """Tokens of each document in whole windows and a rest."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(path)
-        end, step = np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
+        encoder = encoder_of(path, width)
+        end, step = end_id.to_bytes(width, "little"), width * capacity
         met: dict[int, int] = {}
         for batch in batches:
             for low in range(0, batch.num_rows, TEXTS):
@@ -243,8 +251,8 @@ def _cut(path: str, capacity: int, end_id: int):
                     met[name] = met.get(name, -1) + 1
                     for at in range(0, len(ids), step):
                         rows.append(row)
-                        starts.append(at // 4)
-                        whole.append(len(ids) // 4)
+                        starts.append(at // width)
+                        whole.append(len(ids) // width)
                         data.append(ids[at:at + step])
                         copies.append(met[name])
                 yield pa.RecordBatch.from_arrays(
@@ -256,21 +264,22 @@ def _cut(path: str, capacity: int, end_id: int):
     return cut
 
 
-def _dealt(capacity: int):
+def _dealt(capacity: int, width: int):
     def deal(table: pa.Table) -> pa.Table:
         group = table["group"][0].as_py()
         keys, starts, whole, ids, copies = (table[c].to_pylist() for c in ("key", "start", "doc_tokens", "ids", "copy"))
         order = sorted(range(len(ids)), key=lambda i: (-len(ids[i]), zlib.crc32(ids[i]), starts[i], whole[i], repr(keys[i]), copies[i]))
-        full = [i for i in order if len(ids[i]) == 4 * capacity]
+        full = [i for i in order if len(ids[i]) == width * capacity]
         rest = order[len(full):]
         windows = [[(i, 0, capacity)] for i in full]
-        windows += [[(rest[i], at, n) for i, at, n in window] for window in even_windows([len(ids[i]) // 4 for i in rest], capacity)]
+        windows += [[(rest[i], at, n) for i, at, n in window] for window in even_windows([len(ids[i]) // width for i in rest], capacity)]
         rows, columns = [], [[] for _ in range(6)]
         for k, window in enumerate(windows):
             offset = 0
             for i, at, n in window:
+                part = np.frombuffer(ids[i], dtype=f"<u{width}", count=n, offset=width * at)
                 rows.append(i)
-                for column, x in zip(columns, (starts[i] + at, n, ids[i][4 * at:4 * (at + n)], whole[i], (group << 32) + k, offset), strict=True):
+                for column, x in zip(columns, (starts[i] + at, n, part.astype("<u4").tobytes(), whole[i], (group << 32) + k, offset), strict=True):
                     column.append(x)
                 offset += n
         kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
@@ -301,9 +310,10 @@ def pack_even(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text: str
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
     groups = pieces(max(size["n"], (size["bytes"] or 0) // (2 * capacity)), GROUP)
     kind = rows.schema["key"].dataType.simpleString()
-    cut = rows.mapInArrow(_cut(tokenizer, capacity, end_id), f"key {kind}, start long, doc_tokens long, ids binary, copy long")
+    width = id_width(tokenizer, end_id)
+    cut = rows.mapInArrow(_cut(tokenizer, capacity, end_id, width), f"key {kind}, start long, doc_tokens long, ids binary, copy long")
     group = F.pmod(F.xxhash64("key", F.crc32("ids"), "doc_tokens", "start", "copy"), F.lit(groups))
     dealt = cut.withColumn("group", group).groupBy("group").applyInArrow(
-        _dealt(capacity), f"key {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+        _dealt(capacity, width), f"key {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
     )
     return dealt.withColumnRenamed("key", key)

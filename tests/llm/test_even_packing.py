@@ -83,9 +83,11 @@ def test_ids_are_those_of_whole_texts():
     mixed = ["".join(rng.choice(["a", "the", " ", " ", "\n", "\t", ".", "'ll", "9", "ß", "　", "\u0085", "​", "🙂"]) for _ in range(60)) for _ in range(400)]
     common = ["".join(rng.choice(["a", "B", " ", " ", "\n", "'", "'s", "ll", "7", "é", "ÿ", "×", "!", "$$", "_", "\x7f"]) for _ in range(40)) for _ in range(600)]
     texts = TRICKY + mixed + common
-    encoder = e.Encoder(PATH)
+    encoder, narrow = e.Encoder(PATH), e.Encoder(PATH, e.id_width(PATH, 0))
+    assert (e.id_width(PATH, 0), e.id_width(PATH, 1 << 16)) == (2, 4)
     for text in texts:
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == plain_ids(text)[:-1], text
+        assert np.frombuffer(narrow.encode(text), "<u2").tolist() == plain_ids(text)[:-1], text
 
 
 def test_every_byte_has_its_letter():

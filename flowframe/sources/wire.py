@@ -168,6 +168,8 @@ def _split_lengths(df: DataFrame, width: int, payload: str, max_record: int) ->
 
 #: Bytes of a connection that one task cuts at a time.
 STREAM_BLOCK = 262_144
+#: Bytes of records, and of maps of blocks, that a task gathers before they leave it; and what a record costs beside its bytes.
+GATHERED, RECORD_COST = 4_000_000, 200
 
 
 def _blocks_of(df: DataFrame, keys: list[str], order_by: list[str], payload: str, block: int, back: int, ahead: int, chunks: int | None) -> DataFrame:
@@ -185,8 +187,10 @@ def _blocks_of(df: DataFrame, keys: list[str], order_by: list[str], payload: str
     return parts.groupBy("key", "block").agg(F.sort_array(F.collect_list(F.struct(low.alias("at"), piece.alias("piece")))).alias("pieces"))
 
 
-def _joined(pieces) -> tuple[int, bytes]:
-    return pieces[0]["at"], b"".join(one["piece"] for one in pieces)
+def _joined(batch, row: int) -> tuple[int, bytes]:
+    """Where the bytes of a block begin in its connection, and these bytes."""
+    at, piece = batch.column("pieces")[row].values.flatten()
+    return at[0].as_py(), b"".join(piece.to_pylist())
 
 
 def delimited_records(base: int, data: bytes, number: int, block: int, end: bytes, start: bytes, max_record: int):
@@ -313,41 +317,61 @@ def frame_split_stream(
     def records(found):
         import pyarrow as pa
 
+        kinds = (pa.int64(), pa.binary(), pa.string())
+
+        def as_batch(batch, held):
+            at, *columns = zip(*held, strict=True)
+            columns = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(at, pa.int64())), *columns], names=["key", "record_at", "payload", "record_error"])
+
         def cut(batches):
             for batch in batches:
-                rows = [(i, *one) for i in range(batch.num_rows) for one in found({name: batch.column(name)[i].as_py() for name in batch.schema.names if name != "key"})]
-                kinds = (pa.int64(), pa.binary(), pa.string())
-                columns = [pa.array([row[k + 1] for row in rows], kind) for k, kind in enumerate(kinds)]
-                at = pa.array([row[0] for row in rows], pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("key").take(at), *columns], names=["key", "record_at", "payload", "record_error"])
+                held, size = [], 0
+                for row in range(batch.num_rows):
+                    for one in found(batch, row):
+                        held.append((row, *one))
+                        size += len(one[1]) + RECORD_COST
+                        if size >= GATHERED:
+                            yield as_batch(batch, held)
+                            held, size = [], 0
+                if held:
+                    yield as_batch(batch, held)
 
         return cut
 
     if not width:
         made = blocks.mapInArrow(
-            records(lambda row: delimited_records(*_joined(row["pieces"]), row["block"], block, end, start, max_record)), out
+            records(lambda batch, row: delimited_records(*_joined(batch, row), batch.column("block")[row].as_py(), block, end, start, max_record)), out
         )
         return made.select("key.*", "record_at", "payload", "record_error")
 
     stored = kept(blocks, "captured")
+    at_once = max(GATHERED // (4 * (width + max_record + 1)), 1)
 
     def functions(batches):
         import pyarrow as pa
 
         for batch in batches:
-            made = []
-            for pieces in batch.column("pieces").to_pylist():
-                data = _joined(pieces)[1]
-                made.append(length_function(data, min(block, len(data)), width, max_record))
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("block"), pa.array(made, pa.binary())], names=["key", "block", "f"])
-
-    maps = kept(stored.mapInArrow(functions, f"{key}, block long, f binary"), "spans")
-    states, _ = entering_states(maps, _compose_lengths, _apply_length, (0).to_bytes(4, "little"))
+            for low in range(0, batch.num_rows, at_once):
+                part = batch.slice(low, at_once)
+                made = []
+                for row in range(part.num_rows):
+                    data = _joined(part, row)[1]
+                    made.append(length_function(data, min(block, len(data)), width, max_record))
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("block"), pa.array(made, pa.binary())], names=["key", "block", "f"])
+
+    # A connection of one block is read from its beginning, so that only those of more need maps.
+    large = stored.filter("block > 0").select(F.col("key").alias("large")).distinct()
+    several = stored.join(large, F.col("key") == F.col("large"), "left_semi")
+    maps = kept(several.mapInArrow(functions, f"{key}, block long, f binary"), "spans")
+    begin = (0).to_bytes(4, "little")
+    states, _ = entering_states(maps, _compose_lengths, _apply_length, begin)
     states = states.select(F.col("key").alias("__key"), F.col("block").alias("__block"), "state")
-    entered = stored.join(states, (F.col("key") == F.col("__key")) & (F.col("block") == F.col("__block"))).select("key", "pieces", "state")
+    entered = stored.join(states, (F.col("key") == F.col("__key")) & (F.col("block") == F.col("__block")), "left")
+    entered = entered.select("key", "pieces", F.coalesce("state", F.lit(bytearray(begin)).cast("binary")).alias("state"))
 
-    def of_block(row):
-        base, data = _joined(row["pieces"])
-        return length_records(base, data, min(block, len(data)), int.from_bytes(row["state"], "little"), width, max_record)
+    def of_block(batch, row):
+        base, data = _joined(batch, row)
+        return length_records(base, data, min(block, len(data)), int.from_bytes(batch.column("state")[row].as_py(), "little"), width, max_record)
 
     return entered.mapInArrow(records(of_block), out).select("key.*", "record_at", "payload", "record_error")

@@ -99,6 +99,43 @@ def test_maps_of_length_prefixes_against_a_loop():
         assert wire._apply_length(whole, (0).to_bytes(4, "little")) == state
 
 
+@pytest.mark.parametrize("encoding", ["LF", "L2"])
+def test_records_and_maps_leave_in_small_batches(spark, monkeypatch, encoding):
+    """What a task gathers does not grow with the blocks it is given, and only connections of several blocks need maps."""
+    import pyarrow as pa
+
+    from flowframe.plans import spans
+
+    sizes, mapped = spark.sparkContext.accumulator(0), []
+    monkeypatch.setattr(wire, "GATHERED", 4096)
+    whole = spans.entering_states
+
+    def seen(maps, *rest):
+        mapped.extend(maps.select("key.conn").distinct().collect())
+        return whole(maps, *rest)
+
+    monkeypatch.setattr(wire, "entering_states", seen)
+    frame = type(spark.range(0))
+    maps_in_arrow = frame.mapInArrow
+
+    def watched(df, function, schema):
+        def batches(rows):
+            for batch in function(rows):
+                assert isinstance(batch, pa.RecordBatch) and batch.num_rows <= 4096 // 200 + 1
+                sizes.add(1)
+                yield batch
+
+        return maps_in_arrow(df, batches, schema)
+
+    monkeypatch.setattr(frame, "mapInArrow", watched)
+    connections = {f"c{k}": [framed(b"%d" % i, encoding) for i in range(30)] for k in range(40)}
+    connections["long"] = [framed(b"x" * 20, encoding) * 10] * 5
+    got = split(spark, connections, encoding, max_record=40, block=300)
+    assert all([r[1] for r in got[f"c{k}"]] == [b"%d" % i for i in range(30)] for k in range(40))
+    assert [r[1] for r in got["long"]] == [b"x" * 20] * 50 and sizes.value > 40
+    assert [r["conn"] for r in mapped] == (["long"] if encoding == "L2" else [])
+
+
 def test_empty_frames_and_unknown_framings(spark):
     assert split(spark, {"a": [b"", None]}, "LF") == {"a": []} and split(spark, {"a": [None]}, "L4") == {"a": []}
     df = spark.createDataFrame([], "conn string, seq int, payload binary")

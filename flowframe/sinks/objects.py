@@ -156,7 +156,8 @@ def _publish(spark: SparkSession, folder: str, store: str) -> DataFrame:
     outcomes = scratch_path(spark, "outcomes")
     if lists:
         listed = spark.read.schema(LISTED).json(lists)
-        listed.repartition("path").mapInArrow(_move(store), result).write.parquet(outcomes)
+        # As many tasks move as have staged: the lists are small, and left to Spark one task would move all.
+        listed.repartition(len(lists), "path").mapInArrow(_move(store), result).write.parquet(outcomes)
     else:
         spark.createDataFrame([], result).write.parquet(outcomes)
     own.delete_dir(opened(store, folder)[1])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,12 +14,36 @@ from flowframe.plans.scratch import qualified, task_store
 from flowframe.plans.spans import kept
 
 
+#: What a file counts beside its bytes where small files are packed into tasks. Spark's own 4 MB makes a task of each 32 of them.
+OPEN_COST = 262_144
+
+
+def _packing(spark: SparkSession) -> SparkSession:
+    """A session with the settings of this one, whose readers pack very many small files into few tasks.
+
+    The cost of opening a file is a setting of the session that a reader belongs to, and is looked
+    up when rows are read, so it can not be set for a time.
+    """
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.files.openCostInBytes", min(OPEN_COST, spark._jsparkSession.sessionState().conf().filesOpenCostInBytes()))
+    return own
+
+
+def _taken(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Rows of the packing session as a frame of ``spark``; Spark drops the empty side of the union."""
+    none = [F.lit(None).cast(field.dataType).alias(field.name) for field in rows.schema]
+    return spark.range(1).filter("false").select(*none).unionByName(rows)
+
+
 def file_contents_scan(spark: SparkSession, path: str | list[str], *, glob: str | None = None) -> DataFrame:
     """One row per file: path, size, content type and all bytes as the payload."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = _packing(spark).read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select(
+    return _taken(spark, reader.load(path)).select(
         "path",
         F.col("modificationTime").alias("modified"),
         F.col("length").alias("size"),
@@ -26,19 +52,89 @@ def file_contents_scan(spark: SparkSession, path: str | list[str], *, glob: str
     )
 
 
-def _lines(spark: SparkSession, path: str | list[str], glob: str | None, charset: str) -> tuple[DataFrame, Column]:
-    """The reader's lines, and what makes a line's text of one."""
+#: Endings of files that only the line reader unpacks; some more do no harm.
+PACKED = r"[.](deflate|bz2|gz|lz4|snappy|zst|lzo|xz)$"
+
+
+def _lines(spark: SparkSession, path: str | list[str], glob: str | None, charset: str) -> tuple[DataFrame | None, DataFrame | None, Callable[[Column], Column]]:
+    """The line reader's lines with the place of their split, small files whole, and what makes text of a line's bytes.
+
+    The line reader sets itself up anew for each file, which takes longer than a small file's
+    reading. So files that are never split come whole, to be cut where they are read; if there
+    are no others, there are no lines of the reader, and files are listed once.
+    """
     reader = spark.read.option("recursiveFileLookup", "true")
+    own = _packing(spark).read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob is not None:
-        reader = reader.option("pathGlobFilter", glob)
-    value = F.col("value")
-    if charset.upper() not in ("UTF-8", "US-ASCII"):
+        reader, own = reader.option("pathGlobFilter", glob), own.option("pathGlobFilter", glob)
+    size, place = F.col("_metadata.file_size"), F.col("_metadata.file_path")
+    whole, large = None, None
+    if not charset.upper().startswith(("UTF-16", "UTF-32")):
+        most = min(OPEN_COST, spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+        large = (size > most) | place.rlike(PACKED)
+        found = own.load(path)
+        whole = _taken(spark, found.filter(~large).select(place.alias("path"), "content"))
+        if not found.filter(large).select("path").head(1):
+            return None, whole, _text(charset)
+    else:
+        reader = reader.option("encoding", charset).option("lineSep", "\n")
+    lines = reader.text(path)
+    lines = (lines if large is None else lines.filter(large)).select(
+        "value",
+        place.alias("path"),
+        F.col("_metadata.file_block_start").alias("split_start"),
+        size.alias("__file_size"),
+        (F.col("_metadata.file_block_length") == size).alias("__whole"),
+    )
+    return lines, whole, _text(charset)
+
+
+def _text(charset: str) -> Callable[[Column], Column]:
+    def text(value: Column) -> Column:
+        if charset.upper() in ("UTF-8", "US-ASCII"):
+            return value
         # The reader cuts lines by bytes and leaves their encoding alone.
         value = text_of(value.cast("binary"), charset)
-        if charset.upper().startswith(("UTF-16", "UTF-32")):
-            reader = reader.option("encoding", charset).option("lineSep", "\n")
-            value = F.regexp_replace(value, r"\r\z", "")
-    return reader.text(path), value
+        return F.regexp_replace(value, r"\r\z", "") if charset.upper().startswith(("UTF-16", "UTF-32")) else value
+
+    return text
+
+
+LINES = "path string, split_start bigint, payload string, line_no bigint, mark string"
+#: Bytes of lines that leave a task at a time, and what a line costs beside its bytes.
+GATHERED, LINE_COST = 4_000_000, 100
+
+
+def _lines_of_whole(marks: bool):
+    """The numbered lines of files that come whole, cut as the line reader cuts them; ``marks`` as in ``_line_numbers``."""
+
+    def cut(batches):
+        import pyarrow as pa
+
+        def as_batch(paths, payloads, numbers, kinds):
+            # Bytes stay as they are, whether they are good text or not.
+            columns = [pa.array(paths, pa.string()), pa.repeat(pa.scalar(0, pa.int64()), len(paths)), pa.array(payloads, pa.binary()).view(pa.string()), pa.array(numbers, pa.int64()), pa.array(kinds, pa.string())]
+            return pa.RecordBatch.from_arrays(columns, names=["path", "split_start", "payload", "line_no", "mark"])
+
+        for batch in batches:
+            held, size = ([], [], [], []), 0
+            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+                data = content.as_py()
+                lines = data.removeprefix(b"\xef\xbb\xbf").splitlines()
+                if not lines:
+                    continue
+                n = len(lines)
+                rows = ([None, *lines, None], range(n + 2), ["START", *[None] * n, "END"]) if marks else (lines, range(1, n + 1), [None] * n)
+                for column, values in zip(held, ([path.as_py()] * len(rows[0]), *rows), strict=True):
+                    column.extend(values)
+                size += len(data) + LINE_COST * n
+                if size >= GATHERED:
+                    yield as_batch(*held)
+                    held, size = ([], [], [], []), 0
+            if held[0]:
+                yield as_batch(*held)
+
+    return cut
 
 
 def _line_headers() -> Column:
@@ -58,17 +154,15 @@ def file_lines_scan(
     Within a file ``(split_start, line_id)`` gives the order; ``numbered`` adds the
     1-based ``line_no`` (see ``_counted``). Neither shuffles the lines.
     """
-    lines, value = _lines(spark, path, glob, charset)
+    lines, whole, text = _lines(spark, path, glob, charset)
+    columns = ["path", "split_start", F.monotonically_increasing_id().alias("line_id"), "payload", _line_headers()]
     if numbered:
-        rows = _counted(lines, value, marks=False)
-        return rows.select("path", "split_start", F.monotonically_increasing_id().alias("line_id"), "payload", _line_headers(), "line_no")
-    return lines.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("split_start"),
-        F.monotonically_increasing_id().alias("line_id"),
-        value.alias("payload"),
-        _line_headers(),
-    )
+        return _counted(lines, whole, text, marks=False).select(*columns, "line_no")
+    rows = None if lines is None else lines.select("path", "split_start", text(F.col("value")).alias("payload"))
+    if whole is not None:
+        cut = whole.mapInArrow(_lines_of_whole(False), LINES).select("path", "split_start", text(F.col("payload")).alias("payload"))
+        rows = cut if rows is None else rows.unionByName(cut)
+    return rows.select(*columns)
 
 
 def file_lines_with_markers(spark: SparkSession, path: str | list[str], *, glob: str | None = None, charset: str = "UTF-8") -> DataFrame:
@@ -76,8 +170,7 @@ def file_lines_with_markers(spark: SparkSession, path: str | list[str], *, glob:
 
     Rows are in order by (path, seq). The marks come out of the same reading as the lines.
     """
-    lines, value = _lines(spark, path, glob, charset)
-    rows = _counted(lines, value, marks=True)
+    rows = _counted(*_lines(spark, path, glob, charset), marks=True)
     mark = F.when(F.col("mark") == "START", marker_json("path", "START", F.lit(0))).when(
         F.col("mark") == "END", marker_json("path", "END", F.col("line_no") - 1)
     )
@@ -88,7 +181,7 @@ def file_lines_with_markers(spark: SparkSession, path: str | list[str], *, glob:
 FEW_SPLITS = 100_000
 
 
-def _counted(lines: DataFrame, value: Column, *, marks: bool) -> DataFrame:
+def _counted(lines: DataFrame | None, whole: DataFrame | None, text: Callable[[Column], Column], *, marks: bool) -> DataFrame:
     """The lines with ``line_no``, and rows with a ``mark`` if wanted; no line is shuffled.
 
     A task counts the lines of each split as it reads them. Only files read in several
@@ -96,22 +189,20 @@ def _counted(lines: DataFrame, value: Column, *, marks: bool) -> DataFrame:
     are one small row per split. Files too small to be split are left out of that count
     when files are listed.
     """
+    if whole is not None:
+        numbered = whole.mapInArrow(_lines_of_whole(marks), LINES).withColumn("payload", text(F.col("payload")))
+        return numbered if lines is None else numbered.unionByName(_counted(lines, None, text, marks=marks))
     spark = lines.sparkSession
     settings = spark._jsparkSession.sessionState().conf()
     never_cut = min(settings.filesMaxPartitionBytes(), settings.filesOpenCostInBytes())
     at = ["path", "split_start"]
-    known = lines.withColumns({
-        "path": F.col("_metadata.file_path"), "split_start": F.col("_metadata.file_block_start"),
-        "__whole": F.col("_metadata.file_block_length") == F.col("_metadata.file_size"),
-    })
-    cut = known.filter((F.col("_metadata.file_size") > never_cut) & ~F.col("__whole"))
+    cut = lines.filter((F.col("__file_size") > never_cut) & ~F.col("__whole"))
     before = Window.partitionBy("path").orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
     counts = cut.groupBy(*at).agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
     counts = kept(counts, "splits")
     number = counts.count()
-    read = known.select(*at, "__whole", value.alias("payload"))
-    schema = "path string, split_start bigint, payload string, line_no bigint, mark string"
-    rows = read.mapInArrow(_line_numbers(marks), schema)
+    read = lines.select(*at, "__whole", text(F.col("value")).alias("payload"))
+    rows = read.mapInArrow(_line_numbers(marks), LINES)
     if number:
         offsets = counts.select(*[F.col(name).alias(f"__{name}") for name in at], "before")
         offsets = F.broadcast(offsets) if number <= FEW_SPLITS else offsets
@@ -209,10 +300,10 @@ def file_ref_listing(
 
     ``sort_by`` is FILENAME or MTIME. Spark does not report access times.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    reader = _packing(spark).read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path).select(
+    files = _taken(spark, reader.load(path)).select(
         "path",
         F.element_at(F.split("path", "/"), -1).alias("name"),
         F.col("length").alias("size"),

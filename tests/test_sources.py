@@ -59,6 +59,44 @@ def test_line_numbers_over_many_splits(spark, tmp_path, monkeypatch):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_small_files_are_packed_into_few_tasks(spark, tmp_path):
+    for k in range(300):
+        put(tmp_path, f"{k}.txt", f"a {k}\nb\n")
+    where, before = str(tmp_path), spark.conf.get("spark.sql.files.openCostInBytes")
+    wanted = [
+        files.file_lines_scan(spark, where), files.file_lines_scan(spark, where, numbered=True),
+        files.file_lines_with_markers(spark, where), files.file_contents_scan(spark, where), files.file_ref_listing(spark, where),
+    ]
+    for rows, n in zip(wanted, (600, 600, 1200, 300, 300), strict=True):
+        assert rows.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism and rows.count() == n
+        assert rows.sparkSession is spark and "Union" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def test_small_files_are_cut_as_large_ones(spark, tmp_path, monkeypatch):
+    """Line ends of all kinds, bytes that are no text, a mark at the beginning, packed and empty files."""
+    import gzip
+
+    for name, data in {
+        "a.txt": b"one\r\ntwo\rthree\n\nend", "b.txt": b"\xef\xbb\xbfx\n", "c.txt": b"\xff\xfe\n\x0b\x0c\x1c\xc2\x85", "d.txt": b"", "e.txt": b"\n",
+        "g.txt.gz": gzip.compress(b"p\nq\n"), "h i.txt": b"\n\r\n\n\rz\r",
+    }.items():
+        put(tmp_path, name, data)
+
+    def read():
+        lines = files.file_lines_scan(spark, str(tmp_path)).select("path", F.hex("payload").alias("payload"))
+        numbered = files.file_lines_scan(spark, str(tmp_path), numbered=True).select("path", "line_no", F.hex("payload").alias("payload"))
+        marked = files.file_lines_with_markers(spark, str(tmp_path)).select("path", "seq", F.hex("payload").alias("payload"))
+        latin = files.file_lines_scan(spark, str(tmp_path), charset="ISO-8859-1", numbered=True).select("path", "line_no", "payload")
+        return [sorted(map(tuple, rows.collect())) for rows in (lines, numbered, marked, latin)]
+
+    small = read()
+    assert [(r[0].rsplit("/", 1)[1], r[1]) for r in small[1] if r[0].endswith(".gz")] == [("g.txt.gz", 1), ("g.txt.gz", 2)]
+    monkeypatch.setattr(files, "OPEN_COST", -1)
+    monkeypatch.setattr(files, "_packing", lambda session: session)
+    assert read() == small
+
+
 def test_numbering_shuffles_no_lines(spark, tmp_path):
     for k in range(40):
         put(tmp_path, f"f{k}.txt", "".join(f"{k} {i}\n" for i in range(k)))

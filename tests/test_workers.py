@@ -55,6 +55,21 @@ def test_archive_expand(spark):
     assert sorted((r["path"], r["entry"], r["payload"]) for r in broken.collect()) == [("cut.zip", None, None), ("none.zip", None, None)]
 
 
+def test_archives_leave_in_small_batches():
+    """What a task gathers does not grow with the batch it is given."""
+    import pyarrow as pa
+
+    from wiring import functions
+
+    texts = ["x" * 100_000] * 130
+    given = pa.RecordBatch.from_arrays([pa.array(range(130)), pa.array(texts), pa.array(["en"] * 130)], names=["doc_id", "text", "lang"])
+    out = list(functions.packed(iter([given])))
+    assert len(out) > 2 and all(batch.nbytes < functions.ARCHIVES + 200_000 for batch in out)
+    blobs = [blob for batch in out for blob in batch.column("payload").to_pylist()]
+    assert len(blobs) == 130 and len(blobs[3]) == 20
+    assert zipfile.ZipFile(io.BytesIO(blobs[4])).read("body.txt").decode() == texts[4]
+
+
 def test_image_inference(spark):
     def load():
         return lambda image: (json.dumps([{"className": "c", "probability": len(image) / 10}]), b"drawn" if len(image) > 2 else None)

@@ -606,6 +606,39 @@ def prediction(spark, sf_dir):
     )
 
 
+#: Bytes of archives that a task gathers before they leave it.
+ARCHIVES = 4_000_000
+
+
+def packed(batches):
+    """Each document as a zip file of its text and language, one in ten cut off."""
+    import io
+    import zipfile
+
+    import pyarrow as pa
+
+    def as_batch(held):
+        columns = [pa.array(column, kind) for column, kind in zip(zip(*held, strict=True), (pa.string(), pa.string(), pa.binary()), strict=True)]
+        return pa.RecordBatch.from_arrays(columns, names=["path", "tag", "payload"])
+
+    for batch in batches:
+        held, size = [], 0
+        for doc, text, lang in zip(*(batch.column(name) for name in ("doc_id", "text", "lang")), strict=True):
+            doc, lang = doc.as_py(), lang.as_py()
+            blob = io.BytesIO()
+            with zipfile.ZipFile(blob, "w") as archive:
+                archive.writestr("body.txt", text.as_py())
+                archive.writestr("meta/lang.txt", lang)
+            # One in ten is cut off and so no archive any more.
+            held.append((f"{doc}.zip", lang, blob.getvalue()[: 20 if doc % 10 == 3 else None]))
+            size += len(held[-1][2])
+            if size >= ARCHIVES:
+                yield as_batch(held)
+                held, size = [], 0
+        if held:
+            yield as_batch(held)
+
+
 @query(
     "archive_expand",
     """
@@ -618,25 +651,8 @@ def prediction(spark, sf_dir):
     """,
 )
 def archives(spark, sf_dir):
-    def pack(batches):
-        import io
-        import zipfile
-
-        import pandas as pd
-
-        for batch in batches:
-            blobs = []
-            for doc, text, lang in zip(batch["doc_id"], batch["text"], batch["lang"]):
-                blob = io.BytesIO()
-                with zipfile.ZipFile(blob, "w") as archive:
-                    archive.writestr("body.txt", text)
-                    archive.writestr("meta/lang.txt", lang)
-                # One in ten is cut off and so no archive any more.
-                blobs.append(blob.getvalue()[: 20 if doc % 10 == 3 else None])
-            yield pd.DataFrame({"path": batch["doc_id"].astype(str) + ".zip", "tag": batch["lang"], "payload": blobs})
-
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    entries = archive_expand(docs.mapInPandas(pack, "path string, tag string, payload binary"))
+    entries = archive_expand(docs.mapInArrow(packed, "path string, tag string, payload binary"))
     return entries.select(
         "path", "tag", "entry_no", "entry", F.decode("payload", "UTF-8").alias("payload"), F.col("error").isNotNull().alias("broken")
     )

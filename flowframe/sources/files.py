@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from flowframe.functions.patterns import ant_to_regex, full_match
 from flowframe.operators.split import marker_json
 from flowframe.plans.scratch import qualified, task_store
 from flowframe.plans.spans import kept
+from flowframe.sources.listing import listed_facts, listed_files, read_listed
 
 
 #: What a file counts beside its bytes where small files are packed into tasks. Spark's own 4 MB makes a task of each 32 of them.
@@ -38,30 +39,54 @@ def _taken(spark: SparkSession, rows: DataFrame) -> DataFrame:
     return spark.range(1).filter("false").select(*none).unionByName(rows)
 
 
+CONTENTS = "path string, modified timestamp, size bigint, payload binary"
+
+
+def _contents(batches):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        data = batch.column("content")
+        columns = [batch.column("path"), batch.column("modified"), pc.binary_length(data).cast(pa.int64()), data]
+        yield pa.RecordBatch.from_arrays(columns, names=["path", "modified", "size", "payload"])
+
+
 def file_contents_scan(spark: SparkSession, path: str | list[str], *, glob: str | None = None) -> DataFrame:
-    """One row per file: path, size, content type and all bytes as the payload."""
+    """One row per file: path, size, content type and all bytes as the payload.
+
+    Files are listed in tasks where these have a store for the path, and small ones read there; large ones come by Spark's reader.
+    """
     reader = _packing(spark).read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
-    return _taken(spark, reader.load(path)).select(
-        "path",
-        F.col("modificationTime").alias("modified"),
-        F.col("length").alias("size"),
-        F.col("content").alias("payload"),
-        F.create_map(F.lit("contentType"), F.lit("application/octet-stream")).alias("headers"),
-    )
+    columns = ["path", F.col("modificationTime").alias("modified"), F.col("length").alias("size"), F.col("content").alias("payload")]
+    listed = listed_files(spark, path, glob)
+    if listed is None:
+        files = _taken(spark, reader.load(path)).select(*columns)
+    else:
+        small = F.col("size") <= OPEN_COST
+        facts = listed_facts(listed, small)
+        files = read_listed(listed.filter(small), facts, _contents, CONTENTS)
+        if facts["others"]:
+            files = files.unionByName(_taken(spark, reader.load(path).filter(F.col("length") > OPEN_COST)).select(*columns))
+    return files.select("*", F.create_map(F.lit("contentType"), F.lit("application/octet-stream")).alias("headers"))
 
 
 #: Endings of files that only the line reader unpacks; some more do no harm.
 PACKED = r"[.](deflate|bz2|gz|lz4|snappy|zst|lzo|xz)$"
 
 
-def _lines(spark: SparkSession, path: str | list[str], glob: str | None, charset: str) -> tuple[DataFrame | None, DataFrame | None, Callable[[Column], Column]]:
-    """The line reader's lines with the place of their split, small files whole, and what makes text of a line's bytes.
+Whole = Callable[[Callable[[Iterator], Iterator]], DataFrame]
+
+
+def _lines(spark: SparkSession, path: str | list[str], glob: str | None, charset: str) -> tuple[DataFrame | None, Whole | None, Callable[[Column], Column]]:
+    """The line reader's lines with the place of their split, what cuts small files that come whole, and what makes text of a line's bytes.
 
-    By the line reader a small file takes several times as long as by the reader of whole
+    By the line reader a small file takes several times as long as by a reader of whole
     files. So files that are never split come whole, to be cut where they are read; if there
-    are no others, there are no lines of the reader, and files are listed once.
+    are no others, there are no lines of the reader, and files are listed once: in tasks, if
+    these have a store for the path.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
     own = _packing(spark).read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -72,9 +97,18 @@ def _lines(spark: SparkSession, path: str | list[str], glob: str | None, charset
     if not charset.upper().startswith(("UTF-16", "UTF-32")):
         most = min(OPEN_COST, spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
         large = (size > most) | place.rlike(PACKED)
-        found = own.load(path)
-        whole = _taken(spark, found.filter(~large).select(place.alias("path"), "content"))
-        if not found.filter(large).select("path").head(1):
+        listed = listed_files(spark, path, glob)
+        if listed is not None:
+            small = (F.col("size") <= most) & ~F.col("path").rlike(PACKED)
+            facts = listed_facts(listed, small)
+            whole = lambda cut: read_listed(listed.filter(small), facts, cut, LINES)
+            split = facts["others"] > 0
+        else:
+            found = own.load(path)
+            contents = _taken(spark, found.filter(~large).select(place.alias("url"), "content"))
+            whole = lambda cut: contents.mapInArrow(cut, LINES)
+            split = bool(found.filter(large).select("path").head(1))
+        if not split:
             return None, whole, _text(charset)
     else:
         reader = reader.option("encoding", charset).option("lineSep", "\n")
@@ -118,7 +152,7 @@ def _lines_of_whole(marks: bool):
 
         for batch in batches:
             held, size = ([], [], [], []), 0
-            for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
+            for path, content in zip(batch.column("url"), batch.column("content"), strict=True):
                 data = content.as_py()
                 lines = data.removeprefix(b"\xef\xbb\xbf").splitlines()
                 if not lines:
@@ -160,7 +194,7 @@ def file_lines_scan(
         return _counted(lines, whole, text, marks=False).select(*columns, "line_no")
     rows = None if lines is None else lines.select("path", "split_start", text(F.col("value")).alias("payload"))
     if whole is not None:
-        cut = whole.mapInArrow(_lines_of_whole(False), LINES).select("path", "split_start", text(F.col("payload")).alias("payload"))
+        cut = whole(_lines_of_whole(False)).select("path", "split_start", text(F.col("payload")).alias("payload"))
         rows = cut if rows is None else rows.unionByName(cut)
     return rows.select(*columns)
 
@@ -181,7 +215,7 @@ def file_lines_with_markers(spark: SparkSession, path: str | list[str], *, glob:
 FEW_SPLITS = 100_000
 
 
-def _counted(lines: DataFrame | None, whole: DataFrame | None, text: Callable[[Column], Column], *, marks: bool) -> DataFrame:
+def _counted(lines: DataFrame | None, whole: Whole | None, text: Callable[[Column], Column], *, marks: bool) -> DataFrame:
     """The lines with ``line_no``, and rows with a ``mark`` if wanted; no line is shuffled.
 
     A task counts the lines of each split as it reads them. Only files read in several
@@ -190,7 +224,7 @@ def _counted(lines: DataFrame | None, whole: DataFrame | None, text: Callable[[C
     when files are listed.
     """
     if whole is not None:
-        numbered = whole.mapInArrow(_lines_of_whole(marks), LINES).withColumn("payload", text(F.col("payload")))
+        numbered = whole(_lines_of_whole(marks)).withColumn("payload", text(F.col("payload")))
         return numbered if lines is None else numbered.unionByName(_counted(lines, None, text, marks=marks))
     spark = lines.sparkSession
     settings = spark._jsparkSession.sessionState().conf()
@@ -300,15 +334,13 @@ def file_ref_listing(
 
     ``sort_by`` is FILENAME or MTIME. Spark does not report access times.
     """
-    reader = _packing(spark).read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob is not None:
-        reader = reader.option("pathGlobFilter", glob)
-    files = _taken(spark, reader.load(path)).select(
-        "path",
-        F.element_at(F.split("path", "/"), -1).alias("name"),
-        F.col("length").alias("size"),
-        F.col("modificationTime").alias("modified"),
-    )
+    found = listed_files(spark, path, glob)
+    if found is None:
+        reader = _packing(spark).read.format("binaryFile").option("recursiveFileLookup", "true")
+        if glob is not None:
+            reader = reader.option("pathGlobFilter", glob)
+        found = _taken(spark, reader.load(path)).select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+    files = found.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "size", "modified")
     if sort_by is None:
         return files
     column = {"FILENAME": "name", "MTIME": "modified"}[sort_by.upper()]

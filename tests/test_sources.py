@@ -97,6 +97,43 @@ def test_small_files_are_cut_as_large_ones(spark, tmp_path, monkeypatch):
     assert read() == small
 
 
+def test_listing_in_tasks_is_that_of_the_readers(spark, tmp_path, monkeypatch):
+    """Hidden, empty, packed and large files, odd names, folders in folders, patterns: all as Spark's own readers have them."""
+    root = tmp_path / "r"
+    names = ["a.txt", "b c.txt", "ü é.txt", "x%41.txt", "p+q&r.txt", "n;m,o.txt", "#h?.txt", "it's~(1).txt", "_no.txt", "_k=v/in.txt", "_no/in.txt", ".no/in.txt", ".no.txt",
+             "d=1/e f/g.txt", "d=1/e f/h.csv", "w._COPYING_", "_metadata/m.txt", "_metadata.txt", "nb sp.txt", "deep/er/and/er/z.txt"]
+    for name in names:
+        put(root, name, f"{name}\nend")
+    put(root, "large.txt", "line\n" * 60_000)
+    os.symlink(root / "a.txt", root / "link.txt")
+    os.symlink(root / "d=1", root / "linked")
+    (root / "none").mkdir()
+
+    def read():
+        whole = files.file_contents_scan(spark, str(root))
+        listing = files.file_ref_listing(spark, [str(root / "d=1"), str(root / "deep")], glob="{a,b c,[g-n]*,z}.t?t")
+        lines = files.file_lines_with_markers(spark, str(root), glob="[a-h]*")
+        return [whole.schema.simpleString(), listing.schema.simpleString(), *(sorted(map(repr, rows.collect())) for rows in (whole, listing, lines))]
+
+    here = read()
+    assert len(here[2]) > 15
+    # Spark passes over files without bytes; here they are files like others.
+    put(root, "none/empty.txt", "")
+    assert [r["size"] for r in files.file_contents_scan(spark, str(root / "none")).collect()] == [0]
+    monkeypatch.setattr(files, "listed_files", lambda *_: None)
+    assert here == read()
+
+
+def test_files_are_not_listed_on_the_driver(spark, tmp_path):
+    for k in range(50):
+        put(tmp_path, f"d{k % 3}/{k}.txt", f"{k}\n")
+    for scan, n in ((files.file_contents_scan, 50), (files.file_lines_scan, 50), (files.file_lines_with_markers, 150), (files.file_ref_listing, 50)):
+        rows = scan(spark, str(tmp_path))
+        assert rows.count() == n and not any(one.endswith(".txt") for one in rows.inputFiles())
+        if scan is not files.file_ref_listing:
+            assert "FileScan" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
 def test_numbering_shuffles_no_lines(spark, tmp_path):
     for k in range(40):
         put(tmp_path, f"f{k}.txt", "".join(f"{k} {i}\n" for i in range(k)))

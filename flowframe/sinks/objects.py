@@ -40,6 +40,19 @@ def opened(store: str, uri: str):
     return getattr(importlib.import_module(module), name)(uri)
 
 
+class Below:
+    """Places below a root in its store, which is looked up once and not for each object."""
+
+    def __init__(self, store: str, root: str):
+        self.root = root
+        self.store, self.base = opened(store, root)
+
+    def place(self, uri: str) -> str:
+        if not uri.startswith(f"{self.root}/"):
+            raise ValueError(f"{uri} is not below {self.root}")
+        return self.base.rstrip("/") + uri[len(self.root) :]
+
+
 @dataclass
 class Staged(WriterCommitMessage):
     """Where one task's list of staged objects lies."""
@@ -58,6 +71,8 @@ class StageWriter(DataSourceArrowWriter):
         from pyarrow import fs
 
         own = f"{self.folder}/{uuid.uuid4().hex}"
+        root = Below(self.store, self.folder.rsplit("/", 1)[0])
+        store = root.store
         listed, out, current, made = [], None, None, False
         for batch in iterator:
             for uri, data, facts in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
@@ -66,7 +81,7 @@ class StageWriter(DataSourceArrowWriter):
                         out.close()
                     out, current = None, {"path": uri, "staged": None, "rows": 0, "size": 0, "outcome": "written"}
                     listed.append(current)
-                    store, target = opened(self.store, uri)
+                    target = root.place(uri)
                     there = self.exists != "replace" and store.get_file_info(target).type != fs.FileType.NotFound
                     if there and self.exists == "fail":
                         raise FileExistsError(uri)
@@ -74,7 +89,7 @@ class StageWriter(DataSourceArrowWriter):
                         current["outcome"] = "ignored"
                     else:
                         current["staged"] = f"{own}/{len(listed)}"
-                        place = opened(self.store, current["staged"])[1]
+                        place = root.place(current["staged"])
                         if not made:
                             store.create_dir(place.rsplit("/", 1)[0], recursive=True)
                             made = True
@@ -92,7 +107,7 @@ class StageWriter(DataSourceArrowWriter):
             out.close()
         if not listed:
             return Staged(None)
-        store, place = opened(self.store, f"{own}/list.json")
+        place = root.place(f"{own}/list.json")
         store.create_dir(place.rsplit("/", 1)[0], recursive=True)
         with store.open_output_stream(place) as lines:
             for entry in listed:
@@ -124,24 +139,27 @@ class ObjectStage(DataSource):
         return StageWriter(dict(self.options))
 
 
-def _move(store_name: str):
+def _move(store_name: str, root: str):
     def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        made = set()
+        below, made = Below(store_name, root), set()
+        store = below.store
         for batch in batches:
             for uri, staged in zip(batch.column("path").to_pylist(), batch.column("staged").to_pylist(), strict=True):
                 if staged is None:
                     continue
-                store, target = opened(store_name, uri)
-                source = opened(store_name, staged)[1]
-                if store.get_file_info(source).type == fs.FileType.NotFound:
-                    continue
+                target, source = below.place(uri), below.place(staged)
                 folder = target.rsplit("/", 1)[0]
                 if folder not in made:
                     store.create_dir(folder, recursive=True)
                     made.add(folder)
-                store.move(source, target)
+                try:
+                    store.move(source, target)
+                except OSError:
+                    # What an earlier try has moved is gone.
+                    if store.get_file_info(source).type != fs.FileType.NotFound:
+                        raise
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("path", "rows", "size", "outcome")], names=["path", "rows", "size", "outcome"])
 
     return move
@@ -157,7 +175,7 @@ def _publish(spark: SparkSession, folder: str, store: str) -> DataFrame:
     if lists:
         listed = spark.read.schema(LISTED).json(lists)
         # As many tasks move as have staged: the lists are small, and left to Spark one task would move all.
-        listed.repartition(len(lists), "path").mapInArrow(_move(store), result).write.parquet(outcomes)
+        listed.repartition(len(lists), "path").mapInArrow(_move(store, folder.rsplit("/", 1)[0]), result).write.parquet(outcomes)
     else:
         spark.createDataFrame([], result).write.parquet(outcomes)
     own.delete_dir(opened(store, folder)[1])

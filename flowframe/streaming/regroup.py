@@ -71,7 +71,7 @@ def keyed_aggregate(
             T.StructField("payloads", T.ArrayType(T.StringType())),
         ]
     )
-    return rows.groupBy("key").transformWithStateInPandas(
+    return rows.groupBy("key").transformWithState(
         statefulProcessor=processor,
         outputStructType=out,
         outputMode="append",
@@ -93,37 +93,36 @@ def whole_groups(pieces: DataFrame) -> DataFrame:
 def _processor(count: int | None, idle: int | None, until, list_rows: int | None):
     import pickle
 
-    import pandas as pd
+    from pyspark.sql import Row
     from pyspark.sql.streaming import StatefulProcessor
 
+    def in_order(row):
+        """By the order columns, what has no value last."""
+        values = [value for name, value in row.asDict().items() if name.startswith("order")]
+        return [(True, None) if value is None or value != value else (False, value) for value in values]
+
     class Groups(StatefulProcessor):
-        """Open payloads per key, where their group starts, how long it is, and the time of the last message."""
+        """Open payloads per key, and one value beside them: each call of the state store costs more than a message."""
 
         def init(self, handle):
             self.handle = handle
             self.open = handle.getListState("open", "payload string")
-            self.place = handle.getValueState("place", "start bigint, total bigint")
-            self.last = handle.getValueState("last", "at bigint")
-            self.carried = handle.getValueState("carried", "value binary")
-            self.announced = handle.getValueState("announced", "size bigint")
+            # Where the open group starts, how long it is, how many of its payloads are held, the time of the
+            # last message, what the rule carries on, and the announced size.
+            self.rest = handle.getValueState("rest", "start bigint, total bigint, held bigint, at bigint, carried binary, size bigint")
 
         def handleInputRows(self, key, rows, timerValues):
-            batch = pd.concat(list(rows), ignore_index=True)
-            held = [row[0] for row in self.open.get()] if self.open.exists() else []
-            start, total = self.place.get() if self.place.exists() else (1, 0)
-            last = self.last.get()[0] if self.last.exists() else None
-            carried = pickle.loads(self.carried.get()[0]) if self.carried.exists() else None
-            announced = self.announced.get()[0] if self.announced.exists() else None
+            start, total, before, last, carried, announced = self.rest.get() or (1, 0, 0, None, None, None)
+            held = [row[0] for row in self.open.get()] if before else []
+            carried = None if carried is None else pickle.loads(carried)
             done = []
-            batch = batch.sort_values([name for name in batch.columns if name.startswith("order")], kind="stable")
-            sizes = [None if pd.isna(size) else int(size) for size in batch["size"].tolist()]
-            messages = zip(batch["at"].tolist(), sizes, batch["closes"].tolist(), batch["payload"].tolist(), strict=True)
-            for at, size, closing, payload in messages:
+            messages = sorted((in_order(row), place, row["at"], row["size"], row["closes"], row["payload"]) for place, row in enumerate(rows))
+            for _, _, at, size, closing, payload in messages:
                 if size != announced:
                     # What is left of a group that never was complete stays behind, as in a batch.
                     held, announced = [], size
                     start, total = start + total, 0
-                if idle is not None and held and last is not None and at - last > idle:
+                if idle is not None and held and last is not None and at is not None and at - last > idle:
                     done.append((start, total, "timeout", held))
                     held, carried, start, total = [], None, start + total, 0
                 if list_rows is not None and len(held) >= list_rows:
@@ -140,42 +139,29 @@ def _processor(count: int | None, idle: int | None, until, list_rows: int | None
                 elif total == (size if size is not None else count):
                     done.append((start, total, "count", held))
                     held, carried, start, total = [], None, start + total, 0
-            self.open.clear()
             if held:
                 self.open.put([(one,) for one in held])
-            self.place.update((start, total))
-            self.last.update((last,))
-            self.carried.update((pickle.dumps(carried),))
-            if announced is not None:
-                self.announced.update((announced,))
+            elif before:
+                self.open.clear()
+            self.rest.update((start, total, len(held), last, None if carried is None else pickle.dumps(carried), announced))
             if idle is not None:
                 for due in self.handle.listTimers():
                     self.handle.deleteTimer(due)
                 if held:
                     # Timers are in whole milliseconds; fire after the idle time, not at it.
                     self.handle.registerTimer((last + idle) // 1000 + 1)
-            if done:
-                yield self._frame(key, done)
+            yield from self._rows(key, done)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            held = [row[0] for row in self.open.get()] if self.open.exists() else []
+            start, total, before, last, _, announced = self.rest.get()
+            held = [row[0] for row in self.open.get()] if before else []
             self.open.clear()
-            self.carried.clear()
             if held:
-                start, total = self.place.get()
-                self.place.update((start + total, 0))
-                yield self._frame(key, [(start, total, "timeout", held)])
-
-        def _frame(self, key, done):
-            return pd.DataFrame(
-                {
-                    "key": [key[0]] * len(done),
-                    "group_start": [start for start, _, _, _ in done],
-                    "n": [total for _, total, _, _ in done],
-                    "reason": [reason for _, _, reason, _ in done],
-                    "payloads": [held for _, _, _, held in done],
-                }
-            )
+                self.rest.update((start + total, 0, 0, last, None, announced))
+                yield from self._rows(key, [(start, total, "timeout", held)])
+
+        def _rows(self, key, done):
+            return [Row(key=key[0], group_start=start, n=total, reason=reason, payloads=held) for start, total, reason, held in done]
 
         def close(self):
             pass

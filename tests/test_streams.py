@@ -148,6 +148,45 @@ def test_registered_groups_of_any_length_match_their_sql(spark, tmp_path):
             assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, wanted.fetchall())), name
 
 
+def test_a_key_costs_few_calls_of_the_state_store():
+    from pyspark.sql import Row
+
+    from flowframe.streaming.regroup import _processor
+
+    class State:
+        calls = 0
+
+        def __init__(self):
+            self.value = None
+
+        def told(self, *value):
+            State.calls += 1
+            if value:
+                self.value = value[0]
+            return self.value
+
+        get = put = update = told
+        exists = lambda self: self.told() is not None
+
+        def clear(self):
+            self.told(None)
+
+    class Handle:
+        def getListState(self, *_):
+            return State()
+
+        getValueState = getListState
+
+    groups = _processor(None, None, None, 1000)
+    groups.init(Handle())
+    batch = [Row(order0=at, at=0, size=None, closes=at == 2, payload=str(at)) for at in (3, None, 1, 2)]
+    out = list(groups.handleInputRows(("k",), iter(batch), None))
+    assert [(r["group_start"], r["n"], r["reason"], r["payloads"]) for r in out] == [(1, 2, "closed", ["1", "2"])]
+    out = list(groups.handleInputRows(("k",), iter([Row(order0=9, at=0, size=None, closes=True, payload="9")]), None))
+    assert [(r["group_start"], r["n"], r["reason"], r["payloads"]) for r in out] == [(3, 3, "closed", ["3", "None", "9"])]
+    assert State.calls == 7
+
+
 def test_state_store_idle_timeout(spark, tmp_path):
     data = [row for row in rows() if row[0] is not None]
 
